@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import warnings
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,30 @@ def text_chunks(docs: DataFrame, chunks: Callable[[Column], Column], text: str =
     )
 
 
+def file_texts(files: DataFrame, decode: Callable[[bytes], str], content: str = "content", out: str = "text") -> DataFrame:
+    """Replace the bytes of each file by its text; NULL, with a warning in the log, where ``decode`` fails.
+
+    Spark bounds a batch by its bytes as well as its rows, so large files come few at a time.
+    """
+
+    @F.arrow_udf("string")
+    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def one(raw):
+            if raw is None:
+                return None
+            try:
+                return decode(raw)
+            except Exception as error:  # an unreadable file is a missing text
+                warnings.warn(f"a file could not be read: {error}", stacklevel=2)
+                return None
+
+        for batch in batches:
+            yield pa.array([one(raw) for raw in batch.to_pylist()], pa.string())
+
+    others = [c for c in files.columns if c not in (content, out)]
+    return files.select(*others, texts.asNondeterministic()(content).alias(out))
+
+
 def with_chunk_id(chunks: DataFrame, url: str = "url", pos: str = "pos", out: str = "id") -> DataFrame:
     """Add a 64-bit key that depends on ``(url, pos)`` alone, so a re-run gives each chunk the same key."""
     return chunks.withColumn(out, F.xxhash64(url, pos))

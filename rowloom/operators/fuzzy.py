@@ -78,4 +78,6 @@ def fuzzy_correct(df: DataFrame, column: str, vocabulary: DataFrame, word: str,
         .agg(F.min("match").alias("match"))
         .select(F.col("value").alias(column), F.col("match.best").alias("best"), F.col("match.dist").alias("dist"))
     )
+    # Written first, so that Spark knows its size and need not shuffle ``df`` for a small one.
+    best = materialise(best, "corrections")
     return df.join(best, column, "left")

@@ -105,6 +105,19 @@ def label_in_set(df: DataFrame, column: str, labels: list[str], out: str = "ok")
     return df.withColumn(out, F.array_contains(F.array(*[F.lit(x) for x in labels]), F.col(column)))
 
 
+def exists_in(df: DataFrame, column: str, names: DataFrame, name: str) -> DataFrame:
+    """The rows whose value occurs among ``names``, each once however often it occurs there."""
+    return df.join(names.select(F.col(name).alias(column)), column, "left_semi")
+
+
 def guard(df: DataFrame, condition: Column, message: str) -> DataFrame:
     """``df`` itself, failing with ``message`` on the first row that breaks ``condition``."""
     return df.where(F.assert_true(condition, message).isNull())
+
+
+def small_set(df: DataFrame, column: str, limit: int) -> list:
+    """The distinct values of a column that must be few; more than ``limit`` is an error."""
+    values = [row[0] for row in df.select(column).distinct().limit(limit + 1).collect()]
+    if len(values) > limit:
+        raise ValueError(f"{column} has more than {limit} different values")
+    return sorted(v for v in values if v is not None)

@@ -36,8 +36,9 @@ BROADCAST_QUERIES = 4_096
 BROADCAST_ENTRIES = 8_000_000
 # Pivots of an index: at most this many, and at most this many vector entries.
 MAX_PIVOTS = 1_024
-# Vectors and queries in one piece of a cell.
+# Vectors, or queries, in one piece of a cell: about this many, and about this many vector entries.
 PIECE_ROWS = 20_000
+PIECE_ENTRIES = 8_000_000
 # Similarities held at a time when two pieces meet.
 TILE_ENTRIES = 4_000_000
 # Slack on distances; above the rounding step of a similarity near any bound.
@@ -123,19 +124,25 @@ class _Best:
         self.ids[touched] = ident[keep].reshape(len(touched), self.k)
 
     def scan(self, queries: np.ndarray, query_ids: np.ndarray, items: np.ndarray, item_ids: np.ndarray, skip_self: bool) -> None:
-        """Compare all queries with all items, a tile at a time."""
-        step = max(1, TILE_ENTRIES // max(1, len(queries)))
+        """Compare all queries with all items, a tile at a time.
+
+        Only similarities that may still count are rounded: those within a rounding step of
+        the k-th best so far or, at the start, of the k-th best of the tile.
+        """
+        step = max(self.k + 1, TILE_ENTRIES // max(1, len(queries)))
         for at in range(0, len(items), step):
             ids = item_ids[at : at + step]
-            sims = _rounded(queries @ items[at : at + step].T)
-            if skip_self:
-                sims[query_ids[:, None] == ids[None, :]] = -np.inf
+            sims = queries @ items[at : at + step].T
             floor = self.sims[:, -1:]
-            if sims.shape[1] > self.k:
-                floor = np.maximum(floor, np.partition(sims, -self.k, axis=1)[:, -self.k, None])
-            rows, columns = np.nonzero((sims >= floor) & (sims > -np.inf))
+            need = self.k + int(skip_self)
+            if sims.shape[1] > need and np.isneginf(floor).any():
+                floor = np.maximum(floor, np.partition(sims, -need, axis=1)[:, -need, None])
+            rows, columns = np.nonzero(sims >= floor - 10.0**-DIGITS)
+            if skip_self:
+                other = query_ids[rows] != ids[columns]
+                rows, columns = rows[other], columns[other]
             if len(rows):
-                self.offer(rows, sims[rows, columns], ids[columns])
+                self.offer(rows, _rounded(sims[rows, columns]), ids[columns])
 
     def frame(self, query_ids: np.ndarray) -> pd.DataFrame:
         found = np.isfinite(self.sims)
@@ -341,6 +348,7 @@ def _search_by_cells(queries: DataFrame, index: DataFrame, k: int, skip_self: bo
     rows, dim = index.agg(F.count("*"), F.max(F.size("embedding"))).first()
     if not rows:
         return queries.sparkSession.createDataFrame([], _RANKED)
+    piece_rows = max(1, min(piece_rows, PIECE_ENTRIES // dim))
     pivots = choose_pivots(index, dim, rows)
     assigned = materialise(assign_cells(index, pivots), "cells")
     cells = measure_cells(assigned, pivots)
@@ -385,7 +393,8 @@ def retrieve(queries: DataFrame, index: DataFrame, documents: DataFrame, columns
 
     ``documents`` holds the columns by ``id``; only matched rows are fetched, after the ranking.
     """
-    matches = top_k(queries, index, k)
+    # Written first, so that Spark knows how few or many rows will meet the documents.
+    matches = materialise(top_k(queries, index, k), "matches")
     return matches.join(documents.select("id", *[c for c in columns if c != "id"]), "id").select(
         "query_id", "rank", "sim", *columns
     )

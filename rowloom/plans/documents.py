@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowloom.functions import text as text_fn
-from rowloom.operators import chunking, inference
+from rowloom.operators import chunking, inference, relational
 from rowloom.plans.registry import query, table, words_sql
 from rowloom.session import spread
 from rowloom.sources import web
@@ -113,7 +113,7 @@ def mask_entities(spark, folder):
 def mask_names(spark, folder):
     """Names masked by dictionary: the nations, of which there are few."""
     nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    names = [row.n_name for row in nations.select("n_name").distinct().limit(1_000).collect()]
+    names = relational.small_set(nations, "n_name", 1_000)
     rows = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     text = F.concat("c_name", F.lit(" lives at "), "n_name")
     masked = text_fn.mask_entities(text, [], names)
@@ -223,7 +223,36 @@ def iterator_chunk(spark, folder):
     )
 
 
-@query()
+# Sentences end at a mark and blanks; an SQL regular expression cannot look behind, so a
+# control character is put between them first.
+_SENTENCE_CHUNKS_SQL = rf"""
+    WITH sentences AS (
+      SELECT doc_id, list_filter(str_split(regexp_replace(text, '([.!?])[ \t\r\n]+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS l
+      FROM documents),
+    units AS (
+      SELECT doc_id, flatten(list_transform(l, lambda x:
+               CASE WHEN len({words_sql('x')}) <= 100 THEN [{{'s': x, 'n': len({words_sql('x')})}}]
+                    ELSE list_transform(range(0, len({words_sql('x')}), 100), lambda i:
+                           {{'s': array_to_string(list_slice({words_sql('x')}, i + 1, i + 100), ' '),
+                             'n': least(100, len({words_sql('x')}) - i)}}) END)) AS u
+      FROM sentences),
+    folded AS (
+      SELECT doc_id, list_reduce(list_transform(u, lambda x: {{'done': CAST([] AS VARCHAR[]), 'cur': [x]}}),
+        lambda a, b: CASE WHEN list_sum(list_transform(a.cur, lambda x: x.n)) + b.cur[1].n <= 100
+          THEN {{'done': a.done, 'cur': list_append(a.cur, b.cur[1])}}
+          ELSE {{'done': list_append(a.done, array_to_string(list_transform(a.cur, lambda x: x.s), ' ')),
+                'cur': list_append(list_filter(
+                         list_transform(range(2, len(a.cur) + 2), lambda i: list_slice(a.cur, i, len(a.cur))),
+                         lambda t: coalesce(list_sum(list_transform(t, lambda x: x.n)), 0) <= least(10, 100 - b.cur[1].n))[1],
+                       b.cur[1])}} END) AS f
+      FROM units WHERE len(u) > 0),
+    chunks AS (
+      SELECT doc_id, list_append(f.done, array_to_string(list_transform(f.cur, lambda x: x.s), ' ')) AS c FROM folded)
+    SELECT doc_id, pos, CAST(len({words_sql('content')}) AS INTEGER) AS n_words, md5(content) AS h
+    FROM (SELECT doc_id, CAST(unnest(range(0, len(c))) AS INTEGER) AS pos, unnest(c) AS content FROM chunks)"""
+
+
+@query(_SENTENCE_CHUNKS_SQL)
 def chunk_sentences(spark, folder):
     """Whole sentences packed into chunks of 100 words with up to 10 repeated."""
     chunks = chunking.text_chunks(

@@ -144,7 +144,24 @@ _PRESET_OPTIONS = {
 }
 
 
-@query()
+# The instructions once more, filled in, as SQL.
+_PRESETS_SQL = """SELECT preset, count(*) AS n, CAST(sum(length(instruction || text)) AS BIGINT) AS total_chars
+    FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM conversations),
+         (VALUES
+           ('analyze_sentiment', 'Give the sentiment as JSON with a field sentiment: 0 for negative, 1 for positive, 2 for neutral. '),
+           ('classify', 'Answer with exactly one of these labels: red, blue. Text: '),
+           ('extract', 'List every person in this text as a JSON list. Text: '),
+           ('fix_grammar', 'Correct the grammar of this text and answer with the corrected text only. Text: '),
+           ('fix_spelling', 'Correct the spelling of this name and answer with the corrected name only: '),
+           ('gen', ''),
+           ('mask', 'Replace every address in this text by [MASKED] and answer with the text only. Text: '),
+           ('similarity', 'Rate from 0 to 1 how alike these two texts are. Texts: '),
+           ('summarize', 'Summarize this text in one sentence. Text: '),
+           ('translate', 'Translate this text to German. Text: ')) presets(preset, instruction)
+    GROUP BY preset"""
+
+
+@query(_PRESETS_SQL)
 def model_presets(spark, folder):
     """Each ready instruction over all benchmark and conversation texts, answered by the length of the prompt."""
     texts = table(spark, folder, "benchmark").select("text").unionAll(table(spark, folder, "conversations").select("text"))

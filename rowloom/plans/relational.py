@@ -237,6 +237,13 @@ def label_in_set(spark, folder):
     return relational.label_in_set(table(spark, folder, "events"), "event_type", ["click", "view"]).select("event_id", "ok")
 
 
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def exists_in(spark, folder):
+    """Customers with a finished order."""
+    finished = table(spark, folder, "orders").where("o_orderstatus = 'F'").select("o_custkey").distinct()
+    return relational.exists_in(table(spark, folder, "customer").select("c_custkey", "c_name"), "c_custkey", finished, "o_custkey")
+
+
 @query("SELECT o_orderkey, contains(upper(o_orderpriority), 'URGENT') AS state FROM orders")
 def status_match(spark, folder):
     return table(spark, folder, "orders").select(

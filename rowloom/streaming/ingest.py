@@ -14,22 +14,24 @@ from pyspark.sql.types import StructType
 
 # Fixed value: the columns of a binary file source.
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+# Files per micro-batch: a batch that fails is repeated whole.
+MAX_FILES = 10_000
 
 
-def binary_files(spark: SparkSession, folder: str, glob: str, max_files: int | None = None) -> DataFrame:
+def binary_files(spark: SparkSession, folder: str, glob: str, max_files: int = MAX_FILES) -> DataFrame:
     """A stream of the files of ``folder`` whose names match ``glob``, each once."""
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", glob)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(folder)
+    return reader.option("maxFilesPerTrigger", max_files).load(folder)
 
 
-def parquet_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+def parquet_stream(spark: SparkSession, path: str, schema: StructType, max_files: int = MAX_FILES) -> DataFrame:
     """A stream of the rows of parquet files."""
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+
+
+def table_stream(spark: SparkSession, name: str) -> DataFrame | None:
+    """A stream of the rows appended to a named table; None while there is no such table."""
+    return spark.readStream.table(name) if spark.catalog.tableExists(name) else None
 
 
 def append(stream: DataFrame, table: str, checkpoint: str, origin: str) -> None:

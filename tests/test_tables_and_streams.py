@@ -85,6 +85,31 @@ def test_binary_ingest_and_restart(spark, folder):
     assert content == {b"one. two.", b"three."}
 
 
+def test_files_to_chunks_as_a_stream(spark, folder):
+    """Raw files, then texts and chunks, then web text from a table, into one sink; stream equals batch."""
+    from rowloom.operators.chunking import file_texts, text_chunks
+
+    source, raw, sink = (os.path.join(folder, x) for x in ("in", "raw", "sink"))
+    os.mkdir(source)
+    put(source, "a.pdf", b"one two|three")
+    put(source, "bad.pdf", bytes([0xFF, 0xFE]))
+
+    def chunks(files):
+        texts = file_texts(files, lambda b: b.decode("utf-8"))
+        return text_chunks(texts, lambda t: F.split(t, "[|]")).selectExpr("path AS url", "content")
+
+    ingest.append(ingest.binary_files(spark, source, "*.pdf"), raw, os.path.join(folder, "c1"), "files")
+    stored = ingest.read_table(spark, raw).drop("origin", "batch")
+    stream = ingest.parquet_stream(spark, raw + "/origin=files", stored.schema).drop("batch")
+    ingest.append(chunks(stream), sink, os.path.join(folder, "c2"), "files")
+    assert ingest.table_stream(spark, "web_docs_t") is None
+    tables.save_table(spark.createDataFrame([("u", "w x")], "url string, content string"), "web_docs_t")
+    ingest.append(ingest.table_stream(spark, "web_docs_t"), sink, os.path.join(folder, "c3"), "web")
+    found = sorted(r["content"] for r in ingest.read_table(spark, sink).collect())
+    assert found == ["one two", "three", "w x"]
+    assert sorted(r["content"] for r in chunks(stored).collect()) == ["one two", "three"]
+
+
 def test_replayed_batch_counts_once(spark, folder):
     """A batch written but not recorded is written again, into the same place."""
     source, sink, checkpoint = (os.path.join(folder, x) for x in ("in", "out", "checkpoint"))
