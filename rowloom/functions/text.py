@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The patterns below must match the rules they implement.
+# The patterns below must match the rules they implement. Texts may be long and
+# hold anything, so each pattern is written to read a text a bounded number of times: nothing
+# rescans to the end of the text from many starting points.
 BLANKS = "[ \\t\\r\\n]+"
 INLINE_IMAGE = "data:image/[a-zA-Z]+;base64,[A-Za-z0-9+/=\\n]+"
 INLINE_IMAGE_ONE_LINE = "data:image/[a-zA-Z]+;base64,[A-Za-z0-9+/=]+"
-EMAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z][A-Za-z]+"
+# A mail name starts where a run of its characters does, or where the last match ended.
+EMAIL = "(?:\\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\\.[A-Za-z][A-Za-z]+"
 IPV4 = "[0-9]{1,3}(\\.[0-9]{1,3}){3}"
 PHONE = "[+]?[0-9][0-9 ()-]{7,}[0-9]"
 ENTITY_PATTERNS = {"email": EMAIL, "ip": IPV4, "phone": PHONE}
@@ -85,39 +88,44 @@ def extract_entities(text: Column, kind: str) -> Column:
 def first_element(html: Column, tag: str, attribute: str | None = None) -> Column:
     """Inner HTML of the first ``tag`` (optionally: the first that carries ``attribute``).
 
-    NULL when there is none.
+    NULL when there is none. An element that is never closed reaches to the end.
     """
-    carry = f"[^>]*\\b{attribute}[^>]*" if attribute else "(?:\\s[^>]*)?"
-    whole = F.regexp_substr(html, F.lit(f"(?is)<{tag}{carry}>.*?</{tag}>"))
-    return F.regexp_replace(whole, f"(?is)^<{tag}[^>]*>|</{tag}>$", "")
+    carry = f"\\s[^<>]*{attribute}[^<>]*" if attribute else "(?:\\s[^<>]*)?"
+    whole = F.regexp_substr(html, F.lit(f"(?is)<{tag}{carry}>.*?(?:</{tag}>|\\z)"))
+    return F.regexp_replace(whole, f"(?is)^<{tag}[^<>]*>|</{tag}>\\z", "")
 
 
 def html_to_markdown(html: Column) -> Column:
-    """Markdown with ``#`` headings, ``*`` items, links and emphasis."""
+    """Markdown with ``#`` headings, ``*`` items, links and emphasis.
+
+    Emphasis and links count where they hold text only; other tags are dropped.
+    """
     steps = [
-        ("(?is)<script[^>]*>.*?</script>", ""),
-        ("(?is)<style[^>]*>.*?</style>", ""),
-        ("(?s)<!--.*?-->", ""),
-        ("[ \\t\\r\\n]+", " "),
+        ("(?is)<script[^<>]*>.*?(?:</script>|\\z)", ""),
+        ("(?is)<style[^<>]*>.*?(?:</style>|\\z)", ""),
+        ("(?s)<!--.*?(?:-->|\\z)", ""),
+        (BLANKS, " "),
     ]
-    steps += [(f"(?is)<h{n}[^>]*>(.*?)</h{n}>", "\n\n" + "#" * n + " $1\n\n") for n in range(1, 7)]
+    steps += [(f"(?i)<h{n}(?: [^<>]*)?>", "\n\n" + "#" * n + " ") for n in range(1, 7)]
     steps += [
-        ("(?is)<a [^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>", "[$2]($1)"),
-        ("(?is)<(?:b|strong)>(.*?)</(?:b|strong)>", "**$1**"),
-        ("(?is)<(?:i|em)>(.*?)</(?:i|em)>", "*$1*"),
-        ("(?i)<li[^>]*>", "\n* "),
-        ("(?i)<br[^>]*>", "\n"),
-        ("(?i)</?p[^>]*>", "\n\n"),
-        ("<[^>]*>", ""),
+        ("(?i)</h[1-6]>", "\n\n"),
+        ("(?i)<li(?: [^<>]*)?>", "\n* "),
+        ("(?i)<br[^<>]*>", "\n"),
+        ("(?i)</?p(?: [^<>]*)?>", "\n\n"),
+        ("(?i)<(?:i|em)>([^<]*)</(?:i|em)>", "*$1*"),
+        ("(?i)<(?:b|strong)>([^<]*)</(?:b|strong)>", "**$1**"),
+        ("(?i)<a [^<>]*href=\"([^\"<>]*)\"[^<>]*>([^<]*)</a>", "[$2]($1)"),
+        ("<[^<>]*>", ""),
     ]
     for pattern, replacement in steps:
         html = F.regexp_replace(html, pattern, replacement)
     # The ampersand comes last, so that an escaped escape is resolved once only.
-    for entity, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]:
+    entities = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+    for entity, char in entities:
         html = F.replace(html, F.lit(entity), F.lit(char))
-    html = F.regexp_replace(html, " *\\n *", "\n")
-    html = F.regexp_replace(html, "\\n{3,}", "\n\n")
-    return strip_blanks(html)
+    html = F.regexp_replace(html, " {2,}", " ")
+    html = F.replace(F.replace(html, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    return strip_blanks(F.regexp_replace(html, "\n{3,}", "\n\n"))
 
 
 def article_markdown(html: Column) -> Column:

@@ -28,34 +28,35 @@ def text_to_html(spark, folder):
 
 # The page rules once more, step by step, as SQL.
 _MARKDOWN_STEPS = [
-    (r"(?is)<script[^>]*>.*?</script>", ""),
-    (r"(?is)<style[^>]*>.*?</style>", ""),
-    (r"(?s)<!--.*?-->", ""),
+    (r"(?is)<script[^<>]*>.*?(?:</script>|\z)", ""),
+    (r"(?is)<style[^<>]*>.*?(?:</style>|\z)", ""),
+    (r"(?s)<!--.*?(?:-->|\z)", ""),
     (r"[ \t\r\n]+", " "),
-    *[(rf"(?is)<h{n}[^>]*>(.*?)</h{n}>", "\n\n" + "#" * n + r" \1" + "\n\n") for n in range(1, 7)],
-    (r'(?is)<a [^>]*href="([^"]*)"[^>]*>(.*?)</a>', r"[\2](\1)"),
-    (r"(?is)<(?:b|strong)>(.*?)</(?:b|strong)>", r"**\1**"),
-    (r"(?is)<(?:i|em)>(.*?)</(?:i|em)>", r"*\1*"),
-    (r"(?i)<li[^>]*>", "\n* "),
-    (r"(?i)<br[^>]*>", "\n"),
-    (r"(?i)</?p[^>]*>", "\n\n"),
-    (r"<[^>]*>", ""),
+    *[(rf"(?i)<h{n}(?: [^<>]*)?>", "\n\n" + "#" * n + " ") for n in range(1, 7)],
+    (r"(?i)</h[1-6]>", "\n\n"),
+    (r"(?i)<li(?: [^<>]*)?>", "\n* "),
+    (r"(?i)<br[^<>]*>", "\n"),
+    (r"(?i)</?p(?: [^<>]*)?>", "\n\n"),
+    (r"(?i)<(?:i|em)>([^<]*)</(?:i|em)>", r"*\1*"),
+    (r"(?i)<(?:b|strong)>([^<]*)</(?:b|strong)>", r"**\1**"),
+    (r'(?i)<a [^<>]*href="([^"<>]*)"[^<>]*>([^<]*)</a>', r"[\2](\1)"),
+    (r"<[^<>]*>", ""),
 ]
 _ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")]
 
 
 def _markdown_sql():
-    sql = "regexp_extract(html, '(?is)<article(?:\\s[^>]*)?>(.*?)</article>', 1)"
+    sql = "regexp_extract(html, '(?is)<article(?:\\s[^<>]*)?>(.*?)(?:</article>|\\z)', 1)"
     for pattern, replacement in _MARKDOWN_STEPS:
         sql = f"regexp_replace({sql}, '{pattern}', '{replacement}', 'g')"
     for entity, char in _ENTITIES:
         sql = f"replace({sql}, '{entity.replace(chr(39), chr(39) * 2)}', '{char}')"
-    sql = f"regexp_replace({sql}, ' *\\n *', '\n', 'g')"
+    sql = f"replace(replace(regexp_replace({sql}, ' {{2,}}', ' ', 'g'), ' \n', '\n'), '\n ', '\n')"
     sql = f"regexp_replace({sql}, '\\n{{3,}}', '\n\n', 'g')"
     return f"trim({sql}, ' ' || chr(9) || chr(13) || chr(10))"
 
 
-_ARTICLES_SQL = f"SELECT page_id, url, {_markdown_sql()} AS text FROM pages WHERE regexp_matches(html, '(?is)<article(\\s[^>]*)?>.*?</article>')"
+_ARTICLES_SQL = f"SELECT page_id, url, {_markdown_sql()} AS text FROM pages WHERE regexp_matches(html, '(?is)<article(\\s[^<>]*)?>')"
 
 
 @query(f"SELECT page_id, length(text) AS n, md5(text) AS h FROM ({_ARTICLES_SQL})")
@@ -66,8 +67,8 @@ def extract_articles(spark, folder):
 
 @query(
     """SELECT page_id, length(text) AS n FROM (
-         SELECT page_id, trim(regexp_extract(html, '(?is)<nav(?:\\s[^>]*)?>(.*?)</nav>', 1), ' ' || chr(9) || chr(13) || chr(10)) AS text
-         FROM pages WHERE regexp_matches(html, '(?is)<nav(\\s[^>]*)?>.*?</nav>'))"""
+         SELECT page_id, trim(regexp_extract(html, '(?is)<nav(?:\\s[^<>]*)?>(.*?)(?:</nav>|\\z)', 1), ' ' || chr(9) || chr(13) || chr(10)) AS text
+         FROM pages WHERE regexp_matches(html, '(?is)<nav(\\s[^<>]*)?>'))"""
 )
 def extract_elements(spark, folder):
     """Raw inner HTML of another element, by the rule that serves pages without an article."""

@@ -167,3 +167,29 @@ def test_chunk_ids_are_stable(spark):
     first = {r["pos"]: r["id"] for r in chunking.with_chunk_id(chunks).collect()}
     again = {r["pos"]: r["id"] for r in chunking.with_chunk_id(chunks.repartition(7)).collect()}
     assert first == again and len(set(first.values())) == 100
+
+
+def test_mail_names_after_a_match(spark):
+    """A second address that starts where the first one ends is found as a plain pattern finds it."""
+    import re
+
+    plain = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z][A-Za-z]+"
+    for text in ["a@b.com.d@e.fr", "x a@b.co,c@d.org", "a@@b.com", "a@b@c.de", "é.a@b.com.", "..@b.com", "a@b.c d@e.ff"]:
+        assert value(spark, text, lambda c: t.extract_entities(c, "email")) == sorted(re.findall(plain, text))
+
+
+def test_long_hostile_texts_take_no_long_time(spark):
+    """Runs that invite rescans: each took minutes if a rule were quadratic in the length of the text."""
+    import time
+
+    n = 200_000
+    pages = ["<article>" * n, "<article><b>" + "<b>x " * n, "<article>" + "<script>" * n, "<article>" + "<!--" * n, "<article>" + "<a <a " * n]
+    pages += ["<article>" + "<x> " * n, "<article>" + " " * n + "x", "<article " * n]
+    start = time.time()
+    frame = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "page_id int, html string")
+    assert web.extract_articles(frame).count() == len(pages) - 1
+    texts = ["a" * n, "1 " * n, "1" + "(" * n, "a@" * n, "a." * n + "@", "data:image/png;base64," * n, " " * n + "x"]
+    frame = spark.createDataFrame([(x,) for x in texts], "text string")
+    rule = t.mask_entities(t.strip_inline_images(F.col("text")), ["email", "ip", "phone"])
+    frame.select(F.length(rule), F.size(t.sentences(F.col("text"))), F.size(t.words(F.col("text")))).collect()
+    assert time.time() - start < 60
