@@ -1,83 +1,128 @@
-"""Spelling correction against a vocabulary."""
+"""Spelling correction against a vocabulary.
+
+Values never meet vocabulary words one by one in a join: a row of the vocabulary side carries
+many words, and the best of them is found within the row.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.session import materialise
 
-# Most vocabulary words one row of the vocabulary table holds.
+# Most words of one length that a row of the vocabulary holds.
 BLOCK_WORDS = 512
 # Most vocabulary rows that are broadcast.
 BROADCAST_BLOCKS = 2_000
+# Up to this many vocabulary rows every value is compared with whole lengths of words at once.
+SCAN_BLOCKS = 16
+
+
+def _blocks(words: DataFrame) -> DataFrame:
+    """The words in rows of about ``BLOCK_WORDS`` of one length: ``length, words``."""
+    sized = words.withColumn("length", F.length("word"))
+    sizes = sized.groupBy("length").agg(F.ceil(F.count("*") / BLOCK_WORDS).cast("int").alias("blocks"))
+    return (
+        sized.join(sizes, "length")
+        .groupBy("length", F.pmod(F.xxhash64("word"), F.col("blocks")).alias("block"))
+        .agg(F.collect_list("word").alias("words"))
+        .drop("block")
+    )
+
+
+def _best_of_words() -> Column:
+    return F.array_min(
+        F.transform("words", lambda w: F.struct(F.levenshtein("value", w).alias("dist"), w.alias("best")))
+    )
+
+
+def _best_per_value(joined: DataFrame) -> DataFrame:
+    return joined.select("value", _best_of_words().alias("match")).groupBy("value").agg(F.min("match").alias("match"))
+
+
+def _one_less(text: Column) -> Column:
+    """The text and all texts made by deleting one character."""
+    cut = F.transform(
+        F.sequence(F.lit(1), F.length(text)), lambda i: F.concat(F.left(text, i - 1), F.substr(text, i + 1))
+    )
+    return F.array_distinct(F.concat(F.array(text), F.when(F.length(text) > 0, cut).otherwise(F.array().cast("array<string>"))))
 
 
-def _vocabulary_blocks(vocabulary: DataFrame, word: str) -> DataFrame:
-    """The distinct words in rows of about ``BLOCK_WORDS``: ``length, block, blocks, words``.
+def _within_one(values: DataFrame, words: DataFrame) -> DataFrame:
+    """``value, match`` for values at most one edit from a word, and for some at two.
 
-    Every row holds words of one length. ``blocks`` is how many rows that length has.
+    Texts one edit apart become equal when each loses at most one character, so all matches at
+    distance 0 and 1 meet in an equi-join. The words that share such a remainder differ by one
+    character inserted somewhere, which bounds their number.
     """
-    distinct = vocabulary.select(F.col(word).alias("word")).where(F.col(word).isNotNull()).distinct()
-    distinct = distinct.withColumn("length", F.length("word"))
-    sizes = distinct.groupBy("length").agg(F.ceil(F.count("*") / BLOCK_WORDS).cast("int").alias("blocks"))
-    return (
-        distinct.join(sizes, "length")
-        .withColumn("block", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
-        .groupBy("length", "blocks", "block")
+    by_rest = (
+        words.select("word", F.explode(_one_less(F.col("word"))).alias("rest"))
+        .groupBy("rest")
         .agg(F.collect_list("word").alias("words"))
     )
+    probes = values.select("value", F.explode(_one_less(F.col("value"))).alias("rest"))
+    return _best_per_value(probes.join(by_rest, "rest"))
 
 
-def _closest(probes: DataFrame, blocks: DataFrame, salts: int) -> DataFrame:
+def _of_length(probes: DataFrame, blocks: DataFrame, salts: int) -> DataFrame:
     """Best match of each ``(value, length)`` probe among the words of that length: ``value, match``.
 
     ``salts`` 0 broadcasts the blocks; else each length is spread over that many join keys.
     """
-    if salts:
-        blocks = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        probes = probes.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(salts)).cast("int"))
-        joined = probes.join(blocks, ["length", "salt"])
-    else:
-        joined = probes.join(F.broadcast(blocks), "length")
-    nearest = F.array_min(
-        F.transform("words", lambda w: F.struct(F.levenshtein("value", w).alias("dist"), w.alias("best")))
-    )
-    return (
-        joined.select("value", nearest.alias("match"))
-        .groupBy("value")
-        .agg(F.min("match").alias("match"))
-    )
+    if not salts:
+        return _best_per_value(probes.join(F.broadcast(blocks), "length"))
+    spread = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = probes.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(salts)).cast("int"))
+    return _best_per_value(salted.join(spread, ["length", "salt"]))
 
 
-def fuzzy_correct(df: DataFrame, column: str, vocabulary: DataFrame, word: str, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
+def fuzzy_correct(
+    df: DataFrame,
+    column: str,
+    vocabulary: DataFrame,
+    word: str,
+    broadcast_blocks: int = BROADCAST_BLOCKS,
+    scan_blocks: int = SCAN_BLOCKS,
+) -> DataFrame:
     """Add ``best`` and ``dist``: the vocabulary word of least edit distance, ties by name.
 
-    Each distinct value is compared once. Words whose length differs by ``d`` are at least
-    ``d`` edits away, so a value first meets the words of the nearest length, and then only
-    those of a length whose difference does not exceed the distance found. Values never meet
-    words one by one in a join: a vocabulary row carries a block of words.
+    Each distinct value is looked up once. With a large vocabulary, values within one edit of a
+    word are settled by an equi-join. Any other value meets the words of the nearest length,
+    and then those of each length that differs by no more than the distance found, since a
+    difference in length is a lower bound of the distance.
     """
-    blocks = materialise(_vocabulary_blocks(vocabulary, word), "vocabulary")
-    salts = 0 if blocks.limit(broadcast_blocks + 1).count() <= broadcast_blocks else 64
-    # As many entries as the vocabulary has different word lengths.
-    lengths = [r[0] for r in blocks.select("length").distinct().collect()]
-    values = df.select(F.col(column).alias("value")).where(F.col(column).isNotNull()).distinct()
-    if not lengths:
-        return df.withColumn("best", F.lit(None).cast("string")).withColumn("dist", F.lit(None).cast("int"))
-    known = F.array(*[F.lit(n) for n in sorted(lengths)])
-    gap = lambda n: F.abs(n - F.length("value"))
-    closest_length = F.array_min(F.transform(known, lambda n: F.struct(gap(n).alias("gap"), n.alias("n"))))["n"]
-    first = materialise(_closest(values.withColumn("length", closest_length), blocks, salts), "first-match")
-    later = first.withColumn(
-        "length", F.explode(F.filter(known, lambda n: (gap(n) <= F.col("match.dist")) & (n != closest_length)))
-    ).select("value", "length")
-    best = (
-        first.unionByName(_closest(later, blocks, salts))
-        .groupBy("value")
-        .agg(F.min("match").alias("match"))
-        .select(F.col("value").alias(column), F.col("match.best").alias("best"), F.col("match.dist").alias("dist"))
+    words = materialise(
+        vocabulary.select(F.col(word).alias("word")).where(F.col(word).isNotNull()).distinct(), "vocabulary"
     )
+    blocks = materialise(_blocks(words), "vocabulary-blocks")
+    n_blocks = blocks.count()
+    if not n_blocks:
+        return df.withColumn("best", F.lit(None).cast("string")).withColumn("dist", F.lit(None).cast("int"))
+    salts = 0 if n_blocks <= broadcast_blocks else 64
+    values = df.select(F.col(column).alias("value")).where(F.col(column).isNotNull()).distinct()
+    settled = None
+    if n_blocks > scan_blocks:
+        values = materialise(values, "values")
+        settled = materialise(_within_one(values, words).where("match.dist <= 1"), "within-one")
+        values = values.join(settled, "value", "left_anti")
+
+    # As many entries as the vocabulary has different word lengths.
+    known = F.array(*[F.lit(n) for n in sorted(row[0] for row in blocks.select("length").distinct().collect())])
+
+    def gap(n: Column) -> Column:
+        return F.abs(n - F.length("value"))
+
+    closest = F.array_min(F.transform(known, lambda n: F.struct(gap(n).alias("gap"), n.alias("n"))))["n"]
+    first = materialise(_of_length(values.withColumn("length", closest), blocks, salts), "first-match")
+    reachable = F.filter(known, lambda n: (gap(n) <= F.col("match.dist")) & (n != closest))
+    later = first.select("value", F.explode(reachable).alias("length"))
+    found = first.unionByName(_of_length(later, blocks, salts)).groupBy("value").agg(F.min("match").alias("match"))
+    if settled is not None:
+        found = found.unionByName(settled)
     # Written first, so that Spark knows its size and need not shuffle ``df`` for a small one.
-    best = materialise(best, "corrections")
+    best = materialise(
+        found.select(F.col("value").alias(column), F.col("match.best").alias("best"), F.col("match.dist").alias("dist")),
+        "corrections",
+    )
     return df.join(best, column, "left")

@@ -126,8 +126,8 @@ def test_fuzzy(spark):
     assert sorted((r["v"] or "", r["best"] or "") for r in found) == [("", ""), ("Hnda", "Honda"), ("Toyta", "Toyota"), ("Toyta", "Toyota")]
 
 
-@pytest.mark.parametrize("broadcast_blocks", [2_000, 0])
-def test_fuzzy_against_brute_force(spark, monkeypatch, broadcast_blocks):
+@pytest.mark.parametrize("broadcast_blocks, scan_blocks", [(2_000, 1_000), (0, 1_000), (2_000, 0), (0, 0)])
+def test_fuzzy_against_brute_force(spark, monkeypatch, broadcast_blocks, scan_blocks):
     import random
 
     monkeypatch.setattr(fuzzy, "BLOCK_WORDS", 7)
@@ -147,7 +147,7 @@ def test_fuzzy_against_brute_force(spark, monkeypatch, broadcast_blocks):
     expect = {v: min((distance(v, w), w) for w in vocabulary) for v in values}
     frame = spark.createDataFrame([(v,) for v in values], "v string")
     words = spark.createDataFrame([(w,) for w in vocabulary], "w string")
-    found = {r["v"]: (r["dist"], r["best"]) for r in fuzzy.fuzzy_correct(frame, "v", words, "w", broadcast_blocks).collect()}
+    found = {r["v"]: (r["dist"], r["best"]) for r in fuzzy.fuzzy_correct(frame, "v", words, "w", broadcast_blocks, scan_blocks).collect()}
     assert found == expect
 
 
