@@ -100,18 +100,17 @@ def html_to_markdown(html: Column) -> Column:
 
     Emphasis and links count where they hold text only; other tags are dropped.
     """
+    # Each step is one more reading of the page, so rules that allow it share a step.
+    html = F.regexp_replace(html, "(?is)<(script|style)[^<>]*>.*?(?:</\\1>|\\z)|<!--.*?(?:-->|\\z)", "")
+    # A single space, the usual case, is no match and so costs no replacement.
+    html = F.regexp_replace(html, "[ \\t\\r\\n]{2,}|[\\t\\r\\n]", " ")
+    html = F.regexp_replace(html, "(?i)<h([1-6])(?: [^<>]*)?>", "\n\n<#$1>")
+    for n in range(1, 7):
+        html = F.replace(html, F.lit(f"<#{n}>"), F.lit("#" * n + " "))
     steps = [
-        ("(?is)<script[^<>]*>.*?(?:</script>|\\z)", ""),
-        ("(?is)<style[^<>]*>.*?(?:</style>|\\z)", ""),
-        ("(?s)<!--.*?(?:-->|\\z)", ""),
-        (BLANKS, " "),
-    ]
-    steps += [(f"(?i)<h{n}(?: [^<>]*)?>", "\n\n" + "#" * n + " ") for n in range(1, 7)]
-    steps += [
-        ("(?i)</h[1-6]>", "\n\n"),
         ("(?i)<li(?: [^<>]*)?>", "\n* "),
         ("(?i)<br[^<>]*>", "\n"),
-        ("(?i)</?p(?: [^<>]*)?>", "\n\n"),
+        ("(?i)</?p(?: [^<>]*)?>|</h[1-6]>", "\n\n"),
         ("(?i)<(?:i|em)>([^<]*)</(?:i|em)>", "*$1*"),
         ("(?i)<(?:b|strong)>([^<]*)</(?:b|strong)>", "**$1**"),
         ("(?i)<a [^<>]*href=\"([^\"<>]*)\"[^<>]*>([^<]*)</a>", "[$2]($1)"),
