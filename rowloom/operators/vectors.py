@@ -123,17 +123,26 @@ class _Best:
         self.sims[touched] = sim[keep].reshape(len(touched), self.k)
         self.ids[touched] = ident[keep].reshape(len(touched), self.k)
 
-    def scan(self, queries: np.ndarray, query_ids: np.ndarray, items: np.ndarray, item_ids: np.ndarray, skip_self: bool) -> None:
+    def scan(
+        self,
+        queries: np.ndarray,
+        query_ids: np.ndarray,
+        items: np.ndarray,
+        item_ids: np.ndarray,
+        skip_self: bool,
+        bound: np.ndarray | None = None,
+    ) -> None:
         """Compare all queries with all items, a tile at a time.
 
         Only similarities that may still count are rounded: those within a rounding step of
-        the k-th best so far or, at the start, of the k-th best of the tile.
+        the k-th best so far or, at the start, of the k-th best of the tile. ``bound`` is a
+        similarity per query below which nothing counts, where one is known.
         """
         step = max(self.k + 1, TILE_ENTRIES // max(1, len(queries)))
         for at in range(0, len(items), step):
             ids = item_ids[at : at + step]
             sims = queries @ items[at : at + step].T
-            floor = self.sims[:, -1:]
+            floor = self.sims[:, -1:] if bound is None else np.maximum(self.sims[:, -1:], bound[:, None])
             need = self.k + int(skip_self)
             if sims.shape[1] > need and np.isneginf(floor).any():
                 floor = np.maximum(floor, np.partition(sims, -need, axis=1)[:, -need, None])
@@ -250,11 +259,12 @@ def measure_cells(assigned: DataFrame, pivots: np.ndarray) -> Cells:
     return Cells(pivots, count, near, far)
 
 
-_VISIT = "cell int, query_id bigint, embedding "
+def _visit(vector_type: str) -> str:
+    return f"cell int, query_id bigint, embedding {vector_type}, kth_sim double"
 
 
 def _home_cells(queries: DataFrame, cells: Cells, need: int) -> DataFrame:
-    """``cell, query_id, embedding``: per query the cell it searches first."""
+    """``cell, query_id, embedding, kth_sim``: per query the cell it searches first, nothing yet known."""
     shared = queries.sparkSession.sparkContext.broadcast((cells.pivots, cells.count))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,16 +272,17 @@ def _home_cells(queries: DataFrame, cells: Cells, need: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 home = _home(_distances(_matrix(batch.column("embedding")), pivots), count, need)
+                unknown = pa.nulls(batch.num_rows, pa.float64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(home.astype(np.int32)), batch.column("id"), batch.column("embedding")],
-                    ["cell", "query_id", "embedding"],
+                    [pa.array(home.astype(np.int32)), batch.column("id"), batch.column("embedding"), unknown],
+                    ["cell", "query_id", "embedding", "kth_sim"],
                 )
 
-    return queries.mapInArrow(visit, _VISIT + queries.schema["embedding"].dataType.simpleString())
+    return queries.mapInArrow(visit, _visit(queries.schema["embedding"].dataType.simpleString()))
 
 
 def _further_cells(queries: DataFrame, cells: Cells, need: int) -> DataFrame:
-    """``cell, query_id, embedding``: the other cells that may hold a match as good as ``kth_sim``.
+    """``cell, query_id, embedding, kth_sim``: the other cells that may hold a match as good as ``kth_sim``.
 
     A cell's vectors lie between ``near`` and ``far`` from its pivot and no closer to any other
     pivot; both bound their distance from the query from below.
@@ -303,11 +314,12 @@ def _further_cells(queries: DataFrame, cells: Cells, need: int) -> DataFrame:
                             pa.array(cell.astype(np.int32)),
                             part.column("query_id").take(picked),
                             part.column("embedding").take(picked),
+                            part.column("kth_sim").take(picked),
                         ],
-                        ["cell", "query_id", "embedding"],
+                        ["cell", "query_id", "embedding", "kth_sim"],
                     )
 
-    return queries.mapInArrow(visit, _VISIT + queries.schema["embedding"].dataType.simpleString())
+    return queries.mapInArrow(visit, _visit(queries.schema["embedding"].dataType.simpleString()))
 
 
 def _per_cell(counts: np.ndarray, piece_rows: int) -> Column:
@@ -322,13 +334,13 @@ def _search_cells(visits: DataFrame, assigned: DataFrame, cells: Cells, k: int,
         asked[cell] = n
     item_pieces, query_pieces = _per_cell(cells.count, piece_rows), _per_cell(asked, piece_rows)
 
-    def numbered(df: DataFrame, key: str, own: Column, other: Column, own_name: str, other_name: str) -> DataFrame:
+    def numbered(df: DataFrame, key: str, own: Column, other: Column, own_name: str, other_name: str, *more: str) -> DataFrame:
         """Each row into one piece of its own side, and a copy for each piece of the other side."""
         mine = F.pmod(F.xxhash64(key), own).cast("int").alias(own_name)
         theirs = F.explode(F.sequence(F.lit(0), other - 1)).alias(other_name)
-        return df.where(other > 0).select("cell", mine, theirs, F.col(key).alias("key"), "embedding")
+        return df.where(other > 0).select("cell", mine, theirs, F.col(key).alias("key"), "embedding", *more)
 
-    left = numbered(visits, "query_id", query_pieces, item_pieces, "query_piece", "item_piece")
+    left = numbered(visits, "query_id", query_pieces, item_pieces, "query_piece", "item_piece", "kth_sim")
     right = numbered(assigned, "id", item_pieces, query_pieces, "item_piece", "query_piece")
     names = ["cell", "item_piece", "query_piece"]
 
@@ -337,7 +349,9 @@ def _search_cells(visits: DataFrame, assigned: DataFrame, cells: Cells, k: int,
             return pa.Table.from_pandas(_Best(0, k).frame(np.zeros(0, np.int64)), preserve_index=False)
         ids = queries["key"].to_numpy().astype(np.int64)
         best = _Best(len(ids), k)
-        best.scan(_matrix(queries["embedding"]), ids, _matrix(items["embedding"]), items["key"].to_numpy().astype(np.int64), skip_self)
+        bound = np.nan_to_num(queries["kth_sim"].to_numpy().astype(np.float64), nan=-np.inf)
+        item_ids = items["key"].to_numpy().astype(np.int64)
+        best.scan(_matrix(queries["embedding"]), ids, _matrix(items["embedding"]), item_ids, skip_self, bound)
         return pa.Table.from_pandas(best.frame(ids), preserve_index=False)
 
     return left.groupBy(*names).cogroup(right.groupBy(*names)).applyInArrow(meet, _MATCH)
@@ -357,7 +371,8 @@ def _search_by_cells(queries: DataFrame, index: DataFrame, k: int, skip_self: bo
     first = materialise(_ranked(_search_cells(homes, assigned, cells, k, skip_self, piece_rows), k), "home-matches")
     # A query with fewer than k matches so far has no bound and visits all cells.
     bound = first.where(F.col("rank") == k).select("query_id", F.col("sim").alias("kth_sim"))
-    visits = materialise(_further_cells(homes.join(bound, "query_id", "left"), cells, need), "visits")
+    bounded = homes.drop("kth_sim").join(bound, "query_id", "left")
+    visits = materialise(_further_cells(bounded, cells, need), "visits")
     more = _search_cells(visits, assigned, cells, k, skip_self, piece_rows)
     return _ranked(first.drop("rank").unionByName(more), k)
 
