@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.text import words
 from rowloom.operators.inference import PRESETS, TextModel, batch_infer
+from rowloom.operators.relational import first_keys
 
 
 def eval_docs(docs: DataFrame, key: str, num_evals: int = 10) -> DataFrame:
     """``num_evals`` documents to ask about: those whose keys hash lowest."""
-    return docs.orderBy(F.md5(F.col(key).cast("string")), key).limit(num_evals)
+    return first_keys(docs, key, num_evals, F.md5(F.col(key).cast("string")))
 
 
 def generate_evals(docs: DataFrame, key: str, content: str, model: TextModel, guidelines: str, num_evals: int = 10) -> DataFrame:

@@ -27,7 +27,7 @@ def with_parts(df: DataFrame, keys: list[str], row_id: str, max_rows: int) -> Da
         sizes.where(F.col("_n") > max_rows).withColumn("_parts", F.ceil(F.col("_n") / max_rows).cast("int")).drop("_n"),
         "hot-keys",
     )
-    found = hot.limit(BROADCAST_KEYS + 1).count()
+    found = hot.count()
     if found == 0:
         return df.withColumn("part", F.lit(0))
     same = None

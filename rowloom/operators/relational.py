@@ -80,10 +80,19 @@ def split_train_val(df: DataFrame, key: str, val_tenths: int = 2) -> DataFrame:
     return df.withColumn("split", F.when(hash_bucket(F.col(key), 10) < val_tenths, "val").otherwise("train"))
 
 
+def first_keys(df: DataFrame, key: str, n: int, *order: Column | str) -> DataFrame:
+    """The rows of the ``n`` first keys in the given order; keys are unique and ``n`` is small.
+
+    Keys alone are sorted, and the ``n`` found then pick their rows, so long rows do not move.
+    """
+    keys = df.select(key).orderBy(*order, key).limit(n)
+    return df.join(F.broadcast(keys), key, "left_semi")
+
+
 def stable_sample(df: DataFrame, key: str, one_in: int, n: int | None = None) -> DataFrame:
     """One key in ``one_in``, the same rows whatever the partitioning; then at most ``n``, lowest keys first."""
     drawn = df.where(hash_bucket(F.col(key), one_in) == 0)
-    return drawn if n is None else drawn.orderBy(key).limit(n)
+    return drawn if n is None else first_keys(drawn, key, n)
 
 
 def seeded_sample(df: DataFrame, fraction: float, seed: int, n: int | None = None) -> DataFrame:

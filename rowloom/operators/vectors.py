@@ -24,7 +24,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -165,6 +165,7 @@ class _Best:
 
 
 _MATCH = "query_id bigint, id bigint, sim double"
+_PREDICTED = "id bigint, predicted bigint, sim double"
 _RANKED = "query_id bigint, rank int, id bigint, sim double"
 
 
@@ -182,9 +183,10 @@ def _ranked(matches: DataFrame, k: int) -> DataFrame:
 # --- few queries --------------------------------------------------------------------------
 
 
-def _scan_with_broadcast(queries: pa.Table, index: DataFrame, k: int, skip_self: bool) -> DataFrame:
-    query_ids = queries["id"].to_numpy().astype(np.int64)
-    shared = index.sparkSession.sparkContext.broadcast((query_ids, _matrix(queries["embedding"])))
+def _scan_with_broadcast(queries: list[Row], index: DataFrame, k: int, skip_self: bool) -> DataFrame:
+    query_ids = np.array([row["id"] for row in queries], np.int64)
+    matrix = _unit(np.array([row["embedding"] for row in queries], np.float64))
+    shared = index.sparkSession.sparkContext.broadcast((query_ids, matrix))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = shared.value
@@ -216,11 +218,17 @@ def _home(to_pivot: np.ndarray, count: np.ndarray, need: int) -> np.ndarray:
 
 
 def choose_pivots(index: DataFrame, dim: int, rows: int) -> np.ndarray:
-    """Up to ``MAX_PIVOTS`` different vectors of the index, those whose ids hash lowest."""
+    """Up to ``MAX_PIVOTS`` different vectors of the index, those whose ids hash lowest.
+
+    A filter on the hash first leaves about twice as many as wanted, so that sorting them is
+    small work however many partitions the index has.
+    """
     n = max(1, min(MAX_PIVOTS, BROADCAST_ENTRIES // dim, math.isqrt(rows)))
-    drawn = index.orderBy(F.xxhash64("id"), "id").limit(n).select("embedding").toArrow()
-    pivots = _matrix(drawn["embedding"])
-    return np.unique(pivots[~np.isnan(pivots).any(axis=1)], axis=0)
+    scale = 1 << 40
+    place = F.pmod(F.xxhash64("id"), F.lit(scale))
+    drawn = index.where(place < min(scale, -(-2 * n * scale // rows))).orderBy(place, "id").limit(n).collect()
+    pivots = _unit(np.array([row["embedding"] for row in drawn or index.take(1)], np.float64))
+    return np.unique(pivots, axis=0)
 
 
 def _distances(matrix: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -395,10 +403,11 @@ def top_k(
     """
     queries = _with_length(queries)
     index = _with_length(index)
-    few = queries.limit(broadcast_queries + 1).toArrow()
-    if not few.num_rows:
+    # ``take`` stops at the first input partitions that hold enough.
+    few = queries.take(broadcast_queries + 1)
+    if not few:
         return index.sparkSession.createDataFrame([], _RANKED)
-    if few.num_rows <= broadcast_queries and len(few["embedding"][0]) * few.num_rows <= BROADCAST_ENTRIES:
+    if len(few) <= broadcast_queries and len(few) * len(few[0]["embedding"]) <= BROADCAST_ENTRIES:
         return _scan_with_broadcast(few, index, k, skip_self)
     return _search_by_cells(queries, index, k, skip_self, piece_rows)
 
@@ -432,11 +441,14 @@ def classify_nearest(vectors: DataFrame, id_column: str, vector: str, label: str
     rows = _with_length(vectors.select(F.col(id_column).alias("id"), F.col(vector).alias("embedding")))
     means = _with_length(centroids(vectors, label, vector).withColumnRenamed("label", "id"))
     means = materialise(means, "centroids")
-    table = means.orderBy("id").limit(BROADCAST_QUERIES + 1).toArrow()
-    if table.num_rows > BROADCAST_QUERIES or table.num_rows * len(table["embedding"][0]) > BROADCAST_ENTRIES:
+    known = means.orderBy("id").take(BROADCAST_QUERIES + 1)
+    if len(known) > BROADCAST_QUERIES or len(known) * len(known[0]["embedding"]) > BROADCAST_ENTRIES:
         best = top_k(rows, means, 1)
         return best.select(F.col("query_id").alias("id"), F.col("id").alias("predicted"), "sim")
-    shared = rows.sparkSession.sparkContext.broadcast((table["id"].to_numpy().astype(np.int64), _matrix(table["embedding"])))
+    if not known:
+        return rows.sparkSession.createDataFrame([], _PREDICTED)
+    labels = np.array([row["id"] for row in known], np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast((labels, _unit(np.array([row["embedding"] for row in known], np.float64))))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, matrix = shared.value
@@ -449,7 +461,7 @@ def classify_nearest(vectors: DataFrame, id_column: str, vector: str, label: str
                 [batch.column("id"), pa.array(labels[best]), pa.array(sims[np.arange(len(best)), best])], ["id", "predicted", "sim"]
             )
 
-    return rows.mapInArrow(score, "id bigint, predicted bigint, sim double")
+    return rows.mapInArrow(score, _PREDICTED)
 
 
 # --- keeping an index in step with its source ---------------------------------------------
