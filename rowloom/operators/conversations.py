@@ -82,7 +82,6 @@ def transcript(assembled: DataFrame, sources: Column | None = None) -> DataFrame
         links = F.array_join(
             F.transform(sources, lambda s: F.concat(F.lit('<li><a href="'), s, F.lit('">'), s, F.lit("</a></li>"))), "\n"
         )
-        body = F.concat(
-            body, F.when(F.size(sources) > 0, F.concat(F.lit("<strong>Sources:</strong><ul>"), links, F.lit("</ul>"))).otherwise("")
-        )
+        listed = F.concat(F.lit("<strong>Sources:</strong><ul>"), links, F.lit("</ul>"))
+        body = F.concat(body, F.when(F.size(sources) > 0, listed).otherwise(""))
     return assembled.select("conv_id", "part", body.alias("transcript"))

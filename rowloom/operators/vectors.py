@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rowloom.functions.text import let
 from rowloom.session import materialise
 
 DIGITS = 6
@@ -59,8 +60,7 @@ def unit_vector(vector: Column) -> Column:
     """The vector scaled to length one; NULL if it has no length."""
     squares = F.transform(vector, lambda x: x.cast("double") * x.cast("double"))
     length = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v))
-    scaled = F.transform(F.arrays_zip(vector.alias("v"), F.array_repeat(length, F.size(vector)).alias("n")), lambda z: z["v"] / z["n"])
-    return F.when(length > 0, scaled)
+    return let(length, lambda n: F.when(n > 0, F.transform(vector, lambda x: x.cast("double") / n)))
 
 
 def build_index(vectors: DataFrame, id_column: str, vector: str, dim: int) -> DataFrame:
@@ -299,8 +299,9 @@ def _further_cells(queries: DataFrame, cells: Cells, need: int) -> DataFrame:
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots, count, near, far = shared.value
+        # The plane between two pivots is no use where they all but coincide.
         apart = _distances(pivots, pivots)
-        np.fill_diagonal(apart, np.inf)
+        apart[apart < 1e-3] = np.inf
         for batch in batches:
             # Small steps: a query may go to every cell.
             for at in range(0, batch.num_rows, 256):
@@ -442,13 +443,14 @@ def classify_nearest(vectors: DataFrame, id_column: str, vector: str, label: str
     means = _with_length(centroids(vectors, label, vector).withColumnRenamed("label", "id"))
     means = materialise(means, "centroids")
     known = means.orderBy("id").take(BROADCAST_QUERIES + 1)
+    if not known:
+        return rows.sparkSession.createDataFrame([], _PREDICTED)
     if len(known) > BROADCAST_QUERIES or len(known) * len(known[0]["embedding"]) > BROADCAST_ENTRIES:
         best = top_k(rows, means, 1)
         return best.select(F.col("query_id").alias("id"), F.col("id").alias("predicted"), "sim")
-    if not known:
-        return rows.sparkSession.createDataFrame([], _PREDICTED)
     labels = np.array([row["id"] for row in known], np.int64)
-    shared = rows.sparkSession.sparkContext.broadcast((labels, _unit(np.array([row["embedding"] for row in known], np.float64))))
+    matrix = _unit(np.array([row["embedding"] for row in known], np.float64))
+    shared = rows.sparkSession.sparkContext.broadcast((labels, matrix))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, matrix = shared.value
@@ -458,7 +460,8 @@ def classify_nearest(vectors: DataFrame, id_column: str, vector: str, label: str
             sims = _rounded(_matrix(batch.column("embedding")) @ matrix.T)
             best = sims.argmax(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(labels[best]), pa.array(sims[np.arange(len(best)), best])], ["id", "predicted", "sim"]
+                [batch.column("id"), pa.array(labels[best]), pa.array(sims[np.arange(len(best)), best])],
+                ["id", "predicted", "sim"],
             )
 
     return rows.mapInArrow(score, _PREDICTED)
@@ -479,7 +482,9 @@ def index_changes(known: DataFrame, source: DataFrame) -> DataFrame:
     old = known.select("id", F.col("content_hash").alias("_old"))
     new = source.select("id", F.col("content_hash").alias("_new"))
     action = (
-        F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").when(F.col("_old") != F.col("_new"), "update")
+        F.when(F.col("_old").isNull(), "insert")
+        .when(F.col("_new").isNull(), "delete")
+        .when(F.col("_old") != F.col("_new"), "update")
     )
     return old.join(new, "id", "full").select("id", action.alias("action")).where("action IS NOT NULL")
 

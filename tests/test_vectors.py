@@ -60,6 +60,15 @@ def test_top_k_with_a_third_copies(spark, how):
     close(found(vectors.top_k(index, index, 5, skip_self=True, **how)), brute(items, items, 5, True))
 
 
+@pytest.mark.parametrize("how", WAYS)
+def test_top_k_with_copies_of_other_lengths(spark, how):
+    """Multiples of a vector differ by rounding only once scaled, so pivots may all but coincide."""
+    rng = np.random.default_rng(9)
+    items = rng.normal(size=(5, 6))[rng.integers(0, 5, 200)] * rng.integers(1, 50, 200)[:, None]
+    index = frame(spark, items)
+    close(found(vectors.top_k(index, index, 7, skip_self=True, **how)), brute(items, items, 7, True))
+
+
 @pytest.mark.parametrize("how", WAYS)
 def test_k_larger_than_the_index(spark, how):
     rng = np.random.default_rng(7)
@@ -110,6 +119,11 @@ def test_centroid_classes(spark):
     assert result == {1: 5, 2: 5, 3: 2, 4: 2}
 
 
+def test_no_centroids(spark):
+    rows = spark.createDataFrame([(1, [0.0, 0.0], 2)], "i long, v array<float>, label int")
+    assert vectors.classify_nearest(rows, "i", "v", "label").count() == 0
+
+
 def test_index_rejects_another_width(spark):
     rows = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0])], "id long, v array<float>")
     with pytest.raises(Exception, match="expected 2 entries, found 1"):
