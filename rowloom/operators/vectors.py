@@ -18,18 +18,19 @@ Two ways, chosen by the checked number of queries:
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rowloom.functions.text import let
 from rowloom.session import materialise
+from rowloom.sources.tables import save_table, swap_table, table_is_filled
 
 DIGITS = 6
 # Queries sent to every task: at most this many, and at most this many vector entries.
@@ -489,7 +490,7 @@ def index_changes(known: DataFrame, source: DataFrame) -> DataFrame:
     return old.join(new, "id", "full").select("id", action.alias("action")).where("action IS NOT NULL")
 
 
-def sync_index(index: DataFrame, source: DataFrame, embed) -> DataFrame:
+def sync_index(index: DataFrame, source: DataFrame, embed: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The next version of an index ``id, content_hash, embedding`` for ``source(id, content_hash, <columns>)``.
 
     ``embed(frame)`` turns source rows into index rows; it sees changed rows only. Write the
@@ -504,3 +505,15 @@ def sync_index(index: DataFrame, source: DataFrame, embed) -> DataFrame:
         .select(*columns)
         .unionByName(embed(source.join(fresh, "id", "left_semi")).select(*columns))
     )
+
+
+def create_or_sync(spark: SparkSession, name: str, source: DataFrame, embed: Callable[[DataFrame], DataFrame]) -> bool:
+    """Create the index table ``name`` from ``source`` if it is missing or empty, else bring it up to date.
+
+    Takes what ``sync_index`` takes. True when the index was created.
+    """
+    if not table_is_filled(spark, name):
+        save_table(embed(source).select("id", "content_hash", "embedding"), name)
+        return True
+    swap_table(spark, name, sync_index(spark.table(name), source, embed))
+    return False

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,17 @@ def save_table(df: DataFrame, name: str, location: str | None = None) -> None:
     writer.saveAsTable(name)
 
 
+def swap_table(spark: SparkSession, name: str, df: DataFrame) -> None:
+    """Replace a table by a frame that may still read it: write under a new name, then rename."""
+    mark = uuid.uuid4().hex
+    new, old = f"{name}_next_{mark}", f"{name}_last_{mark}"
+    df.write.saveAsTable(new)
+    if spark.catalog.tableExists(name):
+        spark.sql("ALTER TABLE identifier(:a) RENAME TO identifier(:b)", args={"a": name, "b": old})
+    spark.sql("ALTER TABLE identifier(:a) RENAME TO identifier(:b)", args={"a": new, "b": name})
+    spark.sql("DROP TABLE IF EXISTS identifier(:t)", args={"t": old})
+
+
 def load_parquet(spark: SparkSession, path: str, drop: tuple[str, ...] = ()) -> DataFrame:
     """Parquet files without the named columns, which the scan then never reads."""
     return spark.read.parquet(path).drop(*drop)

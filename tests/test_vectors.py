@@ -140,6 +140,23 @@ def test_index_sync(spark):
     assert result == {1: [0.0], 2: [1.0], 4: [1.0]}
 
 
+def test_create_or_sync(spark):
+    seen = []
+
+    def source(rows):
+        return spark.createDataFrame(rows, "id long, text string").withColumn("content_hash", vectors.content_hash("text"))
+
+    def embed(rows):
+        seen.append(rows.count())
+        return rows.withColumn("embedding", F.array(F.length("text").cast("double")))
+
+    assert vectors.create_or_sync(spark, "kept_index_t", source([(1, "a"), (2, "bb"), (3, "c")]), embed)
+    assert not vectors.create_or_sync(spark, "kept_index_t", source([(1, "a"), (2, "bbbb"), (4, "dd")]), embed)
+    rows = {r["id"]: r["embedding"] for r in spark.table("kept_index_t").collect()}
+    assert rows == {1: [1.0], 2: [4.0], 4: [2.0]} and seen == [3, 2]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_index_t")] == ["kept_index_t"]
+
+
 def test_cosine_and_unit(spark):
     rows = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([0.0, 0.0], [1.0, 0.0])], "a array<double>, b array<double>")
     out = rows.select(vectors.cosine(F.col("a"), F.col("b")).alias("s"), vectors.unit_vector(F.col("a")).alias("u")).collect()
