@@ -18,6 +18,8 @@ EMAIL = "(?:\\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\\.[A-Za-
 IPV4 = "[0-9]{1,3}(\\.[0-9]{1,3}){3}"
 PHONE = "[+]?[0-9][0-9 ()-]{7,}[0-9]"
 ENTITY_PATTERNS = {"email": EMAIL, "ip": IPV4, "phone": PHONE}
+# What a text must contain to hold an entity at all, where one plain search can tell.
+ENTITY_MARKS = {"email": "@"}
 
 # Marks a section start between the two passes of split_sections.
 _SECTION_MARK = "\u0001"
@@ -39,7 +41,11 @@ def strip_blanks(text: Column) -> Column:
 
 def strip_inline_images(text: Column, stop_at_newline: bool = False) -> Column:
     """Delete base64 images. A newline belongs to the image unless ``stop_at_newline``."""
-    return F.regexp_replace(text, INLINE_IMAGE_ONE_LINE if stop_at_newline else INLINE_IMAGE, "")
+    image = INLINE_IMAGE_ONE_LINE if stop_at_newline else INLINE_IMAGE
+    # A plain search first, so that texts without an image skip the pattern.
+    return let(
+        text, lambda t: F.when(F.contains(t, F.lit("data:image/")), F.regexp_replace(t, image, "")).otherwise(t)
+    )
 
 
 def newline_to_break(text: Column) -> Column:
@@ -63,6 +69,14 @@ def status_matches(status: Column, wanted: str) -> Column:
 # --- masking and extraction -------------------------------------------------------------
 
 
+def _where_marked(text: Column, kind: str, found: Callable[[Column], Column], nothing: Callable[[Column], Column]) -> Column:
+    """``found(text)`` if the text may hold an entity of the kind, else ``nothing(text)``, which costs less."""
+    mark = ENTITY_MARKS.get(kind)
+    if mark is None:
+        return found(text)
+    return let(text, lambda t: F.when(F.contains(t, F.lit(mark)), found(t)).otherwise(nothing(t)))
+
+
 def mask_entities(text: Column, kinds: list[str], names: list[str] | None = None) -> Column:
     """Replace each entity of the given kinds by ``[kind]``, kind after kind.
 
@@ -70,7 +84,8 @@ def mask_entities(text: Column, kinds: list[str], names: list[str] | None = None
     supplies; longer names win over their prefixes.
     """
     for kind in kinds:
-        text = F.regexp_replace(text, ENTITY_PATTERNS[kind], f"[{kind}]")
+        pattern, mask = ENTITY_PATTERNS[kind], f"[{kind}]"
+        text = _where_marked(text, kind, lambda t, p=pattern, m=mask: F.regexp_replace(t, p, m), lambda t: t)
     if names:
         quoted = "|".join("\\Q" + n + "\\E" for n in sorted(names, key=lambda n: (-len(n), n)))
         text = F.regexp_replace(text, quoted, "[name]")
@@ -78,8 +93,14 @@ def mask_entities(text: Column, kinds: list[str], names: list[str] | None = None
 
 
 def extract_entities(text: Column, kind: str) -> Column:
-    """All entities of one kind, sorted."""
-    return F.array_sort(F.regexp_extract_all(text, F.lit(ENTITY_PATTERNS[kind]), F.lit(0)))
+    """All entities of one kind, sorted; NULL for a NULL text."""
+    pattern = F.lit(ENTITY_PATTERNS[kind])
+    return _where_marked(
+        text,
+        kind,
+        lambda t: F.array_sort(F.regexp_extract_all(t, pattern, F.lit(0))),
+        lambda t: F.when(t.isNotNull(), F.array().cast("array<string>")),
+    )
 
 
 # --- web pages --------------------------------------------------------------------------

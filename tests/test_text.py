@@ -150,6 +150,12 @@ def test_masking(spark):
     assert value(spark, text, rule) == "mail [email], call [phone], host [ip], [name] and [name]"
 
 
+def test_entities_of_texts_without_any(spark):
+    rule = lambda c: t.extract_entities(c, "email")
+    assert value(spark, None, rule) is None and value(spark, "none", rule) == []
+    assert value(spark, None, lambda c: t.mask_entities(c, ["email"])) is None
+
+
 def test_urls(spark):
     assert value(spark, "https://a/b/c.html", t.last_path_segment) == "c.html"
     assert value(spark, "https://old/x", lambda c: t.rewrite_prefix(c, "https://old/", "https://new/")) == "https://new/x"
