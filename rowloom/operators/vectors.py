@@ -2,7 +2,8 @@
 
 Similarity is the cosine, rounded to ``DIGITS`` places; equal similarities go by lower id, so
 a result does not depend on the order in which floating-point sums were taken. Vectors without
-length have no cosine and are neither indexed nor searched for.
+length, or with entries that are NULL, NaN or infinite, have no cosine and are neither indexed
+nor searched for.
 
 Two ways, chosen by the checked number of queries:
 
@@ -58,10 +59,10 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def unit_vector(vector: Column) -> Column:
-    """The vector scaled to length one; NULL if it has no length."""
+    """The vector scaled to length one; NULL if it has none (NaN counts as above all numbers)."""
     squares = F.transform(vector, lambda x: x.cast("double") * x.cast("double"))
     length = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v))
-    return let(length, lambda n: F.when(n > 0, F.transform(vector, lambda x: x.cast("double") / n)))
+    return let(length, lambda n: F.when((n > 0) & (n < float("inf")), F.transform(vector, lambda x: x.cast("double") / n)))
 
 
 def build_index(vectors: DataFrame, id_column: str, vector: str, dim: int) -> DataFrame:
@@ -170,9 +171,12 @@ _PREDICTED = "id bigint, predicted bigint, sim double"
 _RANKED = "query_id bigint, rank int, id bigint, sim double"
 
 
-def _with_length(vectors: DataFrame) -> DataFrame:
-    """``id, embedding`` of the vectors that have a length."""
-    return vectors.select(F.col("id").cast("bigint").alias("id"), "embedding").where(F.exists("embedding", lambda x: x != 0))
+def _usable(vectors: DataFrame, *more: str) -> DataFrame:
+    """``id, embedding`` and ``more`` of the vectors that have a length; the limits keep squares within range."""
+    in_range = F.forall("embedding", lambda x: F.abs(x) < 1e150)
+    return vectors.select(F.col("id").cast("bigint").alias("id"), "embedding", *more).where(
+        in_range & F.exists("embedding", lambda x: F.abs(x) > 1e-150)
+    )
 
 
 def _ranked(matches: DataFrame, k: int) -> DataFrame:
@@ -403,8 +407,8 @@ def top_k(
     Both frames hold ``id bigint, embedding array``; ids are unique within a frame.
     ``skip_self`` leaves out the index row of the query's own id.
     """
-    queries = _with_length(queries)
-    index = _with_length(index)
+    queries = _usable(queries)
+    index = _usable(index)
     # ``take`` stops at the first input partitions that hold enough.
     few = queries.take(broadcast_queries + 1)
     if not few:
@@ -440,8 +444,10 @@ def classify_nearest(vectors: DataFrame, id_column: str, vector: str, label: str
 
     Labels are whole numbers.
     """
-    rows = _with_length(vectors.select(F.col(id_column).alias("id"), F.col(vector).alias("embedding")))
-    means = _with_length(centroids(vectors, label, vector).withColumnRenamed("label", "id"))
+    named = vectors.select(F.col(id_column).alias("id"), F.col(vector).alias("embedding"), F.col(label).alias("label"))
+    labelled = _usable(named, "label")
+    rows = labelled.drop("label")
+    means = _usable(centroids(labelled, "label", "embedding").withColumnRenamed("label", "id"))
     means = materialise(means, "centroids")
     known = means.orderBy("id").take(BROADCAST_QUERIES + 1)
     if not known:

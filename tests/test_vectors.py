@@ -86,6 +86,20 @@ def test_equal_scores_go_by_id_and_no_length_is_left_out(spark, how):
     assert result == {(0, 1): (1, 1.0), (0, 2): (2, 1.0)}
 
 
+@pytest.mark.parametrize("how", WAYS)
+def test_entries_that_are_no_numbers(spark, how):
+    """Vectors with NULL, NaN or infinite entries take no part, and do not disturb the others."""
+    rng = np.random.default_rng(11)
+    items = rng.normal(size=(60, 4))
+    bad = [[None, 1.0, 0.0, 0.0], [float("nan"), 1.0, 0.0, 0.0], [float("inf"), 0.0, 0.0, 0.0]] * 5
+    broken = spark.createDataFrame([(1000 + i, v) for i, v in enumerate(bad)], "id long, embedding array<float>")
+    index = frame(spark, items).unionByName(broken)
+    close(found(vectors.top_k(index, index, 5, skip_self=True, **how)), brute(items, items, 5, True))
+    assert vectors.build_index(index, "id", "embedding", 4).count() == 60
+    labelled = index.withColumn("label", (F.col("id") % 2).cast("int"))
+    assert vectors.classify_nearest(labelled, "id", "embedding", "label").count() == 60
+
+
 @pytest.mark.parametrize("how", WAYS)
 def test_nothing_to_search(spark, how):
     empty = spark.createDataFrame([], "id long, embedding array<float>")
@@ -99,7 +113,7 @@ def test_bounds_spare_cells(spark):
     rng = np.random.default_rng(8)
     centres = np.eye(10) * 50
     items = np.repeat(centres, 40, axis=0) + rng.normal(size=(400, 10)) * 0.1
-    index = vectors._with_length(frame(spark, items))
+    index = vectors._usable(frame(spark, items))
     pivots = vectors.choose_pivots(index, 10, 400)
     assigned = vectors.assign_cells(index, pivots)
     cells = vectors.measure_cells(assigned, pivots)
