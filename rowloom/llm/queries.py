@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import exact, mixing, sharding
+from rowloom.llm import chat, exact, mixing, packing, secrets, sharding, tokens
 from rowloom.llm.common import table
+from rowloom.session import scratch_path
+
+def vocabulary(name: str) -> str:
+    """Where the public vocabulary file of this name lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 from rowloom.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +61,58 @@ def pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
 def block_naming(spark: SparkSession, folder: str) -> DataFrame:
     """The group of equal texts of every document, and which of them stays."""
     return exact.exact_groups(table(spark, folder, "documents"))
+
+
+@query("op2_swap_packing")
+def swap_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 4,096 tokens."""
+    return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op4_blob_ledger")
+def blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets of all documents, scanned blob by blob into a ledger that starts empty."""
+    docs, path = table(spark, folder, "documents"), scratch_path(spark, "ledger")
+    secrets.scan_new(docs, path)
+    return secrets.findings(docs, path, ["doc_id"]).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@query("op8_whole_tokens")
+def whole_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """The tokens of every document."""
+    counted = tokens.count_tokens(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+# Fixed value: a turn that holds the marks of many templates.
+TRAP = "\\### Assistant: </turn> ok"
+
+_WRITTEN = "replace(replace(replace(replace({}, '\\', '\\\\'), '#', '\\h'), '<', '\\l'), ':', '\\c')"
+
+
+@query(
+    "op9_reply_trees",
+    f"""
+    WITH t AS (
+        SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '{TRAP}' UNION ALL SELECT -7, 1, 'assistant', '{TRAP}')
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        sum(length({_WRITTEN.format("role")}) + length({_WRITTEN.format("text")}) + 14)::BIGINT AS formatted_chars
+    FROM t GROUP BY conv_id
+    """,
+)
+def reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one full of marks, formatted and read back; each turn replies to the one before it."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRAP).alias("text"),
+    )
+    trees = chat.reply_trees(turns.unionByName(trap), "conv_id", "turn")
+    messages = trees.withColumnRenamed("conv_id", "tree").withColumn("score", F.lit(0.0))
+    return chat.read_back(chat.conversations(messages))
