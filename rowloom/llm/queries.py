@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import chat, exact, mixing, packing, secrets, sharding, tokens
+from rowloom.llm import ann, chat, exact, language, mixing, packing, secrets, sharding, tokens
 from rowloom.llm.common import table
 from rowloom.session import scratch_path
 
@@ -77,6 +77,20 @@ def blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.findings(docs, path, ["doc_id"]).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+@query("op6_multi_index")
+def multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest of every hundredth vector among all."""
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op7_word_field")
+def word_field(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, by a field learned from those that are not held out."""
+    found = language.languages(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    held = language.held_out(F.col("doc_id"))
+    return found.select("doc_id", held.alias("held_out"), F.col("__llm_lang").alias("lang_pred"), F.col("__llm_score").alias("score"))
+
+
 @query("op8_whole_tokens")
 def whole_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """The tokens of every document."""
