@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import ann, chat, exact, language, mixing, packing, secrets, sharding, tokens
+from rowloom.llm import ann, chat, exact, language, mixing, near, packing, secrets, sharding, tokens
 from rowloom.llm.common import table
 from rowloom.session import scratch_path
 
@@ -63,6 +63,12 @@ def block_naming(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(table(spark, folder, "documents"))
 
 
+@query("op1_dart_minhash")
+def dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of near duplicates of every document, and which of them stays."""
+    return near.near_groups(table(spark, folder, "documents")).drop("address")
+
+
 @query("op2_swap_packing")
 def swap_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 4,096 tokens."""
