@@ -315,7 +315,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     placed = rows.select("row", "doc_id", "address").join(parts, "address", "left").withColumn("part", F.coalesce("part", "address"))
     placed = materialise(placed, "near-classes")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    classes = placed.groupBy("part").agg(first.alias("first"), F.count("*").alias("class_size"))
+    # Written, so that the join sees two plain inputs, of which a crowded class's rows can be split.
+    classes = materialise(placed.groupBy("part").agg(first.alias("first"), F.count("*").alias("class_size")), "near-classes")
     joined = placed.join(classes, "part")
     return joined.select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("first.row")).alias("kept"), "address")
 
