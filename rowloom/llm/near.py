@@ -26,9 +26,9 @@ FIRST_RANKS, WIDEST = 0.125, 64.0
 # Documents whose darts are thrown together.
 TOGETHER = 64
 # Members of an open bucket that are compared at a time, and the share of equal coordinates from which a pair is compared exactly:
-# over four standard deviations below the similarity bound.
-PIECE_ROWS = 1_024
-LEAST_AGREEMENT = 0.64
+# about four standard deviations below the similarity bound.
+PIECE_ROWS = 512
+LEAST_AGREEMENT = 0.66
 
 # Most addresses, of 16 bytes each, that are sent to every executor.
 BROADCAST_TEXTS = 500_000
@@ -152,11 +152,13 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], coordinates: int = COO
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two weighted sets; 0 if either is empty."""
-    both, at, bt = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    shared = np.minimum(a[1][at], b[1][bt]).sum()
-    total = a[1].sum() + b[1].sum() - shared
-    return float(shared / total) if len(both) else 0.0
+    """Weighted Jaccard similarity of two weighted sets with sorted elements; 0 if either is empty."""
+    if not len(a[0]) or not len(b[0]):
+        return 0.0
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    same = b[0][at] == a[0]
+    shared = np.minimum(a[1][same], b[1][at[same]]).sum()
+    return float(shared / (a[1].sum() + b[1].sum() - shared))
 
 
 def address(text: Column) -> Column:
@@ -206,41 +208,48 @@ def _compare_texts(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs of addresses (a, b) whose texts are at least ``least`` similar, by all their shingles.
-
-    Only texts that occur in a pair are moved.
-    """
-    pairs = materialise(pairs.distinct(), "near-pairs")
-    needed = pairs.select(F.col("a").alias("address")).unionByName(pairs.select(F.col("b").alias("address"))).distinct()
-    needed = materialise(needed, "near-texts")
+def _texts(addresses: DataFrame, texts: DataFrame) -> DataFrame:
+    """Each of the distinct addresses with its text; other texts are not moved if few are asked for."""
+    needed = materialise(addresses, "near-texts")
     if needed.count() <= BROADCAST_TEXTS:
         needed = F.broadcast(needed)
-    some = materialise(texts.join(needed, "address", "left_semi").dropDuplicates(["address"]), "near-texts")
+    return materialise(texts.join(needed, "address", "left_semi").dropDuplicates(["address"]), "near-texts")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The distinct pairs of addresses (a, b) whose texts are at least ``least`` similar, by all their shingles."""
+    pairs = materialise(pairs.distinct(), "near-pairs")
+    ends = pairs.select(F.col("a").alias("address")).unionByName(pairs.select(F.col("b").alias("address")))
+    some = _texts(ends.distinct(), texts)
     left = some.select(F.col("address").alias("a"), F.col("text").alias("a_text"))
     right = some.select(F.col("address").alias("b"), F.col("text").alias("b_text"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
-    return both.mapInArrow(lambda batches: _compare_texts(batches, least), "a binary, b binary")
+    return materialise(both.mapInArrow(lambda batches: _compare_texts(batches, least), "a binary, b binary"), "near-links")
+
 
+def _linking(agreement: float, least: float):
+    """In a piece of a bucket, or between two pieces: links between members of different parts, until they join all they can.
 
-def _agreeing(least: float):
-    """Pairs of different parts in a piece of a bucket, or between two pieces, whose coordinates mostly agree."""
+    Pairs whose coordinates mostly agree are compared by all their shingles, unless links found here
+    join them already.
+    """
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
         piece = rows.column("piece").to_numpy()
-        ids, parts = rows.column("address").to_pylist(), rows.column("part").to_pylist()
+        ids, parts, texts = (rows.column(c).to_pylist() for c in ("address", "part", "text"))
         number = {p: n for n, p in enumerate(dict.fromkeys(parts))}
         part = np.array([number[p] for p in parts])
+        joined = list(range(len(number)))
         signed_rows = np.frombuffer(b"".join(rows.column("coordinates").to_pylist()), dtype="<u2").reshape(len(ids), -1)
         ones, others = np.flatnonzero(piece == i), np.flatnonzero(piece == j)
-        joined = list(range(len(number)))
+        cut = cache(lambda n: shingles(texts[n]))
 
-        def root(x: int) -> int:
-            while joined[x] != x:
-                joined[x] = joined[joined[x]]
-                x = joined[x]
-            return x
+        def root(n: int) -> int:
+            while joined[n] != n:
+                joined[n] = joined[joined[n]]
+                n = joined[n]
+            return n
 
         a, b = [], []
         for x in ones.tolist():
@@ -249,15 +258,13 @@ def _agreeing(least: float):
             if not len(rest):
                 continue
             agree = (signed_rows[rest] == signed_rows[x]).mean(axis=1)
-            for y, share in zip(rest[agree >= least].tolist(), agree[agree >= least].tolist(), strict=True):
-                # Clear cases that a chain of clear cases joins already need no pair of their own.
-                if share >= 0.92:
-                    rx, ry = root(part[x]), root(part[y])
-                    if rx == ry:
-                        continue
+            order = np.argsort(-agree, kind="stable")
+            for y in rest[order[agree[order] >= agreement]].tolist():
+                rx, ry = root(part[x]), root(part[y])
+                if rx != ry and similarity(cut(x), cut(y)) >= least:
                     joined[rx] = ry
-                a.append(ids[x])
-                b.append(ids[y])
+                    a.append(ids[x])
+                    b.append(ids[y])
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
@@ -267,33 +274,36 @@ def links(rows: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataF
     """Links (a, b) between different texts, enough to join all that a chain of pairs of at least ``least`` joins.
 
     ``rows`` are distinct signed texts. Texts that share a band hash are in a bucket. First each
-    bucket's members are compared with one of them, its leader, by the order of a hash, so buckets of one
-    group mostly have one leader; that is one pair per member and no more. Linked texts form
-    parts. What may be missing are pairs without the leader, of different parts, in buckets that
-    hold several parts: they are looked for by their coordinates, in pieces of ``PIECE_ROWS`` members, and
-    compared exactly, until no link is new. No bucket is dropped or capped.
+    bucket's members are compared with one of them, its leader: the one that shares the most buckets with the most
+    others, as the original of a family of copies does. That is one pair per member and no more. Linked texts form
+    parts. What may be missing are links between members that are not the leader, in buckets that
+    hold several parts: there all members of different parts whose coordinates mostly agree are compared,
+    ``PIECE_ROWS`` by ``PIECE_ROWS`` at a time, and only the links that join parts come out. No bucket is
+    dropped or capped.
     """
     members = rows.select("address", F.explode("bands").alias("bucket"))
-    order = F.struct(F.xxhash64("address").alias("o"), "address")
-    leaders = members.groupBy("bucket").agg(F.min(order).alias("leader"), F.count("*").alias("n"))
-    leaders = leaders.where(F.col("n") > 1).select("bucket", F.col("leader.address").alias("leader"))
-    crowd = materialise(members.join(leaders, "bucket").where(F.col("address") != F.col("leader")), "near-buckets")
-    found = materialise(verified(crowd.select(F.col("leader").alias("a"), F.col("address").alias("b")), texts, least), "near-links")
-    while True:
-        parts = materialise(connected(found).select(F.col("node").alias("address"), "part"), "near-parts")
-        placed = crowd.join(parts, "address", "left").select("bucket", "address", F.coalesce("part", "address").alias("part"))
-        mixed = placed.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.ceil(F.count("*") / PIECE_ROWS).cast("int").alias("pieces"))
-        mixed = mixed.where(F.col("lo") != F.col("hi")).select("bucket", "pieces")
-        open_rows = placed.join(mixed, "bucket").join(rows.select("address", "coordinates"), "address")
-        open_rows = open_rows.withColumn("piece", F.pmod(F.xxhash64("address"), F.col("pieces")).cast("int"))
-        cells = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda other: F.struct(F.least(F.col("piece"), other).alias("i"), F.greatest(F.col("piece"), other).alias("j")))
-        open_rows = open_rows.select("bucket", "address", "part", "coordinates", "piece", F.inline(cells))
-        pairs = open_rows.groupBy("bucket", "i", "j").applyInArrow(_agreeing(LEAST_AGREEMENT), "a binary, b binary")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = materialise(verified(pairs, texts, least), "near-links")
-        if not more.limit(1).count():
-            return found
-        found = materialise(found.unionByName(more), "near-links")
+    crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    crowd = materialise(members.join(crowded, "bucket"), "near-buckets")
+    degrees = crowd.groupBy("address").agg(F.sum("n").alias("degree"))
+    order = F.struct((-F.col("degree")).alias("d"), F.xxhash64("address").alias("o"), "address")
+    leaders = materialise(crowd.join(degrees, "address").groupBy("bucket").agg(F.min(order).alias("leader")), "near-leaders")
+    crowd = crowd.where(F.col("n") > 1).join(leaders, "bucket").select("bucket", "n", "address", F.col("leader.address").alias("leader"))
+    crowd = materialise(crowd.where(F.col("address") != F.col("leader")), "near-buckets")
+    found = verified(crowd.select(F.col("leader").alias("a"), F.col("address").alias("b")), texts, least)
+    parts = materialise(connected(found).select(F.col("node").alias("address"), "part"), "near-parts")
+    # In a bucket of two, the pair was compared.
+    placed = crowd.where(F.col("n") > 2).join(parts, "address", "left").select("bucket", "address", F.coalesce("part", "address").alias("part"))
+    mixed = placed.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.ceil(F.count("*") / PIECE_ROWS).cast("int").alias("pieces"))
+    mixed = materialise(mixed.where(F.col("lo") != F.col("hi")).select("bucket", "pieces"), "near-open")
+    open_rows = materialise(placed.join(mixed, "bucket"), "near-open")
+    needed = open_rows.select("address").distinct()
+    some = _texts(needed, texts).join(rows.select("address", "coordinates"), "address")
+    open_rows = open_rows.join(some, "address")
+    open_rows = open_rows.withColumn("piece", F.pmod(F.xxhash64("address"), F.col("pieces")).cast("int"))
+    cells = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda other: F.struct(F.least(F.col("piece"), other).alias("i"), F.greatest(F.col("piece"), other).alias("j")))
+    open_rows = open_rows.select("bucket", "address", "part", "coordinates", "text", "piece", F.inline(cells))
+    more = open_rows.groupBy("bucket", "i", "j").applyInArrow(_linking(LEAST_AGREEMENT, least), "a binary, b binary")
+    return materialise(found.unionByName(more), "near-links")
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
