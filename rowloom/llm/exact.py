@@ -81,7 +81,8 @@ def exact_groups(docs: DataFrame, **options) -> DataFrame:
     """
     rows = materialise(identities(docs, **options), "identities")
     best = F.max(F.struct("doc_id", "row"))
-    groups = rows.groupBy("blocks", "name").agg(best.alias("best"), F.count("*").alias("group_size"))
+    # Written, so that the join sees two plain inputs, of which a large group's rows can be split.
+    groups = materialise(rows.groupBy("blocks", "name").agg(best.alias("best"), F.count("*").alias("group_size")), "groups")
     joined = rows.join(groups, ["blocks", "name"])
     return joined.select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha256").alias("text_sha256"))
 
