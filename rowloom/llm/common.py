@@ -31,12 +31,15 @@ def empty_if_null(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def worker_state(name: str, make: Callable[[], Any]) -> Any:
-    """A value kept for the life of one Python worker, such as a tokenizer or a cache."""
+def worker_state(name: str, make: Callable[[], Any], version: Any = None) -> Any:
+    """A value kept for the life of one Python worker, such as a tokenizer or a cache; only the last version of it."""
     holder = sys.modules.setdefault("rowloom_worker_state", types.ModuleType("rowloom_worker_state"))
-    if not hasattr(holder, name):
-        setattr(holder, name, make())
-    return getattr(holder, name)
+    held = getattr(holder, name, None)
+    if held is None or held[0] != version:
+        setattr(holder, name, None)
+        held = (version, make())
+        setattr(holder, name, held)
+    return held[1]
 
 
 def uniform(*columns: Column | str) -> Column:

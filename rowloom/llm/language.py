@@ -23,7 +23,7 @@ SEQUENCES = 12_000
 SEQUENCE_WORDS = 24
 SLOTS = 1 << 17
 # Words whose scores a worker remembers; others are scored anew.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -280,10 +280,10 @@ def predict(docs: DataFrame, model: Field | None, text: str = "text") -> DataFra
     if model is None:
         return docs.withColumn("__llm_lang", F.lit(UNKNOWN)).withColumn("__llm_score", F.lit(0.0))
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.lexicon, model.weights, model.moves))
-    name = f"language_field_{zlib.crc32(model.weights.tobytes())}"
+    version = zlib.crc32(model.weights.tobytes())
 
     def label(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = worker_state(name, lambda: Field(*sent.value))
+        known = worker_state("language_field", lambda: Field(*sent.value), version)
         for batch in texts:
             languages, shares = [], []
             for at in range(0, len(batch), 512):
