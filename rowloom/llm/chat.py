@@ -60,10 +60,13 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
     # hops[i]: where a node gets in 2 ** i steps. After as many rounds as nodes could need, what still climbs is on a cycle.
     hops, rounds, limit = [], 0, state.count()
     while (1 << rounds) <= max(limit, 1) and state.where(F.col("up").isNotNull()).limit(1).count():
-        hops.append(state.where(F.col("up").isNotNull()).select("tree", "node", "up"))
+        climbing = state.where(F.col("up").isNotNull())
+        hops.append(climbing.select("tree", "node", "up"))
         ahead = state.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("sum").alias("more"), F.col("steps").alias("further"))
-        joined = state.join(ahead, ["tree", "up"], "left")
-        state = materialise(joined.select("tree", "node", F.col("next").alias("up"), (F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("sum"), (F.col("steps") + F.coalesce("further", F.lit(0))).alias("steps")), "replies")
+        # Only nodes that have not reached their root are joined again.
+        joined = climbing.join(ahead, ["tree", "up"])
+        joined = joined.select("tree", "node", F.col("next").alias("up"), (F.col("sum") + F.col("more")).alias("sum"), (F.col("steps") + F.col("further")).alias("steps"))
+        state = materialise(state.where(F.col("up").isNull()).unionByName(joined), "replies")
         rounds += 1
     parents = alive.where(F.col("parent").isNotNull()).select("tree", F.col("parent").alias("node")).distinct()
     leaves = state.where(F.col("up").isNull()).join(parents, ["tree", "node"], "left_anti")
