@@ -68,7 +68,7 @@ def assemble_pages(pages: DataFrame, doc: str, page: str, text: str, max_pages:
 
     ``page`` counts up from 0 and is unique in a document. A document of more than
     ``max_pages`` pages comes in parts of that many, so no task gathers more. A page that could
-    not be read (NULL) is left out; a part without a readable page is NULL.
+    not be read (NULL) is left out; a part without a readable page is NULL. Parts count from 0 in order of page.
     """
     item = F.struct(F.col(page).alias("page"), F.col(text).alias("text"))
     return (

@@ -1,7 +1,8 @@
 """Rules on conversation logs ``conv_id, turn, role, text``; ``(conv_id, turn)`` is unique and turns count from 0.
 
-Where a conversation becomes one row, one of more than ``max_turns`` turns becomes several,
-told apart by ``part``, so no task gathers a conversation of any length.
+Where a conversation becomes one row, one of more than ``max_turns`` turns becomes several in
+order of ``part``, so no task gathers a conversation of any length. Messages put before turn 0 are
+in part 0.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ def with_system_message(messages: DataFrame, prompt: str | None) -> DataFrame:
 
 def route(messages: DataFrame, tool_calls: Column) -> DataFrame:
     """``continue`` where the last message asks for tools, else ``end``: ``conv_id, route``."""
-    last = last_message(messages.withColumn("_calls", tool_calls))
+    last = last_message(messages.select("conv_id", "turn", tool_calls.alias("_calls")))
     return last.select(
         "conv_id", F.when(F.coalesce(F.size("_calls"), F.lit(0)) > 0, "continue").otherwise("end").alias("route")
     )
@@ -67,7 +68,7 @@ def _wrap(form: str, text: Column) -> Column:
 def transcript(assembled: DataFrame, sources: Column | None = None) -> DataFrame:
     """Each conversation as one HTML text, users and others rendered apart, then the list of sources.
 
-    Output: ``conv_id, part, transcript``.
+    Output: ``conv_id, part, transcript``. The sources follow a conversation's last part.
     """
     body = F.array_join(
         F.transform(
@@ -83,5 +84,8 @@ def transcript(assembled: DataFrame, sources: Column | None = None) -> DataFrame
             F.transform(sources, lambda s: F.concat(F.lit('<li><a href="'), s, F.lit('">'), s, F.lit("</a></li>"))), "\n"
         )
         listed = F.concat(F.lit("<strong>Sources:</strong><ul>"), links, F.lit("</ul>"))
-        body = F.concat(body, F.when(F.size(sources) > 0, listed).otherwise(""))
+        # Reads keys and turns only; texts are gathered once.
+        last = assembled.groupBy(F.col("conv_id").alias("_conv")).agg(F.max("part").alias("_last"))
+        assembled = assembled.join(last, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_last")), "left")
+        body = F.concat(body, F.when(F.col("_last").isNotNull() & (F.size(sources) > 0), listed).otherwise(""))
     return assembled.select("conv_id", "part", body.alias("transcript"))

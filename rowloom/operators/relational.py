@@ -51,22 +51,27 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def confusion_matrix(df: DataFrame, truth: str, predicted: str, values: list | None = None) -> DataFrame:
     """Rows are true values, columns ``pred_<value>``, cells counts; rows with a NULL on either side do not count.
 
-    Give ``values`` to fix the columns and save the job that looks for them.
+    Give ``values`` to fix the columns and save the job that looks for them; other predictions then count in ``pred_other``.
     """
     known = df.where(F.col(truth).isNotNull() & F.col(predicted).isNotNull())
-    cells = known.groupBy(truth).pivot(predicted, values).agg(F.count(F.lit(1))).na.fill(0)
+    if values is not None:
+        is_value = [F.col(predicted).eqNullSafe(F.lit(v)) for v in values]
+        counts = [F.count_if(same).alias(f"pred_{v}") for v, same in zip(values, is_value)]
+        other = F.count_if(~F.col(predicted).isin(*values)) if values else F.count("*")
+        return known.groupBy(truth).agg(*counts, other.alias("pred_other"))
+    cells = known.groupBy(truth).pivot(predicted).agg(F.count(F.lit(1))).na.fill(0)
     return cells.select(truth, *[F.col(f"`{c}`").alias(f"pred_{c}") for c in cells.columns if c != truth])
 
 
 def latest_version(df: DataFrame, name: str, version: str, default: int | None = 1) -> DataFrame:
-    """Highest version per name, compared as numbers; ``default`` for a name without one."""
-    top = F.max(F.col(version).try_cast("int"))
+    """Highest version per name, compared as whole numbers; ``default`` for a name without one."""
+    top = F.max(F.col(version).try_cast("long"))
     return df.groupBy(name).agg((top if default is None else F.coalesce(top, F.lit(default))).alias("latest"))
 
 
 def latest_row(df: DataFrame, name: str, version: str, tie: str) -> DataFrame:
     """The whole row of the highest version per name."""
-    newest = Window.partitionBy(name).orderBy(F.col(version).try_cast("int").desc_nulls_last(), tie)
+    newest = Window.partitionBy(name).orderBy(F.col(version).try_cast("long").desc_nulls_last(), tie)
     return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 

@@ -12,6 +12,11 @@ def _log(spark, folder):
     return table(spark, folder, "conversations")
 
 
+def _listed(assembled):
+    joined = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["text"])), "|")
+    return assembled.select("conv_id", F.size("messages").alias("n"), F.md5(joined).alias("h"))
+
+
 @query(
     """SELECT conv_id, max(turn) AS turn, arg_max(role, turn) AS role, md5(arg_max(text, turn)) AS h
        FROM conversations GROUP BY conv_id"""
@@ -39,13 +44,21 @@ def conv_route(spark, folder):
 
 
 @query(
-    """SELECT conv_id, turn // 10000 AS part, CAST(count(*) AS INTEGER) AS n,
-              md5(string_agg(role || ':' || text, '|' ORDER BY turn)) AS h
-       FROM conversations GROUP BY conv_id, turn // 10000"""
+    """SELECT conv_id, CAST(count(*) AS INTEGER) AS n, md5(string_agg(role || ':' || text, '|' ORDER BY turn)) AS h
+       FROM conversations GROUP BY conv_id"""
 )
 def conv_assemble(spark, folder):
-    joined = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["text"])), "|")
-    return conv.assemble(_log(spark, folder)).select("conv_id", "part", F.size("messages").alias("n"), F.md5(joined).alias("h"))
+    return _listed(conv.assemble(_log(spark, folder)))
+
+
+@query(
+    """SELECT conv_id, CAST(count(*) + 1 AS INTEGER) AS n,
+              md5('system:Answer briefly.|' || string_agg(role || ':' || text, '|' ORDER BY turn)) AS h
+       FROM conversations GROUP BY conv_id"""
+)
+def conv_system_assembled(spark, folder):
+    """The system message comes first in the same list."""
+    return _listed(conv.assemble(conv.with_system_message(_log(spark, folder), "Answer briefly.")))
 
 
 @query("SELECT conv_id, turn, role, md5(text) AS h FROM conversations")
@@ -55,14 +68,14 @@ def conv_explode(spark, folder):
 
 
 @query(
-    """SELECT conv_id, part, md5(t) AS h, CAST(length(t) AS INTEGER) AS n_chars FROM (
-         SELECT conv_id, turn // 10000 AS part,
+    """SELECT conv_id, md5(t) AS h, CAST(length(t) AS INTEGER) AS n_chars FROM (
+         SELECT conv_id,
                 string_agg('<div class="' || CASE role WHEN 'user' THEN 'user' ELSE 'assistant' END || '">'
                            || replace(text, chr(10), '<br/>') || '</div>', '' ORDER BY turn)
                 || '<strong>Sources:</strong><ul><li><a href="log/' || conv_id || '">log/' || conv_id || '</a></li></ul>' AS t
-         FROM conversations GROUP BY conv_id, turn // 10000)"""
+         FROM conversations GROUP BY conv_id)"""
 )
 def conv_transcript(spark, folder):
     source = F.array(F.concat(F.lit("log/"), F.col("conv_id").cast("string")))
     texts = conv.transcript(conv.assemble(_log(spark, folder)), source)
-    return texts.select("conv_id", "part", F.md5("transcript").alias("h"), F.length("transcript").alias("n_chars"))
+    return texts.select("conv_id", F.md5("transcript").alias("h"), F.length("transcript").alias("n_chars"))

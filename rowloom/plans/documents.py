@@ -265,12 +265,12 @@ def chunk_sentences(spark, folder):
 
 
 @query(
-    """SELECT conv_id, turn // 10000 AS part, count(*) AS n_pages,
+    """SELECT conv_id, count(*) AS n_pages,
               CAST(length(string_agg(text, chr(10) ORDER BY turn)) AS INTEGER) AS n_chars,
               md5(string_agg(text, chr(10) ORDER BY turn)) AS h
-       FROM conversations GROUP BY conv_id, turn // 10000"""
+       FROM conversations GROUP BY conv_id"""
 )
 def assemble_pages(spark, folder):
     """Turns as the pages of a document."""
     docs = chunking.assemble_pages(table(spark, folder, "conversations"), "conv_id", "turn", "text")
-    return docs.select("conv_id", "part", "n_pages", F.length("text").alias("n_chars"), F.md5("text").alias("h"))
+    return docs.select("conv_id", "n_pages", F.length("text").alias("n_chars"), F.md5("text").alias("h"))

@@ -80,16 +80,19 @@ def format_compliance(spark, folder):
 
 
 @query(
-    f"""SELECT quality, count(*) FILTER (WHERE pred_value = 0) AS pred_0, count(*) FILTER (WHERE pred_value = 1) AS pred_1,
-               count(*) FILTER (WHERE pred_value = 2) AS pred_2
-        FROM ({_STRUCTURED_SQL}) JOIN labels USING (doc_id) WHERE problem = 'ok' GROUP BY quality"""
+    f"""SELECT quality, count(*) FILTER (WHERE problem = 'ok' AND pred_value = 0) AS pred_0,
+               count(*) FILTER (WHERE problem = 'ok' AND pred_value = 1) AS pred_1,
+               count(*) FILTER (WHERE problem = 'ok' AND pred_value = 2) AS pred_2,
+               count(*) FILTER (WHERE problem <> 'ok') AS pred_other
+        FROM ({_STRUCTURED_SQL}) JOIN labels USING (doc_id) GROUP BY quality"""
 )
 def score_predictions(spark, folder):
-    """Predictions written once, then scored against the labels."""
+    """Predictions written once, then scored against the labels; answers with a problem count as other."""
     answers = materialise(_json_answers(spark, folder), "answers")
     flat = structured.flatten_response(answers, "response", structured.SENTIMENT_SCORE, ["doc_id"])
-    valid = flat.where("problem = 'ok'").join(table(spark, folder, "labels"), "doc_id")
-    return relational.confusion_matrix(valid, "quality", "sentiment", ["0", "1", "2"])
+    judged = flat.withColumn("sentiment", F.when(F.col("problem") == "ok", F.col("sentiment")).otherwise("invalid"))
+    labelled = judged.join(table(spark, folder, "labels"), "doc_id")
+    return relational.confusion_matrix(labelled, "quality", "sentiment", ["0", "1", "2"])
 
 
 TICKERS = ("AAPL", "AMZN", "GOOGL", "MSFT")

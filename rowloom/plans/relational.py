@@ -69,7 +69,8 @@ def value_counts(spark, folder):
 
 
 @query(
-    """SELECT quality, count(*) FILTER (WHERE n_chars <= 1000) AS pred_0, count(*) FILTER (WHERE n_chars > 1000) AS pred_1
+    """SELECT quality, count(*) FILTER (WHERE n_chars <= 1000) AS pred_0, count(*) FILTER (WHERE n_chars > 1000) AS pred_1,
+              0::BIGINT AS pred_other
        FROM documents JOIN labels USING (doc_id) GROUP BY quality"""
 )
 def confusion_matrix(spark, folder):
@@ -80,7 +81,7 @@ def confusion_matrix(spark, folder):
     return relational.confusion_matrix(labelled, "quality", "pred", [0, 1])
 
 
-@query("SELECT p_type AS name, max(p_size) AS latest FROM part GROUP BY p_type")
+@query("SELECT p_type AS name, CAST(max(p_size) AS BIGINT) AS latest FROM part GROUP BY p_type")
 def latest_version(spark, folder):
     """Sizes as text stand in for versions; text order and number order differ."""
     versions = table(spark, folder, "part").select(

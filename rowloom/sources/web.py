@@ -35,8 +35,14 @@ def latest_pages(pages: DataFrame, url: str = "url", version: str = "page_id") -
 
 
 def fetch_from_archive(frontier: DataFrame, pages: DataFrame) -> DataFrame:
-    """Each URL of the frontier with its stored page, or NULL where the archive has none."""
-    return frontier.join(latest_pages(pages).select("url", "html"), "url", "left")
+    """Each URL of the frontier with its stored page, or NULL where the archive has none.
+
+    Versions are ranked without their pages, and only those of the frontier's URLs; then the pages of the newest are fetched.
+    """
+    asked = pages.select("url", "page_id").join(frontier.select("url"), "url", "left_semi")
+    newest = asked.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    found = newest.join(pages.select("url", "page_id", "html"), ["url", "page_id"]).select("url", "html")
+    return frontier.join(found, "url", "left")
 
 
 class TooManyRequests(Exception):

@@ -72,7 +72,9 @@ def test_merge_equals_full_join(spark):
     ]
     table = spark.createDataFrame(rows, LOG)
     texts, lists = assessments.latest_text_assessments(table), assessments.retrieval_assessments(table)
-    right = lists.select(F.col("request_id").alias("rq"), F.col("source.id").alias("rs"), "retrieval_assessments")
+    right = lists.select(
+        F.col("request_id").alias("rq"), F.col("source.id").alias("rs"), "step_id", "part", "retrieval_assessments"
+    )
     left = texts.drop("retrieval_assessment", "step_id")
     plain = left.join(right, (left.request_id == right.rq) & (left.source.id == right.rs), "full").drop("rq", "rs")
     ours = assessments.merge_assessments(texts, lists)
@@ -85,10 +87,14 @@ def test_large_groups_come_in_parts(spark, monkeypatch, broadcast_keys):
     monkeypatch.setattr(groups, "BROADCAST_KEYS", broadcast_keys)
     rows = [(i, "hot" if i % 3 else None, str(i)) for i in range(900)] + [(9000 + i, f"k{i % 50}", str(i)) for i in range(100)]
     frame = spark.createDataFrame(rows, "row_id long, key string, v string")
-    parted = groups.with_parts(frame, ["key"], "row_id", max_rows=100)
+    parted = groups.with_parts(frame, ["key"], ["row_id"], max_rows=100)
     sizes = {(r["key"], r["part"]): r["n"] for r in parted.groupBy("key", "part").agg(F.count("*").alias("n")).collect()}
     assert max(sizes.values()) < 200
-    assert len([1 for key, _ in sizes if key == "hot"]) == 6 and len([1 for key, _ in sizes if key is None]) == 3
+    for key, n in (("hot", 600), (None, 300)):
+        parts = sorted(p for k, p in sizes if k == key)
+        assert parts == list(range(len(parts))) and len(parts) >= n // 200
+        found = parted.where(F.col("key").eqNullSafe(key)).select("part", "row_id").collect()
+        assert [r["row_id"] for r in sorted(found)] == sorted(r["row_id"] for r in found)
     assert all(part == 0 for key, part in sizes if key not in ("hot", None))
     assert sorted(tuple(r) for r in parted.drop("part").select("row_id", "v").collect()) == sorted((r[0], r[2]) for r in rows)
 
@@ -98,15 +104,25 @@ def test_confusion_matrix(spark):
     expect = {0: (1, 1), 1: (0, 1)}
     for values in ([0, 1], None):
         found = relational.confusion_matrix(rows, "gt", "pred", values)
-        assert found.columns == ["gt", "pred_0", "pred_1"]
+        assert found.columns == ["gt", "pred_0", "pred_1"] + (["pred_other"] if values else [])
         assert {r["gt"]: (r["pred_0"], r["pred_1"]) for r in found.collect()} == expect
 
 
+def test_confusion_matrix_counts_predictions_outside_the_values(spark):
+    rows = spark.createDataFrame([(0, 0), (0, 7)], "gt int, pred int")
+    assert [tuple(r) for r in relational.confusion_matrix(rows, "gt", "pred", [0, 1, 2]).collect()] == [(0, 1, 0, 0, 1)]
+
+
 def test_value_counts(spark):
     rows = spark.createDataFrame([("a",), ("b",), ("b",), (None,), ("c",)], "v string")
     assert [tuple(r) for r in relational.value_counts(rows, "v").collect()] == [("b", 2), ("a", 1), ("c", 1)]
 
 
+def test_versions_beyond_32_bits(spark):
+    rows = spark.createDataFrame([("m", "9"), ("m", "20240101120000")], "name string, version string")
+    assert relational.latest_version(rows, "name", "version").first()["latest"] == 20240101120000
+
+
 def test_latest_version(spark):
     rows = spark.createDataFrame([("m", "9"), ("m", "10"), ("none", None)], "name string, version string")
     assert {tuple(r) for r in relational.latest_version(rows, "name", "version").collect()} == {("m", 10), ("none", 1)}

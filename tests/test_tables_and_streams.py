@@ -160,6 +160,24 @@ def test_assemble_in_parts(spark):
     assert sorted(tuple(r) for r in conv.explode_messages(whole).collect()) == rows
 
 
+def test_system_message_is_first_in_the_same_part(spark):
+    whole = conv.assemble(conv.with_system_message(log(spark), "S")).collect()
+    assert {r["part"] for r in whole} == {0}
+    assert all(r["messages"][0]["role"] == "system" for r in whole)
+
+
+def test_parts_of_any_size_hold_the_same_whole(spark):
+    messages = conv.with_system_message(spark.range(25).selectExpr("1L AS conv_id", "int(id) AS turn", "'user' AS role", "string(id) AS text"), "S")
+    links = F.array(F.lit("u"))
+
+    def whole(max_turns):
+        parts = sorted(conv.transcript(conv.assemble(messages, max_turns), links).select("part", "transcript").collect())
+        return len(parts), "".join(r["transcript"] for r in parts)
+
+    assert whole(1000)[0] == 1 and whole(10)[0] == 3
+    assert whole(10)[1] == whole(1000)[1]
+
+
 def test_transcript(spark):
     assembled = conv.assemble(log(spark)).where("conv_id = 1")
     plain = conv.transcript(assembled).first()["transcript"]
