@@ -107,13 +107,34 @@ def extract_entities(text: Column, kind: str) -> Column:
 
 
 def first_element(html: Column, tag: str, attribute: str | None = None) -> Column:
-    """Inner HTML of the first ``tag`` (optionally: the first that carries ``attribute``).
+    """Inner HTML of the first ``tag`` (optionally: the first that carries ``attribute``), nested ones of its kind included.
 
     NULL when there is none. An element that is never closed reaches to the end.
     """
     carry = f"\\s[^<>]*{attribute}[^<>]*" if attribute else "(?:\\s[^<>]*)?"
-    whole = F.regexp_substr(html, F.lit(f"(?is)<{tag}{carry}>.*?(?:</{tag}>|\\z)"))
-    return F.regexp_replace(whole, f"(?is)^<{tag}[^<>]*>|</{tag}>\\z", "")
+    after = F.regexp_substr(html, F.lit(f"(?is)<{tag}{carry}>.*"))
+    inner = F.regexp_replace(after, "(?s)^<[^<>]*>", "")
+
+    def closed(rest: Column) -> Column:
+        # Pieces start at the tags of this kind; the first one lies before any of them.
+        pieces = F.split(F.concat(F.lit(" "), rest), f"(?i)(?=<{tag}[\\s>]|</{tag}[\\s>])")
+        start = F.struct(F.lit(1).alias("depth"), F.lit(-1).alias("chars"))
+
+        def add(acc: Column, piece: Column) -> Column:
+            step = F.when(F.startswith(piece, F.lit("</")), -1).when(F.startswith(piece, F.lit("<")), 1).otherwise(0)
+            return F.when(acc["depth"] == 0, acc).otherwise(
+                let(
+                    acc["depth"] + step,
+                    lambda depth: F.struct(
+                        depth.alias("depth"),
+                        (acc["chars"] + F.when(depth > 0, F.length(piece)).otherwise(0)).alias("chars"),
+                    ),
+                )
+            )
+
+        return F.aggregate(pieces, start, add, lambda acc: F.substr(rest, F.lit(1), acc["chars"]))
+
+    return let(inner, closed)
 
 
 def html_to_markdown(html: Column) -> Column:
@@ -223,37 +244,57 @@ def _fit_to(texts: Column, max_tokens: int, overlap: int) -> Column:
     )
 
 
+# A fold copies its state at each step, so long arrays are folded in blocks of this size.
+_BLOCK = 200
+# Begins a chunk between the two passes of merge_sections; a text's own first character of it is always followed by the other one.
+_CHUNK_MARK, _CHUNK_CHAR, _ESCAPED_CHAR = "\u0001\u0003", "\u0001", "\u0001\u0002"
+
+
+def _chunk_starts(counts: Column, max_tokens: int) -> Column:
+    """Whether each section begins a chunk, from the numbers of words alone."""
+    none = F.array().cast("array<boolean>")
+
+    def add(acc: Column, n: Column) -> Column:
+        fits = acc["n"] + n <= max_tokens / 2
+        return F.struct(
+            F.array_append(acc["starts"], ~fits).alias("starts"), F.when(fits, acc["n"] + n).otherwise(n).alias("n")
+        )
+
+    def add_block(acc: Column, block: Column) -> Column:
+        start = F.struct(none.alias("starts"), acc["n"].alias("n"))
+        return F.aggregate(
+            block,
+            start,
+            add,
+            lambda found: F.struct(F.concat(acc["starts"], found["starts"]).alias("starts"), found["n"].alias("n")),
+        )
+
+    def whole(counts: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor(F.size(counts) / _BLOCK).cast("int")),
+            lambda i: F.slice(counts, i * _BLOCK + 1, F.lit(_BLOCK)),
+        )
+        return F.aggregate(blocks, F.struct(none.alias("starts"), F.lit(0).alias("n")), add_block, lambda acc: acc["starts"])
+
+    return let(counts, whole)
+
+
 def merge_sections(sections: Column, max_tokens: int) -> Column:
     """Greedily merge neighbouring sections while they hold at most half of ``max_tokens``.
 
-    A section that does not fit closes the running chunk and starts the next one.
+    A section that does not fit closes the running chunk and starts the next one. The time grows with the text.
     """
-    start = F.struct(
-        F.array().cast("array<string>").alias("done"),
-        F.lit("").alias("text"),
-        F.lit(0).alias("n"),
-    )
 
-    def add(acc: Column, section: Column) -> Column:
-        return F.when(
-            acc["n"] + section["n"] <= max_tokens / 2,
-            F.struct(
-                acc["done"].alias("done"),
-                F.concat(acc["text"], section["s"], F.lit("\n")).alias("text"),
-                (acc["n"] + section["n"]).alias("n"),
-            ),
-        ).otherwise(
-            F.struct(
-                F.array_append(acc["done"], strip_blanks(acc["text"])).alias("done"),
-                F.concat(section["s"], F.lit("\n")).alias("text"),
-                section["n"].alias("n"),
-            )
+    def merged(counted: Column) -> Column:
+        marked = F.zip_with(
+            F.transform(counted, lambda x: F.replace(x["s"], F.lit(_CHUNK_CHAR), F.lit(_ESCAPED_CHAR))),
+            _chunk_starts(F.transform(counted, lambda x: x["n"]), max_tokens),
+            lambda s, starts: F.concat(F.when(starts, _CHUNK_MARK).otherwise(""), s, F.lit("\n")),
         )
+        chunks = F.split(F.array_join(marked, ""), _CHUNK_MARK)
+        return F.transform(chunks, lambda c: strip_blanks(F.replace(c, F.lit(_ESCAPED_CHAR), F.lit(_CHUNK_CHAR))))
 
-    merged = F.aggregate(
-        _counted(sections), start, add, lambda acc: F.array_append(acc["done"], strip_blanks(acc["text"]))
-    )
-    return F.array_remove(merged, "")
+    return F.array_remove(let(_counted(sections), merged), "")
 
 
 def markdown_chunks(text: Column, max_tokens: int = 500, overlap: int = 50, min_tokens: int = 20, level: int = 2) -> Column:

@@ -68,11 +68,10 @@ def unit_vector(vector: Column) -> Column:
 def build_index(vectors: DataFrame, id_column: str, vector: str, dim: int) -> DataFrame:
     """The index table ``id, embedding``, unit vectors of a checked width.
 
-    A vector of another width fails the job; one without length is left out.
+    A vector of another width fails the job; one without length, or NULL, is left out.
     """
-    checked = vectors.where(
-        F.assert_true(F.size(vector) == dim, F.concat(F.lit(f"expected {dim} entries, found "), F.size(vector))).isNull()
-    )
+    fits = F.col(vector).isNull() | (F.size(vector) == dim)
+    checked = vectors.where(F.assert_true(fits, F.concat(F.lit(f"expected {dim} entries, found "), F.size(vector))).isNull())
     return checked.select(F.col(id_column).alias("id"), unit_vector(F.col(vector)).alias("embedding")).where(
         "embedding IS NOT NULL"
     )
@@ -86,6 +85,9 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
+    widths = np.unique(column.value_lengths().to_numpy(zero_copy_only=False))
+    if len(widths) > 1:
+        raise ValueError(f"vectors of different widths: {widths.tolist()}")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     matrix = flat.reshape(rows, -1) if rows else flat.reshape(0, 0)
     return _unit(matrix)

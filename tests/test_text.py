@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from rowloom.functions import text as t
@@ -161,6 +163,58 @@ def test_urls(spark):
     assert value(spark, "https://old/x", lambda c: t.rewrite_prefix(c, "https://old/", "https://new/")) == "https://new/x"
 
 
+def test_nested_elements_are_whole(spark):
+    pages = [
+        '<p>a</p><DIV itemprop="articleBody" id="x"><div class="x">one</div><p>two</p><divider/></div><div>after</div>',
+        '<div itemprop="articleBody"><div>one</div><div>two',
+        '<div>plain</div>',
+        '<div itemprop="articleBody"></div>',
+        '<div itemprop="articleBody">a<div>b<div>c</div>d</div>e</div >f</div>',
+    ]
+    frame = spark.createDataFrame(list(enumerate(pages)), "n int, html string")
+    found = dict(frame.select("n", t.article_body(F.col("html"))).collect())
+    assert found == {
+        0: '<div class="x">one</div><p>two</p><divider/>',
+        1: "<div>one</div><div>two",
+        2: None,
+        3: "",
+        4: "a<div>b<div>c</div>d</div>e",
+    }
+
+
+def test_merged_sections_equal_a_plain_merge(spark):
+    import random
+
+    rng = random.Random(5)
+    texts = ["\n".join(rng.choice(["## h", "a b c", "\u0001\u0003 x", "\u0001\u0002", "d " * rng.randrange(9)]) for _ in range(n)) for n in (0, 1, 3, 40, 1500)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, t string").select("n", t.split_sections(F.col("t")).alias("s"))
+    for row in frame.select("n", "s", t.merge_sections(F.col("s"), 20).alias("got")).collect():
+        want, running, held = [], "", 0
+        for section in row["s"]:
+            n = len([w for w in re.split("[ \\t\\r\\n]+", section) if w])
+            if held + n <= 10:
+                running, held = running + section + "\n", held + n
+            else:
+                want.append(running)
+                running, held = section + "\n", n
+        want = [c for c in (c.strip(" \t\r\n") for c in [*want, running]) if c]
+        assert row["got"] == want
+
+
+def test_merging_many_sections_is_linear(spark):
+    import time
+
+    def seconds(n):
+        frame = spark.range(1).selectExpr(f"repeat('\\n## head\\none two three ' || id, int({n} + id)) AS t")
+        start = time.time()
+        chunks = t.merge_sections(t.split_sections(F.col("t")), 8)
+        assert frame.select(F.size(chunks)).first()[0] == n
+        return time.time() - start
+
+    seconds(1_000)
+    assert seconds(40_000) < 5
+
+
 def test_assembled_pages(spark):
     rows = [("a", 1, "two"), ("a", 0, "one"), ("a", 2, None), ("b", 0, None)] + [("c", i, str(i)) for i in range(5)]
     pages = spark.createDataFrame(rows, "doc string, page long, text string")

@@ -182,3 +182,15 @@ def test_retrieve(spark):
     stored = spark.createDataFrame([(0, "u0", "c0"), (1, "u1", "c1")], "id long, url string, content string")
     rows = vectors.retrieve(frame(spark, np.array([[0, 2]]), 7), index, stored, ["id", "url", "content"], 1).collect()
     assert [tuple(r) for r in rows] == [(7, 1, 1.0, 1, "u1", "c1")]
+
+
+def test_index_leaves_null_vectors_out(spark):
+    frame = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "id long, v array<double>")
+    assert [r["id"] for r in vectors.build_index(frame, "id", "v", 2).collect()] == [1]
+
+
+def test_search_rejects_ragged_vectors(spark):
+    index = spark.createDataFrame([(1, [1.0, 0.0, 2.0]), (2, [1.0])], "id long, embedding array<double>").coalesce(1)
+    queries = spark.createDataFrame([(7, [1.0, 0.0])], "id long, embedding array<double>")
+    with pytest.raises(Exception, match="different widths"):
+        vectors.top_k(queries, index, 1).collect()
