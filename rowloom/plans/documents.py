@@ -77,6 +77,20 @@ def extract_elements(spark, folder):
     return found.select("page_id", F.length("text").cast("long").alias("n"))
 
 
+@query(
+    """SELECT page_id, length(text) AS n, md5(text) AS h FROM (
+         SELECT page_id, trim('<div class="head">' || url || '</div>' || html || '<div><div></div></div>', ' ' || chr(9) || chr(13) || chr(10)) AS text
+         FROM pages)"""
+)
+def article_bodies(spark, folder):
+    """Each page, with the divisions it holds, as the body of an article, and got back whole."""
+    stored = pages(spark, folder)
+    inner = F.concat(F.lit('<div class="head">'), "url", F.lit("</div>"), "html", F.lit("<div><div></div></div>"))
+    wrapped = F.concat(F.lit('<main><div itemprop="articleBody">'), inner, F.lit("</div><div>after</div></main>"))
+    found = web.extract_articles(stored.withColumn("html", wrapped), text_fn.article_body)
+    return found.select("page_id", F.length("text").cast("long").alias("n"), F.md5("text").alias("h"))
+
+
 @query(
     r"""SELECT doc_id, length(clean) AS n, md5(clean) AS h FROM (
           SELECT doc_id, regexp_replace(replace(text, '. ', '. data:image/png;base64,iVBORw0KGgo= '),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rowloom.plans.documents import WINDOWS_SQL, windows
 from rowloom.plans.registry import query, table
 from rowloom.plans.vectors import embed
-from rowloom.session import scratch_path
+from rowloom.session import scratch_path, spread
 from rowloom.sources import web
 from rowloom.streaming import ingest
 
@@ -25,7 +25,8 @@ def _embedded(docs):
 def stream_chunk_embed(spark, folder):
     """Documents as a stream, chunked, embedded and appended."""
     sink, checkpoint = scratch_path(spark, "chunks"), scratch_path(spark, "chunks-checkpoint")
-    ingest.append(_embedded(_stream(spark, folder, "documents").select("doc_id", "text")), sink, checkpoint, "documents")
+    docs = _stream(spark, folder, "documents").select("doc_id", "text")
+    ingest.append(docs, sink, checkpoint, "documents", lambda batch: _embedded(spread(batch, "doc_id")))
     return ingest.read_table(spark, sink).select(
         "doc_id", "pos", "n_words", F.md5("content").alias("h"), F.size("embedding").alias("dim")
     )
@@ -77,5 +78,6 @@ def stream_restart_noop(spark, folder):
 def stream_articles(spark, folder):
     """Pages as a stream, articles taken out by the batch function."""
     sink, checkpoint = scratch_path(spark, "articles"), scratch_path(spark, "articles-checkpoint")
-    ingest.append(web.extract_articles(_stream(spark, folder, "pages")), sink, checkpoint, "pages")
+    articles = lambda batch: web.extract_articles(spread(batch, "page_id"))
+    ingest.append(_stream(spark, folder, "pages"), sink, checkpoint, "pages", articles)
     return ingest.read_table(spark, sink).select("page_id", (F.length("text") > 0).alias("found"))

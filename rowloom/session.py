@@ -55,15 +55,25 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _input_splits(df: DataFrame) -> int:
+    """How many splits of the configured size the rows fill, by the plan's own statistics."""
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    per_split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    return -(-size // per_split)
+
+
 def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
     """Spread rows over tasks before costly per-row work.
 
-    An explicit ``partitions`` always repartitions. Otherwise rows are moved only when the
-    input has fewer files than the cluster has cores; a large table already has enough splits,
-    and moving it would be a wasted shuffle.
+    An explicit ``partitions`` always repartitions. Otherwise rows are moved only where the input fills fewer splits
+    than the cluster has cores, and then to as many partitions as there are cores, each smaller than a split. A large
+    table already has enough splits, and moving it would be a wasted shuffle.
     """
     if partitions is None:
         partitions = df.sparkSession.sparkContext.defaultParallelism
-        if len(df.inputFiles()) >= partitions:
+        if _input_splits(df) >= partitions:
             return df
     return df.repartition(partitions, *keys)

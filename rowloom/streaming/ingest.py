@@ -34,11 +34,18 @@ def table_stream(spark: SparkSession, name: str) -> DataFrame | None:
     return spark.readStream.table(name) if spark.catalog.tableExists(name) else None
 
 
-def append(stream: DataFrame, table: str, checkpoint: str, origin: str) -> None:
-    """Append what the stream has not yet delivered to the table at path ``table``; returns when done."""
+def append(
+    stream: DataFrame, table: str, checkpoint: str, origin: str, each_batch: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Append what the stream has not yet delivered to the table at path ``table``; returns when done.
+
+    ``each_batch`` turns a micro-batch into the rows to append. There a batch is a plain table, so that its rows, which
+    may come from a few files, can be spread over all tasks first.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/origin={origin}/batch={number}")
+        rows = batch if each_batch is None else each_batch(batch)
+        rows.write.mode("overwrite").parquet(f"{table}/origin={origin}/batch={number}")
 
     query = (
         stream.writeStream.foreachBatch(write)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowloom.operators import evaluation, fuzzy, inference
+from rowloom.session import spread
 from rowloom.sources import web
 
 
@@ -178,3 +179,17 @@ def test_chunk_function_sets_up_once_per_task(spark, folder):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(os.listdir(folder)) == 1
+
+
+def test_spread_moves_small_inputs_only(spark, folder):
+    path = f"{folder}/rows"
+    spark.range(100_000).coalesce(1).write.parquet(path)
+    frame = spark.read.parquet(path)
+    assert "Exchange" in spread(frame, "id")._jdf.queryExecution().toString()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        large = spark.read.parquet(path)
+        assert "Exchange" not in spread(large, "id")._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
