@@ -13,6 +13,10 @@ def json_long(json: Column, name: str) -> Column:
     return F.get_json_object(json, f"$.{name}").try_cast("long")
 
 
+# Holds a text that is no JSON object, beside the fields of those that are.
+_UNREADABLE = "_unreadable"
+
+
 @dataclass(frozen=True)
 class ResponseSchema:
     """The string fields a response must have, and the allowed values of some of them."""
@@ -25,15 +29,13 @@ class ResponseSchema:
         return ", ".join(f"`{name}` STRING" for name in self.fields)
 
     def parse(self, response: Column) -> Column:
-        """All fields in one pass, as a struct; unreadable text gives a struct of NULLs."""
-        return F.from_json(response, self.ddl(), {"mode": "PERMISSIVE"})
+        """All fields in one pass, as a struct, and the text itself where it is no JSON object."""
+        schema = f"{self.ddl()}, `{_UNREADABLE}` STRING"
+        return F.from_json(response, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE})
 
     def problem(self, parsed: Column) -> Column:
         """``ok``, ``malformed``, ``missing <field>`` or ``not allowed <field>``: the first that applies."""
-        empty = F.lit(True)
-        for name in self.fields:
-            empty = empty & parsed[name].isNull()
-        checks = F.when(parsed.isNull() | empty, "malformed")
+        checks = F.when(parsed.isNull() | parsed[_UNREADABLE].isNotNull(), "malformed")
         for name in self.required:
             checks = checks.when(parsed[name].isNull(), f"missing {name}")
         for name, allowed in self.enums.items():
@@ -44,7 +46,7 @@ class ResponseSchema:
 def flatten_response(df: DataFrame, response: str, schema: ResponseSchema, keep: list[str]) -> DataFrame:
     """``keep`` columns, one column per field, and ``problem``."""
     return df.select(*keep, schema.parse(F.col(response)).alias("_parsed")).select(
-        *keep, "_parsed.*", schema.problem(F.col("_parsed")).alias("problem")
+        *keep, *[F.col("_parsed")[name].alias(name) for name in schema.fields], schema.problem(F.col("_parsed")).alias("problem")
     )
 
 
@@ -60,7 +62,7 @@ def format_compliance(df: DataFrame, response: str, schema: ResponseSchema) -> D
 # The two response forms used with the classification prompts.
 SENTIMENTS = ("0", "1", "2")
 IMPACT_LEVELS = ("low", "medium", "high")
-SENTIMENT_SCORE = ResponseSchema(("sentiment",), {"sentiment": SENTIMENTS})
+SENTIMENT_SCORE = ResponseSchema(("sentiment",), {"sentiment": SENTIMENTS}, required=("sentiment",))
 
 
 def text_analysis(tickers: tuple[str, ...]) -> ResponseSchema:

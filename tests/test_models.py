@@ -193,3 +193,16 @@ def test_spread_moves_small_inputs_only(spark, folder):
         assert "Exchange" not in spread(large, "id")._jdf.queryExecution().toString()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_objects_without_a_required_field_are_readable(spark):
+    from rowloom.functions import structured
+
+    texts = ["{}", '{"other": 1}', '{"sentiment": "1"}', '{"sentiment": 1}', "no json", "", None, "[1]", '{"sentiment": null}', '{"sentiment": "9"}']
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, response string")
+    flat = structured.flatten_response(frame, "response", structured.SENTIMENT_SCORE, ["n"])
+    assert flat.columns == ["n", "sentiment", "problem"]
+    missing = "missing sentiment"
+    assert [r["problem"] for r in sorted(flat.collect())] == [
+        missing, missing, "ok", "ok", "malformed", "malformed", "malformed", "malformed", missing, "not allowed sentiment"
+    ]
