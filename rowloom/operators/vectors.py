@@ -409,7 +409,8 @@ def top_k(
     Both frames hold ``id bigint, embedding array``; ids are unique within a frame.
     ``skip_self`` leaves out the index row of the query's own id.
     """
-    queries = _usable(queries)
+    # Written once: a model that embeds the queries answers each of them once, whichever way follows.
+    queries = materialise(_usable(queries), "queries")
     index = _usable(index)
     # ``take`` stops at the first input partitions that hold enough.
     few = queries.take(broadcast_queries + 1)
