@@ -1,7 +1,8 @@
 """Models over rows.
 
 A model is any callable ``list[str] -> list[str | None]`` (texts) or ``list[str] -> list[vector]``
-(embeddings). It is called inside tasks on batches of bounded size.
+(embeddings). It is called inside tasks on batches of bounded size. A text model that constrains its answers
+also takes the keyword ``response_format``, a JSON schema as ``ResponseSchema.json_schema`` writes it.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -91,11 +93,15 @@ def batch_infer(
     out: str = "response",
     batch_size: int = BATCH_SIZE,
     concurrency: int = 1,
+    response_schema: ResponseSchema | None = None,
 ) -> DataFrame:
     """Add the model's response to each row's prompt. All rows and columns are kept.
 
-    Only the prompt goes to the Python worker; the other columns stay in the JVM.
+    Only the prompt goes to the Python worker; the other columns stay in the JVM. With ``response_schema`` every
+    request carries its JSON schema as ``response_format``.
     """
+    if response_schema is not None:
+        model = partial(model, response_format=response_schema.json_schema())
     return df.withColumn(out, text_function(model, batch_size, concurrency)(prompt))
 
 
@@ -114,8 +120,10 @@ class Preset:
     instruction: str
     response_schema: ResponseSchema | None = None
 
-    def prompt(self, value: Column, **options: str) -> Column:
-        return build_prompt(self.instruction.format(**options), value)
+    def prompt(self, value: Column, other: Column | None = None, **options: str) -> Column:
+        """The instruction and the text, and a second text under it where a task takes two."""
+        first = build_prompt(self.instruction.format(**options), value)
+        return first if other is None else F.concat(first, F.lit("\nSecond text: "), other)
 
 
 PRESETS = {
@@ -135,8 +143,12 @@ PRESETS = {
 }
 
 
-def run_preset(df: DataFrame, name: str, value: Column, model: TextModel, out: str = "response", **options: str) -> DataFrame:
-    return batch_infer(df, PRESETS[name].prompt(value, **options), model, out)
+def run_preset(
+    df: DataFrame, name: str, value: Column, model: TextModel, out: str = "response", other: Column | None = None, **options: str
+) -> DataFrame:
+    """A ready instruction over ``value`` (and ``other``); the model gets the response schema of a preset that has one."""
+    preset = PRESETS[name]
+    return batch_infer(df, preset.prompt(value, other, **options), model, out, response_schema=preset.response_schema)
 
 
 class HashingEmbedder:

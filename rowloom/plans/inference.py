@@ -129,6 +129,66 @@ def structured_multi_field(spark, folder):
     return structured.flatten_response(answers, "response", ANALYSIS, ["doc_id"])
 
 
+# One field of each type.
+TYPED = structured.ResponseSchema(
+    ("label", "n", "share", "urgent", "tags"),
+    {"label": ("blue", "green", "red")},
+    required=("label", "n"),
+    types={"n": "integer", "share": "number", "urgent": "boolean", "tags": "array"},
+)
+
+
+def constrained_model(prompts, response_format):
+    """A stand-in model that fills in the schema it is given: it knows no field, only what types and values are asked for."""
+    schema = response_format["json_schema"]["schema"]
+
+    def fill(kind, size):
+        if "enum" in kind:
+            return kind["enum"][size % len(kind["enum"])]
+        return {"integer": size, "number": size / 4, "boolean": size % 2 == 0, "array": ["a"] * (size % 3), "string": "x" * (size % 5)}[kind["type"]]
+
+    answers = []
+    for prompt in prompts:
+        size = len(prompt) - len(PROMPT)
+        answer = {name: fill(kind, size) for name, kind in schema["properties"].items()}
+        if size % 7 == 0:
+            answer[schema["required"][-1]] = "many"
+        if size % 11 == 0:
+            del answer[schema["required"][0]]
+        answers.append(json.dumps(answer))
+    return answers
+
+
+@query(
+    """SELECT doc_id, CASE WHEN n % 11 <> 0 THEN ['blue', 'green', 'red'][n % 3 + 1] END AS label,
+              CASE WHEN n % 7 <> 0 THEN n END AS n, n / 4.0::DOUBLE AS share, n % 2 = 0 AS urgent,
+              CAST(n % 3 AS INTEGER) AS tags,
+              CASE WHEN n % 11 = 0 THEN 'missing label' WHEN n % 7 = 0 THEN 'wrong type n' ELSE 'ok' END AS problem
+       FROM (SELECT doc_id, length(text) AS n FROM documents)"""
+)
+def schema_constrained(spark, folder):
+    """Answers of a model that gets the response schema with every request, as typed columns."""
+    docs = documents(spark, folder, "text")
+    prompt = inference.build_prompt(PROMPT, F.col("text"))
+    answers = inference.batch_infer(docs, prompt, constrained_model, response_schema=TYPED)
+    flat = structured.flatten_response(answers, "response", TYPED, ["doc_id"])
+    return flat.withColumn("tags", F.size("tags"))
+
+
+@query(
+    """WITH asked AS (SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS following FROM conversations)
+       SELECT conv_id, turn, length('Rate from 0 to 1 how alike these two texts are. Texts: ' || text || chr(10) || 'Second text: ' || following) AS n
+       FROM asked WHERE following IS NOT NULL"""
+)
+def preset_two_texts(spark, folder):
+    """Each message and the one after it, given to the similarity instruction together."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("following"))
+    pairs = turns.join(after, ["conv_id", "turn"]).where("text IS NOT NULL AND following IS NOT NULL")
+    answered = inference.run_preset(pairs, "similarity", F.col("text"), echo_length, other=F.col("following"))
+    return answered.select("conv_id", "turn", F.col("response").cast("long").alias("n"))
+
+
 def echo_length(prompts):
     return [str(len(p)) for p in prompts]
 

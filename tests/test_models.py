@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from rowloom.functions import structured
 from rowloom.operators import evaluation, fuzzy, inference
 from rowloom.session import spread
 from rowloom.sources import web
@@ -196,7 +197,6 @@ def test_spread_moves_small_inputs_only(spark, folder):
 
 
 def test_objects_without_a_required_field_are_readable(spark):
-    from rowloom.functions import structured
 
     texts = ["{}", '{"other": 1}', '{"sentiment": "1"}', '{"sentiment": 1}', "no json", "", None, "[1]", '{"sentiment": null}', '{"sentiment": "9"}']
     frame = spark.createDataFrame(list(enumerate(texts)), "n int, response string")
@@ -206,3 +206,29 @@ def test_objects_without_a_required_field_are_readable(spark):
     assert [r["problem"] for r in sorted(flat.collect())] == [
         missing, missing, "ok", "ok", "malformed", "malformed", "malformed", "malformed", missing, "not allowed sentiment"
     ]
+
+
+def test_response_schema_reaches_the_model(spark):
+    schema = structured.ResponseSchema(
+        ("label", "n", "tags"), {"label": ("a", "b")}, required=("label",), types={"n": "integer", "tags": "array"}
+    )
+
+    def model(texts, response_format):
+        wanted = response_format["json_schema"]
+        assert wanted["strict"] and wanted["schema"]["required"] == ["label"]
+        assert wanted["schema"]["properties"]["tags"] == {"type": "array", "items": {"type": "string"}}
+        return texts
+
+    answers = ['{"label": "a", "n": 3, "tags": ["x", "y"]}', '{"label": "b", "n": "x"}', '{"label": "c"}', "{}", '{"label": "a", "tags": 4}', "no", None]
+    rows = spark.createDataFrame([(i, a) for i, a in enumerate(answers)], "i int, v string")
+    out = inference.batch_infer(rows, F.col("v"), model, response_schema=schema)
+    flat = structured.flatten_response(out, "response", schema, ["i"]).orderBy("i").collect()
+    assert [r["problem"] for r in flat] == ["ok", "wrong type n", "not allowed label", "missing label", "wrong type tags", "malformed", "malformed"]
+    assert (flat[0]["n"], flat[0]["tags"]) == (3, ["x", "y"]) and flat[1]["n"] is None
+
+
+def test_two_texts_in_a_preset(spark):
+    rows = spark.createDataFrame([("one", "two"), ("one", None)], "a string, b string")
+    out = inference.run_preset(rows, "similarity", F.col("a"), lambda texts: texts, other=F.col("b"))
+    asked = [r["response"] for r in out.collect()]
+    assert asked[0].endswith("Texts: one\nSecond text: two") and asked[1] is None
