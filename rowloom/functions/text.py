@@ -16,8 +16,18 @@ INLINE_IMAGE_ONE_LINE = "data:image/[a-zA-Z]+;base64,[A-Za-z0-9+/=]+"
 # A mail name starts where a run of its characters does, or where the last match ended.
 EMAIL = "(?:\\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\\.[A-Za-z][A-Za-z]+"
 IPV4 = "[0-9]{1,3}(\\.[0-9]{1,3}){3}"
-PHONE = "[+]?[0-9][0-9 ()-]{7,}[0-9]"
-ENTITY_PATTERNS = {"email": EMAIL, "ip": IPV4, "phone": PHONE}
+# Neither starts at a date such as 2024-01-31 nor inside one.
+PHONE = "(?<![0-9])(?<![0-9]-)(?![0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]))[+]?[0-9][0-9 ()-]{7,}[0-9]"
+NUMBER = "[0-9]+(?:[.,][0-9]+)*"
+# House number, one to three capitalised words, kind of street.
+ADDRESS = (
+    "[0-9]{1,5} (?:[A-Z][a-z]{1,30} ){1,3}"
+    "(?:Avenue|Ave|Boulevard|Blvd|Court|Ct|Drive|Dr|Lane|Ln|Place|Pl|Road|Rd|Square|Sq|Street|St|Way)\\b"
+)
+ENTITY_PATTERNS = {"email": EMAIL, "ip": IPV4, "address": ADDRESS, "phone": PHONE, "number": NUMBER}
+# A name is masked where no letter, digit or underscore touches it.
+_BEFORE_NAME, _AFTER_NAME = "(?<![\\p{L}\\p{N}_])", "(?![\\p{L}\\p{N}_])"
+NAME_WORD = "[\\p{L}\\p{N}_]+"
 # What a text must contain to hold an entity at all, where one plain search can tell.
 ENTITY_MARKS = {"email": "@"}
 
@@ -78,20 +88,28 @@ def _where_marked(text: Column, kind: str, found: Callable[[Column], Column], no
 
 
 def mask_entities(text: Column, kinds: list[str], names: list[str] | None = None) -> Column:
-    """Replace each entity of the given kinds by ``[kind]``, kind after kind.
+    """Replace each entity of the given kinds by ``[kind]``, kind after kind; name ``number`` last, as it takes any digits.
 
-    Persons and places have no pattern, so they come from ``names``, a dictionary the caller
-    supplies; longer names win over their prefixes.
+    Persons and places have no pattern, so they come from ``names``, a short dictionary the caller
+    supplies, whole words only; longer names win over their prefixes. ``operators.relational.mask_names`` takes any dictionary.
     """
     for kind in kinds:
         pattern, mask = ENTITY_PATTERNS[kind], f"[{kind}]"
         text = _where_marked(text, kind, lambda t, p=pattern, m=mask: F.regexp_replace(t, p, m), lambda t: t)
     if names:
-        quoted = "|".join("\\Q" + n + "\\E" for n in sorted(names, key=lambda n: (-len(n), n)))
-        text = F.regexp_replace(text, quoted, "[name]")
+        text = mask_listed(text, F.array(*[F.lit(n) for n in names]))
     return text
 
 
+def mask_listed(text: Column, names: Column) -> Column:
+    """Replace the names of an array column by ``[name]`` where they are whole words, longer ones first."""
+    # Ends a quotation where a name itself holds the mark that does so.
+    quoted = F.transform(names, lambda n: F.struct((-F.length(n)).alias("l"), F.replace(n, F.lit("\\E"), F.lit("\\E\\\\E\\Q")).alias("n")))
+    either = F.array_join(F.transform(F.array_sort(quoted), lambda q: F.concat(F.lit("\\Q"), q["n"], F.lit("\\E"))), "|")
+    pattern = F.concat(F.lit(f"{_BEFORE_NAME}(?:"), either, F.lit(f"){_AFTER_NAME}"))
+    return F.when(F.size(names) > 0, F.regexp_replace(text, pattern, F.lit("[name]"))).otherwise(text)
+
+
 def extract_entities(text: Column, kind: str) -> Column:
     """All entities of one kind, sorted; NULL for a NULL text."""
     pattern = F.lit(ENTITY_PATTERNS[kind])

@@ -59,8 +59,12 @@ def file_texts(files: DataFrame, decode: Callable[[bytes], str], content: str =
 
 
 def with_chunk_id(chunks: DataFrame, url: str = "url", pos: str = "pos", out: str = "id") -> DataFrame:
-    """Add a 64-bit key that depends on ``(url, pos)`` alone, so a re-run gives each chunk the same key."""
-    return chunks.withColumn(out, F.xxhash64(url, pos))
+    """Add a 128-bit key in hex that depends on ``(url, pos)`` alone, so a re-run gives each chunk the same key.
+
+    A NULL address counts as empty. Index upkeep takes such keys as they are; searches want numbers, which the caller
+    keeps in a table beside the keys.
+    """
+    return chunks.withColumn(out, F.md5(F.concat_ws("\n", F.coalesce(F.col(url), F.lit("")), F.col(pos))))
 
 
 def assemble_pages(pages: DataFrame, doc: str, page: str, text: str, max_pages: int = 10_000) -> DataFrame:

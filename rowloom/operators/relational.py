@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rowloom.functions.sql import create_table_function
+from rowloom.functions.text import NAME_WORD, mask_listed
 
 
 def purchase_location_function(
@@ -129,9 +130,33 @@ def guard(df: DataFrame, condition: Column, message: str) -> DataFrame:
     return df.where(F.assert_true(condition, message).isNull())
 
 
-def small_set(df: DataFrame, column: str, limit: int) -> list:
-    """The distinct values of a column that must be few; more than ``limit`` is an error."""
-    values = [row[0] for row in df.select(column).distinct().limit(limit + 1).collect()]
-    if len(values) > limit:
-        raise ValueError(f"{column} has more than {limit} different values")
-    return sorted(v for v in values if v is not None)
+def mask_names(df: DataFrame, text: str, key: str, names: DataFrame, name: str) -> DataFrame:
+    """``df`` with every name of a dictionary of any size masked in ``text`` by ``[name]``, longer names first.
+
+    ``key`` is unique in ``df``. Names count as whole words; those without a letter or digit are left out. Runs of as many
+    words as names have meet the dictionary by an equi-join on the words, each distinct run of a text once, so only
+    keys and short runs are shuffled; then a text is read once with the names found for it.
+    """
+    found_words = lambda c: F.regexp_extract_all(c, F.lit(NAME_WORD), F.lit(0))
+    listed = names.select(F.col(name).alias("_name")).where(F.col("_name").isNotNull()).distinct()
+    listed = listed.withColumn("_words", found_words(F.col("_name"))).where(F.size("_words") > 0)
+    widths = [row[0] for row in listed.select(F.size("_words")).distinct().sort(F.size("_words")).collect()]
+    if not widths:
+        return df
+    listed = listed.select("_name", F.array_join("_words", " ").alias("_run"))
+    rows = df.select(F.col(key).alias("_key"), found_words(F.col(text)).alias("_words"))
+    runs = F.flatten(F.array(*[_runs(F.col("_words"), width) for width in widths]))
+    asked = rows.select("_key", F.explode(F.array_distinct(runs)).alias("_run"))
+    found = asked.join(listed, "_run").groupBy("_key").agg(F.collect_set("_name").alias("_names"))
+    masked = df.join(found, F.col(key) == F.col("_key"), "left").withColumn(
+        text, F.when(F.col("_names").isNull(), F.col(text)).otherwise(mask_listed(F.col(text), F.col("_names")))
+    )
+    return masked.select(*df.columns)
+
+
+def _runs(words: Column, width: int) -> Column:
+    """All runs of ``width`` neighbouring words, joined by blanks."""
+    if width == 1:
+        return words
+    starts = F.when(F.size(words) >= width, F.sequence(F.lit(1), F.size(words) - width + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda at: F.array_join(F.slice(words, at, width), " "))

@@ -126,13 +126,30 @@ def mask_entities(spark, folder):
        FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 )
 def mask_names(spark, folder):
-    """Names masked by dictionary: the nations, of which there are few."""
+    """Names masked by a dictionary table: the nations."""
     nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    names = relational.small_set(nations, "n_name", 1_000)
     rows = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    text = F.concat("c_name", F.lit(" lives at "), "n_name")
-    masked = text_fn.mask_entities(text, [], names)
-    return rows.select("c_custkey", F.regexp_replace(masked, "[0-9]{9}", "[number]").alias("masked"))
+    told = rows.select("c_custkey", F.concat("c_name", F.lit(" lives at "), "n_name").alias("masked"))
+    masked = relational.mask_names(told, "masked", "c_custkey", nations, "n_name")
+    return masked.withColumn("masked", F.regexp_replace("masked", "[0-9]{9}", "[number]"))
+
+
+@query(
+    r"""SELECT doc_id, length(masked) AS n, md5(masked) AS h FROM (
+          SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(
+                   replace(text, '. ', ' of ' || doc_id % 997 || ' North Oak ' || CASE doc_id % 2 WHEN 0 THEN 'Street' ELSE 'Ave' END || ', ' || doc_id || '.5. '),
+                   '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z][A-Za-z]+', '[email]', 'g'),
+                   '[0-9]{1,5} ([A-Z][a-z]{1,30} ){1,3}(Avenue|Ave|Boulevard|Blvd|Court|Ct|Drive|Dr|Lane|Ln|Place|Pl|Road|Rd|Square|Sq|Street|St|Way)\b', '[address]', 'g'),
+                   '[0-9]+([.,][0-9]+)*', '[number]', 'g') AS masked
+          FROM documents)"""
+)
+def mask_addresses(spark, folder):
+    """An address and a number put before each full stop, masked with all other numbers."""
+    street = F.when(F.col("doc_id") % 2 == 0, "Street").otherwise("Ave")
+    put = F.concat(F.lit(" of "), F.col("doc_id") % 997, F.lit(" North Oak "), street, F.lit(", "), "doc_id", F.lit(".5. "))
+    docs = documents(spark, folder, "text").withColumn("text", F.replace("text", F.lit(". "), put))
+    masked = docs.select("doc_id", text_fn.mask_entities(F.col("text"), ["email", "address", "number"]).alias("text"))
+    return masked.select("doc_id", F.length("text").cast("long").alias("n"), F.md5("text").alias("h"))
 
 
 @query(
@@ -207,13 +224,14 @@ def chunk_windows(spark, folder):
 
 
 @query(
-    f"SELECT url, pos, n_words, md5(content) AS h FROM ({_windows_sql(f'({_ARTICLES_SQL})', 'url', 100, 10, 20)})"
+    f"""SELECT md5(url || chr(10) || pos) AS id, url, pos, n_words, md5(content) AS h
+        FROM ({_windows_sql(f'({_ARTICLES_SQL})', 'url', 100, 10, 20)})"""
 )
 def chunk_table(spark, folder):
-    """Pages to articles to keyed chunks; the key is a hash of the address, which SQL here cannot repeat."""
+    """Pages to articles to keyed chunks."""
     articles = web.extract_articles(pages(spark, folder)).select("url", "text")
     keyed = chunking.with_chunk_id(windows(articles))
-    return keyed.where(F.col("id").isNotNull()).select("url", "pos", "n_words", F.md5("content").alias("h"))
+    return keyed.select("id", "url", "pos", "n_words", F.md5("content").alias("h"))
 
 
 def _window_splitter():

@@ -3,7 +3,7 @@ import re
 from pyspark.sql import functions as F
 
 from rowloom.functions import text as t
-from rowloom.operators import chunking
+from rowloom.operators import chunking, relational
 from rowloom.sources import web
 
 
@@ -152,6 +152,30 @@ def test_masking(spark):
     assert value(spark, text, rule) == "mail [email], call [phone], host [ip], [name] and [name]"
 
 
+def test_masking_spares_dates_and_words(spark):
+    rule = lambda c: t.mask_entities(c, ["address", "phone", "number"], ["Ann"])
+    text = "Anniversary of Ann_x, Ann: 2024-01-02 at 12 North Oak St, 1 Long Roads, 2024-01-02 12345, 0049 30 1234567"
+    kept = "Anniversary of Ann_x, [name]: [number]-[number]-[number] at [address], [number] Long Roads, "
+    assert value(spark, text, rule) == kept + "[number]-[number]-[number] [number], [phone]"
+    assert value(spark, "on 2024-01-02", lambda c: t.mask_entities(c, ["phone"])) == "on 2024-01-02"
+
+
+def test_names_by_dictionary_of_any_size(spark):
+    """Beside one pattern of all names, which only a short dictionary allows."""
+    import re
+
+    names = [f"Name{i}" for i in range(1_500)] + ["Name7 Name8 Q.E\\E", "O'Neil", "***", "Ann-Marie Lee", "Ann", None]
+    texts = ["Name7, Name8 and Name15000", "Name7 Name8 Q.E\\E!", "Ann-Marie Lee and Ann; Anne", "O'Neil O Neil", "", None, "Ann " * 5_000, "Ann-Marie Leef"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    dictionary = spark.createDataFrame([(n,) for n in names + ["Ann"]], "name string")
+    found = {r["k"]: r["text"] for r in relational.mask_names(rows, "text", "k", dictionary, "name").collect()}
+    usable = sorted((n for n in names if n and re.search(r"\w", n)), key=lambda n: -len(n))
+    either = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, usable)) + r")(?!\w)")
+    assert found == {k: None if x is None else either.sub("[name]", x) for k, x in enumerate(texts)}
+    none = relational.mask_names(rows, "text", "k", dictionary.where("false"), "name")
+    assert {r["k"]: r["text"] for r in none.collect()} == dict(enumerate(texts))
+
+
 def test_entities_of_texts_without_any(spark):
     rule = lambda c: t.extract_entities(c, "email")
     assert value(spark, None, rule) is None and value(spark, "none", rule) == []
