@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rowloom.operators import chunking
 from rowloom.plans.documents import WINDOWS_SQL, windows
 from rowloom.plans.registry import query, table
 from rowloom.plans.vectors import embed
@@ -32,13 +33,21 @@ def stream_chunk_embed(spark, folder):
     )
 
 
-@query()
+# Rows in each file that the next query writes: a file's bytes are one value of a row.
+_FILE_ROWS = 1_000
+
+
+@query("SELECT doc_id, length(text) AS n, md5(text) AS h FROM documents")
 def stream_binary_ingest(spark, folder):
-    """The files of the folder as a binary stream; their names and sizes are kept."""
-    sink, checkpoint = scratch_path(spark, "files"), scratch_path(spark, "files-checkpoint")
-    files = ingest.binary_files(spark, folder, "*.parquet").select("path", "length")
-    ingest.append(files, sink, checkpoint, "files")
-    return ingest.read_table(spark, sink).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+    """The documents written as files, their bytes ingested by a binary stream, decoded and taken apart again."""
+    files, sink, checkpoint = (scratch_path(spark, label) for label in ("files", "files-table", "files-checkpoint"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs.write.option("maxRecordsPerFile", _FILE_ROWS).json(files)
+    read = lambda batch: chunking.file_texts(batch.select("path", "length", "content"), bytes.decode)
+    ingest.append(ingest.binary_files(spark, files, "*.json"), sink, checkpoint, "files", read)
+    lines = ingest.read_table(spark, sink).select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
+    rows = lines.select(F.from_json("line", "doc_id BIGINT, text STRING").alias("row")).select("row.*")
+    return rows.select("doc_id", F.length("text").cast("long").alias("n"), F.md5("text").alias("h"))
 
 
 @query(
