@@ -11,13 +11,13 @@ from rowloom.llm import ann, chat, exact, language, mixing, near, packing, secre
 from rowloom.llm.common import table
 from rowloom.session import scratch_path
 
+
 def vocabulary(name: str) -> str:
     """Where the public vocabulary file of this name lies."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
-from rowloom.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
