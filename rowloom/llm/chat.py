@@ -42,6 +42,11 @@ def reply_trees(turns: DataFrame, tree: str, position: str) -> DataFrame:
     return turns.withColumn("node", F.row_number().over(order).cast("long")).withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))
 
 
+def _null_safe(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``tree`` as a struct that is never null, so that joins also match the null tree; ``tree.value`` gives it back."""
+    return rows.withColumn("tree", F.struct(F.col("tree").isNull().alias("none"), F.col("tree").alias("value")))
+
+
 def branches(messages: DataFrame, best: int = 1) -> DataFrame:
     """The nodes of the best root-to-leaf paths of each reply tree: tree, leaf, rank, node, place, score.
 
@@ -52,8 +57,9 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
     ``best`` of them are expanded by going back through the distances, again doubling. ``place`` counts from 0 at the root.
 
     Replies to a missing node start a path of their own. Messages on a cycle have no root and lie on no path.
+    The messages of the null tree are one tree.
     """
-    alive = materialise(messages.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "replies")
+    alive = materialise(_null_safe(messages).select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "replies")
     nodes = alive.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
     linked = alive.join(nodes, ["tree", "parent"], "left").withColumn("up", F.when(F.col("there"), F.col("parent")))
     state = materialise(linked.select("tree", "node", "up", F.col("score").alias("sum"), F.lit(1).cast("long").alias("steps")), "replies")
@@ -77,7 +83,7 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
     for i, hop in enumerate(hops):
         further = path.join(hop, ["tree", "node"]).select("tree", "leaf", "rank", "score", F.col("up").alias("node"), (F.col("place") - (1 << i)).alias("place"))
         path = materialise(path.unionByName(further), "paths")
-    return path
+    return path.withColumn("tree", F.col("tree.value"))
 
 
 def _write(batches: Iterator[pa.RecordBatch], part_chars: int) -> Iterator[pa.RecordBatch]:
@@ -115,14 +121,14 @@ def conversations(messages: DataFrame, best: int = 1, learned: str = "assistant"
     over ``part_chars`` goes on in further parts, cut between turns, in order; it is written as its
     sorted turns stream by, so no more than a part is held.
     """
-    paths = branches(messages, best)
-    words = messages.select("tree", "node", "role", "text")
+    paths = _null_safe(branches(messages, best))
+    words = _null_safe(messages).select("tree", "node", "role", "text")
     role = escape(empty_if_null(F.col("role")))
     head = F.concat(F.lit(OPEN), role, F.lit(AFTER_ROLE))
     text = escape(empty_if_null(F.col("text")))
     masked = F.col("role") == learned
     turns = paths.join(words, ["tree", "node"]).select(
-        "tree", "leaf", F.col("rank").cast("int").alias("rank"), "place",
+        F.col("tree.value").alias("tree"), "leaf", F.col("rank").cast("int").alias("rank"), "place",
         F.concat(head, text, F.lit(CLOSE)).alias("turn"),
         F.when(masked, F.length(head)).cast("long").alias("start"),
         F.when(masked, F.length(head) + F.length(text)).cast("long").alias("stop"),

@@ -7,14 +7,16 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.llm import ann, chat, exact, language, mixing, near, packing, secrets, sharding, tokens
+from rowloom.llm import ann, chat, exact, language, mixing, near, packing, queries, secrets, sharding, tokens
 from rowloom.llm.common import connected, weighted_cut
 from rowloom.session import scratch_path
+from tests.compare import differences
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, key string, row bigint, shard int"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -486,6 +488,26 @@ def test_formatting_is_reversible(spark):
         assert got[2].loss_chars == 0 and got[2].n_turns == 1
 
 
+def test_the_null_conversation_is_kept(spark):
+    rows = [(c, i, "user" if i % 2 == 0 else "assistant", f"{c} {i}") for c in (None, 0, 1) for i in range(9)]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    messages = chat.reply_trees(frame, "conv_id", "turn").withColumnRenamed("conv_id", "tree").withColumn("score", F.lit(0.0))
+    assert collections.Counter(r.tree for r in chat.branches(messages).collect()) == {None: 9, 0: 9, 1: 9}
+    got = {r.conv_id: r for r in chat.read_back(chat.conversations(messages)).collect()}
+    want = {r.conv_id: r for r in frame.groupBy("conv_id").agg(F.count("*").alias("n"), F.sum(F.when(F.col("role") == "assistant", F.length("text"))).alias("loss")).collect()}
+    assert {c: (r.n_turns, r.loss_chars) for c, r in got.items()} == {c: (r.n, r.loss) for c, r in want.items()}
+    for c in (None, 0, 1):
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for k, _, r, t in rows if k == c).encode()).hexdigest()
+
+
+def test_query_with_a_null_conversation_beside_sql(spark, folder):
+    rows = [(None if i < 30 else i // 10, i, "user" if i % 2 == 0 else "assistant", f"text {i}") for i in range(60)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet/*.parquet'")
+    assert differences(queries.QUERIES["op9_reply_trees"](spark, folder), connection, queries.ORACLES["op9_reply_trees"]) == []
+
+
 # All of them
 
 
