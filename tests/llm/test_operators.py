@@ -189,6 +189,35 @@ def test_splits_are_weighted_medians_of_the_widest_dimension(spark):
     assert sum((side[i] == 1) != (x > median) for i, x, *_ in rows) <= 5
 
 
+@pytest.mark.parametrize("names", [[None, *[f"src{i}" for i in range(20)]], ["hot", *[f"src{i}" for i in range(20)]], [f"web-crawl-{2000 + i}" for i in range(21)]])
+def test_sources_are_split_at_the_median_of_whole_values(spark, names):
+    rows = [(i, "same text", "en", names[i % 21]) for i in range(2100)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").withColumn("doc_id", F.lit(1).cast("long"))
+    leaf = collections.defaultdict(set)
+    placed = sharding.kd_leaves(
+        sharding.with_text_rank(frame.withColumn("w", F.lit(1)).withColumn("u", F.rand(3)).withColumn("name", F.col("source")), "source", "d").withColumn("same", F.lit(0.0)), ["same", "d"], "w", "u", 2
+    )
+    for r in placed.collect():
+        leaf[r.name].add(r.leaf)
+    order = sorted(names, key=lambda n: (n is not None, n or ""))
+    assert [leaf[n] for n in order[:10]] == [{0}] * 10 and [leaf[n] for n in order[11:]] == [{1}] * 10
+
+
+def test_one_outlying_value_does_not_decide_the_dimension(spark):
+    rows = [(i, float(i), 1e6 if i == 0 else i % 2 / 10, 1, (i * 7919 % 3000) / 3000) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "i bigint, x double, y double, w bigint, u double")
+    side = {r.i: r.leaf for r in sharding.kd_leaves(frame, ["y", "x"], "w", "u", 2).collect()}
+    assert sum(side[i] != (i >= 1500) for i in range(3000)) <= 2
+
+
+@pytest.mark.parametrize("rows", [1, 7])
+def test_text_ranks_over_several_slices(spark, rows, monkeypatch):
+    monkeypatch.setattr(sharding, "RANKED_ROWS", rows)
+    values = [None, "", "a", "ab", "web-crawl-2019", "web-crawl-2024", "é", "中"]
+    frame = spark.createDataFrame([(v,) for v in values * 3], "s string")
+    assert {r.s: r.d for r in sharding.text_ranks(frame, "s", "d").collect()} == {v: float(i) for i, v in enumerate(values)}
+
+
 # Packing
 
 
