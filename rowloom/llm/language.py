@@ -25,11 +25,21 @@ SLOTS = 1 << 17
 # Words whose scores a worker remembers; others are scored anew.
 REMEMBERED = 300_000
 UNKNOWN = "und"
+# Most letters of a word; what is longer is no word of a language, and is cut into several.
+WORD_LETTERS = 24
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters; longer ones, as of scripts without blanks, in pieces of like length that follow each other."""
+    runs = _WORD.findall(text.lower())
+    if max(map(len, runs), default=0) <= WORD_LETTERS:
+        return runs
+    words = []
+    for run in runs:
+        n = -(-len(run) // WORD_LETTERS)
+        words += [run[len(run) * k // n : len(run) * (k + 1) // n] for k in range(n)]
+    return words
 
 
 def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
@@ -37,8 +47,7 @@ def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
     marked = f"^{word}$"
     names = [f"w {word}"]
     names += [f"p {word[:n]}" for n in (1, 2, 3)] + [f"s {word[-n:]}" for n in (1, 2, 3)]
-    # An affix or gram tells enough in the first 24 letters of what is no word of a language.
-    names += [f"g {marked[i : i + n]}" for n in (2, 3) for i in range(len(marked[:26]) - n + 1)]
+    names += [f"g {marked[i : i + n]}" for n in (2, 3) for i in range(len(marked) - n + 1)]
     names.append(f"l {lexicon.get(word, -1)}")
     return [zlib.crc32(n.encode()) % SLOTS for n in names]
 

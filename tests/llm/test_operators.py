@@ -459,6 +459,20 @@ def test_languages(spark):
     assert kept.columns == frame.columns and kept.count() == len(rows) - 3
 
 
+def test_every_letter_of_a_long_run_counts():
+    rng = random.Random(12)
+    letters = {"aa": "的一是不了人我在有他", "bb": "のにはをたがでてとし"}
+    say = lambda lang, n: "".join(rng.choice(letters[lang]) for _ in range(n))
+    model = language.fit([(say(lang, rng.randint(5, 200)), lang) for _ in range(200) for lang in letters])
+    for n in (1, 24, 25, 49, 1000):
+        run = say("aa", n)
+        words = language.words_of(run)
+        assert "".join(words) == run and max(map(len, words)) <= 24 and min(map(len, words)) >= min(n, 12)
+    found, shares = language.label_texts(model, [say("aa", 30) + say("bb", 300), say("bb", 3000)])
+    assert found == ["bb", "bb"] and 0.8 < shares[0] < 0.99
+    assert language.words_of("short " + "ab" * 20) == ["short", "ab" * 10, "ab" * 10]
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(2)
     scores, moves = rng.normal(size=(5, 2, 3)).astype(np.float64), rng.normal(size=(3, 3))
