@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
@@ -258,13 +259,105 @@ def worker_scores(model: Field, more: np.ndarray | None = None) -> np.ndarray:
     return table
 
 
+class Familiarity:
+    """How likely words are in any learned language: counts of words and of their runs of up to three letters.
+
+    A word's likelihood is half that of the word itself and half that of its letters, each given the
+    two before it. A text's is the mean of its words', per letter, so text that switches languages is as likely as others.
+    """
+
+    def __init__(self, words: Counter, grams: Counter | None = None):
+        self.words, self.total = words, sum(words.values())
+        self.grams = grams if grams is not None else self._runs()
+        self.letters = sum(n for g, n in self.grams.items() if len(g) == 1 and g != "^")
+        self.center = self.apart = self.within = self.limit = 0.0
+        self.known: dict[str, float] = {}
+
+    def _runs(self) -> Counter:
+        """Runs of up to three letters, with the marks of a word's start and end."""
+        grams: dict[str, int] = defaultdict(int)
+        for word, n in self.words.items():
+            marked = f"^{word}$"
+            for size in (1, 2, 3):
+                for i in range(len(marked) - size + 1):
+                    grams[marked[i : i + size]] += n
+        return Counter(grams)
+
+    def word(self, word: str) -> float:
+        """The logarithm of a word's likelihood."""
+        if word in self.known:
+            return self.known[word]
+        marked, grams, spelled = f"^{word}$", self.grams, 0.0
+        for i in range(1, len(marked)):
+            chance = (grams[marked[i]] + 0.01) / (self.letters + 1000)
+            for lo in range(i - 1, max(0, i - 2) - 1, -1):
+                chance = (grams[marked[lo : i + 1]] + 2 * chance) / (grams[marked[lo:i]] + 2)
+            spelled += math.log(chance)
+        value = float(np.logaddexp(math.log(self.words[word] / self.total), spelled)) - math.log(2) if word in self.words else spelled - math.log(2)
+        if len(self.known) < REMEMBERED:
+            self.known[word] = value
+        return value
+
+    def text(self, words: list[str]) -> tuple[float, float, float]:
+        """The mean by letter, the number of words that it rests on (a repeated one counts as one), and the words' variance."""
+        counts = Counter(words)
+        sizes = np.array([(len(w) + 1) * n for w, n in counts.items()], dtype=np.float64)
+        values = np.array([self.word(w) / (len(w) + 1) for w in counts])
+        mean = float((values * sizes).sum() / sizes.sum())
+        return mean, float(sizes.sum() ** 2 / (sizes**2).sum()), float((sizes * (values - mean) ** 2).sum() / sizes.sum())
+
+    def strangeness(self, words: list[str]) -> float:
+        """By how many deviations of texts of this length a text lies below the learned ones."""
+        mean, n, _ = self.text(words)
+        return (self.center - mean) / math.sqrt(self.apart + self.within / n)
+
+    def familiar(self, text: str | None) -> bool:
+        words = letters_of(text)
+        return bool(words) and self.strangeness(words) <= self.limit
+
+
+def letters_of(text: str | None) -> list[str]:
+    """The words of a text that hold a letter."""
+    return [w for w in words_of(text or "") if any(c.isalpha() for c in w)]
+
+
+def fit_familiarity(samples: list[tuple[str, str]]) -> Familiarity | None:
+    """Count on all of a sample; None without any words.
+
+    What is usual is fitted on texts that were not counted: each half of the sample is judged by the other. The limit is half as
+    much again as what one text in 200 exceeds, and at least ten deviations.
+    """
+    texts = [words for words in (letters_of(t) for t, _ in samples) if words]
+    if not texts:
+        return None
+    halves = [Familiarity(Counter(w for t in texts[half::2] for w in t)) for half in (0, 1)]
+    whole = Familiarity(halves[0].words + halves[1].words, halves[0].grams + halves[1].grams)
+    judged = [halves[1 - half].text(t) for half in (0, 1) if halves[1 - half].total for t in texts[half::2]]
+    judged = judged or [whole.text(t) for t in texts]
+    means, sizes, variances = (np.array(x) for x in zip(*judged, strict=True))
+    whole.center = float(np.median(means))
+    whole.within = float((variances * sizes).sum() / sizes.sum()) + 1e-6
+    # The spread of texts as of a normal one with the same quartiles, less what their lengths explain.
+    middle = float(np.subtract(*np.percentile(means, [75, 25])) / 1.349) ** 2
+    whole.apart = max(middle - float(np.median(whole.within / sizes)), 1e-3)
+    strange = (whole.center - means) / np.sqrt(whole.apart + whole.within / sizes)
+    whole.limit = max(10.0, 1.5 * float(np.quantile(strange, 0.995)))
+    return whole
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from training; a null id counts as an empty one."""
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 5 == 0
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", seed: int = 11) -> Field | None:
-    """Fit on a bounded sample of labelled documents that are not held out: see the bounds at the top.
+    """Fit on a bounded sample of labelled documents; see ``sample``."""
+    rows = sample(docs, doc_id, text, lang, seed)
+    return fit(rows, seed) if rows else None
+
+
+def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", seed: int = 11) -> list[tuple[str, str]]:
+    """Texts and languages of labelled documents that are not held out: see the bounds at the top.
 
     Documents are drawn per language by a hash of id and text; of each, a stretch at a place that the hash sets.
     """
@@ -272,12 +365,12 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     usable = usable.select(F.col(lang).alias("lang"), F.col(text).alias("text"), uniform(F.lit(seed), F.col(doc_id), F.col(text)).alias("u"))
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
     if not counts:
-        return None
+        return []
     rates = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, SAMPLE_DOCS / n)])
     at = F.floor(F.pmod(F.col("u") * 1e6, F.lit(1.0)) * F.greatest(F.lit(0), F.length("text") - SAMPLE_CHARS)).cast("int")
     drawn = usable.where(F.col("u") < rates[F.col("lang")]).select(F.col("text").substr(at + 1, F.lit(SAMPLE_CHARS)).alias("text"), "lang")
     rows = drawn.orderBy("lang", "text").limit(2 * SAMPLE_DOCS * len(counts)).collect()
-    return fit([(r["text"], r["lang"]) for r in rows], seed)
+    return [(r["text"], r["lang"]) for r in rows]
 
 
 def predict(docs: DataFrame, model: Field | None, text: str = "text") -> DataFrame:
@@ -311,12 +404,25 @@ def languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     return predict(docs, train(docs, doc_id, text, lang), text)
 
 
-def in_known_language(docs: DataFrame, least: float = 0.3, **names) -> DataFrame:
-    """The rows of ``docs`` that hold words of a learned language, which at least this share of them speak.
+def in_known_language(docs: DataFrame, least: float = 0.3, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose words are as likely as those of learned languages, and of which one speaks at least this share.
 
     Code-switched texts stay, as their largest part passes; rejected are null texts, texts without a
-    letter and texts whose words are spread over several languages.
+    letter, texts whose words are spread over several languages, and texts far less likely than the
+    labelled ones (see ``Familiarity``), as those in languages that were not learned and random letters are.
     """
-    found = languages(docs, **names)
+    samples = sample(docs, doc_id, text, lang)
+    model, usual = (fit(samples, 11), fit_familiarity(samples)) if samples else (None, None)
+    found = predict(docs, model, text)
     kept = found.where((F.col("__llm_lang") != UNKNOWN) & (F.col("__llm_score") >= least))
+    if usual is not None:
+        sent = docs.sparkSession.sparkContext.broadcast(usual)
+        version = zlib.crc32(repr((usual.total, usual.center, usual.apart, usual.within, usual.limit)).encode())
+
+        def check(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            known = worker_state("language_familiarity", lambda: sent.value, version)
+            for batch in texts:
+                yield pa.array([known.familiar(t.as_py()) for t in batch], pa.bool_())
+
+        kept = kept.where(F.arrow_udf(check, "boolean")(F.col(text)))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

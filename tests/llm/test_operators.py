@@ -459,6 +459,20 @@ def test_languages(spark):
     assert kept.columns == frame.columns and kept.count() == len(rows) - 3
 
 
+@pytest.mark.parametrize("learned", [1, 3, 5])
+def test_unlearned_languages_and_noise_are_rejected(spark, learned):
+    rng = random.Random(13)
+    sounds = [["the", "ing", "and", "ou", "er"], ["sch", "ung", "ein", "ü", "tz"], ["eau", "é", "le", "qui", "oi"], ["ción", "ñ", "os", "ue", "la"], ["zione", "gli", "che", "ò", "tt"], ["kk", "ää", "yö", "ssa", "nen"]]
+    lexicons = [["".join(rng.choice(s) for _ in range(rng.randint(1, 4))) for _ in range(300)] for s in sounds]
+    say = lambda i, n: " ".join(rng.choice(lexicons[i]) for _ in range(n))
+    noise = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    clean = [(i, say(i % learned, rng.randint(5, 200)), f"l{i % learned}" if i % 7 else None) for i in range(400)]
+    clean += [(1000 + i, say(0, 40) + " " + say(learned - 1, 30), None) for i in range(20)]
+    strange = [(2000 + i, say(5, rng.randint(20, 200)), None) for i in range(20)] + [(3000 + i, noise(rng.randint(20, 200)), None) for i in range(20)]
+    frame = spark.createDataFrame(clean + strange, "doc_id bigint, text string, lang string")
+    assert sorted(r.doc_id for r in language.in_known_language(frame).collect()) == [i for i, *_ in clean]
+
+
 def test_every_letter_of_a_long_run_counts():
     rng = random.Random(12)
     letters = {"aa": "的一是不了人我在有他", "bb": "のにはをたがでてとし"}
