@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import worker_state
@@ -21,6 +22,8 @@ END_ID = 1
 BLOCK_PIECES = 16_384
 # Pre-tokens and chunks whose ids a worker remembers; others are encoded anew.
 REMEMBERED = 500_000
+# Bytes of ids after which a task hands on what it has made.
+HELD_BYTES = 8_000_000
 
 # The pre-token pattern of the vocabulary file, for texts of the characters below.
 _PRE_TOKEN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
@@ -78,29 +81,37 @@ def _byte_letters() -> list[str]:
 
 
 def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Token pieces of whole texts: doc_id, piece, start, length, ids_crc32 and row, a number within its task.
+    """Token pieces of whole texts: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), and the task and its row that made them.
 
     A document's ids are those of its text (null: empty) and ``end_id``. Only documents of over
     ``capacity`` ids are cut, all pieces but the last being full. Tokenises without moving texts.
     """
-    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, row bigint"
+    schema = "doc_id bigint, piece int, start bigint, length bigint, ids binary, task int, row bigint"
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+    names = ["doc_id", "piece", "start", "length", "ids", "task", "row"]
     end = np.array([end_id], dtype="<u4").tobytes()
     width = capacity * 4
 
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = worker_state("word_tokens", lambda: WordTokens(tokenizer))
-        row = 0
+        row, task = 0, TaskContext.get().partitionId()
         for batch in batches:
-            out: list[tuple] = []
+            out, held = [], 0
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = tokens.ids(value.as_py() or "") + end
                 for k, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
-                    out.append((key, k, at // 4, len(part) // 4, zlib.crc32(part), row))
+                    out.append((key, k, at // 4, len(part) // 4, part, task, row))
+                    held += len(part)
+                    if held > HELD_BYTES:
+                        yield made(out)
+                        out, held = [], 0
                 row += 1
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "row"])
+            yield made(out)
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 
@@ -221,11 +232,11 @@ def pack_lengths(lengths: list[int], capacity: int) -> list[list[int]]:
     return swap_search(best_fit(lengths, capacity), lengths, capacity)
 
 
-_PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence bigint, offset bigint, fill bigint"
+_PLACED = "task int, row bigint, piece int, length bigint, sequence bigint, offset bigint, fill bigint"
 
 
-def _pack_blocks(rows: DataFrame, blocks: int, capacity: int) -> DataFrame:
-    """Each block's rows in sequences of their own: adds sequence (within a block), offset and fill."""
+def _pack_blocks(rows: DataFrame, blocks: int, capacity: int, *dealt: str) -> DataFrame:
+    """Each block's rows in sequences of their own: adds sequence (within a block), offset and fill. Blocks are dealt by a hash of ``dealt``."""
 
     def pack(key: tuple, batch: pa.Table) -> pa.Table:
         lengths = batch.column("length").to_pylist()
@@ -236,31 +247,94 @@ def _pack_blocks(rows: DataFrame, blocks: int, capacity: int) -> DataFrame:
                 sequence[i], offset[i] = b, at
                 at += lengths[i]
             fill[members] = at
-        kept = batch.select(["doc_id", "piece", "start", "length", "ids_crc32"])
+        kept = batch.select(["task", "row", "piece", "length"])
         for name, values in (("sequence", sequence + (key[0].as_py() << 32)), ("offset", offset), ("fill", fill)):
             kept = kept.append_column(name, pa.array(values))
         return kept
 
-    block = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "row"), F.lit(blocks))
+    block = F.pmod(F.xxhash64(*dealt), F.lit(blocks))
     return rows.withColumn("block", block).groupBy("block").applyInArrow(pack, _PLACED)
 
 
-def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Whole documents in sequences of at most ``capacity`` tokens, as few as the search finds.
+def placements(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Where each of the ``pieces`` goes: task, row, piece, sequence_id, offset. Their ids are not read.
 
     Pieces are dealt by hash into blocks of about ``BLOCK_PIECES``, so no task holds more, however
     large the corpus or a group of equal rows. Each block is packed by best fit, then by swaps
     (``swap_search``). What is left in sequences under 15/16 full goes into a second round of
     blocks, so that the blocks' remainders share sequences.
-
-    Returns the columns of ``pieces`` but row, with sequence_id and offset. Texts that are null or
-    empty are one id long; repeated rows are packed one by one; an empty table gives an empty result.
     """
-    cut = materialise(pieces(docs, tokenizer, doc_id, text, capacity, end_id), "pieces")
-    first = materialise(_pack_blocks(cut, max(1, -(-cut.count() // BLOCK_PIECES)), capacity), "packed")
+    rows = cut.select("task", "row", "piece", "length")
+    first = materialise(_pack_blocks(rows, max(1, -(-rows.count() // BLOCK_PIECES)), capacity, "task", "row", "piece"), "packed")
     loose = F.col("fill") < capacity * 15 // 16
-    rest = first.where(loose).withColumn("row", F.col("sequence"))
-    again = _pack_blocks(rest, max(1, -(-rest.count() // BLOCK_PIECES)), capacity)
+    rest = first.where(loose)
+    again = _pack_blocks(rest, max(1, -(-rest.count() // BLOCK_PIECES)), capacity, "task", "row", "piece", "sequence")
     # Numbers of the second round are odd, those of the first even.
     both = first.where(~loose).withColumn("sequence_id", F.col("sequence") * 2).unionByName(again.withColumn("sequence_id", F.col("sequence") * 2 + 1))
-    return both.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return both.select("task", "row", "piece", "sequence_id", "offset")
+
+
+_SEQUENCE = "sequence_id bigint, n_tokens bigint, ids binary, pieces array<struct<doc_id: bigint, piece: int, start: bigint, length: bigint, offset: bigint>>"
+
+
+def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces, sorted by sequence and offset, to one row per sequence."""
+    spans = pa.list_(pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("offset", pa.int64())]))
+    types, names = [pa.int64(), pa.int64(), pa.binary(), spans], ["sequence_id", "n_tokens", "ids", "pieces"]
+    current, parts, places, held, out = None, [], [], 0, []
+
+    def made() -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    def close() -> None:
+        ids = b"".join(parts)
+        if [p["offset"] for p in places] != [0, *accumulate(p["length"] for p in places)][:-1] or len(ids) != 4 * sum(p["length"] for p in places):
+            raise ValueError(f"the pieces of sequence {current} do not follow each other")
+        out.append((current, len(ids) // 4, ids, list(places)))
+
+    for batch in batches:
+        for sequence, offset, key, piece, start, length, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if sequence != current:
+                if current is not None:
+                    close()
+                    if held > HELD_BYTES:
+                        yield made()
+                        held = 0
+                current, parts, places = sequence, [], []
+            parts.append(ids)
+            places.append({"doc_id": key, "piece": piece, "start": start, "length": length, "offset": offset})
+            held += len(ids)
+    if current is not None:
+        close()
+    yield made()
+
+
+def sequences(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+    """Whole documents in sequences of at most ``capacity`` tokens, as few as the search finds (see ``placements``).
+
+    Returns one row per sequence: sequence_id, n_tokens, ids (little-endian unsigned 32-bit) and pieces, which in order of their
+    offsets make up the ids. Texts that are null or empty are one id long; repeated rows are packed one by one; an
+    empty table gives an empty result. A task sorts pieces and holds one sequence and a batch of them.
+    """
+    cut = materialise(pieces(docs, tokenizer, doc_id, text, capacity, end_id), "pieces")
+    placed = cut.join(placements(cut, capacity), ["task", "row", "piece"])
+    ordered = placed.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
+    return ordered.select("sequence_id", "offset", "doc_id", "piece", "start", "length", "ids").mapInArrow(_join_up, _SEQUENCE)
+
+
+def sequence_pieces(packed: DataFrame) -> DataFrame:
+    """The pieces of ``sequences`` with their ids, cut out of the sequences' own: doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids."""
+
+    def cut_out(p: Column) -> Column:
+        ids = F.col("ids").substr((p["offset"] * 4 + 1).cast("int"), (p["length"] * 4).cast("int"))
+        return F.struct(p["doc_id"], p["piece"], p["start"], p["length"], F.crc32(ids).alias("ids_crc32"), p["offset"], ids.alias("ids"))
+
+    rows = packed.select("sequence_id", F.explode(F.transform("pieces", cut_out)).alias("p"))
+    return rows.select("p.doc_id", "p.piece", "p.start", "p.length", "p.ids_crc32", "sequence_id", "p.offset", "p.ids")
+
+
+def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+    """What ``sequences`` hold, read back from their ids: the columns of ``sequence_pieces`` but ids."""
+    return sequence_pieces(sequences(docs, tokenizer, doc_id, text, capacity, end_id)).drop("ids")

@@ -243,6 +243,23 @@ def test_packing_of_all_pieces(docs, rows):
     assert len(by) == -(-sum(r.length for r in got) // 4096)
 
 
+def test_sequences_hold_the_tokens(docs, rows):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    made, texts = packing.sequences(docs, WORDS).collect(), collections.Counter()
+    for r in made:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.n_tokens == sum(p.length for p in r.pieces) <= 4096
+        for p in r.pieces:
+            texts[p.doc_id, p.piece, tuple(ids[p.offset : p.offset + p.length])] += 1
+    want = collections.Counter()
+    for r in rows:
+        ids = [*library.encode(r[1] or "", add_special_tokens=False).ids, 1]
+        want.update((r[0], k, tuple(ids[at : at + 4096])) for k, at in enumerate(range(0, len(ids), 4096)))
+    assert texts == want and len({r.sequence_id for r in made}) == len(made)
+
+
 def test_swaps_empty_bins_that_best_fit_leaves():
     rng = random.Random(1)
     lengths = [6, 5, 5, 4, 4, 3, 3] * 20
