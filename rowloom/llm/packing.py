@@ -141,91 +141,152 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def swap_search(bins: list[list[int]], lengths: list[int], capacity: int, tries: int = 200_000) -> list[list[int]]:
+class _Underfull:
+    """The items of underfull bins by length, and their pairs within a bin, in flat arrays that are searched at once.
+
+    An entry is a length, or sum of two, that its bin can give back; every bin has one of 0, for nothing.
+    """
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
+        self.capacity, self.nobody = capacity, len(bins)
+        self.items: list[dict[int, list[int]]] = []
+        for members in bins:
+            sizes: dict[int, list[int]] = {}
+            for i in members:
+                sizes.setdefault(lengths[i], []).append(i)
+            self.items.append(sizes)
+        fill = [sum(lengths[i] for i in members) for members in bins]
+        # What is not in the search has more room than any giver, so that no step finds it.
+        self.room = np.array([capacity - f if 0 < f < capacity else 2 * capacity for f in fill] + [2 * capacity])
+        self.changed = np.zeros(len(bins) + 1, dtype=np.int64)
+        self._rebuild()
+
+    def open_bins(self) -> list[int]:
+        """Bins in the search, the emptiest first."""
+        found = np.flatnonzero(self.room < self.capacity)
+        return found[np.argsort(-self.room[found], kind="stable")].tolist()
+
+    def values(self, b: int) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array(sorted(self.items[b]), dtype=np.int64)
+        low, high = np.triu_indices(len(sizes), 1)
+        twice = np.array([s for s in sizes.tolist() if len(self.items[b][s]) > 1], dtype=np.int64)
+        return sizes, np.unique(np.concatenate([sizes[low] + sizes[high], 2 * twice]))
+
+    def _rebuild(self) -> None:
+        self.flat, self.owner, self.used, self.spans = [], [], [0, 0], {}
+        made = {b: self.values(b) for b in np.flatnonzero(self.room < self.capacity).tolist()}
+        for kind in (0, 1):
+            room = 2 * sum(len(v[kind]) + 1 for v in made.values()) + 4 * self.capacity
+            self.flat.append(np.zeros(room, dtype=np.int64))
+            self.owner.append(np.full(room, self.nobody))
+        for b, values in made.items():
+            self._add(b, values)
+
+    def _add(self, b: int, values: tuple[np.ndarray, np.ndarray]) -> None:
+        spans = []
+        for kind, more in enumerate((np.concatenate([[0], values[0]]), values[1])):
+            at = self.used[kind]
+            self.flat[kind][at : at + len(more)] = more
+            self.owner[kind][at : at + len(more)] = b
+            self.used[kind] = at + len(more)
+            spans.append((at, at + len(more)))
+        self.spans[b] = spans
+
+    def _renew(self, b: int) -> None:
+        for kind, (lo, hi) in enumerate(self.spans.pop(b)):
+            self.owner[kind][lo:hi] = self.nobody
+        if self.room[b] < self.capacity:
+            values = self.values(b)
+            if any(self.used[kind] + len(v) + 1 > len(self.flat[kind]) for kind, v in enumerate(values)):
+                self._rebuild()
+            else:
+                self._add(b, values)
+
+    def step(self, source: int, since: int) -> tuple[int, int, int, int, int] | None:
+        """The target, what it gets and gives back, and of how many items: of the fullest bin with a step, the largest one.
+
+        Only bins that changed after step ``since`` are looked at.
+        """
+        singles, pairs = self.values(source)
+        near, best, found = 4 * self.capacity, None, None
+        for kind in (0, 1):
+            flat, owner = self.flat[kind][: self.used[kind]], self.owner[kind][: self.used[kind]]
+            room = self.room[owner]
+            there = np.flatnonzero((room <= self.room[source]) & (owner != source) & (self.changed[owner] > since))
+            if not len(there):
+                continue
+            flat, room = flat[there], room[there]
+            # Two items are given for nothing or for one, one item also for two.
+            for given, values in ((1, singles), (2, pairs))[: 2 - kind]:
+                for value in values.tolist():
+                    gain = value - flat
+                    fits = np.flatnonzero((gain > 0) & (gain <= room))
+                    if len(fits):
+                        rank = room[fits] * near - gain[fits]
+                        at = int(rank.argmin())
+                        if best is None or rank[at] < best:
+                            best, back = int(rank[at]), int(flat[fits[at]])
+                            found = int(owner[there[fits[at]]]), value, back, given, kind + 1 if back else 0
+        return found
+
+    def _take(self, b: int, value: int, count: int) -> list[tuple[int, int]]:
+        """Items of bin ``b``, as lengths and indexes, that together are ``value`` long."""
+        sizes, wanted = self.items[b], [value][:count]
+        if count == 2:
+            low = next(x for x in sizes if value - x in sizes and (2 * x != value or len(sizes[x]) > 1))
+            wanted = [low, value - low]
+        taken = []
+        for size in wanted:
+            taken.append((size, sizes[size].pop()))
+            if not sizes[size]:
+                del sizes[size]
+        return taken
+
+    def apply(self, source: int, step: tuple[int, int, int, int, int], number: int) -> None:
+        target, given, back, n_given, n_back = step
+        give, take = self._take(source, given, n_given), self._take(target, back, n_back)
+        for b, more in ((target, give), (source, take)):
+            for size, i in more:
+                self.items[b].setdefault(size, []).append(i)
+        self.room[target] -= given - back
+        self.room[source] += given - back
+        for b in (source, target):
+            if self.room[b] in (0, self.capacity):
+                self.room[b] = 2 * self.capacity
+            self.changed[b] = number
+        for b in (source, target):
+            if b in self.spans:
+                self._renew(b)
+
+
+def swap_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
     """Empty bins by moves and swaps between underfull ones that raise the sum of squared fills.
 
-    Repeatedly takes the emptiest bin and, for each of its items, looks in the other underfull bins,
+    Takes the bins from the emptiest on and looks in all other underfull bins that are at least as full, the
     fullest first, for a move (the item fits), a swap of one item for a smaller one of the other
-    bin that then is fuller, or of one item for two that together are smaller. Each step makes the
-    fuller bin fuller and the emptiest one emptier, so the sum of squares grows and the search ends; a bin
-    without items is gone. A full bin is never touched, and none is once the sum of all lengths
-    needs every bin. ``tries`` bounds the pairs of bins looked at.
+    bin that then is fuller, of one item for two that together are smaller, or of two for one. Each step makes the
+    fuller bin fuller and the emptier one emptier, so the sum of squares grows and the search ends: when
+    no bin has a step left, or the sum of all lengths needs every bin. A bin without items is gone; a full one is
+    never touched. A bin that had no step is held only against bins that have changed since.
     """
-    bins = [list(b) for b in bins]
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    least = -(-sum(fill) // capacity)
-    open_bins = {b for b in range(len(bins)) if 0 < fill[b] < capacity}
-    alive = sum(1 for f in fill if f)
-    while alive > least and len(open_bins) > 1 and tries > 0:
-        improved = False
-        for source in sorted(open_bins, key=lambda b: fill[b])[:8]:
-            for target in sorted(open_bins - {source}, key=lambda b: -fill[b]):
-                tries -= 1
-                room = capacity - fill[target]
-                step = _best_step(bins[source], bins[target], lengths, room) if fill[target] >= fill[source] else None
-                if step is None:
-                    if tries <= 0:
-                        break
-                    continue
-                give, take = step
-                for i in give:
-                    bins[source].remove(i)
-                    bins[target].append(i)
-                for i in take:
-                    bins[target].remove(i)
-                    bins[source].append(i)
-                gain = sum(lengths[i] for i in give) - sum(lengths[i] for i in take)
-                fill[source] -= gain
-                fill[target] += gain
-                improved = True
-                if fill[target] == capacity:
-                    open_bins.discard(target)
-                if not bins[source]:
-                    open_bins.discard(source)
-                    alive -= 1
+    held = _Underfull(bins, lengths, capacity)
+    least = -(-sum(lengths[i] for b in bins for i in b) // capacity)
+    alive, number, seen, going = sum(1 for b in bins if b), 1, {}, True
+    held.changed[:] = 1
+    while alive > least and going:
+        going = False
+        for source in held.open_bins():
+            while alive > least and held.room[source] < capacity:
+                # What a bin that has changed itself was held against does not count.
+                since = seen.get(source, 0)
+                found = held.step(source, since if held.changed[source] <= since else 0)
+                if found is None:
+                    seen[source] = number
                     break
-            if improved:
-                break
-        if not improved:
-            break
-    return [b for b in bins if b]
-
-
-def _best_step(source: list[int], target: list[int], lengths: list[int], room: int) -> tuple[list[int], list[int]] | None:
-    """What to give to ``target`` and take back so that its fill grows most within ``room``; None if nothing helps."""
-    best, step = 0, None
-    ordered = sorted(target, key=lambda i: lengths[i])
-    sizes = [lengths[i] for i in ordered]
-    for i in source:
-        size = lengths[i]
-        if best < size <= room:
-            best, step = size, ([i], [])
-        # One for one: the smallest of the target's items that is at least size - room long.
-        at = bisect_left(sizes, size - room)
-        if at < len(sizes) and best < size - sizes[at] <= room:
-            best, step = size - sizes[at], ([i], [ordered[at]])
-        # One for two of the target's items.
-        low, high = 0, len(sizes) - 1
-        while low < high:
-            gain = size - sizes[low] - sizes[high]
-            if gain > room:
-                low += 1
-            else:
-                if best < gain:
-                    best, step = gain, ([i], [ordered[low], ordered[high]])
-                high -= 1
-        if best == room:
-            break
-    # Two of the source's items for one of the target's.
-    for n, i in enumerate(source):
-        for j in source[n + 1 :]:
-            size = lengths[i] + lengths[j]
-            at = bisect_left(sizes, size - room)
-            if at < len(sizes) and best < size - sizes[at] <= room:
-                best, step = size - sizes[at], ([i, j], [ordered[at]])
-        if best == room:
-            break
-    return step
+                number, going = number + 1, True
+                held.apply(source, found, number)
+                alive -= not held.items[source]
+    return [[i for group in sizes.values() for i in group] for sizes in held.items if sizes]
 
 
 def pack_lengths(lengths: list[int], capacity: int) -> list[list[int]]:

@@ -272,6 +272,30 @@ def test_swaps_empty_bins_that_best_fit_leaves():
         assert all(sum(lengths[i] for i in b) <= 4096 for b in bins)
 
 
+def steps_left(bins, lengths, capacity):
+    """Pairs of underfull bins between which a move or a swap of one for one, one for two or two for one is left."""
+    bins = [[lengths[i] for i in b] for b in bins]
+    found = 0
+    for source, target in itertools.permutations([b for b in bins if sum(b) < capacity], 2):
+        room = capacity - sum(target)
+        gives = [source, [a + b for a, b in itertools.combinations(source, 2)]]
+        takes = [[0, *target], [a + b for a, b in itertools.combinations(target, 2)]]
+        gains = {a - b for i, j in ((0, 0), (0, 1), (1, 0)) for a in gives[i] for b in takes[j]}
+        found += sum(target) >= sum(source) and any(0 < g <= room for g in gains)
+    return found
+
+
+@pytest.mark.parametrize("low, high", [(1100, 1600), (900, 2600), (2049, 2300), (10, 1500)])
+def test_the_search_ends_only_where_no_step_is_left(low, high):
+    rng = random.Random(1)
+    lengths = [rng.randint(low, high) for _ in range(400)]
+    first = packing.best_fit(lengths, 4096)
+    bins = packing.swap_search(first, lengths, 4096)
+    assert sorted(i for b in bins for i in b) == list(range(400)) and all(sum(lengths[i] for i in b) <= 4096 for b in bins)
+    least = -(-sum(lengths) // 4096)
+    assert len(bins) <= len(first) and (len(bins) == least or steps_left(bins, lengths, 4096) == 0)
+
+
 def odd_texts():
     rng = random.Random(3)
     letters = "ab  \n\t'sdéß中文١²ªº ▁<|endoftext|>İΣς​\x1c\x85\xa0　é🎉don't WE'LL 1234 $$$ <s>"
