@@ -80,8 +80,19 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else next(others) for b in range(256)]
 
 
+def _narrow(ids: bytes) -> bytes:
+    """Little-endian unsigned 32-bit ids, as 16-bit ones where all are below 65,536: half the bytes to write and shuffle."""
+    values = np.frombuffer(ids, "<u4")
+    return values.astype("<u2").tobytes() if values.max() < 1 << 16 else ids
+
+
+def _wide(ids: bytes, length: int) -> bytes:
+    """The 32-bit ids that ``_narrow`` was given."""
+    return np.frombuffer(ids, "<u2").astype("<u4").tobytes() if len(ids) == 2 * length else ids
+
+
 def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Token pieces of whole texts: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), and the task and its row that made them.
+    """Token pieces of whole texts: doc_id, piece, start, length, ids (see ``_narrow``), and the task and its row that made them.
 
     A document's ids are those of its text (null: empty) and ``end_id``. Only documents of over
     ``capacity`` ids are cut, all pieces but the last being full. Tokenises without moving texts.
@@ -105,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                 ids = tokens.ids(value.as_py() or "") + end
                 for k, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
-                    out.append((key, k, at // 4, len(part) // 4, part, task, row))
+                    out.append((key, k, at // 4, len(part) // 4, _narrow(part), task, row))
                     held += len(part)
                     if held > HELD_BYTES:
                         yield made(out)
@@ -364,7 +375,7 @@ def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         yield made()
                         held = 0
                 current, parts, places = sequence, [], []
-            parts.append(ids)
+            parts.append(_wide(ids, length))
             places.append({"doc_id": key, "piece": piece, "start": start, "length": length, "offset": offset})
             held += len(ids)
     if current is not None:

@@ -272,6 +272,13 @@ def test_swaps_empty_bins_that_best_fit_leaves():
         assert all(sum(lengths[i] for i in b) <= 4096 for b in bins)
 
 
+def test_ids_are_narrowed_without_loss():
+    for ids in ([1], [0, 65_535], [0, 65_536], [2**32 - 1] * 3):
+        plain = np.array(ids, "<u4").tobytes()
+        narrow = packing._narrow(plain)
+        assert packing._wide(narrow, len(ids)) == plain and len(narrow) == (2 if max(ids) < 65_536 else 4) * len(ids)
+
+
 def steps_left(bins, lengths, capacity):
     """Pairs of underfull bins between which a move or a swap of one for one, one for two or two for one is left."""
     bins = [[lengths[i] for i in b] for b in bins]
