@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import ann, chat, exact, language, mixing, near, packing, secrets, sharding, tokens
+from rowloom.llm import ann, bpe, chat, exact, language, mixing, near, packing, secrets, sharding, tokens
 from rowloom.llm.common import table
 from rowloom.session import scratch_path
 
@@ -136,3 +136,16 @@ def reply_trees(spark: SparkSession, folder: str) -> DataFrame:
     trees = chat.reply_trees(turns.unionByName(trap), "conv_id", "turn")
     messages = trees.withColumnRenamed("conv_id", "tree").withColumn("score", F.lit(0.0))
     return chat.read_back(chat.conversations(messages))
+
+
+@query("op12_byte_bpe")
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of every document, decoded again; ``n_split`` counts the tokens that begin inside a character."""
+    import public_tokenizers
+
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    rows = bpe.decode(bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    split = F.size("starts") - F.size(F.array_distinct("starts"))
+    return rows.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), split.cast("bigint").alias("n_split")
+    )
