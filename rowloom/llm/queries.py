@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import ann, bpe, chat, exact, language, mixing, near, packing, secrets, sharding, tokens
+from rowloom.llm import ann, bpe, chat, exact, language, mixing, near, packing, secrets, sharding, spelling, tokens
 from rowloom.llm.common import table
 from rowloom.session import scratch_path
 
@@ -138,6 +138,13 @@ def reply_trees(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.conversations(messages))
 
 
+@query("op11_pivotal_grams")
+def pivotal_grams(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of all documents, some of them misspelled by a rule, with their near words and forms."""
+    found = spelling.runs(table(spark, folder, "documents"))
+    return spelling.variants(spelling.counted(found.select(spelling.misspelled(F.col("doc_id"), F.col("run")).alias("word"))))
+
+
 @query("op12_byte_bpe")
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """The ids of every document, decoded again; ``n_split`` counts the tokens that begin inside a character."""
