@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import ann, bpe, chat, exact, language, mixing, near, packing, secrets, sharding, spelling, tokens
+from rowloom.llm import ann, bpe, chat, exact, language, mixing, near, packing, secrets, sharding, spelling, tokens, trie
 from rowloom.llm.common import table
 from rowloom.session import scratch_path
 
@@ -156,3 +156,40 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), split.cast("bigint").alias("n_split")
     )
+
+
+# The CRC-32 of a decimal number, bit by bit: a byte is taken in, then shifted out.
+_CRC = """xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+        lambda s: [ascii(s)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+        lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295)"""
+
+
+# In SQL, every prefix of every rebuilt conversation is a list, and subtrees are found by joining each node to all above it.
+@query(
+    "op13_prefix_trie",
+    f"""
+    WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place,
+        {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS turn FROM conversations WHERE conv_id IS NOT NULL),
+    lists AS (SELECT conv_id, list(turn ORDER BY place) AS turns FROM t GROUP BY conv_id),
+    plan AS (SELECT l.conv_id, l.turns, coalesce(b.turns, []) AS head, crc_h AS h FROM
+        (SELECT *, {_CRC} % 9 AS crc_h, conv_id - conv_id % 5 AS base FROM lists) l LEFT JOIN lists b ON b.conv_id = l.base),
+    r AS (SELECT conv_id, list_concat(head[1:h], turns[h + 1:]) AS turns FROM plan),
+    steps AS (SELECT conv_id, d, turns[1:d] AS node, turns[d].text AS text, len(turns) = d AS ends
+        FROM r, unnest(range(len(turns) + 1)) AS x(d)),
+    nodes AS (SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs, strlen(coalesce(any_value(text), '')) AS size,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM steps GROUP BY d, node),
+    kids AS (SELECT d - 1 AS d, node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+    own AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (d, node)),
+    above AS (SELECT u AS d, node[1:u] AS node, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+        FROM own, unnest(range(d + 1)) AS x(u) GROUP BY ALL)
+    SELECT o.conv_id, o.d AS depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, a.n_leaves::BIGINT AS n_leaves,
+        a.saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
+    FROM own o JOIN above a USING (d, node) LEFT JOIN nodes p ON p.d = o.d - 1 AND p.node = o.node[1:o.d - 1]
+    """,
+)
+def prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt so that some begin alike."""
+    turns = trie.numbered_turns(table(spark, folder, "conversations"))
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % trie.HEADS
+    return trie.trie(*trie.grafted(turns, F.col("conv_id") - F.col("conv_id") % 5, heads))
