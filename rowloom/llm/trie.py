@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import empty_if_null
@@ -136,71 +136,68 @@ def subtree_totals(nodes: DataFrame, values: list[str]) -> DataFrame:
     Nothing is gathered: a parent's children meet in sums that are taken before the shuffle too.
     """
     a, b, up = F.col("a"), F.col("b"), F.col("up_a").isNotNull()
-    zero = F.lit(0).cast("bigint")
+    zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
+    links = [f"link_{v}" for v in values]
     kids = nodes.where(up).groupBy(F.col("up_a").alias("a"), F.col("up_b").alias("b")).agg(
         F.count("*").alias("k"), F.bit_xor("a").alias("kid_a"), F.bit_xor("b").alias("kid_b")
     )
-    state = nodes.select("a", "b", "up_a", "up_b", *values, *[zero.alias(f"link_{v}") for v in values]).join(kids, ["a", "b"], "left")
-    state = materialise(state.fillna(0, ["k", "kid_a", "kid_b"]), "contraction")
-    raked, spliced, turn = [], [], 0
+    state = nodes.select("a", "b", "up_a", "up_b", *values, *[zero.alias(link) for link in links]).join(kids, ["a", "b"], "left").fillna(0, ["k", "kid_a", "kid_b"])
+    # Per round: the nodes raked before it, those spliced out in it and those that stay, written as one table.
+    rounds: list[tuple[DataFrame, int]] = []
     while True:
-        turn += 1
+        turn = len(rounds) + 1
         # Rake.
         ends = state.where(F.col("k") == 0)
-        raked.append(ends.select("a", "b", *values))
         given = ends.where(up).groupBy(F.col("up_a").alias("a"), F.col("up_b").alias("b")).agg(
             F.count("*").alias("__k"), F.bit_xor("a").alias("__a"), F.bit_xor("b").alias("__b"),
             *[F.sum(F.col(v) + F.col(f"link_{v}")).alias(f"__{v}") for v in values],
         )
-        left = state.where(F.col("k") > 0).join(given, ["a", "b"], "left").fillna(0, ["__k", "__a", "__b", *[f"__{v}" for v in values]])
+        left = state.join(given, ["a", "b"], "left").fillna(0, ["__k", "__a", "__b", *[f"__{v}" for v in values]])
         left = left.select(
-            "a", "b", "up_a", "up_b", *[(F.col(v) + F.col(f"__{v}")).alias(v) for v in values], *[f"link_{v}" for v in values],
+            "a", "b", "up_a", "up_b", (F.col("k") == 0).alias("raked"), *[(F.col(v) + F.col(f"__{v}")).alias(v) for v in values], *links,
             (F.col("k") - F.col("__k")).alias("k"), F.col("kid_a").bitwiseXOR(F.col("__a")).alias("kid_a"), F.col("kid_b").bitwiseXOR(F.col("__b")).alias("kid_b"),
         )
         # Compress.
         mine = _priority(a, b, turn)
         above = (mine > _priority(F.col("up_a"), F.col("up_b"), turn)) & (mine > _priority(F.col("kid_a"), F.col("kid_b"), turn))
-        state = materialise(left.withColumn("out", up & (F.col("k") == 1) & above), "contraction")
-        gone = state.where("out")
-        to_kid = gone.select(
-            F.col("kid_a").alias("a"), F.col("kid_b").alias("b"), F.col("up_a").alias("to_a"), F.col("up_b").alias("to_b"),
-            zero.alias("x_a"), zero.alias("x_b"), *[(F.col(v) + F.col(f"link_{v}")).alias(f"__{v}") for v in values],
-        )
-        none = F.lit(None).cast("bigint")
-        to_parent = gone.select(
-            F.col("up_a").alias("a"), F.col("up_b").alias("b"), none.alias("to_a"), none.alias("to_b"),
-            a.bitwiseXOR(F.col("kid_a")).alias("x_a"), b.bitwiseXOR(F.col("kid_b")).alias("x_b"), *[zero.alias(f"__{v}") for v in values],
-        )
-        told = to_kid.unionByName(to_parent).groupBy("a", "b").agg(
-            F.max("to_a").alias("to_a"), F.max("to_b").alias("to_b"), F.bit_xor("x_a").alias("x_a"), F.bit_xor("x_b").alias("x_b"),
-            *[F.sum(f"__{v}").alias(f"__{v}") for v in values],
-        )
-        counts = state.agg(F.count("*"), F.count_if("out")).first()
-        if counts[0] == 0:
+        out = up & ~F.col("raked") & (F.col("k") == 1) & above
+        seen = Observation()
+        table = left.withColumn("out", out).observe(seen, F.count_if(~F.col("raked")).alias("left"), F.count_if("out").alias("out"))
+        table = materialise(table, "contraction")
+        rounds.append((table, seen.get["out"]))
+        if not seen.get["left"]:
             break
-        if counts[1]:
-            # What a spliced node has gathered, beside its child's link at that time.
-            links = state.select(F.col("a").alias("kid_a"), F.col("b").alias("kid_b"), *[F.col(f"link_{v}").alias(f"__{v}") for v in values])
-            held = gone.join(links, ["kid_a", "kid_b"]).select("a", "b", "kid_a", "kid_b", *[(F.col(v) + F.col(f"__{v}")).alias(v) for v in values])
-            spliced.append(materialise(held, "spliced"))
-            stay = state.where(~F.col("out")).drop("out").join(told, ["a", "b"], "left").fillna(0, ["x_a", "x_b", *[f"__{v}" for v in values]])
-            state = materialise(
-                stay.select(
-                    "a", "b", F.coalesce("to_a", "up_a").alias("up_a"), F.coalesce("to_b", "up_b").alias("up_b"), *values,
-                    *[(F.col(f"link_{v}") + F.col(f"__{v}")).alias(f"link_{v}") for v in values], "k",
-                    F.col("kid_a").bitwiseXOR(F.col("x_a")).alias("kid_a"), F.col("kid_b").bitwiseXOR(F.col("x_b")).alias("kid_b"),
-                ),
-                "contraction",
+        gone, state = table.where("out"), table.where(~F.col("raked") & ~F.col("out")).drop("raked", "out")
+        if seen.get["out"]:
+            to_kid = gone.select(
+                F.col("kid_a").alias("a"), F.col("kid_b").alias("b"), F.col("up_a").alias("to_a"), F.col("up_b").alias("to_b"),
+                zero.alias("x_a"), zero.alias("x_b"), *[(F.col(v) + F.col(f"link_{v}")).alias(f"__{v}") for v in values],
+            )
+            to_parent = gone.select(
+                F.col("up_a").alias("a"), F.col("up_b").alias("b"), none.alias("to_a"), none.alias("to_b"),
+                a.bitwiseXOR(F.col("kid_a")).alias("x_a"), b.bitwiseXOR(F.col("kid_b")).alias("x_b"), *[zero.alias(f"__{v}") for v in values],
+            )
+            told = to_kid.unionByName(to_parent).groupBy("a", "b").agg(
+                F.max("to_a").alias("to_a"), F.max("to_b").alias("to_b"), F.bit_xor("x_a").alias("x_a"), F.bit_xor("x_b").alias("x_b"),
+                *[F.sum(f"__{v}").alias(f"__{v}") for v in values],
+            )
+            state = state.join(told, ["a", "b"], "left").fillna(0, ["x_a", "x_b", *[f"__{v}" for v in values]]).select(
+                "a", "b", F.coalesce("to_a", "up_a").alias("up_a"), F.coalesce("to_b", "up_b").alias("up_b"), *values,
+                *[(F.col(f"link_{v}") + F.col(f"__{v}")).alias(f"link_{v}") for v in values], "k",
+                F.col("kid_a").bitwiseXOR(F.col("x_a")).alias("kid_a"), F.col("kid_b").bitwiseXOR(F.col("x_b")).alias("kid_b"),
             )
-        else:
-            state = state.drop("out")
-    totals = raked[0]
-    for more in raked[1:]:
-        totals = totals.unionByName(more)
-    for held in reversed(spliced):
-        below = totals.select(F.col("a").alias("kid_a"), F.col("b").alias("kid_b"), *[F.col(v).alias(f"__{v}") for v in values])
-        back = held.join(below, ["kid_a", "kid_b"]).select("a", "b", *[(F.col(v) + F.col(f"__{v}")).alias(v) for v in values])
-        totals = totals.unionByName(materialise(back, "expanded"))
+    # Expand. A spliced node's child ended in a later round; what rounds still hold shrinks by a constant factor, and so do these joins.
+    totals = None
+    for table, n in reversed(rounds):
+        if n:
+            kid = [F.col("a").alias("kid_a"), F.col("b").alias("kid_b")]
+            below = totals.select(*kid, *[F.col(v).alias(f"__{v}") for v in values])
+            link = table.select(*kid, *[F.col(link).alias(f"__{link}") for link in links])
+            held = table.where("out").select("a", "b", "kid_a", "kid_b", *values).join(link, ["kid_a", "kid_b"]).join(below, ["kid_a", "kid_b"])
+            back = held.select("a", "b", *[(F.col(v) + F.col(f"__link_{v}") + F.col(f"__{v}")).alias(v) for v in values])
+            totals = totals.unionByName(materialise(back, "expanded"))
+        raked = table.where("raked").select("a", "b", *values)
+        totals = raked if totals is None else totals.unionByName(raked)
     return totals
 
 
