@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import worker_state
+from rowloom.llm.common import slices, worker_state
 
 # Characters that one call of the library gets, but for a longer stretch without a blank.
 CALL_CHARS = 500_000
@@ -76,18 +76,6 @@ def tokenizer(ranks: dict[bytes, int], pattern: str):
     return made
 
 
-def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows whose sizes sum up to at most ``most``, or of one row."""
-    at = 0
-    while at < len(sizes):
-        stop, total = at + 1, sizes[at]
-        while stop < len(sizes) and total + sizes[stop] <= most:
-            total += sizes[stop]
-            stop += 1
-        yield at, stop
-        at = stop
-
-
 class Encoder:
     """Ids and offsets of whole texts, equal to those of the library over each of them.
 

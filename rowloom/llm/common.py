@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -42,24 +42,48 @@ def worker_state(name: str, make: Callable[[], Any], version: Any = None) -> Any
     return held[1]
 
 
+def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes sum up to at most ``most``, or of one row."""
+    at = 0
+    while at < len(sizes):
+        stop, total = at + 1, sizes[at]
+        while stop < len(sizes) and total + sizes[stop] <= most:
+            total += sizes[stop]
+            stop += 1
+        yield at, stop
+        at = stop
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until ``docs`` has no column of that name in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def uniform(*columns: Column | str) -> Column:
     """A number in [0, 1) of 40 bits that depends on nothing but the values."""
     return F.pmod(F.shiftrightunsigned(F.xxhash64(*columns), 8), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    """A key that rows share only if both their id and their text are equal. Null text is empty."""
-    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), F.sha2(empty_if_null(text), 256))
+def row_key(doc_id: Column, text: Column, source: Column | None = None) -> Column:
+    """A key that rows share only if their id and text are equal, and their source if one is given. Null text is empty."""
+    parts = [F.coalesce(doc_id.cast("string"), F.lit("null")), F.sha2(empty_if_null(text), 256)]
+    if source is not None:
+        parts.append(F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null")))
+    return F.concat_ws(":", *parts)
 
 
-def copies_of(docs: DataFrame, copies: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def copies_of(docs: DataFrame, copies: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str | None = None) -> DataFrame:
     """The rows of ``docs`` as often as ``copies`` (columns ``key`` by ``row_key``, ``n``) says, all columns kept.
 
-    Keys that are not listed are dropped. Rows equal in id and text count as one row, so
+    Keys that are not listed are dropped. Rows with the same key count as one row, so
     ``n`` is meant for all of them; which of their other columns stay is open.
     """
-    key, n = "__llm_key", "__llm_n"
-    once = docs.withColumn(key, row_key(F.col(doc_id), F.col(text))).dropDuplicates([key])
+    key, n = free_name(docs, "__llm_key"), free_name(docs, "__llm_n")
+    named = row_key(F.col(doc_id), F.col(text), F.col(source) if source else None)
+    once = docs.withColumn(key, named).dropDuplicates([key])
     wanted = copies.where(F.col("n") > 0).select(F.col("key").alias(key), F.col("n").alias(n))
     repeat = F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))
     return once.join(wanted, key).withColumn(n, repeat).select(*[F.col(f"`{c}`") for c in docs.columns])

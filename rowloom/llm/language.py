@@ -12,10 +12,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import uniform, worker_state
+from rowloom.llm.common import free_name, slices, uniform, worker_state
 
 # The fit's bounds: documents per language, characters taken from each, and training sequences.
 SAMPLE_DOCS = 1_000
@@ -23,8 +24,10 @@ SAMPLE_CHARS = 2_000
 SEQUENCES = 12_000
 SEQUENCE_WORDS = 24
 SLOTS = 1 << 17
-# Words whose scores a worker remembers; others are scored anew.
-REMEMBERED = 300_000
+# Words whose scores a worker remembers, about 250 bytes each; others are scored anew.
+REMEMBERED = 200_000
+# UTF-8 bytes of text that are labelled at a time, but for a longer text.
+SLICE_BYTES = 1_000_000
 UNKNOWN = "und"
 # Most letters of a word; what is longer is no word of a language, and is cut into several.
 WORD_LETTERS = 24
@@ -61,9 +64,25 @@ class Field:
     lexicon: dict[str, int]
     weights: np.ndarray
     moves: np.ndarray
+    usual: Familiarity | None = None
     known: dict[str, int] = field(default_factory=dict)
     scores: list[np.ndarray] = field(default_factory=list)
 
+    @property
+    def width(self) -> int:
+        return len(self.languages) + (2 if self.usual else 0)
+
+    def word_rows(self, words: list[str]) -> np.ndarray:
+        """What is remembered of each word: its scores, and its likelihood by letter and its letters if that is asked. No numbers if it holds no letter."""
+        # What only looks like a word, as superscripts do, has no language.
+        letters = np.array([any(c.isalpha() for c in w) for w in words], bool)
+        rows = self.word_scores(words)
+        if self.usual:
+            spelled = np.array([(self.usual.likelihood(w) / (len(w) + 1), len(w) + 1) for w in words], np.float32)
+            rows = np.concatenate((rows, spelled), axis=1)
+        rows[~letters] = np.nan
+        return rows
+
     def word_scores(self, words: list[str]) -> np.ndarray:
         """One row of scores per word."""
         slots, starts = [], []
@@ -192,37 +211,19 @@ def fit(samples: list[tuple[str, str]], seed: int = 11, epochs: int = 4) -> Fiel
     return model
 
 
-def label_texts(model: Field, texts: list[str | None]) -> tuple[list[str], list[float]]:
-    """Language and score of each text: the language with the largest posterior mass over its words, and its share."""
+def label_texts(model: Field, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+    """Language, score and strangeness of each text.
+
+    The language is the one with the largest posterior mass over the text's words, the score its share. The
+    strangeness is that of ``Familiarity``, infinite without words, 0 if the model has none.
+    """
     words = [words_of(t) if t else [] for t in texts]
-    flat = [w for ws in words for w in ws]
-    known = model.known
-    ids = np.fromiter((known.get(w, -1) for w in flat), dtype=np.int64, count=len(flat))
-    held = worker_scores(model)
-    fresh = np.flatnonzero(ids == -1)
-    if len(fresh):
-        new = list({flat[i]: None for i in fresh.tolist()})
-        at = {w: i for i, w in enumerate(new)}
-        # What only looks like a word, as superscripts do, has no language.
-        letters = np.array([any(c.isalpha() for c in w) for w in new])
-        rows = model.word_scores(new)
-        rows[~letters] = np.nan
-        if len(known) + len(new) <= REMEMBERED:
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            held = worker_scores(model, rows)
-            ids[fresh] = [known[flat[i]] for i in fresh.tolist()]
-            scores = held[ids]
-        else:
-            scores = np.empty((len(flat), len(model.languages)), np.float32)
-            old = ids >= 0
-            scores[old] = held[ids[old]]
-            scores[fresh] = rows[[at[flat[i]] for i in fresh.tolist()]]
-    else:
-        scores = held[ids]
     ends = np.cumsum([0] + [len(w) for w in words])
+    scores, ids = _rows_of(model, [w for ws in words for w in ws])
     good = ~np.isnan(scores[:, 0]) if len(scores) else np.zeros(0, bool)
     spans = [np.flatnonzero(good[a:b]) + a for a, b in zip(ends, ends[1:], strict=False)]
-    mass = np.zeros((len(texts), len(model.languages)))
+    labels = len(model.languages)
+    mass = np.zeros((len(texts), labels))
     order = sorted(range(len(texts)), key=lambda i: -len(spans[i]))
     order = [i for i in order if len(spans[i])]
     at = 0
@@ -232,21 +233,45 @@ def label_texts(model: Field, texts: list[str | None]) -> tuple[list[str], list[
         group = order[at : at + max(1, min(256, 400_000 // longest))]
         at += len(group)
         lengths = np.array([len(spans[i]) for i in group])
-        block = np.zeros((longest, len(group), len(model.languages)), np.float32)
+        block = np.zeros((longest, len(group), labels), np.float32)
         for b, i in enumerate(group):
-            block[: lengths[b], b] = scores[spans[i]]
+            block[: lengths[b], b] = scores[spans[i], :labels]
         mass[group] = marginals(*forward_backward(block, lengths, model.moves)[:2]).sum(axis=0)
     best = mass.argmax(axis=1)
     total = mass.sum(axis=1)
     languages = [model.languages[b] if t > 0 else UNKNOWN for b, t in zip(best.tolist(), total.tolist(), strict=True)]
     shares = np.divide(mass.max(axis=1), total, out=np.zeros(len(texts)), where=total > 0)
-    return languages, np.clip(shares, 0.0, 1.0).tolist()
+    strange = [0.0] * len(texts)
+    if model.usual:
+        for i, span in enumerate(spans):
+            _, first, counts = np.unique(ids[span], return_index=True, return_counts=True)
+            rows = scores[span[first], labels:].astype(np.float64)
+            strange[i] = model.usual.apartness(rows[:, 0], rows[:, 1] * counts) if len(span) else math.inf
+    return languages, np.clip(shares, 0.0, 1.0).tolist(), strange
+
+
+def _rows_of(model: Field, flat: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The row of each word (see ``Field.word_rows``) and a number that equal words share. Keeps rows while there is room."""
+    known, fresh = model.known, {}
+    ids = np.fromiter((known[w] if w in known else fresh.setdefault(w, REMEMBERED + len(fresh)) for w in flat), np.int64, len(flat))
+    held = worker_scores(model)
+    if not fresh:
+        return held[ids], ids
+    rows = model.word_rows(list(fresh))
+    new = ids >= REMEMBERED
+    scores = np.empty((len(flat), model.width), np.float32)
+    scores[~new] = held[ids[~new]]
+    scores[new] = rows[ids[new] - REMEMBERED]
+    if len(known) + len(fresh) <= REMEMBERED:
+        known.update(zip(fresh, range(len(known), len(known) + len(fresh)), strict=True))
+        worker_scores(model, rows)
+    return scores, ids
 
 
 def worker_scores(model: Field, more: np.ndarray | None = None) -> np.ndarray:
-    """The remembered words' scores, in an array that doubles as it grows."""
+    """The remembered words' rows, in an array that doubles as it grows."""
     if not model.scores:
-        model.scores = [np.empty((1024, len(model.languages)), np.float32), np.zeros(1, np.int64)]
+        model.scores = [np.empty((1024, model.width), np.float32), np.zeros(1, np.int64)]
     table, used = model.scores
     if more is not None:
         need = int(used[0]) + len(more)
@@ -271,7 +296,6 @@ class Familiarity:
         self.grams = grams if grams is not None else self._runs()
         self.letters = sum(n for g, n in self.grams.items() if len(g) == 1 and g != "^")
         self.center = self.apart = self.within = self.limit = 0.0
-        self.known: dict[str, float] = {}
 
     def _runs(self) -> Counter:
         """Runs of up to three letters, with the marks of a word's start and end."""
@@ -283,37 +307,31 @@ class Familiarity:
                     grams[marked[i : i + size]] += n
         return Counter(grams)
 
-    def word(self, word: str) -> float:
+    def likelihood(self, word: str) -> float:
         """The logarithm of a word's likelihood."""
-        if word in self.known:
-            return self.known[word]
         marked, grams, spelled = f"^{word}$", self.grams, 0.0
         for i in range(1, len(marked)):
             chance = (grams[marked[i]] + 0.01) / (self.letters + 1000)
             for lo in range(i - 1, max(0, i - 2) - 1, -1):
                 chance = (grams[marked[lo : i + 1]] + 2 * chance) / (grams[marked[lo:i]] + 2)
             spelled += math.log(chance)
-        value = float(np.logaddexp(math.log(self.words[word] / self.total), spelled)) - math.log(2) if word in self.words else spelled - math.log(2)
-        if len(self.known) < REMEMBERED:
-            self.known[word] = value
-        return value
+        if word in self.words:
+            spelled = float(np.logaddexp(math.log(self.words[word] / self.total), spelled))
+        return spelled - math.log(2)
 
     def text(self, words: list[str]) -> tuple[float, float, float]:
         """The mean by letter, the number of words that it rests on (a repeated one counts as one), and the words' variance."""
         counts = Counter(words)
         sizes = np.array([(len(w) + 1) * n for w, n in counts.items()], dtype=np.float64)
-        values = np.array([self.word(w) / (len(w) + 1) for w in counts])
+        values = np.array([self.likelihood(w) / (len(w) + 1) for w in counts])
         mean = float((values * sizes).sum() / sizes.sum())
         return mean, float(sizes.sum() ** 2 / (sizes**2).sum()), float((sizes * (values - mean) ** 2).sum() / sizes.sum())
 
-    def strangeness(self, words: list[str]) -> float:
-        """By how many deviations of texts of this length a text lies below the learned ones."""
-        mean, n, _ = self.text(words)
-        return (self.center - mean) / math.sqrt(self.apart + self.within / n)
-
-    def familiar(self, text: str | None) -> bool:
-        words = letters_of(text)
-        return bool(words) and self.strangeness(words) <= self.limit
+    def apartness(self, values: np.ndarray, sizes: np.ndarray) -> float:
+        """By how many deviations of texts of this length a text lies below the learned ones, by its distinct words' likelihoods and letters."""
+        total = sizes.sum()
+        mean, n = (values * sizes).sum() / total, total**2 / (sizes**2).sum()
+        return float((self.center - mean) / math.sqrt(self.apart + self.within / n))
 
 
 def letters_of(text: str | None) -> list[str]:
@@ -359,49 +377,57 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", seed: int = 11) -> list[tuple[str, str]]:
     """Texts and languages of labelled documents that are not held out: see the bounds at the top.
 
-    Documents are drawn per language by a hash of id and text; of each, a stretch at a place that the hash sets.
+    Distinct documents are drawn per language by a hash of id and text, at most ``SAMPLE_DOCS`` of each, so
+    repeated rows count once; of each, a stretch at a place that the hash sets.
     """
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(doc_id)))
     usable = usable.select(F.col(lang).alias("lang"), F.col(text).alias("text"), uniform(F.lit(seed), F.col(doc_id), F.col(text)).alias("u"))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
+    distinct = usable.select("lang", "u").distinct()
+    counts = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
     if not counts:
         return []
-    rates = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, SAMPLE_DOCS / n)])
+    # Somewhat more than are kept, so that a language with enough documents rarely has fewer.
+    rates = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, 1.2 * SAMPLE_DOCS / n)])
     at = F.floor(F.pmod(F.col("u") * 1e6, F.lit(1.0)) * F.greatest(F.lit(0), F.length("text") - SAMPLE_CHARS)).cast("int")
-    drawn = usable.where(F.col("u") < rates[F.col("lang")]).select(F.col("text").substr(at + 1, F.lit(SAMPLE_CHARS)).alias("text"), "lang")
-    rows = drawn.orderBy("lang", "text").limit(2 * SAMPLE_DOCS * len(counts)).collect()
-    return [(r["text"], r["lang"]) for r in rows]
+    drawn = usable.where(F.col("u") < rates[F.col("lang")]).select(F.col("text").substr(at + 1, F.lit(SAMPLE_CHARS)).alias("text"), "lang", "u")
+    order = Window.partitionBy("lang").orderBy("u", "text")
+    kept = drawn.dropDuplicates(["lang", "u"]).withColumn("at", F.row_number().over(order)).where(F.col("at") <= SAMPLE_DOCS)
+    return [(r["text"], r["lang"]) for r in sorted(kept.select("lang", "text").collect())]
 
 
-def predict(docs: DataFrame, model: Field | None, text: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with ``__llm_lang`` and ``__llm_score``, from whole texts alone.
+def predict(docs: DataFrame, model: Field | None, text: str = "text", names: tuple[str, str, str] = ("__llm_lang", "__llm_score", "__llm_strange")) -> DataFrame:
+    """All rows and columns of ``docs`` with language, score and strangeness (see ``label_texts``) as ``names``, from whole texts alone.
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything without a
-    model. Nothing is shuffled; the model, of fixed size but for its sample's lexicon, is sent to each executor once.
+    model. Repeated rows come back one by one with equal results; an empty table stays empty. Long texts are
+    read whole, one at a time. The names must not be columns of ``docs``. Nothing is shuffled; the model, of fixed size but for its sample's lexicon
+    and words, is sent to each executor once, and texts are cut into words once for all three results.
     """
     if model is None:
-        return docs.withColumn("__llm_lang", F.lit(UNKNOWN)).withColumn("__llm_score", F.lit(0.0))
-    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.lexicon, model.weights, model.moves))
-    version = zlib.crc32(model.weights.tobytes())
+        return docs.select("*", F.lit(UNKNOWN).alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(0.0).alias(names[2]))
+    usual = model.usual
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.lexicon, model.weights, model.moves, usual))
+    version = zlib.crc32(model.weights.tobytes()), usual and (usual.total, usual.center, usual.apart, usual.within, usual.limit)
 
     def label(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = worker_state("language_field", lambda: Field(*sent.value), version)
         for batch in texts:
-            languages, shares = [], []
-            for at in range(0, len(batch), 512):
-                some = label_texts(known, batch.slice(at, 512).to_pylist())
-                languages += some[0]
-                shares += some[1]
-            yield pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(shares, pa.float64())], names=["lang", "score"])
+            made = [[], [], []]
+            sizes = pc.binary_length(batch).fill_null(0).to_pylist()
+            for at, stop in slices(sizes, SLICE_BYTES):
+                for column, part in zip(made, label_texts(known, batch.slice(at, stop - at).to_pylist()), strict=True):
+                    column += part
+            yield pa.StructArray.from_arrays([pa.array(made[0], pa.string()), pa.array(made[1], pa.float64()), pa.array(made[2], pa.float64())], names=["lang", "score", "strange"])
 
-    found = F.arrow_udf(label, "lang string, score double")(F.col(text))
-    labelled = docs.withColumn("__llm_found", found)
-    return labelled.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__llm_found.lang").alias("__llm_lang"), F.col("__llm_found.score").alias("__llm_score"))
+    found = free_name(docs, "__llm_found")
+    labelled = docs.withColumn(found, F.arrow_udf(label, "lang string, score double, strange double")(F.col(text)))
+    fields = zip(("lang", "score", "strange"), names, strict=True)
+    return labelled.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"{found}.{f}").alias(n) for f, n in fields])
 
 
 def languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """All rows and columns of ``docs`` with ``__llm_lang`` and ``__llm_score``; see ``train`` and ``predict``."""
-    return predict(docs, train(docs, doc_id, text, lang), text)
+    return predict(docs, train(docs, doc_id, text, lang), text).drop("__llm_strange")
 
 
 def in_known_language(docs: DataFrame, least: float = 0.3, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -410,19 +436,14 @@ def in_known_language(docs: DataFrame, least: float = 0.3, doc_id: str = "doc_id
     Code-switched texts stay, as their largest part passes; rejected are null texts, texts without a
     letter, texts whose words are spread over several languages, and texts far less likely than the
     labelled ones (see ``Familiarity``), as those in languages that were not learned and random letters are.
+    Repeated rows are kept or rejected alike; without labelled documents, as of an empty table, all are rejected.
     """
     samples = sample(docs, doc_id, text, lang)
-    model, usual = (fit(samples, 11), fit_familiarity(samples)) if samples else (None, None)
-    found = predict(docs, model, text)
-    kept = found.where((F.col("__llm_lang") != UNKNOWN) & (F.col("__llm_score") >= least))
-    if usual is not None:
-        sent = docs.sparkSession.sparkContext.broadcast(usual)
-        version = zlib.crc32(repr((usual.total, usual.center, usual.apart, usual.within, usual.limit)).encode())
-
-        def check(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            known = worker_state("language_familiarity", lambda: sent.value, version)
-            for batch in texts:
-                yield pa.array([known.familiar(t.as_py()) for t in batch], pa.bool_())
-
-        kept = kept.where(F.arrow_udf(check, "boolean")(F.col(text)))
+    model = fit(samples, 11) if samples else None
+    if model:
+        model.usual = fit_familiarity(samples)
+    names = tuple(free_name(docs, n) for n in ("__llm_lang", "__llm_score", "__llm_strange"))
+    found = predict(docs, model, text, names)
+    limit = model.usual.limit if model and model.usual else 0.0
+    kept = found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least) & (F.col(names[2]) <= limit))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -13,6 +13,11 @@ MOST_COPIES = 3
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def word_count(text: Column) -> Column:
+    """The number of words of a text; null has none."""
+    return F.regexp_count(empty_if_null(text), F.lit(WORD)).cast("long")
+
+
 def targets(sources: DataFrame, weight: Column, budget: Column, most: int = MOST_COPIES) -> DataFrame:
     """Share ``budget`` among sources by weight, none above ``most`` times its size.
 
@@ -32,14 +37,42 @@ def targets(sources: DataFrame, weight: Column, budget: Column, most: int = MOST
     return levels.withColumn("target", target).drop("__w", "__cap", "__t", "__r", "__level")
 
 
+def _levels(rows: DataFrame, shares: DataFrame) -> DataFrame:
+    """Per source (``place``) the factor by which weights become expected copies: none above the most, words near the target.
+
+    The factor is what the target leaves beside the documents at the most, by the weighted words of the others.
+    Each pass adds the documents that the last factor lifts to the most; the passes end when none is added.
+    """
+    none = F.lit(None).cast("double")
+    state = small(shares.select("place", "target", none.alias("level"), F.lit(0).cast("long").alias("full"), F.lit(False).alias("done")), "mix-levels")
+    able = F.col("weight") > 0
+    while True:
+        weighed = rows.join(state, "place")
+        top = able & F.coalesce(F.col("weight") * F.col("level") >= MOST_COPIES, F.lit(False))
+        sums = weighed.groupBy("place").agg(
+            F.first("target").alias("target"), F.first("full").alias("before"), F.first("level").alias("last"), F.count_if(top).alias("full"),
+            F.sum(F.when(top, F.col("size")).otherwise(0)).alias("at_most"), F.sum(F.when(able, F.col("size")).otherwise(0)).alias("able"),
+            F.sum(F.when(top, 0.0).otherwise(F.col("weight") * F.col("size"))).alias("open"),
+        )
+        whole = (F.col("at_most") > 0) | (F.col("target") >= MOST_COPIES * F.col("able") * (1 - 1e-9))
+        level = F.when((F.col("open") > 0) & ((F.col("at_most") > 0) | ~whole), F.greatest(F.lit(0.0), (F.col("target") - MOST_COPIES * F.col("at_most")) / F.col("open")))
+        level = level.when(whole & (F.col("able") > 0), F.lit(float("inf"))).otherwise(0.0)
+        settled = F.col("last").isNotNull() & (F.col("full") <= F.col("before")) | (level == float("inf"))
+        state = small(sums.select("place", "target", level.alias("level"), "full", settled.alias("done")), "mix-levels")
+        if not state.where(~F.col("done")).limit(1).count():
+            return state.select("place", "level")
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weight: str | None = None, seed: int = 17) -> DataFrame:
     """How often each document goes into a mix that holds each source near its target of words.
 
     Sources in order of code points, null last, weigh 1, 2, 3 in turn and share the words of the whole
-    corpus; see ``targets`` for their caps. ``weight``, a positive column, makes documents of a source
+    corpus; see ``targets`` for their caps. ``weight``, a column, makes documents of a source
     more or less likely (null or not above 0: never); without it those of a source are equally likely.
 
-    A document's expected copies are its source's target by its size, times its weight. Their whole
+    A document's expected copies are its weight times a factor of its source, at most 3; with the factor
+    the expected words are the source's target, as far as documents with a weight can give it. Documents without words
+    are taken in whole copies only. Their whole
     part is certain. Of the rest, the inclusion probability p, the documents are ranked by the random
     odds u / (1 - u) divided by the inclusion odds p / (1 - p), and taken in that order until the
     source has the words that its target still lacks, as near as whole documents allow; u is a hash of
@@ -54,8 +87,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     plain = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
-        F.regexp_count(empty_if_null(F.col(text)), F.lit(WORD)).cast("long").alias("size"),
-        row_key(F.col(doc_id), F.col(text)).alias("key"),
+        word_count(F.col(text)).alias("size"),
+        row_key(F.col(doc_id), F.col(text), F.col(source)).alias("key"),
         F.when(tall > 0, tall).otherwise(0.0).alias("weight"),
     )
     # Equal rows are counted before the shuffle and numbered after it, so none of them is a hot key.
@@ -63,7 +96,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
     rows = materialise(rows.drop("n").withColumn("u", uniform(F.lit(seed), "key", "copy")), "mix-rows")
 
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("weight") * F.col("size")).alias("weighted"))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     # One row per source.
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     ranked = sizes.withColumn("__place", place).withColumn("__total", F.sum("source_size").over(Window.partitionBy()))
@@ -72,8 +105,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     named = shares.withColumnRenamed("source", "__source")
     joined = rows.join(named, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    expected = F.when(F.col("weighted") > 0, F.col("target") * F.col("weight") / F.col("weighted")).otherwise(0.0)
-    expected = F.least(F.lit(float(MOST_COPIES)), expected)
+    joined = joined.join(_levels(joined.select("place", "weight", "size"), shares), "place")
+    expected = F.when(F.col("weight") > 0, F.least(F.lit(float(MOST_COPIES)), F.col("weight") * F.col("level"))).otherwise(0.0)
     joined = joined.withColumn("whole", F.floor(expected + 1e-12)).withColumn("p", F.greatest(F.lit(0.0), expected - F.floor(expected + 1e-12)))
     odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
     ranking = joined.withColumn("rank", F.when(F.col("p") > 0, odds / (1 + odds)))
@@ -86,7 +119,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def mixed(docs: DataFrame, **names) -> DataFrame:
-    """The documents of the mix, each as often as ``mix`` says, with all columns of ``docs``."""
+    """The documents of the mix, each as often as ``mix`` says, with all columns of ``docs``.
+
+    ``names`` as for ``mix``. Null texts have no words; rows equal in id, text and source, null or not, give
+    their copies together, and which of their other columns stay is open. An empty table stays empty.
+    """
     counts = mix(docs, **names).groupBy("key").agg(F.sum("copies").alias("n"))
-    keep = {k: v for k, v in names.items() if k in ("doc_id", "text")}
-    return copies_of(docs, counts, **keep)
+    return copies_of(docs, counts, **{"source": "source"} | {k: v for k, v in names.items() if k in ("doc_id", "text", "source")})

@@ -44,8 +44,9 @@ def kd_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_pareto_mix")
 def pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
-    """The words that a mix of all sources takes of every document."""
-    rows = mixing.mix(table(spark, folder, "documents"))
+    """The words that a mix of all sources takes of every document; documents of n words are taken with odds by 1 / sqrt(n)."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    rows = mixing.mix(docs.withColumn("weight", 1 / F.sqrt(F.greatest(mixing.word_count(F.col("text")), F.lit(1)))), weight="weight")
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 

@@ -135,6 +135,30 @@ def test_mix_weights_lean_towards_heavy_documents(spark):
     assert got.where("doc_id = 9999").first().copies == 0
 
 
+def test_mix_inclusion_equals_the_expected_copies(spark):
+    # 360 sources with like documents are as many draws.
+    weights = [1.0, 1.0, 2.0, 2.0, 3.0, 4.0, 6.0, 8.0]
+    rows = [(i, "a b c d", f"{s:04}", w) for s in range(360) for i, w in enumerate(weights)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string, weight double"), weight="weight").collect()
+    for kind in range(3):
+        part = [r for r in got if int(r.source) % 3 == kind]
+        target, level = part[0].target / 4, 0.0
+        for _ in weights:
+            full = [w for w in weights if w * level >= 3]
+            level = (target - 3 * len(full)) / sum(weights[: len(weights) - len(full)])
+        for i, w in enumerate(weights):
+            taken = [r.copies for r in part if r.doc_id == i]
+            assert abs(sum(taken) / len(taken) - min(3.0, w * level)) < 0.13, (kind, i)
+
+
+def test_mixed_keeps_sources_apart(spark):
+    rows = [(i, "a b c", s) for i in range(40) for s in ("x", "y", None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumn("__llm_key", F.lit(1)).withColumn("__LLM_n", F.lit("z"))
+    counts = {(r.doc_id, r.source): r.copies for r in mixing.mix(frame).collect() if r.copies}
+    assert collections.Counter((r.doc_id, r.source) for r in mixing.mixed(frame).collect()) == counts
+    assert mixing.mixed(frame.limit(0)).count() == 0
+
+
 def test_mixed_rows(docs):
     counts = {r.doc_id: r.copies for r in mixing.mix(docs.where("doc_id < 150 and doc_id <> 80")).collect()}
     out = mixing.mixed(docs.where("doc_id < 150 and doc_id <> 80"))
@@ -530,7 +554,7 @@ def test_every_letter_of_a_long_run_counts():
         run = say("aa", n)
         words = language.words_of(run)
         assert "".join(words) == run and max(map(len, words)) <= 24 and min(map(len, words)) >= min(n, 12)
-    found, shares = language.label_texts(model, [say("aa", 30) + say("bb", 300), say("bb", 3000)])
+    found, shares, _ = language.label_texts(model, [say("aa", 30) + say("bb", 300), say("bb", 3000)])
     assert found == ["bb", "bb"] and 0.8 < shares[0] < 0.99
     assert language.words_of("short " + "ab" * 20) == ["short", "ab" * 10, "ab" * 10]
 
