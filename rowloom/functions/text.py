@@ -67,8 +67,8 @@ def last_path_segment(url: Column) -> Column:
 
 
 def rewrite_prefix(url: Column, old: str, new: str) -> Column:
-    """Replace a mirror's address by another one."""
-    return F.replace(url, F.lit(old), F.lit(new))
+    """Replace a mirror's address, at the start of ``url`` only, by another one."""
+    return F.when(F.startswith(url, F.lit(old)), F.concat(F.lit(new), F.substr(url, F.lit(len(old) + 1)))).otherwise(url)
 
 
 def status_matches(status: Column, wanted: str) -> Column:

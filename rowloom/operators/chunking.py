@@ -6,11 +6,13 @@ import warnings
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions import text as text_fn
 from rowloom.operators.groups import turn_part
+from rowloom.session import materialise
+from rowloom.sources.commits import CommittedTable
 
 
 def window_chunks(
@@ -61,12 +63,51 @@ def file_texts(files: DataFrame, decode: Callable[[bytes], str], content: str =
 def with_chunk_id(chunks: DataFrame, url: str = "url", pos: str = "pos", out: str = "id") -> DataFrame:
     """Add a 128-bit key in hex that depends on ``(url, pos)`` alone, so a re-run gives each chunk the same key.
 
-    A NULL address counts as empty. Index upkeep takes such keys as they are; searches want numbers, which the caller
-    keeps in a table beside the keys.
+    A NULL address counts as empty. Index upkeep takes such keys as they are; chunk tables and searches take the numbers
+    of ``with_chunk_number``.
     """
     return chunks.withColumn(out, F.md5(F.concat_ws("\n", F.coalesce(F.col(url), F.lit("")), F.col(pos))))
 
 
+# What a table of given numbers holds.
+NUMBERS = "url STRING, pos BIGINT, id BIGINT"
+
+
+def with_chunk_number(chunks: DataFrame, numbers: CommittedTable, url: str = "url", pos: str = "pos", out: str = "id") -> DataFrame:
+    """Add a dense 64-bit number that stays with ``(url, pos)``: the key of chunk tables, indexes and searches.
+
+    ``numbers`` (schema ``NUMBERS``) keeps what was given. Known places keep their number; new ones are ranged by address and position over
+    tasks, numbered in each, and shifted by the sizes of the slices before and the highest number given so far. Of two
+    runs at once, the one that commits second numbers its new places again. A NULL address counts as empty, a NULL position as -1;
+    rows of one place share its number.
+    """
+    place = [F.coalesce(F.col(url).cast("string"), F.lit("")).alias("_url"), F.coalesce(F.col(pos).cast("bigint"), F.lit(-1)).alias("_pos")]
+    keys = chunks.select(*place).distinct()
+    while True:
+        last, commits = numbers.log.last_number(), numbers.log.commits()
+        high = commits[-1][1]["high"] if commits else 0
+        known = numbers.read().select(F.col("url").alias("_url"), F.col("pos").alias("_pos"), "id")
+        new = keys.join(known, ["_url", "_pos"], "left_anti")
+        # Written, so that a row keeps its slice when a task is repeated.
+        ranged = materialise(new.repartitionByRange("_url", "_pos").withColumn("_slice", F.spark_partition_id()), "new-places")
+        sizes = ranged.groupBy("_slice").agg(F.count("*").alias("_n"))
+        # One row per slice.
+        before = F.sum("_n").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+        starts = materialise(sizes.select("_slice", "_n", F.coalesce(before, F.lit(0)).alias("_before")), "slices")
+        count = starts.agg(F.sum("_n")).first()[0] or 0
+        if count == 0:
+            break
+        inside = F.row_number().over(Window.partitionBy("_slice").orderBy("_url", "_pos"))
+        given = ranged.withColumn("_at", inside).join(F.broadcast(starts), "_slice")
+        given = given.select(F.col("_url").alias("url"), F.col("_pos").alias("pos"), (F.col("_before") + F.col("_at") + high).alias("id"))
+        if numbers.append(given, expected=last, high=high + count):
+            known = numbers.read().select(F.col("url").alias("_url"), F.col("pos").alias("_pos"), "id")
+            break
+    named = known.withColumnRenamed("id", "_number")
+    joined = chunks.select("*", *place).join(named, ["_url", "_pos"])
+    return joined.select(*[F.col(f"`{c}`") for c in chunks.columns if c != out], F.col("_number").alias(out))
+
+
 def assemble_pages(pages: DataFrame, doc: str, page: str, text: str, max_pages: int = 10_000) -> DataFrame:
     """Pages of a document joined by newline in order of page: ``doc, part, n_pages, text``.
 

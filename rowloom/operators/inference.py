@@ -7,6 +7,8 @@ also takes the keyword ``response_format``, a JSON schema as ``ResponseSchema.js
 
 from __future__ import annotations
 
+import json
+import warnings
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -18,7 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.structured import SENTIMENT_SCORE, ResponseSchema
-from rowloom.sources.web import with_backoff
+from rowloom.session import materialise, spread
+from rowloom.sources.commits import CommittedTable
+from rowloom.sources.web import TooManyRequests, with_backoff
 
 TextModel = Callable[[list[str]], Sequence[str | None]]
 VectorModel = Callable[[list[str]], Sequence]
@@ -51,8 +55,12 @@ def text_function(model: TextModel, batch_size: int = BATCH_SIZE, concurrency: i
     def answer(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         patient = with_backoff(model, attempts, wait)
         pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
-        for texts in batches:
-            yield pa.array(_batched(patient, texts.to_pylist(), batch_size, pool), pa.string())
+        try:
+            for texts in batches:
+                yield pa.array(_batched(patient, texts.to_pylist(), batch_size, pool), pa.string())
+        finally:
+            if pool:
+                pool.shutdown(cancel_futures=True)
 
     return answer.asNondeterministic()
 
@@ -105,6 +113,63 @@ def batch_infer(
     return df.withColumn(out, text_function(model, batch_size, concurrency)(prompt))
 
 
+# What a ledger of answers holds.
+ANSWERS = "prompt_key STRING, response STRING, batch STRING"
+
+
+def _alone_if_failing(model: TextModel) -> TextModel:
+    """``model`` that asks prompts one by one after a failure; those that fail alone have no answer."""
+
+    def ask(prompts: list[str], **how) -> list[str | None]:
+        try:
+            return model(prompts, **how)
+        except TooManyRequests:
+            raise
+        except Exception as error:
+            if len(prompts) == 1:
+                warnings.warn(f"a prompt failed: {error}", stacklevel=2)
+                return [None]
+            return [answer for prompt in prompts for answer in ask([prompt], **how)]
+
+    return ask
+
+
+def prompt_key(prompt: Column, model_name: str, response_schema: ResponseSchema | None = None) -> Column:
+    """The key of a prompt in a ledger of answers; NULL of a NULL prompt."""
+    asked_as = json.dumps([model_name, response_schema.json_schema() if response_schema else None], sort_keys=True)
+    return F.when(prompt.isNotNull(), F.sha2(F.concat(F.lit(asked_as + "\n"), prompt), 256))
+
+
+def infer_once(
+    df: DataFrame,
+    prompt: Column,
+    model: TextModel,
+    ledger: CommittedTable,
+    model_name: str,
+    batch: str,
+    out: str = "response",
+    response_schema: ResponseSchema | None = None,
+    **how,
+) -> DataFrame:
+    """``batch_infer`` through a ledger (schema ``ANSWERS``): a model gets each distinct prompt once, over all runs.
+
+    A prompt is known by a hash of its text, the response schema and ``model_name``, which names model and version.
+    Prompts that the ledger lacks are asked and their answers committed as ``batch``; then all rows are answered
+    from the ledger. A failing prompt fails alone, has a NULL answer, and is asked again by the next run, as is all of a run that dies
+    before its commit. NULL prompts are not asked. All rows and columns are kept; a column named ``out`` is replaced.
+    """
+    key = prompt_key(prompt, model_name, response_schema)
+    keyed = df.drop(out).withColumn("_prompt_key", key)
+    open_prompts = df.select(key.alias("prompt_key"), prompt.alias("prompt")).where("prompt_key IS NOT NULL").dropDuplicates(["prompt_key"])
+    new = materialise(open_prompts.join(ledger.read().select("prompt_key"), "prompt_key", "left_anti"), "open-prompts")
+    if not new.isEmpty():
+        answers = batch_infer(spread(new), F.col("prompt"), _alone_if_failing(model), "response", response_schema=response_schema, **how)
+        ledger.append(answers.where("response IS NOT NULL").select("prompt_key", "response", F.lit(batch).alias("batch")))
+    # Runs at the same time may have asked a prompt twice; the answer of the first batch by name holds.
+    held = ledger.read().groupBy(F.col("prompt_key").alias("_prompt_key")).agg(F.min_by("response", F.struct("batch", "response")).alias(out))
+    return keyed.join(held, "_prompt_key", "left").drop("_prompt_key")
+
+
 def build_prompt(instruction: str, value: Column) -> Column:
     """Instruction and value with nothing between them; NULL for a NULL value.
 

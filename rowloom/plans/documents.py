@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rowloom.functions import text as text_fn
 from rowloom.operators import chunking, inference, relational
 from rowloom.plans.registry import query, table, words_sql
-from rowloom.session import spread
+from rowloom.session import scratch_path, spread
 from rowloom.sources import web
+from rowloom.sources.commits import CommittedTable
+from rowloom.sources.tables import create_chunk_table
 
 
 def documents(spark, folder, *columns):
@@ -234,6 +238,23 @@ def chunk_table(spark, folder):
     return keyed.select("id", "url", "pos", "n_words", F.md5("content").alias("h"))
 
 
+@query(
+    f"""WITH c AS (SELECT url, pos, content, length(url) % 2 = 0 AS early FROM ({_windows_sql(f'({_ARTICLES_SQL})', 'url', 100, 10, 20)})),
+             p AS (SELECT DISTINCT url, pos, early FROM c)
+        SELECT n.id, c.url, md5(c.content) AS h FROM c JOIN (
+            SELECT url, pos, row_number() OVER (ORDER BY early DESC, url, pos) AS id FROM p) n USING (url, pos)"""
+)
+def chunk_numbers(spark, folder):
+    """A chunk table filled in two runs: pages with addresses of even length, then all. Numbers of the first run stay."""
+    numbers = CommittedTable(spark, scratch_path(spark, "numbers"), chunking.NUMBERS)
+    chunks = windows(web.extract_articles(pages(spark, folder)).select("url", "text"))
+    chunking.with_chunk_number(chunks.where(F.length("url") % 2 == 0), numbers)
+    name = f"chunks_{uuid.uuid4().hex}"
+    create_chunk_table(spark, name)
+    chunking.with_chunk_number(chunks, numbers).select("id", "url", "content").write.insertInto(name)
+    return spark.table(name).select("id", "url", F.md5("content").alias("h"))
+
+
 def _window_splitter():
     """A splitter in Python with the rule of ``windows``."""
     import re

@@ -10,7 +10,8 @@ from rowloom.functions import structured
 from rowloom.operators import fuzzy, inference, relational
 from rowloom.plans.documents import documents
 from rowloom.plans.registry import query, table
-from rowloom.session import materialise
+from rowloom.session import materialise, scratch_path
+from rowloom.sources.commits import CommittedTable
 
 # The prompt and the models below share no letters the models look for.
 PROMPT = "Class 0, 1 or 2: "
@@ -269,3 +270,27 @@ def classify_by_mapping(spark, folder):
         .join(mapping, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("c_custkey", "n_name", F.col("r_name").alias("region"))
     )
+
+
+@query(
+    """SELECT doc_id, CAST(length(text) AS VARCHAR) AS response,
+              CASE WHEN max((lang = 'en')::INT) OVER (PARTITION BY text) = 1 THEN 'first' ELSE 'second' END AS batch, 1::BIGINT AS answers
+       FROM documents"""
+)
+def infer_ledger(spark, folder):
+    """English texts, then all, through a ledger: the run that asked for each text, and how often it was answered."""
+    docs = documents(spark, folder, "text", "lang")
+    ledger = CommittedTable(spark, scratch_path(spark, "ledger"), inference.ANSWERS)
+    ask = lambda rows, batch: inference.infer_once(rows, F.col("text"), lengths, ledger, "lengths-1", batch)
+    ask(docs.where("lang = 'en'"), "first")
+    answered = ask(docs, "second")
+    again = ask(docs, "third").select("doc_id", F.col("response").alias("again"))
+    held = ledger.read().groupBy("prompt_key").agg(F.min("batch").alias("batch"), F.count("*").alias("answers"))
+    key = inference.prompt_key(F.col("text"), "lengths-1")
+    rows = answered.join(again, "doc_id").where(F.col("response") == F.col("again"))
+    return rows.withColumn("prompt_key", key).join(held, "prompt_key").select("doc_id", "response", "batch", "answers")
+
+
+def lengths(prompts):
+    """A stand-in model: the length of each prompt."""
+    return [str(len(p)) for p in prompts]

@@ -94,7 +94,7 @@ def url_filename(spark, folder):
 
 
 @query(
-    """SELECT page_id, replace(url, 'https://blog.', 'https://mirror.example.com/blog.') AS v
+    """SELECT page_id, regexp_replace(url, '^https://blog\\.', 'https://mirror.example.com/blog.') AS v
        FROM pages WHERE NOT contains(url, 'page=2')"""
 )
 def url_rewrite(spark, folder):

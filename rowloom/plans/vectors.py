@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowloom.operators import inference, vectors
+from rowloom.operators import index_store, inference, vectors
 from rowloom.plans.documents import WINDOWS_SQL, documents, windows
 from rowloom.plans.registry import query, table, words_sql
+from rowloom.session import scratch_path
 
 
 def _embedding_sql(source, keys, dim):
@@ -168,12 +169,13 @@ def index_sync(spark, folder):
     return vectors.index_changes(old, new)
 
 
-@query(
-    """SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS dim,
+REFRESHED_SQL = """SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS dim,
               round(CASE label WHEN 3 THEN embedding[64] ELSE embedding[1] END
                     / sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 6) AS first
        FROM embeddings WHERE label <> 9"""
-)
+
+
+@query(REFRESHED_SQL)
 def index_refresh(spark, folder):
     """The index brought up to date, vectors of unchanged rows kept."""
     old, new = _versions(spark, folder)
@@ -183,3 +185,18 @@ def index_refresh(spark, folder):
 
     refreshed = vectors.sync_index(embed_rows(old), new, embed_rows)
     return refreshed.select("id", F.size("embedding").alias("dim"), F.round(F.col("embedding")[0], 6).alias("first"))
+
+
+@query(REFRESHED_SQL)
+def index_buckets(spark, folder):
+    """The same by an index in buckets, made from the first version and synchronised with the second, of which it writes changed buckets."""
+    old, new = _versions(spark, folder)
+    path = scratch_path(spark, "index")
+
+    def embed_rows(rows):
+        return vectors.build_index(rows, "id", "vector", 64).join(rows.select("id", "content_hash"), "id")
+
+    index_store.sync(spark, path, old, embed_rows)
+    index_store.sync(spark, path, new, embed_rows)
+    refreshed = index_store.read_index(spark, path)
+    return refreshed.select("id", F.size("embedding").alias("dim"), F.round(F.col("embedding")[0], 6).alias("first"))

@@ -1,7 +1,7 @@
 """Files to tables, run until caught up.
 
-Each query keeps its own checkpoint and writes each micro-batch to a folder named after its
-origin and number, replacing what an interrupted attempt left there. So a batch counts once,
+Each query keeps its own checkpoint and commits each micro-batch under its origin and number to the
+log of the table (see ``sources.commits``). So a batch counts once, and only when it is whole;
 several queries may feed one table, and a restart without new input adds nothing.
 """
 
@@ -10,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rowloom.sources.commits import CommittedTable
+
 # Fixed value: the columns of a binary file source.
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 # Files per micro-batch: a batch that fails is repeated whole.
@@ -45,7 +48,8 @@ def append(
 
     def write(batch: DataFrame, number: int) -> None:
         rows = batch if each_batch is None else each_batch(batch)
-        rows.write.mode("overwrite").parquet(f"{table}/origin={origin}/batch={number}")
+        marked = rows.withColumn("origin", F.lit(origin)).withColumn("batch", F.lit(number).cast("bigint"))
+        CommittedTable(batch.sparkSession, table).append(marked, key=f"{origin}/{number}")
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -61,9 +65,10 @@ def append_to_table(stream: DataFrame, table: str, checkpoint: str) -> None:
     stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).toTable(table).awaitTermination()
 
 
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """Everything appended so far, with ``origin`` and ``batch``."""
-    return spark.read.parquet(table)
+def read_table(spark: SparkSession, table: str, schema: str = "") -> DataFrame:
+    """Everything committed so far, with ``origin`` and ``batch``; before the first batch, no rows of ``schema`` and these two."""
+    columns = ", ".join(part for part in (schema, "origin STRING, batch BIGINT") if part)
+    return CommittedTable(spark, table, columns).read()
 
 
 def chunk_and_embed(

@@ -277,3 +277,9 @@ def test_long_hostile_texts_take_no_long_time(spark):
     rule = t.mask_entities(t.strip_inline_images(F.col("text")), ["email", "ip", "phone"])
     frame.select(F.length(rule), F.size(t.sentences(F.col("text"))), F.size(t.words(F.col("text")))).collect()
     assert time.time() - start < 60
+
+
+def test_only_the_start_of_an_address_is_rewritten(spark):
+    rows = [("http://m/x?u=http://m/y", "http://o/x?u=http://m/y"), ("x http://m/", "x http://m/"), ("http://m/", "http://o/"), (None, None)]
+    frame = spark.createDataFrame(rows, "url string, want string")
+    assert all(r["got"] == r["want"] for r in frame.select("want", t.rewrite_prefix(F.col("url"), "http://m/", "http://o/").alias("got")).collect())
