@@ -330,53 +330,65 @@ def sentences(text: Column) -> Column:
     return F.array_remove(F.split(text, "(?<=[.!?])" + BLANKS), "")
 
 
-def sentence_chunks(text: Column, max_tokens: int = 500, overlap: int = 10) -> Column:
-    """Pack whole sentences into chunks of at most ``max_tokens`` words, as ``array<string>``.
+def _chunk_ranges(counts: Column, max_tokens: int, overlap: int) -> Column:
+    """First unit and the one behind the last of each chunk, from the numbers of words alone.
 
-    Each next chunk first repeats the trailing sentences of the last one that together hold at
-    most ``overlap`` words and leave room for the next sentence. A sentence longer than a
-    chunk is cut into word windows of the chunk size first.
+    A unit has a word at least, but for a text of blanks, so a repeated tail has at most ``overlap`` units.
     """
-    units = _counted(_fit_to(sentences(F.coalesce(text, F.lit(""))), max_tokens, 0))
-    start = F.struct(
-        F.array().cast("array<string>").alias("done"),
-        F.array().cast("array<struct<s:string,n:int>>").alias("cur"),
-        F.lit(0).alias("n"),
-    )
-
-    def total(items: Column) -> Column:
-        return F.aggregate(items, F.lit(0), lambda acc, x: acc + x["n"])
+    none = F.array().cast("array<struct<first:int,end:int>>")
 
-    def text_of(items: Column) -> Column:
-        return F.array_join(F.transform(items, lambda x: x["s"]), " ")
+    def held(first: Column, end: Column) -> Column:
+        return F.aggregate(F.slice(counts, first + 1, end - first), F.lit(0), lambda total, n: total + n)
 
-    def repeated(cur: Column, room: Column) -> Column:
-        """The longest proper tail of ``cur`` of at most ``room`` words; it may be empty."""
-        tails = F.transform(F.sequence(F.lit(2), F.size(cur) + 1), lambda i: F.slice(cur, i, F.size(cur)))
-        return F.element_at(F.filter(tails, lambda t: total(t) <= room), 1)
+    def add(acc: Column, n: Column) -> Column:
+        here = F.struct(acc["first"].alias("first"), acc["i"].alias("end"))
+        room = F.least(F.lit(overlap), F.lit(max_tokens) - n)
+        # Where the repeated tail may begin; at the unit itself it is empty.
+        begins = F.sequence(F.greatest(acc["first"] + 1, acc["i"] - overlap), acc["i"])
+        cut = let(
+            F.element_at(F.filter(begins, lambda j: held(j, acc["i"]) <= room), 1),
+            lambda j: F.struct(
+                F.array_append(acc["done"], here).alias("done"), j.alias("first"), (held(j, acc["i"]) + n).alias("n"), (acc["i"] + 1).alias("i")
+            ),
+        )
+        more = F.struct(acc["done"].alias("done"), acc["first"].alias("first"), (acc["n"] + n).alias("n"), (acc["i"] + 1).alias("i"))
+        return F.when((acc["n"] + n <= max_tokens) | (acc["i"] == acc["first"]), more).otherwise(cut)
 
-    def add(acc: Column, unit: Column) -> Column:
-        return F.when(
-            (acc["n"] + unit["n"] <= max_tokens) | (F.size(acc["cur"]) == 0),
-            F.struct(
-                acc["done"].alias("done"),
-                F.array_append(acc["cur"], unit).alias("cur"),
-                (acc["n"] + unit["n"]).alias("n"),
+    def add_block(acc: Column, block: Column) -> Column:
+        start = F.struct(none.alias("done"), acc["first"].alias("first"), acc["n"].alias("n"), acc["i"].alias("i"))
+        return F.aggregate(
+            F.slice(counts, block * _BLOCK + 1, F.lit(_BLOCK)),
+            start,
+            add,
+            lambda found: F.struct(
+                F.concat(acc["done"], found["done"]).alias("done"), found["first"].alias("first"), found["n"].alias("n"), found["i"].alias("i")
             ),
-        ).otherwise(
-            let(
-                repeated(acc["cur"], F.least(F.lit(overlap), F.lit(max_tokens) - unit["n"])),
-                lambda tail: F.struct(
-                    F.array_append(acc["done"], text_of(acc["cur"])).alias("done"),
-                    F.array_append(tail, unit).alias("cur"),
-                    (total(tail) + unit["n"]).alias("n"),
-                ),
-            )
         )
 
+    zero = F.lit(0)
     return F.aggregate(
-        units,
-        start,
-        add,
-        lambda acc: F.when(F.size(acc["cur"]) == 0, acc["done"]).otherwise(F.array_append(acc["done"], text_of(acc["cur"]))),
+        F.sequence(F.lit(0), F.floor(F.size(counts) / _BLOCK).cast("int")),
+        F.struct(none.alias("done"), zero.alias("first"), zero.alias("n"), zero.alias("i")),
+        add_block,
+        lambda acc: F.when(acc["i"] == 0, acc["done"]).otherwise(
+            F.array_append(acc["done"], F.struct(acc["first"].alias("first"), acc["i"].alias("end")))
+        ),
     )
+
+
+def sentence_chunks(text: Column, max_tokens: int = 500, overlap: int = 10) -> Column:
+    """Pack whole sentences into chunks of at most ``max_tokens`` words, as ``array<string>``.
+
+    Each next chunk first repeats the trailing sentences of the last one that together hold at
+    most ``overlap`` words and leave room for the next sentence. A sentence longer than a
+    chunk is cut into word windows of the chunk size first. Chunks are found as ranges of sentences
+    and their texts joined once, so the time grows with the text.
+    """
+    units = _counted(_fit_to(sentences(F.coalesce(text, F.lit(""))), max_tokens, 0))
+
+    def joined(counted: Column) -> Column:
+        texts = F.transform(counted, lambda x: x["s"])
+        ranges = let(F.transform(counted, lambda x: x["n"]), lambda counts: _chunk_ranges(counts, max_tokens, overlap))
+        return let(texts, lambda strings: F.transform(ranges, lambda r: F.array_join(F.slice(strings, r["first"] + 1, r["end"] - r["first"]), " ")))
+
+    return let(units, joined)

@@ -283,3 +283,22 @@ def test_only_the_start_of_an_address_is_rewritten(spark):
     rows = [("http://m/x?u=http://m/y", "http://o/x?u=http://m/y"), ("x http://m/", "x http://m/"), ("http://m/", "http://o/"), (None, None)]
     frame = spark.createDataFrame(rows, "url string, want string")
     assert all(r["got"] == r["want"] for r in frame.select("want", t.rewrite_prefix(F.col("url"), "http://m/", "http://o/").alias("got")).collect())
+
+
+def test_sentence_chunks_of_very_many_sentences(spark):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"Word {i} of sentence." for i in range(n))
+        frame = spark.createDataFrame([(text,)], "text string").select(t.sentence_chunks(F.col("text"), 100, 10).alias("c"))
+        start = time.perf_counter()
+        chunks = frame.collect()[0]["c"]
+        return time.perf_counter() - start, chunks, text
+
+    seconds(100)
+    short, chunks, text = seconds(40_000)
+    assert chunks[0] == pack(text[:3000], 100, 10)[0] and all(len(c.split()) <= 100 for c in chunks)
+    print("40,000 sentences:", short)
+    assert short < 10
+    long = seconds(80_000)[0]
+    assert long < 4 * short + 1
