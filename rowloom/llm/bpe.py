@@ -9,6 +9,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from rowloom.llm.common import slices, worker_state
 # Characters that one call of the library gets, but for a longer stretch without a blank.
 CALL_CHARS = 500_000
 # Stretches that a worker remembers, and their length at most; others are encoded anew in each batch.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 SHORT_CHARS = 40
 # A blank or line end begins a new stretch unless it follows another white space.
 _STRETCH = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
@@ -88,29 +89,39 @@ class Encoder:
         # A task has one core; the library must not start a thread per core in each.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = tokenizer(ranks, pattern)
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        spelled = spellings(ranks)
+        self.sizes = np.array([len(t) for t in token_bytes({word: ranks[token] for token, word in spelled.items()})], np.int64)
+        self.known: dict[str, bytes] = {}
 
-    def _look_up(self, stretches: set[str]) -> dict[str, tuple[bytes, bytes]]:
-        """Ids and offsets of the stretches that are not remembered."""
-        missing, found, at = [s for s in stretches if s not in self.known], {}, 0
+    def _look_up(self, stretches: set[str]) -> dict[str, bytes]:
+        """The ids of the stretches that are not remembered."""
+        missing, found = [s for s in stretches if s not in self.known], {}
         for at, stop in slices([len(s) for s in missing], CALL_CHARS):
-            for stretch, made in zip(missing[at:stop], self.model.encode_batch(missing[at:stop], add_special_tokens=False), strict=True):
-                found[stretch] = np.array(made.ids, dtype="<u4").tobytes(), np.array(made.offsets, dtype=np.int32).tobytes()
+            made = [e.ids for e in self.model.encode_batch_fast(missing[at:stop], add_special_tokens=False)]
+            raw = np.array(list(chain.from_iterable(made)), dtype="<u4").tobytes()
+            end = 0
+            for stretch, ids in zip(missing[at:stop], made, strict=True):
+                begin, end = end, end + 4 * len(ids)
+                found[stretch] = raw[begin:end]
         short = {s: f for s, f in found.items() if len(s) <= SHORT_CHARS}
         if len(self.known) + len(short) <= REMEMBERED:
             self.known.update(short)
         return found
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, np.ndarray]]:
-        """Per text its ids (little-endian unsigned 32-bit) and the offsets (start, end) of each token in code points."""
+    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of each token in code points, by the character that each byte of the text belongs to."""
+        character = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80, dtype=np.int32)
+        ends = np.cumsum(self.sizes[ids])
+        return character[ends - self.sizes[ids]] - 1, character[ends - 1]
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, np.ndarray, np.ndarray]]:
+        """Per text its ids (little-endian unsigned 32-bit) and the offsets, start and end, of each token in code points."""
         cut = [_STRETCH.findall(t) for t in texts]
-        fresh = self._look_up({s for stretches in cut for s in stretches})
+        known, fresh = self.known, self._look_up(set(chain.from_iterable(cut)))
         out = []
-        for stretches in cut:
-            made = [self.known.get(s) or fresh[s] for s in stretches]
-            spans = np.frombuffer(b"".join([m[1] for m in made]), dtype=np.int32).reshape(-1, 2)
-            starts = np.cumsum([0, *map(len, stretches)], dtype=np.int32)[:-1]
-            out.append((b"".join([m[0] for m in made]), spans + np.repeat(starts, [len(m[0]) // 4 for m in made])[:, None]))
+        for text, stretches in zip(texts, cut, strict=True):
+            raw = b"".join([known.get(s) or fresh[s] for s in stretches])
+            out.append((raw, *self.offsets(text, np.frombuffer(raw, "<u4"))))
         return out
 
 
@@ -151,10 +162,10 @@ def _encode(batches: Iterator[pa.RecordBatch], sent, pattern: str) -> Iterator[p
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
-                    pa.array([len(spans) for _, spans in found], pa.int64()),
-                    pa.array([ids for ids, _ in found], pa.binary()),
-                    _lists([spans[:, 0] for _, spans in found]),
-                    _lists([spans[:, 1] for _, spans in found]),
+                    pa.array([len(starts) for _, starts, _ in found], pa.int64()),
+                    pa.array([ids for ids, _, _ in found], pa.binary()),
+                    _lists([starts for _, starts, _ in found]),
+                    _lists([ends for _, _, ends in found]),
                 ],
                 names=["doc_id", "n_tokens", "ids", "starts", "ends"],
             )
