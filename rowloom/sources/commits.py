@@ -70,16 +70,18 @@ class CommittedTable:
         self.spark, self.log = spark, CommitLog(spark, path)
         self.schema = schema or StructType([])
 
-    def append(self, df: DataFrame, key: str | None = None, expected: int | None = None, **notes) -> bool:
+    def append(self, df: DataFrame, key: str | None = None, expected: int | None = None, place: dict | None = None, **notes) -> bool:
         """Write ``df`` as a batch and commit it with ``notes``. False, and no rows, if it does not count.
 
-        A batch whose ``key`` is committed already is not written again. With ``expected``, the batch counts only if that was the
+        ``place``, columns with one value for the batch, names its folder, where it replaces what an attempt without a commit left; without it the
+        batch gets a folder of its own. A batch whose ``key`` is committed already is not written again. With ``expected``, the batch counts only if that was the
         last number taken, so what was worked out from the table's state still holds.
         """
         if key is not None and any(c.get("key") == key for _, c in self.log.commits()):
             return False
-        folder = f"data/{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.log.path}/{folder}")
+        folder = "/".join(f"{k}={v}" for k, v in place.items()) if place else f"data/{uuid.uuid4().hex}"
+        rows = df.drop(*place) if place else df
+        rows.write.mode("overwrite").parquet(f"{self.log.path}/{folder}")
         content = {"key": key, "data": folder, "schema": df.schema.json(), **notes}
         while True:
             number = self.log.last_number() if expected is None else expected
@@ -94,4 +96,5 @@ class CommittedTable:
         if not commits:
             return self.spark.createDataFrame([], self.schema)
         schema = StructType.fromJson(json.loads(commits[-1]["schema"]))
-        return self.spark.read.schema(schema).parquet(*[f"{self.log.path}/{c['data']}" for c in commits])
+        reader = self.spark.read.schema(schema).option("basePath", self.log.path)
+        return reader.parquet(*[f"{self.log.path}/{c['data']}" for c in commits])

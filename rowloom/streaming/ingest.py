@@ -49,7 +49,7 @@ def append(
     def write(batch: DataFrame, number: int) -> None:
         rows = batch if each_batch is None else each_batch(batch)
         marked = rows.withColumn("origin", F.lit(origin)).withColumn("batch", F.lit(number).cast("bigint"))
-        CommittedTable(batch.sparkSession, table).append(marked, key=f"{origin}/{number}")
+        CommittedTable(batch.sparkSession, table).append(marked, key=f"{origin}/{number}", place={"origin": origin, "batch": number})
 
     query = (
         stream.writeStream.foreachBatch(write)

@@ -42,7 +42,7 @@ def test_a_stream_that_dies_before_its_commit(spark, folder, monkeypatch):
         patch.setattr(CommitLog, "publish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(Exception):
             ingest.append(stream(), f"{folder}/out", f"{folder}/checkpoint", "a")
-    assert glob.glob(f"{folder}/out/data/*") and ingest.read_table(spark, f"{folder}/out", "id BIGINT").count() == 0
+    assert glob.glob(f"{folder}/out/origin=a/batch=0/*.parquet") and ingest.read_table(spark, f"{folder}/out", "id BIGINT").count() == 0
     for _ in range(2):
         ingest.append(stream(), f"{folder}/out", f"{folder}/checkpoint", "a")
         assert ingest.read_table(spark, f"{folder}/out").count() == 10
