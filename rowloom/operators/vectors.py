@@ -9,22 +9,23 @@ Two ways, chosen by the checked number of queries:
 
 * few queries: their matrix goes to every task, each task scans its share of the index once
   and returns its k best per query. The index is not shuffled.
-* many queries: the index is cut into cells around pivot vectors. A query first searches the
-  nearest cell; the k-th similarity found there bounds the distance of any better match, and
-  the query then goes only to cells that can hold one (triangle inequality, as in published
-  pivot-based k-nearest-neighbour joins). Cells and their queries are cut into pieces of
-  bounded size, and pieces meet by an equi-join on their numbers.
+* many queries: a tree of pivot vectors, which grows with the table, cuts the index into leaves.
+  A query first searches the leaf that the nearest pivots lead to; the k-th similarity found
+  there bounds the distance of any better match, and the query then goes only to leaves that can
+  hold one (triangle inequality, as in published pivot-based k-nearest-neighbour joins). Visits
+  are ids and bounds; vectors join them where leaves and their queries, in pieces of bounded
+  size, meet by an equi-join.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,8 +38,16 @@ DIGITS = 6
 # Queries sent to every task: at most this many, and at most this many vector entries.
 BROADCAST_QUERIES = 4_096
 BROADCAST_ENTRIES = 8_000_000
-# Pivots of an index: at most this many, and at most this many vector entries.
-MAX_PIVOTS = 1_024
+# Vectors in a leaf of the tree of pivots: about this many; up to twice as many are not split.
+LEAF_ROWS = 4_096
+# A node has fewer children than this, and is numbered by its parent's number times this; so many levels fit 64 bits.
+FANOUT_STEP = 1_024
+MAX_LEVELS = 6
+# A cell whose vectors are all this close to its pivot is not split.
+SPLIT_RADIUS = 1e-3
+_CELL = ["parent", "node", "pivot", "count", "near", "far"]
+# Rows compared with the cells of a node at a time.
+STEP_ROWS = 256
 # Vectors, or queries, in one piece of a cell: about this many, and about this many vector entries.
 PIECE_ROWS = 20_000
 PIECE_ENTRIES = 8_000_000
@@ -210,155 +219,257 @@ def _scan_with_broadcast(queries: list[Row], index: DataFrame, k: int, skip_self
 # --- many queries -------------------------------------------------------------------------
 
 
-class Cells(NamedTuple):
-    """Pivots of an index and, per cell, how many vectors it has and how far they lie from the pivot."""
-
-    pivots: np.ndarray
-    count: np.ndarray
-    near: np.ndarray
-    far: np.ndarray
+class Level(NamedTuple):
+    """One level of a tree of pivots, a row per cell: ``parent, node, pivot, count, near, far``.
 
+    A cell's vectors are those of its parent that are nearest to ``pivot``; ``near`` and ``far`` are
+    the least and greatest distance of its vectors from it. ``local`` holds the same rows where they
+    are few enough to be sent to every task.
+    """
 
-def _home(to_pivot: np.ndarray, count: np.ndarray, need: int) -> np.ndarray:
-    """The nearest cell that has at least ``need`` vectors (or, where none has, the most vectors)."""
-    return np.where(count >= min(need, count.max()), to_pivot, np.inf).argmin(axis=1)
+    cells: DataFrame
+    local: pa.Table | None
 
 
-def choose_pivots(index: DataFrame, dim: int, rows: int) -> np.ndarray:
-    """Up to ``MAX_PIVOTS`` different vectors of the index, those whose ids hash lowest.
+class Tree(NamedTuple):
+    """An index cut into leaves: ``items(id, embedding, node)``, ``leaves(node, count)`` and the levels from the root."""
 
-    A filter on the hash first leaves about twice as many as wanted, so that sorting them is
-    small work however many partitions the index has.
-    """
-    n = max(1, min(MAX_PIVOTS, BROADCAST_ENTRIES // dim, math.isqrt(rows)))
-    scale = 1 << 40
-    place = F.pmod(F.xxhash64("id"), F.lit(scale))
-    drawn = index.where(place < min(scale, -(-2 * n * scale // rows))).orderBy(place, "id").limit(n).collect()
-    pivots = _unit(np.array([row["embedding"] for row in drawn or index.take(1)], np.float64))
-    return np.unique(pivots, axis=0)
+    items: DataFrame
+    leaves: DataFrame
+    levels: list[Level]
 
 
 def _distances(matrix: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (matrix @ pivots.T)))
 
 
-def assign_cells(index: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Add ``cell``, the number of the nearest pivot, and ``dist``, the distance to it."""
-    shared = index.sparkSession.sparkContext.broadcast(pivots)
+def _pieces(count: Column, piece_rows: int) -> Column:
+    return F.ceil(count / piece_rows).cast("int")
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            far = _distances(_matrix(batch.column("embedding")), shared.value)
-            cell = far.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    batch.column("embedding"),
-                    pa.array(cell.astype(np.int32)),
-                    pa.array(far[np.arange(len(cell)), cell]),
-                ],
-                ["id", "embedding", "cell", "dist"],
-            )
 
-    kind = index.schema["embedding"].dataType.simpleString()
-    return index.mapInArrow(assign, f"id bigint, embedding {kind}, cell int, dist double")
+def _per_parent(
+    rows: DataFrame, key: str, level: Level, step: Callable[[pa.Table, pa.Table], pa.Table], schema: str, piece_rows: int
+) -> DataFrame:
+    """``step(rows of one node, cells of that node)`` for all ``rows``, which have a ``node``, in pieces.
 
+    A level of a checked size goes to every task, and rows stay where they are. Else the rows of
+    a node are cut into pieces of about ``piece_rows`` that meet the node's cells by an equi-join.
+    """
+    columns = rows.columns
+    if level.local is not None:
+        shared = rows.sparkSession.sparkContext.broadcast(level.local)
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cells = shared.value
+            starts = {}
+            parents = cells["parent"].to_numpy()
+            for parent in np.unique(parents):  # sorted by parent
+                low, high = np.searchsorted(parents, [parent, parent + 1])
+                starts[int(parent)] = cells.slice(low, high - low)
+            for batch in batches:
+                table = pa.Table.from_batches([batch])
+                nodes = table["node"].to_numpy()
+                for node in np.unique(nodes):
+                    part = table.take(pa.array(np.flatnonzero(nodes == node)))
+                    # Small steps: a query may go to every cell.
+                    for at in range(0, part.num_rows, STEP_ROWS):
+                        yield from step(part.slice(at, STEP_ROWS), starts[int(node)]).to_batches()
+
+        return rows.mapInArrow(scan, schema)
+    sizes = rows.groupBy("node").agg(_pieces(F.count("*"), piece_rows).alias("pieces"))
+    left = rows.join(sizes, "node").withColumn("piece", F.pmod(F.xxhash64(key), F.col("pieces"))).select(*columns, "piece")
+    right = (
+        level.cells.join(sizes, level.cells["parent"] == sizes["node"])
+        .select(level.cells["*"], F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces").cast("bigint") - 1)).alias("piece"))
+    )
 
-def measure_cells(assigned: DataFrame, pivots: np.ndarray) -> Cells:
-    """One row per cell comes to the driver, at most as many as pivots."""
-    count, near, far = np.zeros(len(pivots), np.int64), np.zeros(len(pivots)), np.zeros(len(pivots))
-    for cell, n, low, high in assigned.groupBy("cell").agg(F.count("*"), F.min("dist"), F.max("dist")).collect():
-        count[cell], near[cell], far[cell] = n, low, high
-    return Cells(pivots, count, near, far)
+    def meet(rows: pa.Table, cells: pa.Table) -> pa.Table:
+        if not rows.num_rows:  # a piece that no row's hash fell into
+            rows = empty.slice(0, 0)
+        cells = cells.drop_columns(["piece"]).sort_by("node")
+        done = [step(rows.slice(at, STEP_ROWS), cells) for at in range(0, max(1, rows.num_rows), STEP_ROWS)]
+        return pa.concat_tables(done)
 
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-def _visit(vector_type: str) -> str:
-    return f"cell int, query_id bigint, embedding {vector_type}, kth_sim double"
+    empty = to_arrow_schema(left.schema).empty_table()
+    return left.groupBy("node", "piece").cogroup(right.groupBy("parent", "piece")).applyInArrow(meet, schema)
 
 
-def _home_cells(queries: DataFrame, cells: Cells, need: int) -> DataFrame:
-    """``cell, query_id, embedding, kth_sim``: per query the cell it searches first, nothing yet known."""
-    shared = queries.sparkSession.sparkContext.broadcast((cells.pivots, cells.count))
+def _draw_pivots(items: DataFrame, full: DataFrame, level: int, fanout: int, leaf_rows: int) -> DataFrame:
+    """``parent, node, pivot``: for each node of ``full(node, count)`` some of its different vectors, those that hash lowest.
 
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, count = shared.value
-        for batch in batches:
-            if batch.num_rows:
-                home = _home(_distances(_matrix(batch.column("embedding")), pivots), count, need)
-                unknown = pa.nulls(batch.num_rows, pa.float64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(home.astype(np.int32)), batch.column("id"), batch.column("embedding"), unknown],
-                    ["cell", "query_id", "embedding", "kth_sim"],
-                )
+    One for each ``leaf_rows`` vectors, ``fanout`` at most. Copies hash alike and give one pivot. A filter on
+    the hash leaves about twice as many as wanted, so that ranking them is small work. A node in which
+    fewer than two vectors are found is left as it is.
+    """
+    wanted = full.withColumn("n", F.least(F.lit(fanout), F.ceil(F.col("count") / leaf_rows)))
+    scale = 1 << 40
+    place = F.pmod(F.xxhash64(F.lit(level), "embedding"), F.lit(scale))
+    drawn = (
+        items.join(wanted, "node")
+        .withColumn("place", place)
+        .where(F.col("place") < F.col("n") * 2.0 * scale / F.col("count"))
+        .groupBy("node", "n", "place")
+        .agg(F.min("embedding").alias("pivot"))
+    )
+    lowest = Window.partitionBy("node").orderBy("place")
+    return (
+        drawn.withColumn("rank", F.row_number().over(lowest))
+        .withColumn("found", F.count("*").over(Window.partitionBy("node")))
+        .where((F.col("rank") <= F.col("n")) & (F.col("found") > 1))
+        .select(
+            F.col("node").alias("parent"),
+            (F.col("node") * FANOUT_STEP + F.col("rank")).alias("node"),
+            F.col("pivot").cast("array<double>").alias("pivot"),
+        )
+    )
 
-    return queries.mapInArrow(visit, _visit(queries.schema["embedding"].dataType.simpleString()))
 
+def _nearest_cell(rows: pa.Table, cells: pa.Table) -> pa.Table:
+    """Each vector into the cell of its nearest pivot, with the distance to it."""
+    far = _distances(_matrix(rows["embedding"]), _matrix(cells["pivot"])) if rows.num_rows else np.zeros((0, cells.num_rows))
+    cell = far.argmin(axis=1)
+    return pa.table(
+        {
+            "id": rows["id"],
+            "embedding": rows["embedding"],
+            "node": pa.array(cells["node"].to_numpy()[cell], pa.int64()),
+            "dist": pa.array(far[np.arange(len(cell)), cell], pa.float64()),
+        }
+    )
 
-def _further_cells(queries: DataFrame, cells: Cells, need: int) -> DataFrame:
-    """``cell, query_id, embedding, kth_sim``: the other cells that may hold a match as good as ``kth_sim``.
 
-    A cell's vectors lie between ``near`` and ``far`` from its pivot and no closer to any other
-    pivot; both bound their distance from the query from below.
+def grow_tree(index: DataFrame, dim: int, rows: int, leaf_rows: int = LEAF_ROWS, piece_rows: int = PIECE_ROWS) -> Tree:
+    """Cut the index into leaves of about ``leaf_rows`` vectors: nodes are split around pivots of their own, level by level.
+
+    The number of leaves grows with the table, that of levels with its logarithm. A node is left
+    whole if its vectors all but coincide. Leaves beyond ``leaf_rows`` are searched in pieces, so that
+    this changes the work and not the result.
     """
-    shared = queries.sparkSession.sparkContext.broadcast(tuple(cells))
+    spark = index.sparkSession
+    fanout = max(2, min(FANOUT_STEP - 1, BROADCAST_ENTRIES // dim))
+    items = index.withColumn("node", F.lit(0).cast("bigint"))
+    whole, counts, levels = [], [], []
+    sizes = spark.createDataFrame([(0, rows)], "node bigint, count bigint")
+    cells_to_split, rows_to_split = int(rows > 2 * leaf_rows), rows
+    full = sizes
+    while cells_to_split and len(levels) < MAX_LEVELS:
+        most = min(cells_to_split * fanout, -(-rows_to_split // leaf_rows) + cells_to_split)
+        pivots = _draw_pivots(items, full, len(levels), fanout, leaf_rows)
+        if most * dim <= BROADCAST_ENTRIES:
+            local = pivots.toArrow().sort_by([("parent", "ascending"), ("node", "ascending")])
+            if not local.num_rows:
+                break
+            pivots = spark.createDataFrame(local)
+        else:
+            local, pivots = None, materialise(pivots, "pivots")
+            if pivots.isEmpty():
+                break
+        parents = pivots.select(F.col("parent").alias("node")).distinct()
+        if levels:
+            whole.append(items.join(parents, "node", "left_anti"))
+            counts.append(sizes.join(parents, "node", "left_anti"))
+            items = items.join(parents, "node", "left_semi").select("id", "embedding", "node")
+        kind = items.schema["embedding"].dataType.simpleString()
+        schema = f"id bigint, embedding {kind}, node bigint, dist double"
+        assigned = materialise(_per_parent(items, "id", Level(pivots, local), _nearest_cell, schema, piece_rows), "cells")
+        stats = assigned.groupBy("node").agg(F.count("*").alias("count"), F.min("dist").alias("near"), F.max("dist").alias("far"))
+        if local is None:
+            cells = materialise(pivots.join(stats, "node").select(*_CELL), "level")
+        else:  # at most as many rows as pivots
+            found = stats.toArrow()
+            at = pc.index_in(local["node"], found["node"].combine_chunks())
+            used = pc.is_valid(at)
+            local, found = local.filter(used), found.take(at.filter(used))
+            for name in ("count", "near", "far"):
+                local = local.append_column(name, found[name])
+            local = local.select(_CELL).combine_chunks()
+            cells = spark.createDataFrame(local)
+        levels.append(Level(cells, local))
+        items = assigned.select("id", "embedding", "node")
+        sizes = cells.select("node", "count")
+        too_full = (F.col("count") > 2 * leaf_rows) & (F.col("far") > SPLIT_RADIUS)
+        full = cells.where(too_full).select("node", "count")
+        cells_to_split, rows_to_split = full.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
+    for more in whole:
+        items = items.unionByName(more.select("id", "embedding", "node"))
+    for more in counts:
+        sizes = sizes.unionByName(more)
+    return Tree(items, sizes, levels)
+
+
+def _home_step(need: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Each query into the nearest cell that has at least ``need`` vectors or, where none has, the most vectors."""
+
+    def step(rows: pa.Table, cells: pa.Table) -> pa.Table:
+        count = cells["count"].to_numpy()
+        home = np.zeros(0, np.int64)
+        if rows.num_rows:
+            far = _distances(_matrix(rows["embedding"]), _matrix(cells["pivot"]))
+            home = np.where(count >= min(need, count.max()), far, np.inf).argmin(axis=1)
+        return pa.table({"query_id": rows["query_id"], "node": pa.array(cells["node"].to_numpy()[home], pa.int64())})
+
+    return step
+
+
+def _visit_step(rows: pa.Table, cells: pa.Table) -> pa.Table:
+    """``query_id, home, kth_sim, node``: the cells that may hold a match as good as ``kth_sim``.
 
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, count, near, far = shared.value
+    A cell's vectors lie between ``near`` and ``far`` from its pivot and no closer to any other
+    pivot of their parent; both bound their distance from the query from below.
+    """
+    row = cell = np.zeros(0, np.int64)
+    if rows.num_rows:
+        pivots = _matrix(cells["pivot"])
+        near, far = cells["near"].to_numpy(), cells["far"].to_numpy()
         # The plane between two pivots is no use where they all but coincide.
         apart = _distances(pivots, pivots)
         apart[apart < 1e-3] = np.inf
-        for batch in batches:
-            # Small steps: a query may go to every cell.
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                to_pivot = _distances(_matrix(part.column("embedding")), pivots)
-                rows = np.arange(len(to_pivot))
-                nearest = to_pivot.argmin(axis=1)
-                kth = part.column("kth_sim").to_numpy(zero_copy_only=False).astype(np.float64)
-                reach = np.where(np.isnan(kth), np.inf, np.sqrt(np.maximum(0.0, 2.0 - 2.0 * kth + SLACK)) + SLACK)
-                ring = np.maximum(to_pivot - far, near - to_pivot)
-                plane = (to_pivot**2 - to_pivot[rows, nearest, None] ** 2) / (2.0 * apart[nearest])
-                wanted = (np.maximum(ring, plane) <= reach[:, None]) & (count > 0)
-                wanted[rows, _home(to_pivot, count, need)] = False
-                row, cell = np.nonzero(wanted)
-                if len(row):
-                    picked = pa.array(row)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(cell.astype(np.int32)),
-                            part.column("query_id").take(picked),
-                            part.column("embedding").take(picked),
-                            part.column("kth_sim").take(picked),
-                        ],
-                        ["cell", "query_id", "embedding", "kth_sim"],
-                    )
-
-    return queries.mapInArrow(visit, _visit(queries.schema["embedding"].dataType.simpleString()))
-
-
-def _per_cell(counts: np.ndarray, piece_rows: int) -> Column:
-    """Pieces of each cell, as a lookup by ``cell``; 0 where a cell has no rows."""
-    return F.element_at(F.array(*[F.lit(int(-(-n // piece_rows))) for n in counts]), F.col("cell") + 1)
-
-
-def _search_cells(visits: DataFrame, assigned: DataFrame, cells: Cells, k: int, skip_self: bool, piece_rows: int) -> DataFrame:
-    """The k best matches per query and piece of the cells it visits."""
-    asked = np.zeros(len(cells.count), np.int64)
-    for cell, n in visits.groupBy("cell").agg(F.count("*")).collect():  # at most one row per pivot
-        asked[cell] = n
-    item_pieces, query_pieces = _per_cell(cells.count, piece_rows), _per_cell(asked, piece_rows)
-
-    def numbered(df: DataFrame, key: str, own: Column, other: Column, own_name: str, other_name: str, *more: str) -> DataFrame:
+        to_pivot = _distances(_matrix(rows["embedding"]), pivots)
+        nearest = to_pivot.argmin(axis=1)
+        kth = rows["kth_sim"].to_numpy().astype(np.float64)
+        reach = np.where(np.isnan(kth), np.inf, np.sqrt(np.maximum(0.0, 2.0 - 2.0 * kth + SLACK)) + SLACK)
+        ring = np.maximum(to_pivot - far, near - to_pivot)
+        plane = (to_pivot**2 - to_pivot[np.arange(len(nearest)), nearest, None] ** 2) / (2.0 * apart[nearest])
+        row, cell = np.nonzero(np.maximum(ring, plane) <= reach[:, None])
+    found = rows.select(["query_id", "home", "kth_sim"]).take(pa.array(row))
+    return found.append_column("node", pa.array(cells["node"].to_numpy()[cell], pa.int64()))
+
+
+def _descend(asked: DataFrame, queries: DataFrame, tree: Tree, step, schema: str, piece_rows: int) -> DataFrame:
+    """``asked(query_id, ...)`` taken from the root to leaves by ``step``. Vectors join at each level and are not kept."""
+    state = asked.withColumn("node", F.lit(0).cast("bigint"))
+    done = []
+    for depth, level in enumerate(tree.levels):
+        with_vectors = state.join(queries, "query_id")
+        state = _per_parent(with_vectors, "query_id", level, step, schema, piece_rows)
+        if depth + 1 < len(tree.levels):
+            state = materialise(state, "descent")
+            inner = tree.levels[depth + 1].cells.select(F.col("parent").alias("node")).distinct()
+            done.append(state.join(inner, "node", "left_anti"))
+            state = state.join(inner, "node", "left_semi")
+    for more in done:
+        state = state.unionByName(more)
+    return state
+
+
+def _search_leaves(visits: DataFrame, queries: DataFrame, tree: Tree, k: int, skip_self: bool, piece_rows: int) -> DataFrame:
+    """The k best matches per query and piece of the leaves it visits. ``visits`` holds ``node, query_id, kth_sim``."""
+    asked = visits.groupBy("node").agg(_pieces(F.count("*"), piece_rows).alias("query_pieces"))
+    sizes = asked.join(tree.leaves, "node").select(
+        "node", "query_pieces", _pieces(F.col("count"), piece_rows).alias("item_pieces")
+    )
+
+    def numbered(df: DataFrame, key: str, own: str, other: str, *more: str) -> DataFrame:
         """Each row into one piece of its own side, and a copy for each piece of the other side."""
-        mine = F.pmod(F.xxhash64(key), own).cast("int").alias(own_name)
-        theirs = F.explode(F.sequence(F.lit(0), other - 1)).alias(other_name)
-        return df.where(other > 0).select("cell", mine, theirs, F.col(key).alias("key"), "embedding", *more)
+        mine = F.pmod(F.xxhash64(key), F.col(f"{own}_pieces")).cast("int").alias(f"{own}_piece")
+        theirs = F.explode(F.sequence(F.lit(0), F.col(f"{other}_pieces") - 1)).alias(f"{other}_piece")
+        return df.join(sizes, "node").select("node", mine, theirs, F.col(key).alias("key"), "embedding", *more)
 
-    left = numbered(visits, "query_id", query_pieces, item_pieces, "query_piece", "item_piece", "kth_sim")
-    right = numbered(assigned, "id", item_pieces, query_pieces, "item_piece", "query_piece")
-    names = ["cell", "item_piece", "query_piece"]
+    left = numbered(visits.join(queries, "query_id"), "query_id", "query", "item", "kth_sim")
+    right = numbered(tree.items, "id", "item", "query")
+    names = ["node", "item_piece", "query_piece"]
 
     def meet(queries: pa.Table, items: pa.Table) -> pa.Table:
         if not queries.num_rows or not items.num_rows:
@@ -373,24 +484,68 @@ def _search_cells(visits: DataFrame, assigned: DataFrame, cells: Cells, k: int,
     return left.groupBy(*names).cogroup(right.groupBy(*names)).applyInArrow(meet, _MATCH)
 
 
-def _search_by_cells(queries: DataFrame, index: DataFrame, k: int, skip_self: bool, piece_rows: int) -> DataFrame:
+class Search(NamedTuple):
+    """A search by cells: the tree, matches in home leaves, and the further leaves that each query must visit."""
+
+    tree: Tree
+    first: DataFrame
+    visits: DataFrame | None
+
+
+def plan_visits(
+    queries: DataFrame, index: DataFrame, dim: int, rows: int, k: int, skip_self: bool, leaf_rows: int, piece_rows: int
+) -> Search:
+    """Grow the tree, search each query's home leaf, and find which other leaves may hold a better match.
+
+    ``visits`` holds ``node, query_id, kth_sim, home``: ids and bounds, no vectors. It is None if the home leaf is the whole index.
+    """
+    tree = grow_tree(index, dim, rows, leaf_rows, piece_rows)
+    unknown = F.lit(None).cast("double").alias("kth_sim")
+    ids = queries.select("query_id")
+    if not tree.levels:
+        homes = ids.select("query_id", F.lit(0).cast("bigint").alias("node"), unknown)
+        return Search(tree, _ranked(_search_leaves(homes, queries, tree, k, skip_self, piece_rows), k), None)
+    homes = _descend(ids, queries, tree, _home_step(k + int(skip_self)), "query_id bigint, node bigint", piece_rows)
+    homes = materialise(homes, "home-visits")
+    found = _search_leaves(homes.select("query_id", "node", unknown), queries, tree, k, skip_self, piece_rows)
+    first = materialise(_ranked(found, k), "home-matches")
+    # A query with fewer than k matches so far has no bound and visits all cells.
+    bound = first.where(F.col("rank") == k).select("query_id", F.col("sim").alias("kth_sim"))
+    asked = homes.select("query_id", F.col("node").alias("home")).join(bound, "query_id", "left")
+    schema = "query_id bigint, home bigint, kth_sim double, node bigint"
+    visits = _descend(asked, queries, tree, _visit_step, schema, piece_rows).where("node <> home")
+    return Search(tree, first, materialise(visits, "visits"))
+
+
+def _search_by_cells(
+    queries: DataFrame, index: DataFrame, k: int, skip_self: bool, piece_rows: int, leaf_rows: int
+) -> DataFrame:
     index = materialise(index, "index")
     rows, dim = index.agg(F.count("*"), F.max(F.size("embedding"))).first()
     if not rows:
         return queries.sparkSession.createDataFrame([], _RANKED)
     piece_rows = max(1, min(piece_rows, PIECE_ENTRIES // dim))
-    pivots = choose_pivots(index, dim, rows)
-    assigned = materialise(assign_cells(index, pivots), "cells")
-    cells = measure_cells(assigned, pivots)
-    need = k + int(skip_self)
-    homes = materialise(_home_cells(queries, cells, need), "home-visits")
-    first = materialise(_ranked(_search_cells(homes, assigned, cells, k, skip_self, piece_rows), k), "home-matches")
-    # A query with fewer than k matches so far has no bound and visits all cells.
-    bound = first.where(F.col("rank") == k).select("query_id", F.col("sim").alias("kth_sim"))
-    bounded = homes.drop("kth_sim").join(bound, "query_id", "left")
-    visits = materialise(_further_cells(bounded, cells, need), "visits")
-    more = _search_cells(visits, assigned, cells, k, skip_self, piece_rows)
-    return _ranked(first.drop("rank").unionByName(more), k)
+    queries = queries.withColumnRenamed("id", "query_id")
+    search = plan_visits(queries, index, dim, rows, k, skip_self, leaf_rows, piece_rows)
+    if search.visits is None:
+        return search.first
+    more = _search_leaves(search.visits, queries, search.tree, k, skip_self, piece_rows)
+    return _ranked(search.first.drop("rank").unionByName(more), k)
+
+
+def visited_share(queries: DataFrame, index: DataFrame, k: int, skip_self: bool = False, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """What a search by cells reads, home leaves included: ``queries, leaves, visits, share`` of all pairs of query and leaf."""
+    queries = materialise(_usable(queries), "queries").withColumnRenamed("id", "query_id")
+    index = materialise(_usable(index), "index")
+    rows, dim = index.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    spark, asked = queries.sparkSession, queries.count()
+    schema = "queries bigint, leaves bigint, visits bigint, share double"
+    if not rows or not asked:
+        return spark.createDataFrame([(asked, 0, 0, None)], schema)
+    search = plan_visits(queries, index, dim, rows, k, skip_self, leaf_rows, max(1, min(PIECE_ROWS, PIECE_ENTRIES // dim)))
+    leaves = search.tree.leaves.count()
+    visits = asked + (search.visits.count() if search.visits is not None else 0)
+    return spark.createDataFrame([(asked, leaves, visits, visits / (asked * leaves))], schema)
 
 
 # --- the operators ------------------------------------------------------------------------
@@ -403,6 +558,7 @@ def top_k(
     skip_self: bool = False,
     broadcast_queries: int = BROADCAST_QUERIES,
     piece_rows: int = PIECE_ROWS,
+    leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """The ``k`` most similar index rows of each query: ``query_id, rank, id, sim``.
 
@@ -418,7 +574,7 @@ def top_k(
         return index.sparkSession.createDataFrame([], _RANKED)
     if len(few) <= broadcast_queries and len(few) * len(few[0]["embedding"]) <= BROADCAST_ENTRIES:
         return _scan_with_broadcast(few, index, k, skip_self)
-    return _search_by_cells(queries, index, k, skip_self, piece_rows)
+    return _search_by_cells(queries, index, k, skip_self, piece_rows, leaf_rows)
 
 
 def retrieve(queries: DataFrame, index: DataFrame, documents: DataFrame, columns: list[str], k: int) -> DataFrame:

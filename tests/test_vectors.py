@@ -31,7 +31,7 @@ def found(result):
     return {(r["query_id"], r["rank"]): (r["id"], r["sim"]) for r in result.collect()}
 
 
-WAYS = [{}, {"broadcast_queries": 0}, {"broadcast_queries": 0, "piece_rows": 7}]
+WAYS = [{}, {"broadcast_queries": 0}, {"broadcast_queries": 0, "piece_rows": 30, "leaf_rows": 40}]
 
 
 def close(got, want):
@@ -109,19 +109,38 @@ def test_nothing_to_search(spark, how):
 
 
 def test_bounds_spare_cells(spark):
-    """Far clusters are not visited in the second round."""
+    """Far clusters are not visited in the second round; visits carry ids and bounds only."""
     rng = np.random.default_rng(8)
     centres = np.eye(10) * 50
     items = np.repeat(centres, 40, axis=0) + rng.normal(size=(400, 10)) * 0.1
     index = vectors._usable(frame(spark, items))
-    pivots = vectors.choose_pivots(index, 10, 400)
-    assigned = vectors.assign_cells(index, pivots)
-    cells = vectors.measure_cells(assigned, pivots)
-    homes = vectors._home_cells(index, cells, 4)
-    first = vectors._ranked(vectors._search_cells(homes, assigned, cells, 3, True, 1000), 3)
-    bound = first.where("rank = 3").select("query_id", F.col("sim").alias("kth_sim"))
-    visits = vectors._further_cells(homes.drop("kth_sim").join(bound, "query_id", "left"), cells, 4)
-    assert visits.count() < 400 * (len(pivots) - 1) / 4
+    search = vectors.plan_visits(index.withColumnRenamed("id", "query_id"), index, 10, 400, 3, True, 20, 1000)
+    assert search.visits.columns == ["query_id", "home", "kth_sim", "node"]
+    assert search.tree.leaves.agg(F.sum("count")).first()[0] == 400
+    share = vectors.visited_share(frame(spark, items), frame(spark, items), 3, True, leaf_rows=20).first()
+    assert share["queries"] == 400 and share["leaves"] == search.tree.leaves.count() and share["share"] < 0.25
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_tree_grows_with_the_table(spark, monkeypatch, broadcast):
+    """Nodes are split level by level; the same vectors are found whether levels are broadcast or joined."""
+    monkeypatch.setattr(vectors, "FANOUT_STEP", 6)
+    rng = np.random.default_rng(12)
+    items = rng.normal(size=(20, 5))[rng.integers(0, 20, 600)] * 3 + rng.normal(size=(600, 5)) * 0.4
+    items[::3] = items[0]
+    index = vectors._usable(frame(spark, items))
+    if not broadcast:
+        monkeypatch.setattr(vectors, "BROADCAST_ENTRIES", 25)
+    tree = vectors.grow_tree(index, 5, 600, leaf_rows=10, piece_rows=64)
+    assert len(tree.levels) > 2 and [level.local is None for level in tree.levels][-1] is not broadcast
+    placed = {r["id"]: r["node"] for r in tree.items.collect()}
+    assert len(placed) == tree.items.count() == 600
+    sizes = {r["node"]: r["count"] for r in tree.leaves.collect()}
+    assert sizes == {n: list(placed.values()).count(n) for n in set(placed.values())}
+    # Copies stay together however many they are; the other leaves are small.
+    assert len({placed[i] for i in range(0, 600, 3)}) == 1
+    how = {"broadcast_queries": 0, "leaf_rows": 10, "piece_rows": 64}
+    close(found(vectors.top_k(index, index, 4, skip_self=True, **how)), brute(items, items, 4, True))
 
 
 def test_centroid_classes(spark):
