@@ -1,7 +1,8 @@
 """Spelling correction against a vocabulary.
 
-Values never meet vocabulary words one by one in a join: a row of the vocabulary side carries
-many words, and the best of them is found within the row.
+Values within a few edits of a word meet it by equi-joins on signatures: on the text with one
+character less at distance 1, and on pieces of the word beyond. Only values that are
+far from every word, or too short for pieces, are compared with whole lengths of words.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from rowloom.session import materialise
 BLOCK_WORDS = 512
 # Most vocabulary rows that are broadcast.
 BROADCAST_BLOCKS = 2_000
+# Distances that are tried one after the other by pieces of words, and the least characters of a piece.
+PIECE_EDITS = (2, 4, 8)
+PIECE_CHARS = 3
 # Up to this many vocabulary rows every value is compared with whole lengths of words at once.
 SCAN_BLOCKS = 16
 
@@ -65,6 +69,65 @@ def _within_one(values: DataFrame, words: DataFrame) -> DataFrame:
     return _best_per_value(probes.join(by_rest, "rest"))
 
 
+def _piece_start(i: Column, length: Column, edits: int) -> Column:
+    """Where piece ``i`` of ``edits`` + 1 of a word of ``length`` begins: equal pieces, the last ones longer by one."""
+    even = F.lit(edits + 1) - length % (edits + 1)
+    return i * F.floor(length / (edits + 1)) + F.greatest(F.lit(0), i - even)
+
+
+def _long_enough(length: Column, edits: int) -> Column:
+    """Of a value's length: every word within ``edits`` has pieces of ``PIECE_CHARS`` characters."""
+    return length - edits >= PIECE_CHARS * (edits + 1)
+
+
+def _within(values: DataFrame, words: DataFrame, edits: int) -> DataFrame:
+    """``value, match`` for each value that is at most ``edits`` from a word, the best word of all.
+
+    A word is cut into ``edits`` + 1 pieces. One of them stands unchanged in any text within
+    that many edits, at a place shifted by no more than the edits before it, and no fewer than the difference
+    in length less the edits after it leave (published as partition-based similarity joins). So each value
+    probes, per length of word, few substrings for each piece, and matches are verified.
+    """
+    pieces = F.sequence(F.lit(0), F.lit(edits))
+    length = F.length("word")
+
+    def piece(i: Column) -> Column:
+        start = _piece_start(i, length, edits)
+        return F.struct(
+            length.cast("bigint").alias("length"),
+            i.cast("bigint").alias("piece"),
+            F.substr("word", (start + 1).cast("int"), (_piece_start(i + 1, length, edits) - start).cast("int")).alias("gram"),
+        )
+
+    indexed = words.where(length >= PIECE_CHARS * (edits + 1)).select("word", F.inline(F.transform(pieces, piece)))
+
+    sizes = values.select("value", F.explode(F.sequence(F.lit(-edits), F.lit(edits))).alias("less")).select(
+        "value", F.length("value").cast("bigint").alias("n"), (F.length("value") - F.col("less")).cast("bigint").alias("length")
+    )
+    # The second explode gives one row per piece, the third one per place.
+    by_piece = sizes.select("*", F.explode(pieces).alias("i")).withColumns(
+        {"start": _piece_start(F.col("i"), F.col("length"), edits), "end": _piece_start(F.col("i") + 1, F.col("length"), edits)}
+    )
+    shift, after = F.col("n") - F.col("length"), edits - F.col("i")
+    size = F.col("end") - F.col("start")
+    low = F.greatest(F.lit(0), F.col("start") - F.col("i"), F.col("start") + shift - after)
+    high = F.least(F.col("n") - size, F.col("start") + F.col("i"), F.col("start") + shift + after)
+    probes = (
+        by_piece.withColumns({"low": low, "high": high})
+        .where("low <= high")
+        .select("value", "length", F.col("i").cast("bigint").alias("piece"), size.alias("size"), F.explode(F.sequence("low", "high")).alias("at"))
+        .select("value", "length", "piece", F.substr("value", (F.col("at") + 1).cast("int"), F.col("size").cast("int")).alias("gram"))
+    )
+    dist = F.levenshtein("value", "word", edits)
+    return (
+        probes.join(indexed, ["length", "piece", "gram"])
+        .select("value", F.struct(dist.alias("dist"), F.col("word").alias("best")).alias("match"))
+        .where("match.dist >= 0")
+        .groupBy("value")
+        .agg(F.min("match").alias("match"))
+    )
+
+
 def _of_length(probes: DataFrame, blocks: DataFrame, salts: int) -> DataFrame:
     """Best match of each ``(value, length)`` probe among the words of that length: ``value, match``.
 
@@ -88,9 +151,10 @@ def fuzzy_correct(
     """Add ``best`` and ``dist``: the vocabulary word of least edit distance, ties by name.
 
     Each distinct value is looked up once. With a large vocabulary, values within one edit of a
-    word are settled by an equi-join. Any other value meets the words of the nearest length,
-    and then those of each length that differs by no more than the distance found, since a
-    difference in length is a lower bound of the distance.
+    word are settled by an equi-join, and then, as the allowed distance grows, those within it by
+    equi-joins on pieces of words. What remains (values far from every word, and short ones) meets the words
+    of the nearest length, and then those of each length that differs by no more than the distance found,
+    since a difference in length is a lower bound of the distance.
     """
     words = materialise(
         vocabulary.select(F.col(word).alias("word")).where(F.col(word).isNotNull()).distinct(), "vocabulary"
@@ -101,11 +165,17 @@ def fuzzy_correct(
         return df.withColumn("best", F.lit(None).cast("string")).withColumn("dist", F.lit(None).cast("int"))
     salts = 0 if n_blocks <= broadcast_blocks else 64
     values = df.select(F.col(column).alias("value")).where(F.col(column).isNotNull()).distinct()
-    settled = None
+    settled = []
     if n_blocks > scan_blocks:
         values = materialise(values, "values")
-        settled = materialise(_within_one(values, words).where("match.dist <= 1"), "within-one")
-        values = values.join(settled, "value", "left_anti")
+        settled = [materialise(_within_one(values, words).where("match.dist <= 1"), "within-one")]
+        values = materialise(values.join(settled[0], "value", "left_anti"), "values")
+        for edits in PIECE_EDITS:
+            probing = values.where(_long_enough(F.length("value"), edits))
+            if probing.isEmpty():
+                break
+            settled.append(materialise(_within(probing, words, edits), f"within-{edits}"))
+            values = materialise(values.join(settled[-1], "value", "left_anti"), "values")
 
     # As many entries as the vocabulary has different word lengths.
     known = F.array(*[F.lit(n) for n in sorted(row[0] for row in blocks.select("length").distinct().collect())])
@@ -118,8 +188,8 @@ def fuzzy_correct(
     reachable = F.filter(known, lambda n: (gap(n) <= F.col("match.dist")) & (n != closest))
     later = first.select("value", F.explode(reachable).alias("length"))
     found = first.unionByName(_of_length(later, blocks, salts)).groupBy("value").agg(F.min("match").alias("match"))
-    if settled is not None:
-        found = found.unionByName(settled)
+    for done in settled:
+        found = found.unionByName(done)
     # Written first, so that Spark knows its size and need not shuffle ``df`` for a small one.
     best = materialise(
         found.select(F.col("value").alias(column), F.col("match.best").alias("best"), F.col("match.dist").alias("dist")),

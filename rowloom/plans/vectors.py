@@ -94,6 +94,12 @@ def vector_topk_cells(spark, folder):
     return neighbours(spark, folder, broadcast_queries=0).withColumnRenamed("id", "vec_id")
 
 
+@query(TOPK_SQL)
+def vector_topk_tree(spark, folder):
+    """The same by a tree with small leaves, so that the queries visit leaves within their bounds."""
+    return neighbours(spark, folder, broadcast_queries=0, leaf_rows=256).withColumnRenamed("id", "vec_id")
+
+
 _TEXT_TOPK_SQL = f"""WITH entries AS (
         {_embedding_sql("(SELECT 'q' AS side, item_id AS id, text FROM benchmark UNION ALL SELECT 'd', doc_id, text FROM documents)", 'side, id', 64)}),
     unit AS (SELECT side, id, bucket, weight / sqrt(sum(CAST(weight AS DOUBLE) * weight) OVER (PARTITION BY side, id)) AS w FROM entries),

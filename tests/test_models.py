@@ -128,6 +128,15 @@ def test_fuzzy(spark):
     assert sorted((r["v"] or "", r["best"] or "") for r in found) == [("", ""), ("Hnda", "Honda"), ("Toyta", "Toyota"), ("Toyta", "Toyota")]
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 @pytest.mark.parametrize("broadcast_blocks, scan_blocks", [(2_000, 1_000), (0, 1_000), (2_000, 0), (0, 0)])
 def test_fuzzy_against_brute_force(spark, monkeypatch, broadcast_blocks, scan_blocks):
     import random
@@ -138,14 +147,6 @@ def test_fuzzy_against_brute_force(spark, monkeypatch, broadcast_blocks, scan_bl
     vocabulary = sorted({word(1, 9) for _ in range(120)})
     values = sorted({word(0, 12) for _ in range(150)})
 
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
-
     expect = {v: min((distance(v, w), w) for w in vocabulary) for v in values}
     frame = spark.createDataFrame([(v,) for v in values], "v string")
     words = spark.createDataFrame([(w,) for w in vocabulary], "w string")
@@ -153,6 +154,52 @@ def test_fuzzy_against_brute_force(spark, monkeypatch, broadcast_blocks, scan_bl
     assert found == expect
 
 
+def edited_words(rng, vocabulary, n, most):
+    """Words of the vocabulary after up to ``most`` random edits."""
+    out = set()
+    while len(out) < n:
+        text = list(rng.choice(vocabulary))
+        for _ in range(rng.randint(0, most)):
+            at = rng.randrange(len(text) + 1)
+            text[at : at + rng.randint(0, 1)] = rng.choice(["", "a", "\u00e9", "b"])
+        out.add("".join(text))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("edits", [2, 3, 4])
+def test_pieces_find_all_words_within_distance(spark, edits):
+    """Distances 2 to 4: exactly the values that have a word so near, each with its best word."""
+    import random
+
+    rng = random.Random(edits)
+    vocabulary = sorted({"".join(rng.choice("ab\u00e9d") for _ in range(rng.randint(18, 30))) for _ in range(60)})
+    vocabulary += [w[:5] + "dd" + w[6:] for w in vocabulary[:20]]
+    values = [v for v in edited_words(rng, vocabulary, 250, edits + 2) if len(v) - edits >= fuzzy.PIECE_CHARS * (edits + 1)]
+    best = {v: min((distance(v, w), w) for w in vocabulary) for v in values}
+    expect = {v: match for v, match in best.items() if match[0] <= edits}
+    assert {match[0] for match in expect.values()} >= set(range(edits + 1)) and len(expect) < len(best)
+    frame = spark.createDataFrame([(v,) for v in values], "value string")
+    words = spark.createDataFrame([(w,) for w in vocabulary], "word string")
+    assert {r["value"]: tuple(r["match"]) for r in fuzzy._within(frame, words, edits).collect()} == expect
+
+
+def test_fuzzy_settles_by_pieces(spark, monkeypatch):
+    """Long values a few edits away never reach the comparison with whole lengths."""
+    import random
+
+    rng = random.Random(9)
+    vocabulary = sorted({"".join(rng.choice("abcdefgh") for _ in range(rng.randint(30, 40))) for _ in range(40)})
+    values = edited_words(rng, vocabulary, 80, 4)
+    reached = []
+    of_length = fuzzy._of_length
+    monkeypatch.setattr(fuzzy, "_of_length", lambda probes, *more: (reached.append(probes.count()), of_length(probes, *more))[1])
+    frame = spark.createDataFrame([(v,) for v in values], "v string")
+    words = spark.createDataFrame([(w,) for w in vocabulary], "w string")
+    found = {r["v"]: (r["dist"], r["best"]) for r in fuzzy.fuzzy_correct(frame, "v", words, "w", scan_blocks=0).collect()}
+    assert found == {v: min((distance(v, w), w) for w in vocabulary) for v in values}
+    assert reached == [0, 0]
+
+
 def test_fuzzy_without_vocabulary(spark):
     words = spark.createDataFrame([], "w string")
     rows = spark.createDataFrame([("a",)], "v string")
