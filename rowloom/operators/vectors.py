@@ -232,17 +232,26 @@ class Level(NamedTuple):
 
 
 class Tree(NamedTuple):
-    """An index cut into leaves: ``items(id, embedding, node)``, ``leaves(node, count)`` and the levels from the root."""
+    """An index cut into leaves: ``items(id, embedding, node)``, ``leaves(node, count)`` and the levels from the root.
+
+    ``small`` says that no level was too large to be sent to every task, so that all leaves' numbers may be too.
+    """
 
     items: DataFrame
     leaves: DataFrame
     levels: list[Level]
+    small: bool
 
 
 def _distances(matrix: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (matrix @ pivots.T)))
 
 
+def _to_all(df: DataFrame, small: bool) -> DataFrame:
+    """A hint to broadcast a frame whose size was checked; frames made from local rows have no size that Spark knows."""
+    return F.broadcast(df) if small else df
+
+
 def _pieces(count: Column, piece_rows: int) -> Column:
     return F.ceil(count / piece_rows).cast("int")
 
@@ -356,18 +365,20 @@ def grow_tree(index: DataFrame, dim: int, rows: int, leaf_rows: int = LEAF_ROWS,
     full = sizes
     while cells_to_split and len(levels) < MAX_LEVELS:
         most = min(cells_to_split * fanout, -(-rows_to_split // leaf_rows) + cells_to_split)
+        full = _to_all(full, cells_to_split <= BROADCAST_ENTRIES // dim)
         pivots = _draw_pivots(items, full, len(levels), fanout, leaf_rows)
         if most * dim <= BROADCAST_ENTRIES:
             local = pivots.toArrow().sort_by([("parent", "ascending"), ("node", "ascending")])
             if not local.num_rows:
                 break
-            pivots = spark.createDataFrame(local)
+            if levels:
+                pivots = spark.createDataFrame(local)
         else:
             local, pivots = None, materialise(pivots, "pivots")
             if pivots.isEmpty():
                 break
-        parents = pivots.select(F.col("parent").alias("node")).distinct()
         if levels:
+            parents = _to_all(pivots.select(F.col("parent").alias("node")).distinct(), local is not None)
             whole.append(items.join(parents, "node", "left_anti"))
             counts.append(sizes.join(parents, "node", "left_anti"))
             items = items.join(parents, "node", "left_semi").select("id", "embedding", "node")
@@ -391,12 +402,17 @@ def grow_tree(index: DataFrame, dim: int, rows: int, leaf_rows: int = LEAF_ROWS,
         sizes = cells.select("node", "count")
         too_full = (F.col("count") > 2 * leaf_rows) & (F.col("far") > SPLIT_RADIUS)
         full = cells.where(too_full).select("node", "count")
-        cells_to_split, rows_to_split = full.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
+        if local is None:
+            cells_to_split, rows_to_split = full.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
+        else:
+            count = local["count"].to_numpy()
+            large = (count > 2 * leaf_rows) & (local["far"].to_numpy() > SPLIT_RADIUS)
+            cells_to_split, rows_to_split = int(large.sum()), int(count[large].sum())
     for more in whole:
         items = items.unionByName(more.select("id", "embedding", "node"))
     for more in counts:
         sizes = sizes.unionByName(more)
-    return Tree(items, sizes, levels)
+    return Tree(items, sizes, levels, all(level.local is not None for level in levels))
 
 
 def _home_step(need: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -446,7 +462,8 @@ def _descend(asked: DataFrame, queries: DataFrame, tree: Tree, step, schema: str
         state = _per_parent(with_vectors, "query_id", level, step, schema, piece_rows)
         if depth + 1 < len(tree.levels):
             state = materialise(state, "descent")
-            inner = tree.levels[depth + 1].cells.select(F.col("parent").alias("node")).distinct()
+            below = tree.levels[depth + 1]
+            inner = _to_all(below.cells.select(F.col("parent").alias("node")).distinct(), below.local is not None)
             done.append(state.join(inner, "node", "left_anti"))
             state = state.join(inner, "node", "left_semi")
     for more in done:
@@ -457,9 +474,10 @@ def _descend(asked: DataFrame, queries: DataFrame, tree: Tree, step, schema: str
 def _search_leaves(visits: DataFrame, queries: DataFrame, tree: Tree, k: int, skip_self: bool, piece_rows: int) -> DataFrame:
     """The k best matches per query and piece of the leaves it visits. ``visits`` holds ``node, query_id, kth_sim``."""
     asked = visits.groupBy("node").agg(_pieces(F.count("*"), piece_rows).alias("query_pieces"))
-    sizes = asked.join(tree.leaves, "node").select(
+    sizes = asked.join(_to_all(tree.leaves, tree.small), "node").select(
         "node", "query_pieces", _pieces(F.col("count"), piece_rows).alias("item_pieces")
     )
+    sizes = _to_all(sizes, tree.small)  # at most one row per leaf
 
     def numbered(df: DataFrame, key: str, own: str, other: str, *more: str) -> DataFrame:
         """Each row into one piece of its own side, and a copy for each piece of the other side."""
