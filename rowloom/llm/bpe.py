@@ -22,7 +22,7 @@ from rowloom.llm.common import slices, worker_state
 # Characters that one call of the library gets, but for a longer stretch without a blank.
 CALL_CHARS = 500_000
 # Stretches that a worker remembers, and their length at most; others are encoded anew in each batch.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 SHORT_CHARS = 40
 # A blank or line end begins a new stretch unless it follows another white space.
 _STRETCH = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
@@ -156,7 +156,7 @@ def _encode(batches: Iterator[pa.RecordBatch], sent, pattern: str) -> Iterator[p
     encoder = worker_state("byte_bpe", lambda: Encoder(sent.value[1], pattern), (sent.value[0], pattern))
     for batch in batches:
         sizes = pc.binary_length(batch.column(1)).fill_null(0).to_pylist()
-        for at, stop in slices(sizes, 2 * CALL_CHARS):
+        for at, stop in slices(sizes, CALL_CHARS):
             part = batch.slice(at, stop - at)
             found = encoder.encode([t or "" for t in part.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
@@ -195,7 +195,7 @@ def _decode(batches: Iterator[pa.RecordBatch], sent, with_pieces: bool) -> Itera
     for batch in batches:
         column = batch.column("ids")
         sizes = pc.binary_length(column).fill_null(0).to_pylist()
-        for at, stop in slices(sizes, 8 * CALL_CHARS):
+        for at, stop in slices(sizes, 2 * CALL_CHARS):
             part = batch.slice(at, stop - at)
             ids = [np.frombuffer(i, dtype="<u4") if i else np.empty(0, "<u4") for i in part.column("ids").to_pylist()]
             made = [*part.columns, pa.array([decode_ids(tokens, i) for i in ids], pa.binary())]
