@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowloom.operators import index_store, inference, vectors
+from rowloom.operators import approximate, index_store, inference, vectors
 from rowloom.plans.documents import WINDOWS_SQL, documents, windows
 from rowloom.plans.registry import query, table, words_sql
-from rowloom.session import scratch_path
+from rowloom.session import materialise, scratch_path
 
 
 def _embedding_sql(source, keys, dim):
@@ -100,6 +100,30 @@ def vector_topk_tree(spark, folder):
     return neighbours(spark, folder, broadcast_queries=0, leaf_rows=256).withColumnRenamed("id", "vec_id")
 
 
+@query()
+def approx_topk(spark, folder):
+    """The five nearest other vectors of every vector that lists and codes find, of the recall that calibration sets."""
+    index = _index(spark, folder)
+    found = approximate.search(index, index, approximate.build(index, k=5), 5, skip_self=True)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+@query(
+    f"""SELECT count(DISTINCT query_id) AS queries, (SELECT count(*) FROM embeddings) AS coded, true AS recall_reached, 0::BIGINT AS wrong
+        FROM ({TOPK_SQL})"""
+)
+def approx_recall(spark, folder):
+    """The same beside the exact search: rows coded, whether 0.9 of the neighbours are found, and similarities that are not the exact ones."""
+    index = _index(spark, folder)
+    coded = approximate.build(index, k=5)
+    found = materialise(approximate.search(index, index, coded, 5, skip_self=True, broadcast_queries=0), "found")
+    exact = materialise(approximate.search(index, index, coded, 5, skip_self=True, exact=True), "exact")
+    both = found.join(exact.withColumnRenamed("sim", "exact_sim"), ["query_id", "id"])
+    wrong = both.agg(F.count_if(F.abs(F.col("sim") - F.col("exact_sim")) > 2e-6).alias("wrong"))
+    shown = approximate.recall(found, exact).select("queries", (F.col("recall") >= 0.9).alias("recall_reached"))
+    return shown.crossJoin(coded.rows.agg(F.count("*").alias("coded"))).crossJoin(wrong)  # one row each
+
+
 _TEXT_TOPK_SQL = f"""WITH entries AS (
         {_embedding_sql("(SELECT 'q' AS side, item_id AS id, text FROM benchmark UNION ALL SELECT 'd', doc_id, text FROM documents)", 'side, id', 64)}),
     unit AS (SELECT side, id, bucket, weight / sqrt(sum(CAST(weight AS DOUBLE) * weight) OVER (PARTITION BY side, id)) AS w FROM entries),
