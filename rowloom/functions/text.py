@@ -1,4 +1,4 @@
-"""Text rules as column expressions. Everything here runs inside the JVM."""
+"""Text rules as column expressions. Everything here but pages to markdown (see ``markdown``) runs inside the JVM."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rowloom.functions.markdown import article_markdown, html_to_markdown  # noqa: F401
+
 # The patterns below must match the rules they implement. Texts may be long and
 # hold anything, so each pattern is written to read a text a bounded number of times: nothing
 # rescans to the end of the text from many starting points.
@@ -155,43 +157,6 @@ def first_element(html: Column, tag: str, attribute: str | None = None) -> Colum
     return let(inner, closed)
 
 
-def html_to_markdown(html: Column) -> Column:
-    """Markdown with ``#`` headings, ``*`` items, links and emphasis.
-
-    Emphasis and links count where they hold text only; other tags are dropped.
-    """
-    # Each step is one more reading of the page, so rules that allow it share a step.
-    html = F.regexp_replace(html, "(?is)<(script|style)[^<>]*>.*?(?:</\\1>|\\z)|<!--.*?(?:-->|\\z)", "")
-    # A single space, the usual case, is no match and so costs no replacement.
-    html = F.regexp_replace(html, "[ \\t\\r\\n]{2,}|[\\t\\r\\n]", " ")
-    html = F.regexp_replace(html, "(?i)<h([1-6])(?: [^<>]*)?>", "\n\n<#$1>")
-    for n in range(1, 7):
-        html = F.replace(html, F.lit(f"<#{n}>"), F.lit("#" * n + " "))
-    steps = [
-        ("(?i)<li(?: [^<>]*)?>", "\n* "),
-        ("(?i)<br[^<>]*>", "\n"),
-        ("(?i)</?p(?: [^<>]*)?>|</h[1-6]>", "\n\n"),
-        ("(?i)<(?:i|em)>([^<]*)</(?:i|em)>", "*$1*"),
-        ("(?i)<(?:b|strong)>([^<]*)</(?:b|strong)>", "**$1**"),
-        ("(?i)<a [^<>]*href=\"([^\"<>]*)\"[^<>]*>([^<]*)</a>", "[$2]($1)"),
-        ("<[^<>]*>", ""),
-    ]
-    for pattern, replacement in steps:
-        html = F.regexp_replace(html, pattern, replacement)
-    # The ampersand comes last, so that an escaped escape is resolved once only.
-    entities = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-    for entity, char in entities:
-        html = F.replace(html, F.lit(entity), F.lit(char))
-    html = F.regexp_replace(html, " {2,}", " ")
-    html = F.replace(F.replace(html, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
-    return strip_blanks(F.regexp_replace(html, "\n{3,}", "\n\n"))
-
-
-def article_markdown(html: Column) -> Column:
-    """The first ``<article>`` as markdown; NULL when the page has none."""
-    return html_to_markdown(first_element(html, "article"))
-
-
 def article_body(html: Column) -> Column:
     """Trimmed inner HTML of the first ``<div>`` marked as the article's body."""
     return strip_blanks(first_element(html, "div", 'itemprop="articleBody"'))

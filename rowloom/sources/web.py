@@ -109,8 +109,8 @@ def extract_articles(
     others = [c for c in pages.columns if c not in (html, out)]
     # A filter on the text would be pushed below whatever spreads the pages, and extract twice.
     # Exploding an array of one or no text drops the same rows and extracts once.
-    text = F.explode(F.array_compact(F.array(extract(F.col(html)))))
-    found = pages.select(*others, text.alias(out))
+    found = pages.select(*others, extract(F.col(html)).alias(out))
+    found = found.select(*others, F.explode(F.array_compact(F.array(out))).alias(out))
     if fail_if_empty and found.isEmpty():
         raise ValueError("no page has an article")
     return found
