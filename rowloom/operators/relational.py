@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rowloom.functions.names import masker
 from rowloom.functions.sql import create_table_function
 from rowloom.functions.text import NAME_WORD, mask_listed
 
@@ -130,16 +131,24 @@ def guard(df: DataFrame, condition: Column, message: str) -> DataFrame:
     return df.where(F.assert_true(condition, message).isNull())
 
 
-def mask_names(df: DataFrame, text: str, key: str, names: DataFrame, name: str) -> DataFrame:
+# Characters of all names that one automaton holds, some 50 bytes each in a worker.
+AUTOMATON_CHARS = 1_000_000
+
+
+def mask_names(df: DataFrame, text: str, key: str, names: DataFrame, name: str, automaton_chars: int = AUTOMATON_CHARS) -> DataFrame:
     """``df`` with every name of a dictionary of any size masked in ``text`` by ``[name]``, longer names first.
 
-    ``key`` is unique in ``df``. Names count as whole words; those without a letter or digit are left out. Runs of as many
+    ``key`` is unique in ``df``. Names count as whole words; those without a letter or digit are left out. Up to
+    ``automaton_chars`` characters of names go to each executor, and a text is read once; nothing is shuffled. With more, runs of as many
     words as names have meet the dictionary by an equi-join on the words, each distinct run of a text once, so only
-    keys and short runs are shuffled; then a text is read once with the names found for it.
+    keys and short runs are shuffled; then a text is read once with the names found for it. Both give the same texts.
     """
     found_words = lambda c: F.regexp_extract_all(c, F.lit(NAME_WORD), F.lit(0))
     listed = names.select(F.col(name).alias("_name")).where(F.col("_name").isNotNull()).distinct()
     listed = listed.withColumn("_words", found_words(F.col("_name"))).where(F.size("_words") > 0)
+    chars = listed.agg(F.sum(F.length("_name"))).first()[0] or 0
+    if chars <= automaton_chars:
+        return df.withColumn(text, masker(df.sparkSession, [row[0] for row in listed.select("_name").collect()])(text)) if chars else df
     widths = [row[0] for row in listed.select(F.size("_words")).distinct().sort(F.size("_words")).collect()]
     if not widths:
         return df

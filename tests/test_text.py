@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from rowloom.functions import text as t
@@ -160,19 +161,20 @@ def test_masking_spares_dates_and_words(spark):
     assert value(spark, "on 2024-01-02", lambda c: t.mask_entities(c, ["phone"])) == "on 2024-01-02"
 
 
-def test_names_by_dictionary_of_any_size(spark):
-    """Beside one pattern of all names, which only a short dictionary allows."""
+@pytest.mark.parametrize("automaton_chars", [0, relational.AUTOMATON_CHARS])
+def test_names_by_dictionary_of_any_size(spark, automaton_chars):
+    """By automaton and by join, beside one pattern of all names, which only a short dictionary allows."""
     import re
 
     names = [f"Name{i}" for i in range(1_500)] + ["Name7 Name8 Q.E\\E", "O'Neil", "***", "Ann-Marie Lee", "Ann", None]
     texts = ["Name7, Name8 and Name15000", "Name7 Name8 Q.E\\E!", "Ann-Marie Lee and Ann; Anne", "O'Neil O Neil", "", None, "Ann " * 5_000, "Ann-Marie Leef"]
     rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
     dictionary = spark.createDataFrame([(n,) for n in names + ["Ann"]], "name string")
-    found = {r["k"]: r["text"] for r in relational.mask_names(rows, "text", "k", dictionary, "name").collect()}
+    found = {r["k"]: r["text"] for r in relational.mask_names(rows, "text", "k", dictionary, "name", automaton_chars).collect()}
     usable = sorted((n for n in names if n and re.search(r"\w", n)), key=lambda n: -len(n))
     either = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, usable)) + r")(?!\w)")
     assert found == {k: None if x is None else either.sub("[name]", x) for k, x in enumerate(texts)}
-    none = relational.mask_names(rows, "text", "k", dictionary.where("false"), "name")
+    none = relational.mask_names(rows, "text", "k", dictionary.where("false"), "name", automaton_chars)
     assert {r["k"]: r["text"] for r in none.collect()} == dict(enumerate(texts))
 
 
