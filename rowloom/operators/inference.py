@@ -16,6 +16,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -241,14 +242,14 @@ class HashingEmbedder:
             found = self._bucket[word] = int(digest[:4], 16) % self.dim
         return found
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        import re
-
-        out = []
-        for text in texts:
-            # The same blanks as functions.text.BLANKS.
-            buckets = [self.bucket(w) for w in re.split("[ \t\r\n]+", text) if w]
-            counts = np.bincount(np.array(buckets, dtype=np.int64), minlength=self.dim).astype(np.float64)
-            length = np.sqrt((counts * counts).sum())
-            out.append((counts / length if length else counts).astype(np.float32))
-        return out
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        # The same blanks as functions.text.BLANKS. Only distinct words are looked up one by one.
+        listed = pc.split_pattern_regex(pa.array(texts, pa.string()), "[ \t\r\n]+")
+        words = listed.flatten().dictionary_encode()
+        buckets = np.array([self.bucket(w) if w else -1 for w in words.dictionary.to_pylist()], np.int64)
+        of_word = buckets[words.indices.to_numpy()]
+        row = np.repeat(np.arange(len(texts)), listed.value_lengths().to_numpy())
+        cells = (row * self.dim + of_word)[of_word >= 0]
+        counts = np.bincount(cells, minlength=len(texts) * self.dim).reshape(len(texts), self.dim).astype(np.float64)
+        length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        return np.divide(counts, length, out=counts, where=length > 0).astype(np.float32)

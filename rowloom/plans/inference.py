@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -178,7 +179,7 @@ def schema_constrained(spark, folder):
 
 @query(
     """WITH asked AS (SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS following FROM conversations)
-       SELECT conv_id, turn, length('Rate from 0 to 1 how alike these two texts are. Texts: ' || text || chr(10) || 'Second text: ' || following) AS n
+       SELECT conv_id, turn, md5('Rate from 0 to 1 how alike these two texts are. Texts: ' || text || chr(10) || 'Second text: ' || following) AS answer
        FROM asked WHERE following IS NOT NULL"""
 )
 def preset_two_texts(spark, folder):
@@ -186,12 +187,13 @@ def preset_two_texts(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("following"))
     pairs = turns.join(after, ["conv_id", "turn"]).where("text IS NOT NULL AND following IS NOT NULL")
-    answered = inference.run_preset(pairs, "similarity", F.col("text"), echo_length, other=F.col("following"))
-    return answered.select("conv_id", "turn", F.col("response").cast("long").alias("n"))
+    answered = inference.run_preset(pairs, "similarity", F.col("text"), echo_digest, other=F.col("following"))
+    return answered.select("conv_id", "turn", F.col("response").alias("answer"))
 
 
-def echo_length(prompts):
-    return [str(len(p)) for p in prompts]
+def echo_digest(prompts):
+    """A stand-in model whose answer depends on the whole prompt."""
+    return [hashlib.md5(p.encode()).hexdigest() for p in prompts]
 
 
 _PRESET_OPTIONS = {
@@ -209,7 +211,8 @@ _PRESET_OPTIONS = {
 
 
 # The instructions once more, filled in, as SQL.
-_PRESETS_SQL = """SELECT preset, count(*) AS n, CAST(sum(length(instruction || text)) AS BIGINT) AS total_chars
+_PRESETS_SQL = """SELECT preset, count(*) AS n, CAST(sum(length(instruction || text)) AS BIGINT) AS total_chars,
+           CAST(sum(CAST('0x' || substr(md5(instruction || text), 1, 8) AS BIGINT)) AS BIGINT) AS answers
     FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM conversations),
          (VALUES
            ('analyze_sentiment', 'Give the sentiment as JSON with a field sentiment: 0 for negative, 1 for positive, 2 for neutral. '),
@@ -227,15 +230,16 @@ _PRESETS_SQL = """SELECT preset, count(*) AS n, CAST(sum(length(instruction || t
 
 @query(_PRESETS_SQL)
 def model_presets(spark, folder):
-    """Each ready instruction over all benchmark and conversation texts, answered by the length of the prompt."""
+    """Each ready instruction over all benchmark and conversation texts, answered by the prompt's digest, of which the sum is taken."""
     texts = table(spark, folder, "benchmark").select("text").unionAll(table(spark, folder, "conversations").select("text"))
     prompts = [
         F.struct(F.lit(name).alias("preset"), inference.PRESETS[name].prompt(F.col("text"), **options).alias("prompt"))
         for name, options in _PRESET_OPTIONS.items()
     ]
     asked = texts.select(F.inline(F.array(*prompts)))
-    answered = inference.batch_infer(asked, F.col("prompt"), echo_length)
-    return answered.groupBy("preset").agg(F.count("*").alias("n"), F.sum(F.col("response").cast("long")).alias("total_chars"))
+    answered = inference.batch_infer(asked, F.col("prompt"), echo_digest)
+    answer = F.conv(F.substring("response", 1, 8), 16, 10).cast("long")
+    return answered.groupBy("preset").agg(F.count("*").alias("n"), F.sum(F.length("prompt")).cast("long").alias("total_chars"), F.sum(answer).alias("answers"))
 
 
 @query(
