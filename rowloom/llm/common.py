@@ -142,15 +142,15 @@ def connected(edges: DataFrame) -> DataFrame:
 
     ``edges`` has ``a`` and ``b``. Alternates the two star steps that hang every node's larger
     (then smaller) neighbours on its smallest one until nothing changes. A pre-aggregated minimum
-    per node is all that is gathered, so a node with many neighbours needs no large task.
+    per node is all that is gathered; it is written first, so that the edges of a node with many neighbours can be split in the join.
     """
     pairs = materialise(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = materialise(large, "edges")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         star = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b"))
         following = materialise(star.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
         if following.count() == pairs.count() and following.join(pairs, ["a", "b"], "left_anti").limit(1).count() == 0:

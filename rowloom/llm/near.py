@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import connected, empty_if_null
+from rowloom.llm.common import connected, empty_if_null, free_name
 from rowloom.session import materialise
 
 SHINGLE_WORDS = 5
@@ -270,7 +270,7 @@ def _linking(agreement: float, least: float):
     return run
 
 
-def links(rows: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def links(rows: DataFrame, texts: DataFrame, least: float = SIMILARITY, agreement: float = LEAST_AGREEMENT) -> DataFrame:
     """Links (a, b) between different texts, enough to join all that a chain of pairs of at least ``least`` joins.
 
     ``rows`` are distinct signed texts. Texts that share a band hash are in a bucket. First each
@@ -279,7 +279,7 @@ def links(rows: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataF
     parts. What may be missing are links between members that are not the leader, in buckets that
     hold several parts: there all members of different parts whose coordinates mostly agree are compared,
     ``PIECE_ROWS`` by ``PIECE_ROWS`` at a time, and only the links that join parts come out. No bucket is
-    dropped or capped.
+    dropped or capped. An ``agreement`` of 0 compares all members of different parts there by their shingles.
     """
     members = rows.select("address", F.explode("bands").alias("bucket"))
     crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
@@ -302,11 +302,11 @@ def links(rows: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataF
     open_rows = open_rows.withColumn("piece", F.pmod(F.xxhash64("address"), F.col("pieces")).cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda other: F.struct(F.least(F.col("piece"), other).alias("i"), F.greatest(F.col("piece"), other).alias("j")))
     open_rows = open_rows.select("bucket", "address", "part", "coordinates", "text", "piece", F.inline(cells))
-    more = open_rows.groupBy("bucket", "i", "j").applyInArrow(_linking(LEAST_AGREEMENT, least), "a binary, b binary")
+    more = open_rows.groupBy("bucket", "i", "j").applyInArrow(_linking(agreement, least), "a binary, b binary")
     return materialise(found.unionByName(more), "near-links")
 
 
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY, agreement: float = LEAST_AGREEMENT) -> DataFrame:
     """Classes of documents joined by chains of near duplicates, the one of the smallest id kept in each.
 
     Two texts are near duplicates if the weighted Jaccard similarity of their shingles of five words
@@ -321,7 +321,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     distinct = rows.select("address", "bands", "coordinates").dropDuplicates(["address"])
     distinct = materialise(distinct, "near-signed")
     texts = docs.select(address(F.col(text)).alias("address"), empty_if_null(F.col(text)).alias("text"))
-    parts = connected(links(distinct, texts, least)).select(F.col("node").alias("address"), "part")
+    parts = connected(links(distinct, texts, least, agreement)).select(F.col("node").alias("address"), "part")
     placed = rows.select("row", "doc_id", "address").join(parts, "address", "left").withColumn("part", F.coalesce("part", "address"))
     placed = materialise(placed, "near-classes")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
@@ -332,10 +332,15 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
 
 
 def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that ``near_groups`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``near_groups`` keeps, with all their columns.
+
+    Of rows equal in id and text one stays. Null texts count as empty, and of all rows with empty ones one stays; null ids come after all
+    others; an empty table stays empty. Columns may have any names.
+    """
     kept = near_groups(docs, doc_id, text, least).where("kept")
     mark = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lower(F.hex("address")))
-    key, wanted = "__llm_key", kept.select(mark.alias("__llm_key")).distinct()
+    key = free_name(docs, "__llm_key")
+    wanted = kept.select(mark.alias(key)).distinct()
     own = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.lower(F.hex(address(F.col(text)))))
     once = docs.withColumn(key, own).dropDuplicates([key])
     return once.join(wanted, key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
