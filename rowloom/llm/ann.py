@@ -184,22 +184,25 @@ def _probe(index: DataFrame, queries: DataFrame, rows: int, radius: int, k: int,
     return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def search(vectors: DataFrame, asked: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", seed: int = 3) -> DataFrame:
+def search(vectors: DataFrame, asked: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", seed: int = 3, radius: int | None = None) -> DataFrame:
     """The k nearest rows found for each row for which ``asked`` holds: query_id, rank, vec_id, score.
 
     Nearness is Euclidean distance in double precision, ties go to the smaller id; a row is not its own
     neighbour. All rows are candidates by their codes; those within the fitted radius are
     compared exactly, so what is returned is exact and only recall is not certain. Queries that find
-    fewer than k rows within it are asked again without one.
+    fewer than k rows within it are asked again without one. ``radius`` replaces the fitted one; with ``BITS`` every row is
+    compared, and the result is the exact one.
 
     Rows without id, and vectors that are null, of another width than most of the sample, all zero, or with null or
-    non-finite entries take no part. Rows with equal id and vector count once. Fewer
+    non-finite entries take no part. Rows with equal id and vector count once; an id with several vectors is a candidate with each. Fewer
     candidates than k give fewer rows; an empty table gives an empty result.
     """
     kind = "<f4" if "array<float>" in vectors.schema[vector].dataType.simpleString() else "<f8"
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("id"), F.col(vector).alias("vector"), asked.alias("asked"))
     rate = SAMPLE_ROWS / max(rows.count(), 1)
-    sample = rows.where(uniform(F.lit(seed), "id") < rate).select("id", "vector").limit(2 * SAMPLE_ROWS).toArrow()
+    # Rows that take no part must not fill the sample.
+    fit_for = F.col("id").isNotNull() & F.exists("vector", lambda x: x != 0) & F.forall("vector", lambda x: F.abs(x) < float("inf"))
+    sample = rows.where(fit_for & (uniform(F.lit(seed), "id", "vector") < rate)).select("id", "vector").limit(2 * SAMPLE_ROWS).toArrow()
     widths = Counter(len(v) for v in sample.column("vector").to_pylist() if v)
     empty = "query_id bigint, rank int, vec_id bigint, score double"
     if not widths:
@@ -209,10 +212,11 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, vec_id: str = "vec_id
     if not sum(len(m) for m in used):
         return vectors.sparkSession.createDataFrame([], empty)
     coder = fit(np.concatenate(used).astype(np.float64), k, seed)
+    radius = coder.radius if radius is None else radius
     index = materialise(encode(rows.select("id", "vector"), coder, kind), "codes")
     queries = materialise(rows.where("asked").select(F.col("id").alias("asked_id")).distinct().join(index, F.col("asked_id") == F.col("id")).select("id", "code", "vector").dropDuplicates(["id"]), "queries")
     total = index.count()
-    first = materialise(_probe(index, queries, total, coder.radius, k, kind), "neighbours")
+    first = materialise(_probe(index, queries, total, radius, k, kind), "neighbours")
     enough = first.groupBy(F.col("query_id").alias("id")).count().where(F.col("count") >= min(k, max(total - 1, 0)))
     short = materialise(queries.join(enough, "id", "left_anti"), "queries")
     if short.limit(1).count():
