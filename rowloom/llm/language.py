@@ -250,6 +250,44 @@ def label_texts(model: Field, texts: list[str | None]) -> tuple[list[str], list[
     return languages, np.clip(shares, 0.0, 1.0).tolist(), strange
 
 
+def word_spans(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """The words of a text as ``words_of`` gives them, and where each begins and ends in it, in code points."""
+    lowered = text.lower()
+    # Some characters are several in lower case.
+    origin = None if len(lowered) == len(text) else np.repeat(np.arange(len(text)), [len(c.lower()) for c in text])
+    words, spans = [], []
+    for found in _WORD.finditer(lowered):
+        run, at = found[0], found.start()
+        n = -(-len(run) // WORD_LETTERS)
+        for k in range(n):
+            start, end = len(run) * k // n, len(run) * (k + 1) // n
+            words.append(run[start:end])
+            spans.append((at + start, at + end) if origin is None else (int(origin[at + start]), int(origin[at + end - 1]) + 1))
+    return words, spans
+
+
+def label_runs(model: Field, text: str | None) -> list[dict]:
+    """Runs of neighbouring words that most likely have the same language, in order.
+
+    Each has ``start`` and ``end`` (code points, exclusive), ``language``, ``posterior`` (the mean of its words') and ``words``.
+    """
+    words, spans = word_spans(text or "")
+    if not words:
+        return []
+    scores = _rows_of(model, words)[0][:, : len(model.languages)]
+    good = np.flatnonzero(~np.isnan(scores[:, 0]))
+    if not len(good):
+        return []
+    posterior = marginals(*forward_backward(scores[good][:, None], np.array([len(good)]), model.moves)[:2])[:, 0]
+    labels = posterior.argmax(axis=1)
+    edges = np.flatnonzero(np.diff(labels, prepend=-1))
+    runs = []
+    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(labels)], strict=True):
+        mean = float(posterior[a:b, labels[a]].mean())
+        runs.append({"start": spans[good[a]][0], "end": spans[good[b - 1]][1], "language": model.languages[labels[a]], "posterior": min(mean, 1.0), "words": b - a})
+    return runs
+
+
 def _rows_of(model: Field, flat: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The row of each word (see ``Field.word_rows``) and a number that equal words share. Keeps rows while there is room."""
     known, fresh = model.known, {}
@@ -425,6 +463,31 @@ def predict(docs: DataFrame, model: Field | None, text: str = "text", names: tup
     return labelled.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"{found}.{f}").alias(n) for f, n in fields])
 
 
+def language_runs(docs: DataFrame, model: Field | None, keep: list[str], text: str = "text") -> DataFrame:
+    """Where the whole texts of ``docs`` switch language: the columns ``keep``, then ``start, end, language, posterior, words`` of each run of words.
+
+    See ``label_runs``; runs of one text do not overlap and hold all its words with a letter. Null texts and texts without such words have no
+    runs, nor has anything without a model; repeated rows have theirs one by one; an empty table gives an empty result. The
+    names of the runs' columns must not be among ``keep``. Nothing is shuffled.
+    """
+    kind = "struct<start: bigint, end: bigint, language: string, posterior: double, words: bigint>"
+    if model is None:
+        none = F.from_json(F.lit("[]"), f"array<{kind}>")
+        return docs.select(*[F.col(f"`{c}`") for c in keep], F.inline(none))
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.lexicon, model.weights, model.moves))
+    version = zlib.crc32(model.weights.tobytes())
+    struct = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("language", pa.string()), ("posterior", pa.float64()), ("words", pa.int64())])
+
+    def label(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = worker_state("language_runs", lambda: Field(*sent.value), version)
+        for batch in texts:
+            yield pa.array((label_runs(known, value.as_py()) for value in batch), pa.list_(struct))
+
+    found = free_name(docs, "__llm_runs")
+    labelled = docs.withColumn(found, F.arrow_udf(label, f"array<{kind}>")(F.col(text)))
+    return labelled.select(*[F.col(f"`{c}`") for c in keep], F.inline(found))
+
+
 def languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """All rows and columns of ``docs`` with ``__llm_lang`` and ``__llm_score``; see ``train`` and ``predict``."""
     return predict(docs, train(docs, doc_id, text, lang), text).drop("__llm_strange")
