@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rowloom.operators import vectors
-from rowloom.operators.vectors import BROADCAST_ENTRIES, BROADCAST_QUERIES
+from rowloom.operators.vectors import BLOCK_ROWS, BROADCAST_ENTRIES, BROADCAST_QUERIES, PIECE_ENTRIES, TILE_ENTRIES
 from rowloom.session import materialise
 
 # The fit's bounds: rows of the sample, about, and their entries; centres of lists; entries of a code book.
@@ -33,9 +33,9 @@ MAX_PARTS = 64
 ROUNDS = 8
 # Queries on which lists to read and ids to keep are set.
 CALIBRATION_QUERIES = 100
-# Rows of a list, and queries of a list, that meet in one task, about.
-LIST_PIECE = 50_000
-QUERY_PIECE = 4_096
+# Rows, as far as PIECE_ENTRIES allows, and queries that meet in one task, about.
+LIST_PIECE = 131_072
+QUERY_PIECE = 131_072
 # Queries whose tables of products are held at a time.
 TILE = 128
 
@@ -240,8 +240,7 @@ def _likely_by_broadcast(queries: list, coded: Coded, probes: int, depth: int, s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quantizer, query_ids, matrix = shared.value
-        read = np.zeros((len(matrix), len(quantizer.centres)), bool)
-        np.put_along_axis(read, quantizer.order(matrix)[:, :probes], True, axis=1)
+        read = _lists_read(quantizer, matrix, probes)
         held = [(np.zeros(0, np.float32), np.zeros(0, np.int64)) for _ in query_ids]
         for batch in batches:
             ids, lists = batch.column("id").to_numpy(), batch.column("list").to_numpy()
@@ -274,61 +273,89 @@ def _likely_by_broadcast(queries: list, coded: Coded, probes: int, depth: int, s
     return coded.rows.mapInArrow(run, _LIKELY)
 
 
-def _visits(queries: DataFrame, quantizer: Quantizer, probes: int) -> DataFrame:
-    """Each query with each list that it reads: ``query_id, list, vector`` (bytes)."""
-    shared = queries.sparkSession.sparkContext.broadcast(quantizer)
+def _found_by_regions(queries: DataFrame, index: DataFrame, coded: Coded, k: int, probes: int, depth: int, skip_self: bool) -> DataFrame:
+    """The k best per query and region among the ``depth`` that look nearest there, by their vectors.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        quantizer = shared.value
+    Lists, those beyond a region in pieces, fill regions in order. Codes and vectors of a region meet each block of queries
+    once, and a query goes once to each region that holds a list which it reads; so neither lists read nor ids kept for a query are shuffled.
+    """
+    spark, quantizer = queries.sparkSession, coded.quantizer
+    most = max(1, min(LIST_PIECE, PIECE_ENTRIES // quantizer.dim))
+    counts = sorted(tuple(row) for row in coded.rows.groupBy("list").count().collect())  # at most one row for each of the quantizer's lists
+    units, region, filled = [], 0, 0
+    for cell, count in counts:
+        pieces = -(-count // most)
+        for piece in range(pieces):
+            if filled and filled + count // pieces > most:
+                region, filled = region + 1, 0
+            units.append((cell, pieces, piece, region))
+            filled += count // pieces
+    regions = region + 1
+    asked = queries.count()
+    wanted = -(-2 * spark.sparkContext.defaultParallelism // regions)
+    blocks = max(-(-asked // max(1, min(QUERY_PIECE, PIECE_ENTRIES // quantizer.dim))), min(wanted, -(-asked // BLOCK_ROWS)), 1)
+    shared = spark.sparkContext.broadcast((quantizer, [(cell, region) for cell, _, _, region in units]))
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quantizer, held = shared.value
+        holds = np.zeros((len(quantizer.centres), regions), np.float32)
+        for cell, region in held:
+            holds[cell, region] = 1
         for batch in batches:
             for at in range(0, batch.num_rows, TILE):
                 part = batch.slice(at, TILE)
-                matrix = vectors._matrix(part.column("embedding")).astype(np.float32)
-                lists = quantizer.order(matrix)[:, :probes]
-                ids = np.repeat(part.column("id").to_numpy(), lists.shape[1])
-                raw = [row.tobytes() for row in matrix for _ in range(lists.shape[1])]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(lists.ravel().astype(np.int32)), pa.array(raw, pa.binary())], names=["query_id", "list", "vector"])
-
-    return queries.select("id", "embedding").mapInArrow(run, "query_id bigint, list int, vector binary")
-
-
-def _likely_by_lists(queries: DataFrame, coded: Coded, probes: int, depth: int, skip_self: bool) -> DataFrame:
-    """Lists meet the queries that read them by an equi-join, both in pieces of bounded size."""
-    shared = coded.rows.sparkSession.sparkContext.broadcast(coded.quantizer)
-    visits = materialise(_visits(queries, coded.quantizer, probes), "list-visits")
-
-    def in_pieces(df: DataFrame, piece_rows: int, name: str) -> DataFrame:
-        return df.groupBy("list").agg(F.ceil(F.count("*") / piece_rows).cast("int").alias(name))
-
-    cells = materialise(in_pieces(coded.rows, LIST_PIECE, "pieces").join(in_pieces(visits, QUERY_PIECE, "blocks"), "list"), "lists")
-    cells = F.broadcast(cells)  # at most one row for each of the quantizer's lists
-
-    def dealt(df: DataFrame, key: str, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
-        """Each row in its own piece, once for every piece of the other side."""
-        own_piece = F.pmod(F.xxhash64(key), F.col(own_count)).cast("int").alias(own)
-        every = F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)).alias(other)
-        return df.join(cells, "list").select(*df.columns, own_piece, every)
-
-    def run(key: tuple, rows: pa.Table, asking: pa.Table) -> pa.Table:
-        quantizer, cell = shared.value, key[0].as_py()
-        ids, out = rows.column("id").to_numpy(), []
-        codes = _codes(rows.column("codes"), quantizer.books.shape[0])
-        query_ids, raw = asking.column("query_id").to_numpy(), asking.column("vector").to_pylist()
-        for tile in range(0, len(raw) if len(ids) else 0, TILE):
-            matrix = np.frombuffer(b"".join(raw[tile : tile + TILE]), np.float32).reshape(-1, quantizer.dim)
-            near = _near(matrix @ quantizer.centres[cell], quantizer.products(matrix), codes)
-            for query, found in zip(query_ids[tile : tile + TILE].tolist(), near, strict=True):
-                if skip_self:
-                    found = np.where(ids == query, -np.inf, found)
-                best = _keep(found, ids, depth)
-                out.append((np.full(len(best), query, np.int64), ids[best], found[best].astype(np.float64)))
-        columns = zip(*out, strict=True) if out else (np.zeros((1, 0), np.int64), np.zeros((1, 0), np.int64), np.zeros((1, 0)))
-        return pa.table({name: np.concatenate(list(c)) for name, c in zip(("query_id", "id", "near"), columns, strict=True)})
-
-    cell = ["list", "piece", "block"]
-    left = dealt(coded.rows, "id", "piece", "pieces", "block", "blocks").groupBy(*cell)
-    right = dealt(visits, "query_id", "block", "blocks", "piece", "pieces").groupBy(*cell)
-    return left.cogroup(right).applyInArrow(run, _LIKELY)
+                read = _lists_read(quantizer, vectors._matrix(part.column("embedding")).astype(np.float32), probes)
+                rows, places = np.nonzero(read.astype(np.float32) @ holds)
+                part = part.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("embedding"), pa.array(places.astype(np.int32))], names=["query_id", "embedding", "region"])
+
+    def run(rows: pa.Table, asking: pa.Table) -> pa.Table:
+        quantizer, out = shared.value[0], []
+        if not rows.num_rows or not asking.num_rows:
+            return pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "sim": pa.array([], pa.float64())})
+        rows = rows.take(pa.array(np.lexsort((rows["id"].to_numpy(), rows["list"].to_numpy()))))
+        ids, lists = rows["id"].to_numpy().astype(np.int64), rows["list"].to_numpy()
+        starts = np.flatnonzero(np.diff(lists, prepend=-1))
+        stretches = list(zip(lists[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(lists)], strict=True))
+        codes, items = _codes(rows["codes"], quantizer.books.shape[0]), vectors._matrix(rows["embedding"])
+        tile = max(1, min(TILE, TILE_ENTRIES // len(ids)))
+        for at in range(0, asking.num_rows, tile):
+            part = asking.slice(at, tile)
+            query_ids, exact = part["query_id"].to_numpy().astype(np.int64), vectors._matrix(part["embedding"])
+            some = exact.astype(np.float32)
+            read, products = _lists_read(quantizer, some, probes), quantizer.products(some)
+            near = np.full((len(some), len(ids)), -np.inf, np.float32)
+            for cell, start, stop in stretches:
+                reading = np.flatnonzero(read[:, cell])
+                if len(reading):
+                    near[reading, start:stop] = _near(some[reading] @ quantizer.centres[cell], products[reading], codes[start:stop])
+            if skip_self:
+                near[query_ids[:, None] == ids] = -np.inf
+            for query, vector, looks in zip(query_ids, exact, near, strict=True):
+                best = _keep(looks, ids, depth)
+                sims = vectors._rounded((vector * items[best]).sum(axis=1))
+                top = np.lexsort((ids[best], -sims))[:k]
+                out.append((np.full(len(top), query, np.int64), ids[best[top]], sims[top]))
+        return pa.table({name: np.concatenate(c) for name, c in zip(("query_id", "id", "sim"), zip(*out, strict=True), strict=True)})
+
+    kind = queries.schema["embedding"].dataType.simpleString()
+    left = queries.select("id", "embedding").mapInArrow(sent, f"query_id bigint, embedding {kind}, region int")
+    left = left.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    of_unit = F.broadcast(spark.createDataFrame(units, "list int, pieces int, piece int, region int"))
+    of_list = F.broadcast(spark.createDataFrame(sorted({u[:2] for u in units}), "list int, pieces int"))
+    piece = F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int")
+    right = coded.rows.join(of_list, "list").withColumn("piece", piece).join(of_unit.drop("pieces"), ["list", "piece"])
+    right = right.select("region", "list", "id", "codes").join(vectors._usable(index), "id")
+    right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    names = ["region", "block"]
+    return right.groupBy(*names).cogroup(left.groupBy(*names)).applyInArrow(run, vectors._MATCH)
+
+
+def _lists_read(quantizer: Quantizer, matrix: np.ndarray, probes: int) -> np.ndarray:
+    """Which lists each query reads (queries x lists)."""
+    read = np.zeros((len(matrix), len(quantizer.centres)), bool)
+    np.put_along_axis(read, quantizer.order(matrix)[:, :probes], True, axis=1)
+    return read
 
 
 def _rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,7 +379,7 @@ def search(
     """The ``k`` rows found most similar to each query: ``query_id, rank, id, sim``, like ``vectors.top_k``.
 
     ``index`` is the table that ``coded`` was built of. ``probes`` lists are read and ``depth`` ids compared for a query; the calibrated
-    numbers if not given. ``exact`` compares with all rows instead, by ``vectors.top_k``. Ids are
+    numbers if not given; where many queries meet more rows than one task holds, ``depth`` ids of each region of the index. ``exact`` compares with all rows instead, by ``vectors.top_k``. Ids are
     cut to ``depth`` before vectors join them; equal codes go by smaller id, so copies tie as in an exact search
     while there are fewer of them than ``depth``.
     """
@@ -365,7 +392,7 @@ def search(
     if few and len(few) <= broadcast_queries and len(few) * max(coded.quantizer.dim, 2 * depth, lists) <= BROADCAST_ENTRIES:
         likely = _likely_by_broadcast(few, coded, probes, depth, skip_self)
     else:
-        likely = _likely_by_lists(queries, coded, probes, depth, skip_self)
+        return vectors._ranked(_found_by_regions(queries, index, coded, k, probes, depth, skip_self), k)
     best = Window.partitionBy("query_id").orderBy(F.desc("near"), F.asc("id"))
     kept = likely.withColumn("place", F.row_number().over(best)).where(F.col("place") <= depth).select("query_id", "id")
     asked = queries.select(F.col("id").alias("query_id"), F.col("embedding").alias("asked"))

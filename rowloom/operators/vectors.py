@@ -12,9 +12,11 @@ Two ways, chosen by the checked number of queries:
 * many queries: a tree of pivot vectors, which grows with the table, cuts the index into leaves.
   A query first searches the leaf that the nearest pivots lead to; the k-th similarity found
   there bounds the distance of any better match, and the query then goes only to leaves that can
-  hold one (triangle inequality, as in published pivot-based k-nearest-neighbour joins). Visits
-  are ids and bounds; vectors join them where leaves and their queries, in pieces of bounded
-  size, meet by an equi-join.
+  hold one (triangle inequality, as in published pivot-based k-nearest-neighbour joins). Leaves
+  are packed into regions of bounded size. A query goes once to each region in which it must visit
+  a leaf, with a bit for each of the region's leaves, and meets it by an equi-join; so what is shuffled
+  is queries by regions and the index by blocks of queries, and not queries by leaves. A tree too large to be sent
+  to every task gives visits of single leaves instead, as ids and bounds that vectors join later.
 """
 
 from __future__ import annotations
@@ -51,6 +53,9 @@ STEP_ROWS = 256
 # Vectors, or queries, in one piece of a cell: about this many, and about this many vector entries.
 PIECE_ROWS = 20_000
 PIECE_ENTRIES = 8_000_000
+# Pieces in a region of leaves, about, as far as PIECE_ENTRIES allows; fewest queries of a block that meets it, for which smaller blocks are not cut.
+REGION_PIECES = 6
+BLOCK_ROWS = 1_024
 # Similarities held at a time when two pieces meet.
 TILE_ENTRIES = 4_000_000
 # Slack on distances; above the rounding step of a similarity near any bound.
@@ -144,18 +149,22 @@ class _Best:
         item_ids: np.ndarray,
         skip_self: bool,
         bound: np.ndarray | None = None,
+        at: np.ndarray | None = None,
     ) -> None:
         """Compare all queries with all items, a tile at a time.
 
         Only similarities that may still count are rounded: those within a rounding step of
         the k-th best so far or, at the start, of the k-th best of the tile. ``bound`` is a
-        similarity per query below which nothing counts, where one is known.
+        similarity per query below which nothing counts, where one is known. ``at`` has the queries' places
+        where these are not all.
         """
+        own = slice(None) if at is None else at
         step = max(self.k + 1, TILE_ENTRIES // max(1, len(queries)))
-        for at in range(0, len(items), step):
-            ids = item_ids[at : at + step]
-            sims = queries @ items[at : at + step].T
-            floor = self.sims[:, -1:] if bound is None else np.maximum(self.sims[:, -1:], bound[:, None])
+        for start in range(0, len(items), step):
+            ids = item_ids[start : start + step]
+            sims = queries @ items[start : start + step].T
+            worst = self.sims[own, -1:]
+            floor = worst if bound is None else np.maximum(worst, bound[:, None])
             need = self.k + int(skip_self)
             if sims.shape[1] > need and np.isneginf(floor).any():
                 floor = np.maximum(floor, np.partition(sims, -need, axis=1)[:, -need, None])
@@ -164,7 +173,7 @@ class _Best:
                 other = query_ids[rows] != ids[columns]
                 rows, columns = rows[other], columns[other]
             if len(rows):
-                self.offer(rows, _rounded(sims[rows, columns]), ids[columns])
+                self.offer(rows if at is None else at[rows], _rounded(sims[rows, columns]), ids[columns])
 
     def frame(self, query_ids: np.ndarray) -> pd.DataFrame:
         found = np.isfinite(self.sims)
@@ -429,6 +438,19 @@ def _home_step(need: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return step
 
 
+def _reached(matrix: np.ndarray, kth: np.ndarray, pivots: np.ndarray, near: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows, and cells of one node that may hold a match as good as their ``kth``; see ``_visit_step``."""
+    # The plane between two pivots is no use where they all but coincide.
+    apart = _distances(pivots, pivots)
+    apart[apart < 1e-3] = np.inf
+    to_pivot = _distances(matrix, pivots)
+    nearest = to_pivot.argmin(axis=1)
+    reach = np.where(np.isnan(kth), np.inf, np.sqrt(np.maximum(0.0, 2.0 - 2.0 * kth + SLACK)) + SLACK)
+    ring = np.maximum(to_pivot - far, near - to_pivot)
+    plane = (to_pivot**2 - to_pivot[np.arange(len(nearest)), nearest, None] ** 2) / (2.0 * apart[nearest])
+    return np.nonzero(np.maximum(ring, plane) <= reach[:, None])
+
+
 def _visit_step(rows: pa.Table, cells: pa.Table) -> pa.Table:
     """``query_id, home, kth_sim, node``: the cells that may hold a match as good as ``kth_sim``.
 
@@ -437,18 +459,9 @@ def _visit_step(rows: pa.Table, cells: pa.Table) -> pa.Table:
     """
     row = cell = np.zeros(0, np.int64)
     if rows.num_rows:
-        pivots = _matrix(cells["pivot"])
-        near, far = cells["near"].to_numpy(), cells["far"].to_numpy()
-        # The plane between two pivots is no use where they all but coincide.
-        apart = _distances(pivots, pivots)
-        apart[apart < 1e-3] = np.inf
-        to_pivot = _distances(_matrix(rows["embedding"]), pivots)
-        nearest = to_pivot.argmin(axis=1)
         kth = rows["kth_sim"].to_numpy().astype(np.float64)
-        reach = np.where(np.isnan(kth), np.inf, np.sqrt(np.maximum(0.0, 2.0 - 2.0 * kth + SLACK)) + SLACK)
-        ring = np.maximum(to_pivot - far, near - to_pivot)
-        plane = (to_pivot**2 - to_pivot[np.arange(len(nearest)), nearest, None] ** 2) / (2.0 * apart[nearest])
-        row, cell = np.nonzero(np.maximum(ring, plane) <= reach[:, None])
+        near, far = cells["near"].to_numpy(), cells["far"].to_numpy()
+        row, cell = _reached(_matrix(rows["embedding"]), kth, _matrix(cells["pivot"]), near, far)
     found = rows.select(["query_id", "home", "kth_sim"]).take(pa.array(row))
     return found.append_column("node", pa.array(cells["node"].to_numpy()[cell], pa.int64()))
 
@@ -502,12 +515,148 @@ def _search_leaves(visits: DataFrame, queries: DataFrame, tree: Tree, k: int, sk
     return left.groupBy(*names).cogroup(right.groupBy(*names)).applyInArrow(meet, _MATCH)
 
 
+class _Cells:
+    """The cells of one level inside a task; ``children`` has the places of a node's."""
+
+    def __init__(self, local: pa.Table):
+        self.nodes, self.near, self.far = (local[name].to_numpy() for name in ("node", "near", "far"))
+        self.pivots = _matrix(local["pivot"])
+        parents = local["parent"].to_numpy()  # sorted
+        starts = np.flatnonzero(np.diff(parents, prepend=-1))
+        self.children = dict(zip(parents[starts].tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(parents)], strict=True), strict=True))
+
+
+def _leaves_reached(matrix: np.ndarray, kth: np.ndarray, levels: list[_Cells]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each leaf with the rows that must visit it, from the root down."""
+    state = {0: np.arange(len(matrix))}
+    for cells in levels:
+        below = {}
+        for node, rows in state.items():
+            if node not in cells.children:
+                yield node, rows
+                continue
+            own = slice(*cells.children[node])
+            row, cell = _reached(matrix[rows], kth[rows], cells.pivots[own], cells.near[own], cells.far[own])
+            if not len(cell):
+                continue
+            order = np.argsort(cell, kind="stable")
+            starts = np.flatnonzero(np.diff(cell[order], prepend=-1))
+            for start, stop in zip(starts, [*starts[1:], len(order)], strict=True):
+                below[int(cells.nodes[own][cell[order[start]]])] = rows[row[order[start:stop]]]
+        state = below
+    yield from state.items()
+
+
+def _descents(asked: DataFrame, tree: Tree, found: Callable, schema: str) -> DataFrame:
+    """``found(rows, leaves)`` of all ``asked(query_id, home, kth_sim, embedding)``, some at a time: ``leaves`` gives the leaves to visit beside home with their rows.
+
+    Levels go to every task; nothing is shuffled.
+    """
+    shared = asked.sparkSession.sparkContext.broadcast([level.local for level in tree.levels])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = [_Cells(local) for local in shared.value]
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                part = pa.Table.from_batches([batch.slice(at, BLOCK_ROWS)])
+                home, kth = part["home"].to_numpy(), part["kth_sim"].to_numpy().astype(np.float64)
+                every = _leaves_reached(_matrix(part["embedding"]), kth, levels)
+                away = ((node, rows[home[rows] != node]) for node, rows in every)
+                yield from found(part, ((node, rows) for node, rows in away if len(rows)))
+
+    return asked.mapInArrow(run, schema)
+
+
+def _each_visit(rows: pa.Table, leaves: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for node, at in leaves:
+        some = rows.select(["query_id", "home", "kth_sim"]).take(pa.array(at))
+        yield from some.append_column("node", pa.array(np.full(len(at), node), pa.int64())).to_batches()
+
+
+def _search_regions(asked: DataFrame, tree: Tree, dim: int, k: int, skip_self: bool, piece_rows: int) -> DataFrame:
+    """The k best matches of ``asked`` per region in the leaves that it must visit beside its home.
+
+    Leaves, those beyond ``piece_rows`` in pieces, fill regions in the order of their numbers, which is that of the tree. The index goes
+    to each block of queries once, a query to a region once.
+    """
+    spark = asked.sparkSession
+    most = max(piece_rows, min(REGION_PIECES * piece_rows, PIECE_ENTRIES // dim))
+    units, places, region, filled, unit = [], {}, 0, 0, 0
+    for node, count in sorted(zip(*tree.leaves.toArrow().to_pydict().values(), strict=True)):  # a tree whose leaves' numbers may go to every task
+        pieces = -(-count // piece_rows)
+        for piece in range(pieces):
+            if filled and filled + count // pieces > most:
+                region, filled, unit = region + 1, 0, 0
+            units.append((node, pieces, piece, region, unit))
+            places.setdefault(node, []).append((region, unit))
+            filled, unit = filled + count // pieces, unit + 1
+    regions = region + 1
+    queries = asked.count()
+    wanted = -(-2 * spark.sparkContext.defaultParallelism // regions)
+    blocks = max(-(-queries // most), min(wanted, -(-queries // BLOCK_ROWS)), 1)
+    # Sizes of regions, and their units by leaf.
+    width = [0] * regions
+    for _, _, _, region, unit in units:
+        width[region] = unit + 1
+    sent = spark.sparkContext.broadcast((places, width))
+
+    def packed(rows: pa.Table, leaves: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        places, width = sent.value
+        marks: dict[int, np.ndarray] = {}
+        for node, at in leaves:
+            for region, unit in places[node]:
+                if region not in marks:
+                    marks[region] = np.zeros((rows.num_rows, width[region]), bool)
+                marks[region][at, unit] = True
+        for region, marked in marks.items():
+            at = np.flatnonzero(marked.any(axis=1))
+            bits = [line.tobytes() for line in np.packbits(marked[at], axis=1)]
+            some = rows.select(["query_id", "kth_sim", "embedding"]).take(pa.array(at))
+            some = some.append_column("units", pa.array(bits, pa.binary())).append_column("region", pa.array(np.full(len(at), region), pa.int32()))
+            yield from some.combine_chunks().to_batches()
+
+    kind = asked.schema["embedding"].dataType.simpleString()
+    left = _descents(asked, tree, packed, f"query_id bigint, kth_sim double, embedding {kind}, units binary, region int")
+    left = left.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    of_unit = F.broadcast(spark.createDataFrame(units, "node bigint, pieces int, piece int, region int, unit int"))
+    of_leaf = F.broadcast(spark.createDataFrame(sorted({u[:2] for u in units}), "node bigint, pieces int"))
+    piece = F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int")
+    right = tree.items.join(of_leaf, "node").withColumn("piece", piece).join(of_unit.drop("pieces"), ["node", "piece"])
+    right = right.select("region", "unit", "id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+
+    def meet(asked: pa.Table, items: pa.Table) -> pa.Table:
+        ids = asked["query_id"].to_numpy().astype(np.int64)
+        best = _Best(len(ids), k)
+        if len(ids) and items.num_rows:
+            matrix, bound = _matrix(asked["embedding"]), np.nan_to_num(asked["kth_sim"].to_numpy().astype(np.float64), nan=-np.inf)
+            marks = np.frombuffer(b"".join(asked["units"].to_pylist()), np.uint8).reshape(len(ids), -1)
+            unit = items["unit"].to_numpy()
+            order = np.argsort(unit, kind="stable")
+            vectors, item_ids = _matrix(items["embedding"])[order], items["id"].to_numpy().astype(np.int64)[order]
+            starts = np.flatnonzero(np.diff(unit[order], prepend=-1))
+            for start, stop in zip(starts, [*starts[1:], len(order)], strict=True):
+                number = int(unit[order[start]])
+                at = np.flatnonzero(marks[:, number >> 3] & (128 >> (number & 7)))
+                # A step of queries at a time, whose matrix is a copy.
+                for low in range(0, len(at), BLOCK_ROWS):
+                    some = at[low : low + BLOCK_ROWS]
+                    best.scan(matrix[some], ids[some], vectors[start:stop], item_ids[start:stop], skip_self, bound[some], some)
+        return pa.Table.from_pandas(best.frame(ids), preserve_index=False)
+
+    names = ["region", "block"]
+    return left.groupBy(*names).cogroup(right.groupBy(*names)).applyInArrow(meet, _MATCH)
+
+
 class Search(NamedTuple):
-    """A search by cells: the tree, matches in home leaves, and the further leaves that each query must visit."""
+    """A search by cells: the tree, matches in home leaves, and the further leaves that each query must visit.
+
+    ``asked`` has the queries with their vectors, homes and bounds, where ``visits`` follow from them inside tasks.
+    """
 
     tree: Tree
     first: DataFrame
     visits: DataFrame | None
+    asked: DataFrame | None = None
 
 
 def plan_visits(
@@ -515,7 +664,8 @@ def plan_visits(
 ) -> Search:
     """Grow the tree, search each query's home leaf, and find which other leaves may hold a better match.
 
-    ``visits`` holds ``node, query_id, kth_sim, home``: ids and bounds, no vectors. It is None if the home leaf is the whole index.
+    ``visits`` holds ``node, query_id, kth_sim, home``: ids and bounds, no vectors. It is None if the home leaf is the whole index. It is
+    written only where a level of the tree is too large for every task; else it is worked out by whoever reads it.
     """
     tree = grow_tree(index, dim, rows, leaf_rows, piece_rows)
     unknown = F.lit(None).cast("double").alias("kth_sim")
@@ -531,6 +681,9 @@ def plan_visits(
     bound = first.where(F.col("rank") == k).select("query_id", F.col("sim").alias("kth_sim"))
     asked = homes.select("query_id", F.col("node").alias("home")).join(bound, "query_id", "left")
     schema = "query_id bigint, home bigint, kth_sim double, node bigint"
+    if tree.small:
+        asked = materialise(asked.join(queries, "query_id"), "asked")
+        return Search(tree, first, _descents(asked, tree, _each_visit, schema), asked)
     visits = _descend(asked, queries, tree, _visit_step, schema, piece_rows).where("node <> home")
     return Search(tree, first, materialise(visits, "visits"))
 
@@ -547,7 +700,10 @@ def _search_by_cells(
     search = plan_visits(queries, index, dim, rows, k, skip_self, leaf_rows, piece_rows)
     if search.visits is None:
         return search.first
-    more = _search_leaves(search.visits, queries, search.tree, k, skip_self, piece_rows)
+    if search.asked is not None:
+        more = _search_regions(search.asked, search.tree, dim, k, skip_self, piece_rows)
+    else:
+        more = _search_leaves(search.visits, queries, search.tree, k, skip_self, piece_rows)
     return _ranked(search.first.drop("rank").unionByName(more), k)
 
 

@@ -79,3 +79,16 @@ def test_small_and_empty(spark):
     assert approximate.build(none).rows.collect() == []
     assert approximate.search(one, none, approximate.build(none), 5).collect() == []
     assert approximate.search(none, one, coded, 5).collect() == []
+
+
+def test_a_query_brings_only_its_best_rows_of_a_region(spark):
+    """On vectors that codes hardly tell apart many ids are kept for a query; they meet their vectors where they are found."""
+    items = np.random.default_rng(6).normal(size=(1500, 24))
+    index = frame(spark, items)
+    coded = approximate.build(index, k=5)
+    assert coded.quantizer.depth > 10
+    queries = vectors._usable(index)
+    got = approximate._found_by_regions(queries, index, coded, 5, coded.quantizer.probes, coded.quantizer.depth, True)
+    assert got.count() <= 5 * 1500
+    ways = [found(approximate.search(index, index, coded, 5, skip_self=True, **how)) for how in WAYS]
+    assert {k: v[0] for k, v in ways[0].items()} == {k: v[0] for k, v in ways[1].items()}

@@ -143,6 +143,20 @@ def test_tree_grows_with_the_table(spark, monkeypatch, broadcast):
     close(found(vectors.top_k(index, index, 4, skip_self=True, **how)), brute(items, items, 4, True))
 
 
+@pytest.mark.parametrize("skip_self", [True, False])
+def test_queries_meet_regions_and_not_single_leaves(spark, skip_self):
+    """On vectors that no bound tells apart a query visits nearly all leaves, but goes once to a region."""
+    items = np.random.default_rng(14).normal(size=(900, 24))
+    index = vectors._usable(frame(spark, items))
+    queries = index.withColumnRenamed("id", "query_id")
+    search = vectors.plan_visits(queries, index, 24, 900, 3, skip_self, 10, 50)
+    assert search.visits.count() > 900 * search.tree.leaves.count() / 2
+    met = vectors._search_regions(search.asked, search.tree, 24, 3, skip_self, 50)
+    assert met.count() <= 900 * 3 * -(-900 // 200)
+    how = {"broadcast_queries": 0, "leaf_rows": 10, "piece_rows": 50}
+    close(found(vectors.top_k(index, index, 3, skip_self=skip_self, **how)), brute(items, items, 3, skip_self))
+
+
 def test_centroid_classes(spark):
     rows = spark.createDataFrame(
         [(1, [1.0, 0.0], 5), (2, [0.9, 0.1], 5), (3, [0.0, 1.0], 2), (4, [0.5, 0.5], 2), (5, [0.0, 0.0], 2)],
