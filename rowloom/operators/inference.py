@@ -161,9 +161,13 @@ def infer_once(
     """
     key = prompt_key(prompt, model_name, response_schema)
     keyed = df.drop(out).withColumn("_prompt_key", key)
-    open_prompts = df.select(key.alias("prompt_key"), prompt.alias("prompt")).where("prompt_key IS NOT NULL").dropDuplicates(["prompt_key"])
-    new = materialise(open_prompts.join(ledger.read().select("prompt_key"), "prompt_key", "left_anti"), "open-prompts")
-    if not new.isEmpty():
+    prompts = df.select(key.alias("prompt_key"), prompt.alias("prompt")).where("prompt_key IS NOT NULL")
+    # Keys first: prompts are moved only where the ledger lacks some.
+    lacking = prompts.select("prompt_key").distinct().join(ledger.read().select("prompt_key"), "prompt_key", "left_anti")
+    lacking = materialise(lacking, "open-keys")
+    if not lacking.isEmpty():
+        open_prompts = prompts.join(lacking, "prompt_key", "left_semi").dropDuplicates(["prompt_key"])
+        new = materialise(open_prompts, "open-prompts")
         answers = batch_infer(spread(new), F.col("prompt"), _alone_if_failing(model), "response", response_schema=response_schema, **how)
         ledger.append(answers.where("response IS NOT NULL").select("prompt_key", "response", F.lit(batch).alias("batch")))
     # Runs at the same time may have asked a prompt twice; the answer of the first batch by name holds.

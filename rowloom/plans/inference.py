@@ -283,16 +283,17 @@ def classify_by_mapping(spark, folder):
 )
 def infer_ledger(spark, folder):
     """English texts, then all, through a ledger: the run that asked for each text, and how often it was answered."""
-    docs = documents(spark, folder, "text", "lang")
+    key = inference.prompt_key(F.col("text"), "lengths-1")
+    # The key stands beside the text, so that later joins carry it alone; what the model gets is spread by infer_once.
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang").withColumn("prompt_key", key)
     ledger = CommittedTable(spark, scratch_path(spark, "ledger"), inference.ANSWERS)
     ask = lambda rows, batch: inference.infer_once(rows, F.col("text"), lengths, ledger, "lengths-1", batch)
     ask(docs.where("lang = 'en'"), "first")
     answered = ask(docs, "second")
     again = ask(docs, "third").select("doc_id", F.col("response").alias("again"))
     held = ledger.read().groupBy("prompt_key").agg(F.min("batch").alias("batch"), F.count("*").alias("answers"))
-    key = inference.prompt_key(F.col("text"), "lengths-1")
     rows = answered.join(again, "doc_id").where(F.col("response") == F.col("again"))
-    return rows.withColumn("prompt_key", key).join(held, "prompt_key").select("doc_id", "response", "batch", "answers")
+    return rows.join(held, "prompt_key").select("doc_id", "response", "batch", "answers")
 
 
 def lengths(prompts):

@@ -140,3 +140,16 @@ def test_each_prompt_is_asked_once_and_fails_alone(spark, folder):
     inference.infer_once(df.where("n = 1"), F.col("p"), model, ledger, "m2", "z")
     assert len(glob.glob(f"{calls}/*")) == 4
     assert inference.infer_once(df.limit(0), F.col("p"), model, ledger, "m1", "w").count() == 0
+
+
+def test_prompts_that_the_ledger_has_are_not_moved(spark, tmp_path, monkeypatch):
+    """Keys say which prompts are open; whole prompts are written only for those."""
+    written = []
+    plain = inference.materialise
+    monkeypatch.setattr(inference, "materialise", lambda df, label: written.append((label, df.columns)) or plain(df, label))
+    ledger = CommittedTable(spark, str(tmp_path / "ledger"), inference.ANSWERS)
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None)], "n int, p string")
+    ask = lambda rows, batch: inference.infer_once(rows, F.col("p"), lambda texts: [t * 2 for t in texts], ledger, "m", batch)
+    for batch in ("x", "y"):
+        assert {r["n"]: r["response"] for r in ask(df, batch).collect()} == {1: "aa", 2: "bb", 3: "aa", 4: None}
+    assert [columns for _, columns in written] == [["prompt_key"], ["prompt_key", "prompt"], ["prompt_key"]]
