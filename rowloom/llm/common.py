@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,13 @@ def worker_state(name: str, make: Callable[[], Any], version: Any = None) -> Any
     return held[1]
 
 
+def give_back() -> None:
+    """Freed memory of this process back to the system, as a Python worker lives on idle beside the tasks that follow."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose sizes sum up to at most ``most``, or of one row."""
     at = 0

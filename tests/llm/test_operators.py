@@ -545,6 +545,33 @@ def test_unlearned_languages_and_noise_are_rejected(spark, learned):
     assert sorted(r.doc_id for r in language.in_known_language(frame).collect()) == [i for i, *_ in clean]
 
 
+def test_languages_are_learned_from_every_labelled_text(spark, monkeypatch):
+    """Words, weights and what is usual rest on all texts to their ends, in one share or several, and not on some thousand documents."""
+    rng = random.Random(21)
+    lexicons = {x: ["".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(80)] for x, letters in {"aa": "abcdefgh", "bb": "hijklmno"}.items()}
+    rows = [(i, " ".join(rng.choice(lexicons[lang]) for _ in range(12)), lang) for i in range(3200) for lang in [("aa", "bb")[i % 2]]]
+    # A word beyond 2,000 letters of sixty long texts.
+    rows += [(5000 + i, " ".join([*(rng.choice(lexicons["aa"]) for _ in range(600)), "zyzzyva"]), "aa") for i in range(60)]
+    frame = spark.createDataFrame([*rows, *rows[:50], (9000, "qqq " * 9, None)], "doc_id bigint, text string, lang string").repartition(3)
+    learned = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 5]
+    kept = language.labelled(frame)
+    counts = language.counted(kept)
+    assert kept.count() == len(learned) and counts.agg(F.sum("n")).first()[0] == sum(len(t.split()) for t, _ in learned)
+    usual = language.familiar(kept, counts)
+    every = collections.Counter(w for t, _ in learned for w in t.split())
+    assert usual.total == sum(every.values()) and all(usual.words.get(w) == n for w, n in every.items()) and every["zyzzyva"] > 30
+    runs = collections.Counter(f"^{w}$"[i : i + size] for w in every.elements() for size in (1, 2, 3) for i in range(len(w) + 3 - size))
+    assert usual.grams == runs
+    met = []
+    for size in (language.SHARE_BYTES, 20_000):
+        monkeypatch.setattr(language, "SHARE_BYTES", size)
+        model = language.learn(kept, counts)
+        assert model.languages == ["aa", "bb"] and model.lexicon.get("zyzzyva", -1) == 0
+        met.append(set(np.flatnonzero(model.weights.any(axis=1)).tolist()))
+        assert language.label_texts(model, ["zyzzyva", rows[1][1]])[0] == ["aa", "bb"]
+    assert met[0] == met[1] and set(language.word_features("zyzzyva", model.lexicon)) <= met[0]
+
+
 def test_every_letter_of_a_long_run_counts():
     rng = random.Random(12)
     letters = {"aa": "的一是不了人我在有他", "bb": "のにはをたがでてとし"}
