@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import connected, empty_if_null, free_name
+from rowloom.llm.common import connected, empty_if_null, free_name, give_back
 from rowloom.session import materialise
 
 SHINGLE_WORDS = 5
@@ -189,6 +189,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [part.column(0), pa.array(keys, pa.binary()), pa.array(band_rows, pa.list_(pa.int64())), pa.array(coordinates, pa.binary())],
                 names=["doc_id", "address", "bands", "coordinates"],
             )
+    give_back()
 
 
 def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
