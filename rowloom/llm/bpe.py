@@ -82,7 +82,8 @@ class Encoder:
 
     A text is cut before blanks and line ends that follow something else. Patterns of this kind never
     match across such a place, since blanks stand only at the start of a match or in a run of
-    blanks. The library gets each distinct stretch of a batch once; short ones are remembered.
+    blanks. The library gets each distinct stretch of a batch once, many in one text where they may follow each other; short
+    ones are remembered.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
@@ -95,17 +96,26 @@ class Encoder:
 
     def _look_up(self, stretches: set[str]) -> dict[str, bytes]:
         """The ids of the stretches that are not remembered."""
-        missing, found = [s for s in stretches if s not in self.known], {}
-        for at, stop in slices([len(s) for s in missing], CALL_CHARS):
-            made = [e.ids for e in self.model.encode_batch_fast(missing[at:stop], add_special_tokens=False)]
-            raw = np.array(list(chain.from_iterable(made)), dtype="<u4").tobytes()
-            end = 0
-            for stretch, ids in zip(missing[at:stop], made, strict=True):
-                begin, end = end, end + 4 * len(ids)
+        missing, found = list(stretches.difference(self.known)), {}
+        # Behind a letter, digit or ASCII sign, a blank or line end is a place to cut; such stretches go to the library as one text.
+        plain = [s for s in missing if s[0] in " \n" and (s[-1].isalnum() or "!" <= s[-1] <= "~")]
+        others = [s for s in missing if not (s[0] in " \n" and (s[-1].isalnum() or "!" <= s[-1] <= "~"))]
+        for at, stop in slices(list(map(len, plain)), CALL_CHARS):
+            part = plain[at:stop]
+            ids = np.array(self.model.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            stops = np.cumsum(np.fromiter((len(s.encode()) for s in part), np.int64, len(part)))
+            ends = np.cumsum(self.sizes[ids])
+            last = np.searchsorted(ends, stops)
+            if not np.array_equal(ends[last], stops):
+                raise ValueError("a token crosses a place to cut")
+            raw, begin = ids.tobytes(), 0
+            for stretch, end in zip(part, ((last + 1) * 4).tolist(), strict=True):
                 found[stretch] = raw[begin:end]
-        short = {s: f for s, f in found.items() if len(s) <= SHORT_CHARS}
-        if len(self.known) + len(short) <= REMEMBERED:
-            self.known.update(short)
+                begin = end
+        for at, stop in slices(list(map(len, others)), CALL_CHARS):
+            made = self.model.encode_batch_fast(others[at:stop], add_special_tokens=False)
+            for stretch, encoded in zip(others[at:stop], made, strict=True):
+                found[stretch] = np.array(encoded.ids, dtype="<u4").tobytes()
         return found
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,10 +128,16 @@ class Encoder:
         """Per text its ids (little-endian unsigned 32-bit) and the offsets, start and end, of each token in code points."""
         cut = [_STRETCH.findall(t) for t in texts]
         known, fresh = self.known, self._look_up(set(chain.from_iterable(cut)))
+        before = len(known)
+        known.update(fresh)
         out = []
         for text, stretches in zip(texts, cut, strict=True):
-            raw = b"".join([known.get(s) or fresh[s] for s in stretches])
+            raw = b"".join(map(known.__getitem__, stretches))
             out.append((raw, *self.offsets(text, np.frombuffer(raw, "<u4"))))
+        full = before + len(fresh) > REMEMBERED
+        for stretch in fresh:
+            if full or len(stretch) > SHORT_CHARS:
+                del known[stretch]
         return out
 
 
@@ -153,7 +169,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], sent, pattern: str) -> Iterator[pa.RecordBatch]:
-    encoder = worker_state("byte_bpe", lambda: Encoder(sent.value[1], pattern), (sent.value[0], pattern))
+    encoder = worker_state("byte_bpe", lambda: Encoder(sent.value[1], pattern), (sent.value[0], pattern), ("byte_tokens",))
     for batch in batches:
         sizes = pc.binary_length(batch.column(1)).fill_null(0).to_pylist()
         for at, stop in slices(sizes, CALL_CHARS):
@@ -191,7 +207,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
 
 
 def _decode(batches: Iterator[pa.RecordBatch], sent, with_pieces: bool) -> Iterator[pa.RecordBatch]:
-    tokens = worker_state("byte_tokens", lambda: token_bytes(sent.value[1]), sent.value[0])
+    tokens = worker_state("byte_tokens", lambda: token_bytes(sent.value[1]), sent.value[0], ("byte_bpe",))
     for batch in batches:
         column = batch.column("ids")
         sizes = pc.binary_length(column).fill_null(0).to_pylist()

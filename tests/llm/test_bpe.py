@@ -76,3 +76,21 @@ def test_query_beside_the_library(spark, library):
         assert row["n_tokens"] == len(want)
         assert row["ids_sha256"] == hashlib.sha256(want.tobytes()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(docs[row["doc_id"]].encode()).hexdigest()
+
+
+def test_new_stretches_reach_the_library_together(library):
+    """Thousands of stretches that are met for the first time are a few texts for the library, with the ids of each as before."""
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.n = model, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.n += len(texts)
+            return self.model.encode_batch_fast(texts, **options)
+
+    own = bpe.Encoder(bpe.read_ranks(RANKS), PATTERN)
+    own.model = Counted(own.model)
+    texts = [f"{k}" + "".join(f" w{k}é{i}" + ("" if i % 9 else "\n") for i in range(400)) for k in range(20)] + HARD
+    assert [ids_of(i) for i, _, _ in own.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+    assert own.model.n < 400
