@@ -33,9 +33,14 @@ def empty_if_null(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def worker_state(name: str, make: Callable[[], Any], version: Any = None) -> Any:
-    """A value kept for the life of one Python worker, such as a tokenizer or a cache; only the last version of it."""
+def worker_state(name: str, make: Callable[[], Any], version: Any = None, beside: tuple[str, ...] = ()) -> Any:
+    """A value kept by a Python worker, such as a tokenizer or a cache, until another is asked for; only the last version of it.
+
+    A worker serves one operator after another. What an earlier one kept is let go and its memory given back, but for
+    the names ``beside``, which steps of the same tasks use.
+    """
     holder = sys.modules.setdefault("rowloom_worker_state", types.ModuleType("rowloom_worker_state"))
+    let_go(name, *beside)
     held = getattr(holder, name, None)
     if held is None or held[0] != version:
         setattr(holder, name, None)
@@ -44,6 +49,16 @@ def worker_state(name: str, make: Callable[[], Any], version: Any = None) -> Any
     return held[1]
 
 
+def let_go(*names: str) -> None:
+    """Drop what earlier operators kept in this worker (see ``worker_state``), but for ``names``."""
+    holder = sys.modules.get("rowloom_worker_state")
+    others = [x for x in vars(holder) if not x.startswith("__") and x not in names] if holder else []
+    for other in others:
+        delattr(holder, other)
+    if others:
+        give_back()
+
+
 def give_back() -> None:
     """Freed memory of this process back to the system, as a Python worker lives on idle beside the tasks that follow."""
     pa.default_memory_pool().release_unused()

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import connected, empty_if_null, free_name, give_back
+from rowloom.llm.common import connected, empty_if_null, free_name, give_back, let_go
 from rowloom.session import materialise
 
 SHINGLE_WORDS = 5
@@ -168,6 +168,7 @@ def address(text: Column) -> Column:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Address, band hashes and short coordinates of each text; equal texts of a stretch are signed once."""
+    let_go()
     for batch in batches:
         for at in range(0, batch.num_rows, TOGETHER):
             part = batch.slice(at, TOGETHER)
@@ -199,6 +200,7 @@ def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 def _compare_texts(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """The pairs whose texts are at least that similar. A text met again right away is not cut anew."""
+    let_go()
     last: tuple = (None, None)
     for batch in batches:
         keep = []
@@ -236,6 +238,7 @@ def _linking(agreement: float, least: float):
     """
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
+        let_go()
         i, j = key[1].as_py(), key[2].as_py()
         piece = rows.column("piece").to_numpy()
         ids, parts, texts = (rows.column(c).to_pylist() for c in ("address", "part", "text"))

@@ -9,11 +9,12 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import worker_state
+from rowloom.llm.common import give_back, let_go, slices, worker_state
 from rowloom.session import materialise
 
 CAPACITY = 4096
@@ -123,6 +124,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                         out, held = [], 0
                 row += 1
             yield made(out)
+        give_back()
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 
@@ -311,6 +313,7 @@ def _pack_blocks(rows: DataFrame, blocks: int, capacity: int, *dealt: str) -> Da
     """Each block's rows in sequences of their own: adds sequence (within a block), offset and fill. Blocks are dealt by a hash of ``dealt``."""
 
     def pack(key: tuple, batch: pa.Table) -> pa.Table:
+        let_go()
         lengths = batch.column("length").to_pylist()
         sequence, offset, fill = (np.zeros(len(lengths), dtype=np.int64) for _ in range(3))
         for b, members in enumerate(pack_lengths(lengths, capacity)):
@@ -366,7 +369,9 @@ def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raise ValueError(f"the pieces of sequence {current} do not follow each other")
         out.append((current, len(ids) // 4, ids, list(places)))
 
-    for batch in batches:
+    let_go()
+    parted = (batch.slice(at, stop - at) for batch in batches for at, stop in slices(pc.binary_length(batch.column("ids")).to_pylist(), HELD_BYTES))
+    for batch in parted:
         for sequence, offset, key, piece, start, length, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if sequence != current:
                 if current is not None:
@@ -381,6 +386,7 @@ def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if current is not None:
         close()
     yield made()
+    give_back()
 
 
 def sequences(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
