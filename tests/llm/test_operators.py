@@ -5,6 +5,8 @@ import hashlib
 import itertools
 import random
 import re
+import sys
+import types
 import zlib
 
 import duckdb
@@ -13,7 +15,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.llm import ann, chat, exact, language, mixing, near, packing, queries, secrets, sharding, tokens
+from rowloom.llm import ann, chat, common, exact, language, mixing, near, packing, queries, secrets, sharding, tokens
 from rowloom.llm.common import connected, weighted_cut
 from rowloom.session import scratch_path
 from tests.compare import differences
@@ -572,6 +574,57 @@ def test_languages_are_learned_from_every_labelled_text(spark, monkeypatch):
     assert met[0] == met[1] and set(language.word_features("zyzzyva", model.lexicon)) <= met[0]
 
 
+def test_texts_are_not_written_to_learn_languages(spark, monkeypatch):
+    """Repeated documents are found by hashes, and shares are shuffled compressed; before, all labelled texts were written and shuffled twice."""
+    rng = random.Random(3)
+    lexicon = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(lexicon) for _ in range(40)), "aa") for i in range(400)]
+    frame = spark.createDataFrame([*rows, *rows[:90], *rows[:30]], "doc_id bigint, text string, lang string").repartition(3)
+    written = []
+    monkeypatch.setattr(language, "materialise", lambda df, label, real=language.materialise: (written.append(df.columns), real(df, label))[1])
+    kept = language.labelled(frame)
+    assert sorted(r.text for r in kept.select("text").collect()) == sorted(t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5)
+    assert written and not any("text" in columns for columns in written)
+    packed = kept.select(F.lit(0).alias("share"), "text", "lang", "u", "v").coalesce(1).mapInArrow(language._packed, "share int, rows binary").toArrow()
+    back = language._unpacked(packed["rows"])
+    assert sorted(back["text"].to_pylist()) == sorted(r.text for r in kept.collect()) and packed["rows"].nbytes < 0.7 * back["text"].nbytes
+    # Where very many repeat, their texts are moved once.
+    monkeypatch.setattr(language, "BROADCAST_ROWS", 10)
+    assert language.labelled(frame).count() == kept.count()
+
+
+def test_words_and_their_features_are_found_for_many_texts_at_once():
+    rng = random.Random(6)
+    for _ in range(200):
+        texts = ["".join(rng.choice("aB cÉdß\n_1²x日ΣσÀİ😀 ,") for _ in range(rng.choice([0, 1, 5, 80]))) + "Q" * rng.choice([0, 0, 24, 25, 120]) for _ in range(4)]
+        distinct, ids, lengths = language.split_words(texts)
+        words = [language.words_of(t) for t in texts]
+        assert [distinct[i] for i in ids] == list(itertools.chain(*words)) and lengths.tolist() == list(map(len, words))
+        assert distinct == list(dict.fromkeys(itertools.chain(*words)))
+        slots, sizes = language.feature_slots(distinct, language.WordTable.of({w: i % 3 for i, w in enumerate(distinct[::2])})) if distinct else ([], [])
+        at = 0
+        for i, (word, size) in enumerate(zip(distinct, sizes, strict=True)):
+            marked = f"^{word}$"
+            parts = [f"w {word}", *[f"p {word[:n]}" for n in (1, 2, 3)], *[f"s {word[-n:]}" for n in (1, 2, 3)]]
+            parts += [f"g {marked[k : k + n]}" for n in (2, 3) for k in range(len(marked) - n + 1)] + [f"l {-1 if i % 2 else i // 2 % 3}"]
+            assert slots[at : at + size].tolist() == [zlib.crc32(p.encode()) % language.SLOTS for p in parts]
+            at += size
+
+
+def test_a_worker_keeps_only_what_its_operator_needs(monkeypatch):
+    """The next operator's state replaces that of the one before, which used to stay for the life of the worker."""
+    monkeypatch.setitem(sys.modules, "rowloom_worker_state", types.ModuleType("rowloom_worker_state"))
+    kept = lambda: {x for x in vars(sys.modules["rowloom_worker_state"]) if not x.startswith("__")}
+    first = common.worker_state("one", lambda: ["one"])
+    assert common.worker_state("one", lambda: ["new"]) is first
+    common.worker_state("two", list, beside=("one",))
+    assert kept() == {"one", "two"}
+    common.worker_state("three", list)
+    assert kept() == {"three"}
+    common.let_go()
+    assert kept() == set()
+
+
 def test_every_letter_of_a_long_run_counts():
     rng = random.Random(12)
     letters = {"aa": "的一是不了人我在有他", "bb": "のにはをたがでてとし"}
