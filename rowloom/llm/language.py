@@ -36,11 +36,11 @@ HELD_COUNTS = 250_000
 KNOWN_DOCS = 3
 SLOTS = 1 << 17
 # Words whose scores a worker remembers, about 250 bytes each; others are scored anew.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 # UTF-8 bytes of text that are labelled at a time, but for a longer text; words whose features are held at a time; and words by languages of a step.
 SLICE_BYTES = 3_000_000
 FEATURE_WORDS = 20_000
-STEP_CELLS = 2_000_000
+STEP_CELLS = 4_000_000
 UNKNOWN = "und"
 # Most letters of a word; what is longer is no word of a language, and is cut into several.
 WORD_LETTERS = 24
