@@ -60,19 +60,22 @@ def words_of(text: str) -> list[str]:
 
 
 _letters: list[np.ndarray] = []
-# Fixed odd factors by place in a word, for the hashes that tell the words of a few texts apart.
-_FACTORS = np.array([random.Random(n).getrandbits(64) | 1 for n in range(WORD_LETTERS)], np.uint64)
+# An odd factor by place in a text, for the hashes that tell the words of a few texts apart.
+_FACTOR = np.uint64(random.Random(0).getrandbits(64) >> 3 << 3 | 5)
 
 
-def _is_letter() -> np.ndarray:
-    """Whether each code point is a letter of a word."""
+def _letter_tables() -> list[np.ndarray]:
+    """Whether each code point is a letter of a word, and a number of 64 mixed bits for each."""
     if not _letters:
         # Surrogates are no characters.
         points = [*range(0xD800), *range(0xE000, 0x110000)]
         table = np.zeros(0x110000, bool)
         table[[ord(c) for c in re.findall(r"[^\W\d_]", "".join(map(chr, points)))]] = True
-        _letters.append(table)
-    return _letters[0]
+        mixed = np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+        _letters.extend((table, mixed ^ (mixed >> np.uint64(31))))
+    return _letters
 
 
 def split_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -82,9 +85,9 @@ def split_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """
     lowered = [t.lower() for t in texts]
     joined = "\n".join(lowered)
-    points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
-    inside = _is_letter()[points]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    points = _code_points(joined).astype(np.int64)
+    is_letter, mixed = _letter_tables()
+    edges = np.flatnonzero(np.diff(is_letter[points], prepend=False, append=False))
     begins, lengths = edges[::2], edges[1::2] - edges[::2]
     if not len(begins):
         return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
@@ -93,24 +96,22 @@ def split_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         run, runs, n = np.repeat(begins, n), np.repeat(lengths, n), np.repeat(n, n)
         begins, lengths = run + runs * k // n, runs * (k + 1) // n - runs * k // n
-    starts = np.cumsum(lengths) - lengths
-    mixed = points[inside].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= _FACTORS[np.arange(len(mixed)) - np.repeat(starts, lengths)]
-    hashes = np.add.reduceat(mixed, starts)
-    sort = np.argsort(hashes)
-    new = np.diff(hashes[sort], prepend=~hashes[sort[0]]) != 0
-    first = np.minimum.reduceat(sort, np.flatnonzero(new))
-    ids = np.empty(len(sort), np.int64)
-    ids[sort] = np.cumsum(new) - 1
-    order = np.argsort(first)
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    spans = zip(begins[first[order]].tolist(), (begins + lengths)[first[order]].tolist(), strict=True)
+    ends = begins + lengths
+    # A word's hash is the sum of its letters' numbers times powers of the factor, from running sums over all letters, times what makes it the same at every place.
+    powers = np.full(len(points) + 1, _FACTOR)
+    powers[0] = 1
+    np.cumprod(powers, out=powers)
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.multiply(mixed[points], powers[:-1], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    hashes = (sums[ends] - sums[begins]) * powers[len(points) - begins]
+    # Numbers in order of arrival; of the places of a number the first is written last.
+    ids = pa.array(hashes).dictionary_encode().indices.to_numpy().astype(np.int64)
+    first = np.empty(int(ids.max()) + 1, np.int64)
+    first[ids[::-1]] = np.arange(len(ids) - 1, -1, -1)
+    spans = zip(begins[first].tolist(), ends[first].tolist(), strict=True)
     stops = np.cumsum(np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1)
-    return [joined[a:b] for a, b in spans], rank[ids], np.diff(np.searchsorted(begins, stops), prepend=0)
+    return [joined[a:b] for a, b in spans], ids, np.diff(np.searchsorted(begins, stops), prepend=0)
 
 
 def _crc_table() -> np.ndarray:
@@ -127,6 +128,11 @@ def _code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), "<u4")
 
 
+def _marked(words: list[str]) -> str:
+    """The words, each between its marks."""
+    return "^" + "$^".join(words) + "$" if words else ""
+
+
 def _crc_next(crc: np.ndarray, letters: np.ndarray) -> np.ndarray:
     """The registers of CRC-32 after one more letter each, in UTF-8."""
 
@@ -156,9 +162,9 @@ def feature_slots(words: list[str], lexicon: WordTable) -> tuple[np.ndarray, np.
     A word has itself, its affixes of up to three letters, its two- and three-grams, and its lexicon. A slot is the CRC-32 of kind and
     feature; all words are hashed at once.
     """
-    raw = [w.encode() for w in words]
+    raw = list(map(str.encode, words))
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    letters = _code_points("".join([f"^{w}$" for w in words]))
+    letters = _code_points(_marked(words))
     begins = np.cumsum(lengths + 2) - lengths - 2
     ends = begins + lengths + 1
 
@@ -172,7 +178,7 @@ def feature_slots(words: list[str], lexicon: WordTable) -> tuple[np.ndarray, np.
     starts = np.cumsum(sizes) - sizes
     flat = np.empty(int(sizes.sum()), np.int32)
     whole = zlib.crc32(b"w ")
-    flat[starts] = np.fromiter((zlib.crc32(w, whole) for w in raw), np.int64, len(raw)) % SLOTS
+    flat[starts] = np.fromiter(map(zlib.crc32, raw, repeat(whole)), np.int64, len(raw)) % SLOTS
     head = tail = None
     for n in (1, 2, 3):
         # A word shorter than that is its own affix.
@@ -194,8 +200,9 @@ def feature_slots(words: list[str], lexicon: WordTable) -> tuple[np.ndarray, np.
     inside[ends - 1] = False
     at = np.flatnonzero(inside)
     flat[at + np.repeat(starts + 8 + lengths - begins, lengths)] = slots(three[at])
-    labels, label = np.unique(lexicon.find(WordTable.hashes_of(raw), -1), return_inverse=True)
-    flat[starts + sizes - 1] = np.array([zlib.crc32(f"l {x}".encode()) % SLOTS for x in labels.tolist()], np.int32)[label]
+    label = lexicon.find(WordTable.hashes_of(raw), -1)
+    labels = range(-1, int(label.max(initial=-1)) + 1)
+    flat[starts + sizes - 1] = np.array([zlib.crc32(f"l {x}".encode()) % SLOTS for x in labels], np.int32)[label + 1]
     return flat, sizes
 
 
@@ -250,7 +257,7 @@ class Field:
 
     def word_rows(self, words: list[str]) -> np.ndarray:
         """What is remembered of each word: its scores, and its likelihood by letter and its letters if that is asked. No numbers if it holds no letter."""
-        letters = np.fromiter(map(has_letter, words), bool, len(words))
+        letters = have_letters(words)
         rows = self.word_scores(words)
         if self.usual:
             sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
@@ -263,7 +270,7 @@ class Field:
         out = np.empty((len(words), len(self.languages)), np.float32)
         for at in range(0, len(words), FEATURE_WORDS):
             slots, counts = feature_slots(words[at : at + FEATURE_WORDS], self.lexicon)
-            sums = np.add.reduceat(self.weights[slots], np.cumsum(counts) - counts, axis=0)
+            sums = np.add.reduceat(np.take(self.weights, slots, axis=0), np.cumsum(counts) - counts, axis=0)
             out[at : at + FEATURE_WORDS] = sums / np.sqrt(counts)[:, None]
         return out
 
@@ -274,33 +281,56 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray)
     ``scores`` is (words, sequences, labels), sequences in descending order of ``lengths``. What lies
     beyond a sequence's end is 0 in the sums.
     """
-    longest, _, labels = scores.shape
-    step, ones = np.exp(moves), np.ones(labels, scores.dtype)
+    longest, sequences, labels = scores.shape
+    running = np.searchsorted(-lengths, -np.arange(1, longest + 1), side="right")
+    local = _factors(scores)
+    forward, backward = np.zeros_like(local), np.zeros_like(local)
+    by_label = [np.ascontiguousarray(np.moveaxis(x, 2, 0)).reshape(labels, -1) for x in (local, forward, backward)]
+    _sums(*by_label, np.arange(longest) * sequences, running, moves)
+    forward, backward = (np.ascontiguousarray(np.moveaxis(x.reshape(labels, longest, sequences), 0, 2)) for x in by_label[1:])
+    return forward, backward, local
+
+
+def _factors(scores: np.ndarray) -> np.ndarray:
+    """The words' own factors; the largest of each word is 1."""
     top = scores[..., 0].copy()
-    for k in range(1, labels):
+    for k in range(1, scores.shape[-1]):
         np.maximum(top, scores[..., k], out=top)
-    local = np.exp(scores - top[..., None])
-    forward = np.zeros_like(local)
-    backward = np.zeros_like(local)
-    running = np.searchsorted(-lengths, -np.arange(1, longest + 1), side="right")
-    for t in range(longest):
-        n = running[t]
-        ahead = local[t, :n] if t == 0 else (forward[t - 1, :n] @ step) * local[t, :n]
-        np.divide(ahead, (ahead @ ones)[:, None], out=forward[t, :n])
-    for t in range(longest - 1, -1, -1):
-        n = running[t]
-        m = running[t + 1] if t + 1 < longest else 0
-        backward[t, m:n] = 1.0 / labels
+    local = scores - top[..., None]
+    return np.exp(local, out=local)
+
+
+def _sums(local: np.ndarray, forward: np.ndarray, backward: np.ndarray, starts: np.ndarray, running: np.ndarray, moves: np.ndarray) -> None:
+    """Fill in forward and backward sums, scaled per word, of sequences in descending order of length.
+
+    All have a row per label and a column per word: the first words of all sequences, then the second words of all that have one, and
+    so on; ``starts`` and ``running`` have the first column and the number of sequences of each.
+    """
+    labels = len(local)
+    step = np.exp(moves)
+    back, ones = np.ascontiguousarray(step.T), np.ones(labels, local.dtype)
+    columns, counts = starts.tolist(), running.tolist()
+    before = None
+    for at, n in zip(columns, counts, strict=True):
+        ahead = local[:, at : at + n]
+        if before is not None:
+            ahead = np.matmul(back, forward[:, before : before + n]) * ahead
+        np.divide(ahead, np.matmul(ones, ahead), out=forward[:, at : at + n])
+        before = at
+    after, m = 0, 0
+    for at, n in zip(reversed(columns), reversed(counts), strict=True):
+        if n > m:
+            backward[:, at + m : at + n] = 1.0 / labels
         if m:
-            behind = (local[t + 1, :m] * backward[t + 1, :m]) @ step.T
-            np.divide(behind, (behind @ ones)[:, None], out=backward[t, :m])
-    return forward, backward, local
+            behind = np.matmul(step, local[:, after : after + m] * backward[:, after : after + m])
+            np.divide(behind, np.matmul(ones, behind), out=backward[:, at : at + m])
+        after, m = at, n
 
 
 def marginals(forward: np.ndarray, backward: np.ndarray) -> np.ndarray:
     """Posterior of every label at every word; 0 beyond a sequence's end."""
     both = forward * backward
-    total = (both @ np.ones(both.shape[2], both.dtype))[..., None]
+    total = (both @ np.ones(both.shape[-1], both.dtype))[..., None]
     return np.divide(both, total, out=np.zeros_like(both), where=total > 0)
 
 
@@ -323,7 +353,7 @@ class WordTable:
     @staticmethod
     def hashes_of(raw: list[bytes]) -> np.ndarray:
         """The hashes of words in UTF-8."""
-        return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in raw), np.uint64, len(raw)).view(np.int64)
+        return np.fromiter(map(xxhash.xxh64_intdigest, raw, repeat(42)), np.uint64, len(raw)).view(np.int64)
 
     def find(self, hashes: np.ndarray, default: int = 0) -> np.ndarray:
         if not len(self.hashes):
@@ -359,16 +389,21 @@ def fit(samples: list[tuple[str, str]], seed: int = 11) -> Field | None:
 class _Numbers(dict):
     """A number for each word that ``keep`` approves of, in order of arrival, and -1 for others."""
 
-    def __init__(self, keep: Callable[[str], bool]):
+    def __init__(self, keep: Callable[[list[str]], np.ndarray]):
         super().__init__()
         self.keep, self.n = keep, 0
 
-    def __missing__(self, word: str) -> int:
-        number = -1
-        if self.keep(word):
-            number, self.n = self.n, self.n + 1
-        self[word] = number
-        return number
+    def of(self, words: list[str]) -> np.ndarray:
+        """The numbers of distinct words."""
+        found = np.fromiter(map(self.get, words, repeat(-2)), np.int64, len(words))
+        new = np.flatnonzero(found == -2)
+        if len(new):
+            fresh = [words[i] for i in new.tolist()]
+            kept = self.keep(fresh)
+            found[new] = np.where(kept, self.n + np.cumsum(kept) - 1, -1)
+            self.n += np.count_nonzero(kept)
+            self.update(zip(fresh, found[new].tolist(), strict=True))
+        return found
 
     def kept(self) -> list[str]:
         """The words in order of their numbers."""
@@ -381,26 +416,33 @@ def _sequences(samples: list[tuple[str, str]], number: dict[str, int], rng: rand
     A document's words carry its language. Up to half of the sequences are spliced: two of different languages change their
     ends, so transitions are learned from text that switches, and each word is in one sequence.
     """
-    known = _Numbers(str.isalpha)
-    parts, labels = [], []
+    known = _Numbers(lambda words: np.fromiter(map(str.isalpha, words), bool, len(words)))
+    rows, labels, lengths = [], [], []
     for at, stop in slices([len(text) for text, _ in samples], SLICE_BYTES):
-        distinct, found, lengths = split_words([text for text, _ in samples[at:stop]])
-        found = np.fromiter(map(known.__getitem__, distinct), np.int32, len(distinct))[found] if distinct else found.astype(np.int32)
-        for (_, lang), ids in zip(samples[at:stop], np.split(found, np.cumsum(lengths)[:-1]), strict=True):
-            ids = ids[ids >= 0]
-            parts += [ids[at : at + SEQUENCE_WORDS] for at in range(0, len(ids), SEQUENCE_WORDS)]
-            labels += [number[lang]] * (len(parts) - len(labels))
-    lengths = np.array([len(p) for p in parts], np.int64)
-    words = np.full((len(parts), SEQUENCE_WORDS), -1, np.int32)
-    for row, ids in zip(words, parts, strict=True):
-        row[: len(ids)] = ids
-    truth = np.repeat(np.array(labels, np.int16)[:, None], SEQUENCE_WORDS, axis=1) if parts else np.zeros((0, SEQUENCE_WORDS), np.int16)
-    order = list(range(len(parts)))
+        distinct, found, counts = split_words([text for text, _ in samples[at:stop]])
+        found = known.of(distinct)[found]
+        text = np.repeat(np.arange(stop - at), counts)[found >= 0]
+        found = found[found >= 0]
+        counts = np.bincount(text, minlength=stop - at)
+        # A text's words fill as many sequences as it takes.
+        sequences = -(-counts // SEQUENCE_WORDS)
+        place = np.arange(len(found)) - (np.cumsum(counts) - counts)[text]
+        table = np.full((int(sequences.sum()), SEQUENCE_WORDS), -1, np.int32)
+        table[(np.cumsum(sequences) - sequences)[text] + place // SEQUENCE_WORDS, place % SEQUENCE_WORDS] = found
+        rows.append(table)
+        labels.append(np.repeat(np.array([number[lang] for _, lang in samples[at:stop]], np.int16), sequences))
+        lengths.append((table >= 0).sum(axis=1))
+    words = np.concatenate(rows) if rows else np.zeros((0, SEQUENCE_WORDS), np.int32)
+    labels = np.concatenate(labels) if rows else np.zeros(0, np.int16)
+    lengths = np.concatenate(lengths) if rows else np.zeros(0, np.int64)
+    truth = np.repeat(labels[:, None], SEQUENCE_WORDS, axis=1)
+    labels = labels.tolist()
+    order = list(range(len(words)))
     rng.shuffle(order)
     sizes, spliced = lengths.tolist(), []
     for one, other in zip(order[::2], order[1::2], strict=False):
         cut = rng.randint(4, SEQUENCE_WORDS - 4)
-        if labels[one] == labels[other] or min(sizes[one], sizes[other]) <= cut or 4 * len(spliced) >= len(parts):
+        if labels[one] == labels[other] or min(sizes[one], sizes[other]) <= cut or 4 * len(spliced) >= len(words):
             continue
         spliced.append((one, other, cut))
     if spliced:
@@ -458,10 +500,11 @@ def fit_share(samples: list[tuple[str, str]], languages: list[str], lexicon: Wor
             used, local_id = _distinct(place[inside], word_places)
             counts = sizes[used]
             starts = np.cumsum(counts) - counts
-            flat = all_slots[np.arange(counts.sum()) + np.repeat(begins[used] - starts, counts)]
+            owner = np.repeat(np.arange(len(used)), counts)
+            flat = all_slots[np.arange(len(owner)) + (begins[used] - starts)[owner]]
             touched, spot = _distinct(flat, slot_places)
             root = np.sqrt(counts)[:, None].astype(np.float32)
-            word_scores = np.add.reduceat(model.weights[flat], starts, axis=0) / root
+            word_scores = np.add.reduceat(np.take(model.weights, flat, axis=0), starts, axis=0) / root
             scores = np.zeros((*place.shape, len(languages)), np.float32)
             truth = np.zeros_like(scores)
             scores[inside] = word_scores[local_id]
@@ -471,7 +514,7 @@ def fit_share(samples: list[tuple[str, str]], languages: list[str], lexicon: Wor
             step = np.empty((len(touched), len(languages)), np.float32)
             for column in range(len(languages)):
                 by_word = np.bincount(local_id, wrong[:, column], len(used)) / root[:, 0]
-                step[:, column] = np.bincount(spot, np.repeat(by_word, counts), len(touched))
+                step[:, column] = np.bincount(spot, by_word[owner], len(touched))
             held = model.weights[touched]
             step = step / len(batch) + 1e-6 * held
             past = past_w[touched] + step**2
@@ -484,13 +527,34 @@ def fit_share(samples: list[tuple[str, str]], languages: list[str], lexicon: Wor
             heavy = np.broadcast_to(share[batch][None], both.shape)[both]
             pair = forward[:-1][both][:, :, None] * np.exp(model.moves)[None] * (local[1:] * backward[1:])[both][:, None, :]
             pair = pair / pair.sum(axis=(1, 2), keepdims=True)
-            seen = np.einsum("na,nb,n->ab", truth[:-1][both], truth[1:][both], heavy)
+            seen = np.bincount(label[:-1][both].astype(np.int64) * len(languages) + label[1:][both], heavy, len(languages) ** 2).reshape(moves.shape)
             move = ((pair * heavy[:, None, None]).sum(axis=0) - seen) / len(batch) + 1e-4 * model.moves
             past_m += move**2
             model.moves -= 0.2 * rate * move / np.sqrt(past_m)
     return len(words), model.weights, model.moves, _distinct(all_slots, slot_places)[0]
 
 
+def _mass(scores: list[np.ndarray], moves: np.ndarray) -> np.ndarray:
+    """The posteriors of each sequence, summed over its words; sequences in descending order of length, each with a word."""
+    sizes = np.array([len(s) for s in scores])
+    running = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
+    starts = np.cumsum(running) - running
+    # The words by their place in a sequence, and by sequence.
+    flat = np.empty((int(sizes.sum()), len(moves)), np.float32)
+    for b, rows in enumerate(scores):
+        flat[starts[: len(rows)] + b] = rows
+    local = np.ascontiguousarray(_factors(flat).T)
+    forward, backward = np.empty_like(local), np.empty_like(local)
+    _sums(local, forward, backward, starts, running, moves)
+    forward *= backward
+    total = np.matmul(np.ones(len(moves), np.float32), forward)
+    posterior = np.divide(forward, total, out=np.zeros_like(forward), where=total > 0)
+    mass = np.zeros((len(moves), len(scores)), np.float32)
+    for at, n in zip(starts.tolist(), running.tolist(), strict=True):
+        mass[:, :n] += posterior[:, at : at + n]
+    return mass.T
+
+
 def label_texts(model: Field, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
     """Language, score and strangeness of each text.
 
@@ -498,32 +562,26 @@ def label_texts(model: Field, texts: list[str | None]) -> tuple[list[str], list[
     strangeness is that of ``Familiarity``, infinite without words, 0 if the model has none.
     """
     distinct, ids, lengths = split_words([t or "" for t in texts])
-    ends = np.cumsum([0, *lengths.tolist()])
-    scores = model.rows.of(distinct)[ids] if distinct else model.word_rows([])
-    good = ~np.isnan(scores[:, 0]) if len(scores) else np.zeros(0, bool)
-    spans = [np.flatnonzero(good[a:b]) + a for a, b in zip(ends, ends[1:], strict=False)]
+    scores = np.take(model.rows.of(distinct), ids, axis=0) if distinct else model.word_rows([])
     labels = len(model.languages)
+    good = np.flatnonzero(~np.isnan(scores[:, 0]))
+    text = np.repeat(np.arange(len(texts)), lengths)[good]
+    sizes = np.bincount(text, minlength=len(texts))
+    begins = np.cumsum(sizes) - sizes
     mass = np.zeros((len(texts), labels))
-    order = sorted(range(len(texts)), key=lambda i: -len(spans[i]))
-    order = [i for i in order if len(spans[i])]
-    at = 0
-    while at < len(order):
-        # Sequences of like length together, of a bounded number of words.
-        longest = len(spans[order[at]])
-        group = order[at : at + max(1, STEP_CELLS // (labels * longest))]
-        at += len(group)
-        lengths = np.array([len(spans[i]) for i in group])
-        block = np.zeros((longest, len(group), labels), np.float32)
-        for b, i in enumerate(group):
-            block[: lengths[b], b] = scores[spans[i], :labels]
-        mass[group] = marginals(*forward_backward(block, lengths, model.moves)[:2]).sum(axis=0)
+    order = np.argsort(-sizes, kind="stable")[: np.count_nonzero(sizes)]
+    # Sequences of like length together, of a bounded number of words.
+    for at, stop in slices((sizes[order] * labels).tolist(), STEP_CELLS):
+        group = order[at:stop]
+        mass[group] = _mass([scores[good[a : a + n], :labels] for a, n in zip(begins[group].tolist(), sizes[group].tolist(), strict=True)], model.moves)
     best = mass.argmax(axis=1)
     total = mass.sum(axis=1)
     languages = [model.languages[b] if t > 0 else UNKNOWN for b, t in zip(best.tolist(), total.tolist(), strict=True)]
     shares = np.divide(mass.max(axis=1), total, out=np.zeros(len(texts)), where=total > 0)
     strange = [0.0] * len(texts)
     if model.usual:
-        for i, span in enumerate(spans):
+        for i, (a, n) in enumerate(zip(begins.tolist(), sizes.tolist(), strict=True)):
+            span = good[a : a + n]
             _, first, counts = np.unique(ids[span], return_index=True, return_counts=True)
             rows = scores[span[first], labels:].astype(np.float64)
             strange[i] = model.usual.apartness(rows[:, 0], rows[:, 1] * counts) if len(span) else math.inf
@@ -600,7 +658,7 @@ class Familiarity:
         """The logarithm of each word's likelihood."""
         if not words:
             return np.zeros(0)
-        letters = _code_points("".join([f"^{w}$" for w in words])).astype(np.int64)
+        letters = _code_points(_marked(words)).astype(np.int64)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         begins = np.cumsum(lengths + 2) - lengths - 2
         # The run that ends at each letter but the first: the two letters before it, or the first alone, and it.
@@ -650,7 +708,7 @@ class Familiarity:
         if not distinct:
             return []
         found = self.rows.of(distinct)[:, 0]
-        letters = np.where(np.fromiter(map(has_letter, distinct), bool, len(distinct)), np.fromiter(map(len, distinct), np.int64, len(distinct)) + 1, 0)
+        letters = np.where(have_letters(distinct), np.fromiter(map(len, distinct), np.int64, len(distinct)) + 1, 0)
         made = []
         for words in np.split(ids, np.cumsum(lengths)[:-1]):
             used, counts = np.unique(words[letters[words] > 0], return_counts=True)
@@ -673,21 +731,31 @@ def has_letter(word: str) -> bool:
     return word.isalpha() or any(c.isalpha() for c in word)
 
 
+def have_letters(words: list[str]) -> np.ndarray:
+    """Whether each word holds a letter (see ``has_letter``)."""
+    found = np.fromiter(map(str.isalpha, words), bool, len(words))
+    for i in np.flatnonzero(~found).tolist():
+        found[i] = has_letter(words[i])
+    return found
+
+
 class WordCounts:
     """How often, and in how many texts, each word with a letter occurs."""
 
     def __init__(self):
-        self.numbers = _Numbers(has_letter)
+        self.numbers = _Numbers(have_letters)
         self.n = self.docs = np.zeros(0, np.int64)
 
     def add(self, texts: list[str]) -> None:
         distinct, ids, lengths = split_words(texts)
         if not distinct:
             return
-        ids = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))[ids]
+        ids = self.numbers.of(distinct)[ids]
         there, size = ids >= 0, max(1, self.numbers.n)
         ids, text = ids[there], np.repeat(np.arange(len(texts)), lengths)[there]
-        n, docs = (np.bincount(x, minlength=size) for x in (ids, np.unique(text * size + ids) % size))
+        # Each word of a text once; sorting takes a fraction of the time that unique, which hashes, does.
+        pairs = np.sort(text * size + ids)
+        n, docs = (np.bincount(x, minlength=size) for x in (ids, pairs[np.diff(pairs, prepend=-1) != 0] % size))
         n[: len(self.n)] += self.n
         docs[: len(self.docs)] += self.docs
         self.n, self.docs = n, docs

@@ -1,7 +1,10 @@
 """Runs of equally labelled words: where they lie, and that they hold all words."""
 
 import random
+import sys
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from rowloom.llm import language
@@ -51,3 +54,74 @@ def test_table(spark, model):
     assert got == sorted(want * 2)
     assert language.language_runs(frame.limit(0), model, ["doc_id"]).collect() == []
     assert language.language_runs(frame, None, ["doc_id"]).collect() == []
+
+
+def calls(work):
+    """What ``work`` returns, and how many calls its Python code makes and takes."""
+    made = [0]
+
+    def count(frame, event, arg):
+        made[0] += event in ("call", "c_call")
+
+    work()  # tables are made once
+    sys.setprofile(count)
+    try:
+        found = work()
+    finally:
+        sys.setprofile(None)
+    return found, made[0]
+
+
+def made_up(rng, n):
+    return ["".join(rng.choice("abcdefghij") for _ in range(7)) + "²" * (i % 50 == 0) for i in range(n)]
+
+
+def test_no_python_call_for_each_word(model):
+    """Counting, fitting and labelling call functions by batch of words, so that their time goes into whole arrays."""
+    words = made_up(random.Random(9), 20_000)
+    texts = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+    samples = [(text, "aa" if i % 2 else "bb") for i, text in enumerate(texts)]
+
+    def count():
+        counts = language.WordCounts()
+        counts.add(texts)
+        return counts
+
+    counts, made = calls(count)
+    assert len(counts.numbers) == len(set(words)) and made < len(words) / 5
+    (_, table, _, lengths), made = calls(lambda: language._sequences(samples, {"aa": 0, "bb": 1}, random.Random(1)))
+    assert lengths.sum() == sum(w.isalpha() for w in words) == (table >= 0).sum() and made < len(words) / 2
+    fresh = language.Field(model.languages, model.lexicon, model.weights, model.moves)
+    (found, _, _), made = calls(lambda: (fresh.word_rows(words), language.label_texts(fresh, texts))[1])
+    assert len(found) == len(texts) and made < len(words) / 2
+
+
+def test_counts_of_words_and_of_their_texts():
+    rng = random.Random(4)
+    batches = [[" ".join(rng.choice(["ab", "cd", "ef", "²", "é²", "x" * 30]) for _ in range(rng.randint(0, 6))) for _ in range(20)] for _ in range(3)]
+    counts = language.WordCounts()
+    for batch in batches:
+        counts.add(batch)
+    texts = [[w for w in language.words_of(t) if language.has_letter(w)] for batch in batches for t in batch]
+    n, docs = Counter(w for t in texts for w in t), Counter(w for t in texts for w in set(t))
+    kept = counts.numbers.kept()
+    assert sorted(kept) == sorted(n) and "²" in counts.numbers
+    assert dict(zip(kept, counts.n.tolist(), strict=True)) == n and dict(zip(kept, counts.docs.tolist(), strict=True)) == docs
+
+
+@pytest.mark.parametrize("cells", [1, 200, language.STEP_CELLS])
+def test_texts_of_all_lengths_at_once(model, monkeypatch, cells):
+    """Texts labelled together, in steps of any size, have the posteriors of each by itself."""
+    monkeypatch.setattr(language, "STEP_CELLS", cells)
+    rng = random.Random(8)
+    texts = [say(rng, rng.choice("aa bb".split()), rng.randint(0, 9)) + " ² " + say(rng, "bb", n) for n in (0, 1, 40, 7, 7, 300, 2)] + [None, "", "²"]
+    languages, shares, _ = language.label_texts(model, texts)
+    for text, lang, share in zip(texts, languages, shares, strict=True):
+        words = [w for w in language.words_of(text or "") if language.has_letter(w)]
+        if not words:
+            assert (lang, share) == (language.UNKNOWN, 0)
+            continue
+        scores = model.word_scores(words)[:, None]
+        mass = language.marginals(*language.forward_backward(scores, np.array([len(words)]), model.moves)[:2]).sum(axis=(0, 1))
+        assert lang == model.languages[mass.argmax()] and share == pytest.approx(mass.max() / mass.sum(), rel=1e-5)
+    assert language.label_texts(model, []) == ([], [], [])
