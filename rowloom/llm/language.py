@@ -62,6 +62,9 @@ def words_of(text: str) -> list[str]:
 _letters: list[np.ndarray] = []
 # An odd factor by place in a text, for the hashes that tell the words of a few texts apart.
 _FACTOR = np.uint64(random.Random(0).getrandbits(64) >> 3 << 3 | 5)
+# Letters that are hashed at a time, and the factor's powers for them.
+BLOCK = 1 << 16
+_POWERS = np.cumprod(np.append(np.ones(1, np.uint64), np.full(BLOCK, _FACTOR)))
 
 
 def _letter_tables() -> list[np.ndarray]:
@@ -85,9 +88,20 @@ def split_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """
     lowered = [t.lower() for t in texts]
     joined = "\n".join(lowered)
-    points = _code_points(joined).astype(np.int64)
+    points = _code_points(joined)
     is_letter, mixed = _letter_tables()
-    edges = np.flatnonzero(np.diff(is_letter[points], prepend=False, append=False))
+    # Running sums over all letters of their numbers times powers of the factor.
+    inside, sums = np.zeros(len(points) + 2, bool), np.zeros(len(points) + 1, np.uint64)
+    highs = np.cumprod(np.append(np.ones(1, np.uint64), np.full(len(points) // BLOCK, _POWERS[BLOCK])))
+    for at, high in zip(range(0, len(points), BLOCK), highs, strict=False):
+        block = points[at : at + BLOCK].astype(np.int64)
+        inside[at + 1 : at + 1 + len(block)] = is_letter[block]
+        terms = mixed[block]
+        terms *= _POWERS[: len(block)]
+        terms *= high
+        terms[:1] += sums[at : at + 1]
+        np.cumsum(terms, out=sums[at + 1 : at + 1 + len(block)])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     begins, lengths = edges[::2], edges[1::2] - edges[::2]
     if not len(begins):
         return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
@@ -97,14 +111,10 @@ def split_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         run, runs, n = np.repeat(begins, n), np.repeat(lengths, n), np.repeat(n, n)
         begins, lengths = run + runs * k // n, runs * (k + 1) // n - runs * k // n
     ends = begins + lengths
-    # A word's hash is the sum of its letters' numbers times powers of the factor, from running sums over all letters, times what makes it the same at every place.
-    powers = np.full(len(points) + 1, _FACTOR)
-    powers[0] = 1
-    np.cumprod(powers, out=powers)
-    sums = np.zeros(len(points) + 1, np.uint64)
-    np.multiply(mixed[points], powers[:-1], out=sums[1:])
-    np.cumsum(sums, out=sums)
-    hashes = (sums[ends] - sums[begins]) * powers[len(points) - begins]
+    # A word's hash is its part of the sums, times what makes it the same at every place.
+    hashes, behind = sums[ends] - sums[begins], len(points) - begins
+    hashes *= _POWERS[behind % BLOCK]
+    hashes *= highs[behind // BLOCK]
     # Numbers in order of arrival; of the places of a number the first is written last.
     ids = pa.array(hashes).dictionary_encode().indices.to_numpy().astype(np.int64)
     first = np.empty(int(ids.max()) + 1, np.int64)

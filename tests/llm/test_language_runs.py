@@ -125,3 +125,14 @@ def test_texts_of_all_lengths_at_once(model, monkeypatch, cells):
         mass = language.marginals(*language.forward_backward(scores, np.array([len(words)]), model.moves)[:2]).sum(axis=(0, 1))
         assert lang == model.languages[mass.argmax()] and share == pytest.approx(mass.max() / mass.sum(), rel=1e-5)
     assert language.label_texts(model, []) == ([], [], [])
+
+
+@pytest.mark.parametrize("n", [0, 1, language.BLOCK - 1, language.BLOCK, language.BLOCK + 1, 3 * language.BLOCK])
+def test_words_of_texts_longer_than_a_block(n):
+    rng = random.Random(n)
+    texts = ["".join(rng.choice("ab ") for _ in range(n)), "ab ba aab", "é" * n, "ab"]
+    distinct, ids, lengths = language.split_words(texts)
+    words = [language.words_of(t) for t in texts]
+    every = [w for some in words for w in some]
+    assert [distinct[i] for i in ids] == every and distinct == list(dict.fromkeys(every))
+    assert lengths.tolist() == [len(some) for some in words]
