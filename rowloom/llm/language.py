@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import BROADCAST_ROWS, free_name, give_back, slices, uniform, worker_state
+from rowloom.llm.common import BROADCAST_ROWS, free_name, give_back, let_go, slices, uniform, worker_state
 from rowloom.session import materialise
 
 # Bytes of labelled text that one task fits at a time, the sequences that it trains on at least, by repeating its own, and the shares that add up their weights.
@@ -40,11 +40,12 @@ REMEMBERED = 150_000
 # UTF-8 bytes of text that are labelled at a time, but for a longer text; words whose features are held at a time; and words by languages of a step.
 SLICE_BYTES = 3_000_000
 FEATURE_WORDS = 20_000
-STEP_CELLS = 2_000_000
+STEP_CELLS = 1_000_000
 UNKNOWN = "und"
 # Most letters of a word; what is longer is no word of a language, and is cut into several.
 WORD_LETTERS = 24
 _WORD = re.compile(r"[^\W\d_]+")
+_WORD_LETTER = re.compile(r"[^\W\d_]")
 
 
 def words_of(text: str) -> list[str]:
@@ -70,10 +71,11 @@ _POWERS = np.cumprod(np.append(np.ones(1, np.uint64), np.full(BLOCK, _FACTOR)))
 def _letter_tables() -> list[np.ndarray]:
     """Whether each code point is a letter of a word, and a number of 64 mixed bits for each."""
     if not _letters:
-        # Surrogates are no characters.
-        points = [*range(0xD800), *range(0xE000, 0x110000)]
         table = np.zeros(0x110000, bool)
-        table[[ord(c) for c in re.findall(r"[^\W\d_]", "".join(map(chr, points)))]] = True
+        for at in range(0, len(table), BLOCK):
+            # Surrogates are no characters.
+            points = (x for x in range(at, at + BLOCK) if not 0xD800 <= x < 0xE000)
+            table[[ord(c) for c in _WORD_LETTER.findall("".join(map(chr, points)))]] = True
         mixed = np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
             mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
@@ -81,6 +83,41 @@ def _letter_tables() -> list[np.ndarray]:
     return _letters
 
 
+def _blocks(text: str) -> Iterator[tuple[int, np.ndarray]]:
+    """The text's code points, so many at a time that they take little memory, each time with their place."""
+    for at in range(0, len(text), BLOCK):
+        yield at, _code_points(text[at : at + BLOCK]).astype(np.int64)
+
+
+def _runs(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of letters begin and end (exclusive)."""
+    is_letter, edges, before = _letter_tables()[0], [], False
+    for at, points in _blocks(text):
+        inside = np.concatenate(([before], is_letter[points]))
+        edges.append(np.flatnonzero(inside[1:] != inside[:-1]) + at)
+        before = inside[-1]
+    if before:
+        edges.append(np.array([len(text)]))
+    found = np.concatenate(edges) if edges else np.zeros(0, np.int64)
+    return found[::2], found[1::2]
+
+
+def _sums_between(text: str, begins: np.ndarray, ends: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """The sums of the letters' numbers, times powers of the factor, from each begin to each end, both in order; ``highs`` has a block's power."""
+    mixed, before = _letter_tables()[1], np.zeros(1, np.uint64)
+    sums = [(places, np.zeros(len(places), np.uint64)) for places in (begins, ends)]
+    for (at, points), high in zip(_blocks(text), highs, strict=False):
+        running = np.concatenate((before, mixed[points]))
+        running[1:] *= _POWERS[: len(points)]
+        running[1:] *= high
+        np.cumsum(running, out=running)
+        for places, found in sums:
+            a, b = np.searchsorted(places, (at, at + len(points)), side="right")
+            found[a:b] = running[places[a:b] - at]
+        before = running[-1:]
+    return sums[1][1] - sums[0][1]
+
+
 def split_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The distinct words of the texts in order of arrival, the number of each word among them, and how many words each text has.
 
@@ -88,31 +125,19 @@ def split_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """
     lowered = [t.lower() for t in texts]
     joined = "\n".join(lowered)
-    points = _code_points(joined)
-    is_letter, mixed = _letter_tables()
-    # Running sums over all letters of their numbers times powers of the factor.
-    inside, sums = np.zeros(len(points) + 2, bool), np.zeros(len(points) + 1, np.uint64)
-    highs = np.cumprod(np.append(np.ones(1, np.uint64), np.full(len(points) // BLOCK, _POWERS[BLOCK])))
-    for at, high in zip(range(0, len(points), BLOCK), highs, strict=False):
-        block = points[at : at + BLOCK].astype(np.int64)
-        inside[at + 1 : at + 1 + len(block)] = is_letter[block]
-        terms = mixed[block]
-        terms *= _POWERS[: len(block)]
-        terms *= high
-        terms[:1] += sums[at : at + 1]
-        np.cumsum(terms, out=sums[at + 1 : at + 1 + len(block)])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    begins, lengths = edges[::2], edges[1::2] - edges[::2]
+    begins, ends = _runs(joined)
     if not len(begins):
         return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+    lengths = ends - begins
     if lengths.max() > WORD_LETTERS:
         n = -(-lengths // WORD_LETTERS)
         k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         run, runs, n = np.repeat(begins, n), np.repeat(lengths, n), np.repeat(n, n)
         begins, lengths = run + runs * k // n, runs * (k + 1) // n - runs * k // n
-    ends = begins + lengths
+        ends = begins + lengths
+    highs = np.cumprod(np.append(np.ones(1, np.uint64), np.full(len(joined) // BLOCK, _POWERS[BLOCK])))
     # A word's hash is its part of the sums, times what makes it the same at every place.
-    hashes, behind = sums[ends] - sums[begins], len(points) - begins
+    hashes, behind = _sums_between(joined, begins, ends, highs), len(joined) - begins
     hashes *= _POWERS[behind % BLOCK]
     hashes *= highs[behind // BLOCK]
     # Numbers in order of arrival; of the places of a number the first is written last.
@@ -166,6 +191,11 @@ def _crc_next(crc: np.ndarray, letters: np.ndarray) -> np.ndarray:
     return found
 
 
+def feature_counts(words: list[str]) -> np.ndarray:
+    """How many features each word has (see ``feature_slots``)."""
+    return 2 * np.fromiter(map(len, words), np.int64, len(words)) + 9
+
+
 def feature_slots(words: list[str], lexicon: WordTable) -> tuple[np.ndarray, np.ndarray]:
     """Slots of the words' features, one word after the other, and how many each has.
 
@@ -184,7 +214,7 @@ def feature_slots(words: list[str], lexicon: WordTable) -> tuple[np.ndarray, np.
     def slots(crc: np.ndarray) -> np.ndarray:
         return ((crc ^ np.uint32(0xFFFFFFFF)) % SLOTS).astype(np.int32)
 
-    sizes = 2 * lengths + 9
+    sizes = feature_counts(words)
     starts = np.cumsum(sizes) - sizes
     flat = np.empty(int(sizes.sum()), np.int32)
     whole = zlib.crc32(b"w ")
@@ -486,10 +516,13 @@ def fit_share(samples: list[tuple[str, str]], languages: list[str], lexicon: Wor
     if not len(words):
         return 0, weights, moves, np.zeros(0, np.int64)
     model = Field(languages, lexicon, weights, moves)
-    made = [feature_slots(distinct[at : at + FEATURE_WORDS], lexicon) for at in range(0, len(distinct), FEATURE_WORDS)]
-    all_slots, sizes = np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])
+    sizes = feature_counts(distinct)
     begins = np.cumsum(sizes) - sizes
-    del made
+    all_slots, met = np.empty(int(sizes.sum()), np.int32), np.zeros(SLOTS, bool)
+    for at in range(0, len(distinct), FEATURE_WORDS):
+        some = feature_slots(distinct[at : at + FEATURE_WORDS], lexicon)[0]
+        all_slots[begins[at] : begins[at] + len(some)] = some
+        met[some] = True
     word_places, slot_places = np.empty(len(distinct), np.int32), np.empty(SLOTS, np.int32)
     odds = sum(amounts) / (np.maximum(amounts, 1) * max(1, np.count_nonzero(amounts)))
     share = (odds[labels] * (words >= 0)).sum(axis=1) / lengths_of
@@ -541,7 +574,7 @@ def fit_share(samples: list[tuple[str, str]], languages: list[str], lexicon: Wor
             move = ((pair * heavy[:, None, None]).sum(axis=0) - seen) / len(batch) + 1e-4 * model.moves
             past_m += move**2
             model.moves -= 0.2 * rate * move / np.sqrt(past_m)
-    return len(words), model.weights, model.moves, _distinct(all_slots, slot_places)[0]
+    return len(words), model.weights, model.moves, np.flatnonzero(met)
 
 
 def _mass(scores: list[np.ndarray], moves: np.ndarray) -> np.ndarray:
@@ -665,9 +698,11 @@ class Familiarity:
         self._forget()
 
     def likelihoods(self, words: list[str]) -> np.ndarray:
-        """The logarithm of each word's likelihood."""
-        if not words:
-            return np.zeros(0)
+        """The logarithm of each word's likelihood; of ``FEATURE_WORDS`` words at a time."""
+        made = [self._likelihoods(words[at : at + FEATURE_WORDS]) for at in range(0, len(words), FEATURE_WORDS)]
+        return np.concatenate(made) if made else np.zeros(0)
+
+    def _likelihoods(self, words: list[str]) -> np.ndarray:
         letters = _code_points(_marked(words)).astype(np.int64)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         begins = np.cumsum(lengths + 2) - lengths - 2
@@ -811,6 +846,7 @@ def counted(rows: DataFrame, halves: bool = True) -> DataFrame:
     kinds = ["lang", "half"] if halves else ["lang"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: dict[tuple, WordCounts] = defaultdict(WordCounts)
         for batch in batches:
             for at, stop in slices(pc.binary_length(batch.column("text")).to_pylist(), SLICE_BYTES):
@@ -886,6 +922,7 @@ def learn(rows: DataFrame, counts: DataFrame, seed: int = 11) -> Field | None:
     sent = rows.sparkSession.sparkContext.broadcast((languages, lexicon, [total.get(x, 0) for x in languages], seed))
 
     def share(key: tuple, table: pa.Table) -> pa.Table:
+        let_go()
         languages, lexicon, amounts, seed = sent.value
         # By slot the sequences that met it and their weights; behind the slots, a row for the moves from each language.
         total = np.zeros((SLOTS + len(languages), 1 + len(languages)), np.int64)
@@ -954,6 +991,7 @@ def familiar(rows: DataFrame, counts: DataFrame) -> Familiarity | None:
     sent = spark.sparkContext.broadcast([halves[1], halves[0]] if all(h.total for h in halves) else [whole, whole])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         judges = sent.value
         for batch in batches:
             made = []
@@ -996,6 +1034,8 @@ def predict(docs: DataFrame, model: Field | None, text: str = "text", names: tup
     version = zlib.crc32(model.weights.tobytes()), usual and (usual.total, usual.center, usual.apart, usual.within, usual.limit)
 
     def label(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # What the steps before have freed goes back before the model is read.
+        give_back()
         known = worker_state("language_field", lambda: Field(*sent.value), version)
         for batch in texts:
             made = [[], [], []]

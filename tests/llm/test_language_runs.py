@@ -2,6 +2,7 @@
 
 import random
 import sys
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -136,3 +137,46 @@ def test_words_of_texts_longer_than_a_block(n):
     every = [w for some in words for w in some]
     assert [distinct[i] for i in ids] == every and distinct == list(dict.fromkeys(every))
     assert lengths.tolist() == [len(some) for some in words]
+
+
+@pytest.mark.parametrize("text", ["", "ab", "ab c" * 9, "é𐐀a " * 8, "   ab", "a" * 80, "abcdefg", "abcdefg ", " ² a"])
+def test_words_that_cross_small_blocks(monkeypatch, text):
+    monkeypatch.setattr(language, "BLOCK", 7)
+    texts = [text, "", text + "b", "字" * 30]
+    distinct, ids, lengths = language.split_words(texts)
+    words = [language.words_of(t) for t in texts]
+    assert [distinct[i] for i in ids] == [w for some in words for w in some]
+    assert lengths.tolist() == [len(some) for some in words]
+
+
+def most_held(step):
+    """Most bytes that a step holds beyond those from before."""
+    tracemalloc.start()
+    try:
+        step()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_cutting_text_holds_numbers_for_a_block_of_letters_alone():
+    text = ("ab" + " " * 998) * 3000
+    language.split_words(["ab"])
+    assert most_held(lambda: language.split_words([text])) < 6 * len(text)
+
+
+def test_likelihoods_of_many_words_hold_numbers_for_some_alone(monkeypatch):
+    usual = language.Familiarity(language.WordTable.of({"der": 5}), 9, {"e": 3, "der": 2})
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcde") for _ in range(20)) for _ in range(20_000)]
+    whole = usual.likelihoods(words)
+    at_once = most_held(lambda: usual.likelihoods(words))
+    monkeypatch.setattr(language, "FEATURE_WORDS", 500)
+    assert (usual.likelihoods(words) == whole).all() and usual.likelihoods([]).tolist() == []
+    assert most_held(lambda: usual.likelihoods(words)) < at_once / 5
+
+
+def test_feature_counts():
+    words = ["a", "ab", "²", "straße", "字字"]
+    slots, sizes = language.feature_slots(words, language.WordTable.of({"ab": 1}))
+    assert language.feature_counts(words).tolist() == sizes.tolist() and len(slots) == sum(sizes)
