@@ -9,7 +9,7 @@ are read and how many ids kept is set on the whole index (``calibrate``), for a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -35,9 +35,14 @@ ROUNDS = 8
 CALIBRATION_QUERIES = 100
 # Rows, as far as PIECE_ENTRIES allows, and queries that meet in one task, about.
 LIST_PIECE = 131_072
-QUERY_PIECE = 131_072
+QUERY_PIECE = 65_536
 # Queries whose tables of products are held at a time.
 TILE = 128
+# Most queries that a region's rows meet at a time, and similarities of them worked out at a time.
+REGION_QUERIES = 1_024
+STEP_ENTRIES = 524_288
+# One of so many rows of a region is looked at first, for a guess of what a query's last kept similarity will be.
+GUESS_STEP = 32
 
 _CODED = "id bigint, list int, codes binary"
 _LIKELY = "query_id bigint, id bigint, near double"
@@ -69,6 +74,14 @@ class Quantizer(NamedTuple):
         codes = np.stack([_nearest(rest[:, p], book) for p, book in enumerate(self.books)], axis=1)
         return lists, codes.astype(np.uint8)
 
+    def decode(self, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The vectors that lists and codes stand for; a query's inner product with one is its similarity by the codes."""
+        parts, _, width = self.books.shape
+        rest = np.empty((len(codes), parts, width), np.float32)
+        for part in range(parts):
+            rest[:, part] = self.books[part][codes[:, part]]
+        return self.centres[lists] + rest.reshape(len(codes), -1)[:, : self.dim]
+
     def products(self, matrix: np.ndarray) -> np.ndarray:
         """Inner products of the queries' stretches with all entries of the books (queries x parts x entries)."""
         return np.einsum("qpw,psw->qps", self.stretches(matrix), self.books)
@@ -231,6 +244,133 @@ def _keep(near: np.ndarray, ids: np.ndarray, depth: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -near[at]))[:depth]]
 
 
+def _first_copies(ids: np.ndarray, lists: np.ndarray, codes: np.ndarray, depth: int) -> np.ndarray:
+    """Places of all rows, by list, without those that equal codes of ``depth`` smaller ids, besides a query's own, always keep out."""
+    words = np.zeros((len(codes), -(-codes.shape[1] // 8) * 8), np.uint8)
+    words[:, : codes.shape[1]] = codes
+    words = words.view(np.uint64)
+    order = np.lexsort((ids, *words.T, lists))
+    ids, lists, words = ids[order], lists[order], words[order]
+    other = np.ones(len(order), bool)
+    other[1:] = (lists[1:] != lists[:-1]) | (words[1:] != words[:-1]).any(axis=1)
+    number = np.cumsum(other | (np.diff(ids, prepend=ids[:1]) != 0))
+    return order[number - number[np.flatnonzero(other)][np.cumsum(other) - 1] <= depth]
+
+
+def _best(
+    query: np.ndarray, place: np.ndarray, raw: np.ndarray, queries: int, most: int, slack: float, exact: Callable, ids: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of query and row that are the query's ``most`` best by ``exact``, of equal ones the smaller ids; and for each query a ``raw`` below which no better pair lies.
+
+    ``raw`` is within ``slack`` of ``exact``, which is worked out only for pairs that ``raw`` leaves in doubt.
+    """
+    order = np.argsort(query, kind="stable")
+    query, place, raw = query[order], place[order], raw[order]
+    stops = np.cumsum(np.bincount(query, minlength=queries))
+    starts = np.concatenate(([0], stops[:-1]))
+    last = np.full(queries, -np.inf)
+    for q in np.flatnonzero(stops - starts > most):
+        own = raw[starts[q] : stops[q]]
+        last[q] = np.partition(own, len(own) - most)[len(own) - most]
+    floor = last - 2 * slack
+    sure = raw > (last + 2 * slack)[query]
+    doubt = np.flatnonzero(~sure & (raw >= floor[query]))
+    free = most - np.bincount(query[sure], minlength=queries)
+    doubt = doubt[np.lexsort((ids[place[doubt]], -exact(query[doubt], place[doubt]), query[doubt]))]
+    asked = query[doubt]
+    kept = np.concatenate((np.flatnonzero(sure), doubt[np.arange(len(asked)) - np.searchsorted(asked, asked) < free[asked]]))
+    return query[kept], place[kept], raw[kept], floor
+
+
+def _dots(left: np.ndarray, right: np.ndarray, query: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Inner products of pairs of rows, some at a time."""
+    step = max(1, STEP_ENTRIES // left.shape[1])
+    kind = np.result_type(left, right)
+    parts = [(left[query[at : at + step]] * right[place[at : at + step]]).sum(axis=1, dtype=kind) for at in range(0, len(query), step)]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+class _Region:
+    """Rows of a region inside a task: the ``k`` best of those ``depth`` that look nearest by the codes, for some queries at a time."""
+
+    def __init__(self, quantizer: Quantizer, rows: pa.Table, k: int, probes: int, depth: int, skip_self: bool):
+        self.quantizer, self.k, self.probes, self.skip_self = quantizer, k, probes, skip_self
+        ids, lists = rows["id"].to_numpy().astype(np.int64), rows["list"].to_numpy()
+        codes = _codes(rows["codes"], quantizer.books.shape[0])
+        at = _first_copies(ids, lists, codes, depth)
+        self.ids, self.lists, codes = ids[at], lists[at], codes[at]
+        starts = np.flatnonzero(np.diff(self.lists, prepend=-1))
+        self.stretches = list(zip(self.lists[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(at)], strict=True))
+        self.decoded, self.items = quantizer.decode(self.lists, codes), vectors._matrix(rows["embedding"].take(pa.array(at)))
+        self.items_32 = self.items.astype(np.float32)
+        # How far sums of single precision may be from those of double precision, and these from rounded ones.
+        length = max(1.0, float(np.sqrt((self.decoded * self.decoded).sum(axis=1).max())))
+        self.slack, self.near_slack = vectors._slack(quantizer.dim) + 0.5 * 10.0**-vectors.DIGITS, vectors._slack(quantizer.dim) * length + 0.5e-5
+        self.depth = min(depth, len(at))
+        self.step = max(1, min(REGION_QUERIES, TILE_ENTRIES // (4 * self.depth)))
+
+    def search(self, query_ids: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``query_id, id, sim`` of at most ``step`` queries, rows of length one."""
+        some = matrix.astype(np.float32)
+        query, place = self._likely(query_ids, some)
+        raw = _dots(some, self.items_32, query, place)
+        exact = lambda q, p: vectors._rounded(_dots(matrix, self.items, q, p))
+        query, place, _, _ = _best(query, place, raw, len(matrix), self.k, self.slack, exact, self.ids)
+        return query_ids[query], self.ids[place], exact(query, place)
+
+    def _likely(self, query_ids: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of query and row that look nearest, ``depth`` for each query where its lists hold as many.
+
+        Queries whose guessed bound may have been too high are asked again without one.
+        """
+        read = _lists_read(self.quantizer, some, self.probes)
+        guess = self._guess(some, read)
+        query, place, floor = self._above(query_ids, some, read, guess)
+        short = np.flatnonzero(floor < guess)
+        if len(short):
+            fine = ~np.isin(query, short)
+            again, more, _ = self._above(query_ids[short], some[short], read[short], np.full(len(short), -np.inf))
+            query, place = np.concatenate((query[fine], short[again])), np.concatenate((place[fine], more))
+        return query, place
+
+    def _guess(self, some: np.ndarray, read: np.ndarray) -> np.ndarray:
+        """For each query a similarity that more than ``depth`` rows should have, by some rows of all lists; none where these are few."""
+        at = np.arange(0, len(self.ids), GUESS_STEP)
+        share = self.depth / GUESS_STEP
+        last = int(share + 3 * share**0.5) + 2
+        if len(at) <= last:
+            return np.full(len(some), -np.inf)
+        near = some @ self.decoded[at].T
+        near[~read[:, self.lists[at]]] = -np.inf
+        return np.partition(near, len(at) - last, axis=1)[:, len(at) - last].astype(np.float64)
+
+    def _above(self, query_ids: np.ndarray, some: np.ndarray, read: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same among rows above ``floor``, and for each query the bound that these give; products with decoded rows tell which, and bounds rise as rows come in."""
+        exact = lambda q, p: np.round(_dots(some.astype(np.float64), self.decoded, q, p), 5)
+        best = lambda held: _best(*map(np.concatenate, zip(*held, strict=True)), len(some), self.depth, self.near_slack, exact, self.ids)
+        held, size = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))], 0
+        for cell, start, stop in self.stretches:
+            reading = np.flatnonzero(read[:, cell])
+            if not len(reading):
+                continue
+            asking, step = some[reading], max(1, STEP_ENTRIES // len(reading))
+            for at in range(start, stop, step):
+                near = asking @ self.decoded[at : min(at + step, stop)].T
+                row, column = vectors._places(near >= floor[reading, None].astype(np.float32))
+                query, place = reading[row], column + at
+                if self.skip_self:
+                    other = query_ids[query] != self.ids[place]
+                    row, column, query, place = row[other], column[other], query[other], place[other]
+                held.append((query, place, near[row, column]))
+                size += len(query)
+                if size > 3 * self.depth * len(some):
+                    *kept, risen = best(held)
+                    floor = np.maximum(floor, risen)
+                    held, size = [tuple(kept)], len(kept[0])
+        query, place, _, risen = best(held)
+        return query, place, risen
+
+
 def _likely_by_broadcast(queries: list, coded: Coded, probes: int, depth: int, skip_self: bool) -> DataFrame:
     """Every task reads its share of the codes once, for all queries; lists that no query reads are skipped."""
     quantizer = coded.quantizer
@@ -292,7 +432,7 @@ def _found_by_regions(queries: DataFrame, index: DataFrame, coded: Coded, k: int
             filled += count // pieces
     regions = region + 1
     asked = queries.count()
-    wanted = -(-2 * spark.sparkContext.defaultParallelism // regions)
+    wanted = -(-vectors.TASKS_A_CORE * spark.sparkContext.defaultParallelism // regions)
     blocks = max(-(-asked // max(1, min(QUERY_PIECE, PIECE_ENTRIES // quantizer.dim))), min(wanted, -(-asked // BLOCK_ROWS)), 1)
     shared = spark.sparkContext.broadcast((quantizer, [(cell, region) for cell, _, _, region in units]))
 
@@ -310,32 +450,12 @@ def _found_by_regions(queries: DataFrame, index: DataFrame, coded: Coded, k: int
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("embedding"), pa.array(places.astype(np.int32))], names=["query_id", "embedding", "region"])
 
     def run(rows: pa.Table, asking: pa.Table) -> pa.Table:
-        quantizer, out = shared.value[0], []
         if not rows.num_rows or not asking.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "sim": pa.array([], pa.float64())})
-        rows = rows.take(pa.array(np.lexsort((rows["id"].to_numpy(), rows["list"].to_numpy()))))
-        ids, lists = rows["id"].to_numpy().astype(np.int64), rows["list"].to_numpy()
-        starts = np.flatnonzero(np.diff(lists, prepend=-1))
-        stretches = list(zip(lists[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(lists)], strict=True))
-        codes, items = _codes(rows["codes"], quantizer.books.shape[0]), vectors._matrix(rows["embedding"])
-        tile = max(1, min(TILE, TILE_ENTRIES // len(ids)))
-        for at in range(0, asking.num_rows, tile):
-            part = asking.slice(at, tile)
-            query_ids, exact = part["query_id"].to_numpy().astype(np.int64), vectors._matrix(part["embedding"])
-            some = exact.astype(np.float32)
-            read, products = _lists_read(quantizer, some, probes), quantizer.products(some)
-            near = np.full((len(some), len(ids)), -np.inf, np.float32)
-            for cell, start, stop in stretches:
-                reading = np.flatnonzero(read[:, cell])
-                if len(reading):
-                    near[reading, start:stop] = _near(some[reading] @ quantizer.centres[cell], products[reading], codes[start:stop])
-            if skip_self:
-                near[query_ids[:, None] == ids] = -np.inf
-            for query, vector, looks in zip(query_ids, exact, near, strict=True):
-                best = _keep(looks, ids, depth)
-                sims = vectors._rounded((vector * items[best]).sum(axis=1))
-                top = np.lexsort((ids[best], -sims))[:k]
-                out.append((np.full(len(top), query, np.int64), ids[best[top]], sims[top]))
+        region, out = _Region(shared.value[0], rows, k, probes, depth, skip_self), []
+        for at in range(0, asking.num_rows, region.step):
+            part = asking.slice(at, region.step)
+            out.append(region.search(part["query_id"].to_numpy().astype(np.int64), vectors._matrix(part["embedding"])))
         return pa.table({name: np.concatenate(c) for name, c in zip(("query_id", "id", "sim"), zip(*out, strict=True), strict=True)})
 
     kind = queries.schema["embedding"].dataType.simpleString()
@@ -352,9 +472,12 @@ def _found_by_regions(queries: DataFrame, index: DataFrame, coded: Coded, k: int
 
 
 def _lists_read(quantizer: Quantizer, matrix: np.ndarray, probes: int) -> np.ndarray:
-    """Which lists each query reads (queries x lists)."""
-    read = np.zeros((len(matrix), len(quantizer.centres)), bool)
-    np.put_along_axis(read, quantizer.order(matrix)[:, :probes], True, axis=1)
+    """Which lists each query reads (queries x lists): the most similar centres, of equal ones the first."""
+    far = -(matrix.astype(np.float32) @ quantizer.centres.T)
+    read = far <= np.partition(far, probes - 1, axis=1)[:, probes - 1, None]
+    tied = np.flatnonzero(read.sum(axis=1) > probes)
+    read[tied] = False
+    read[tied[:, None], np.argsort(far[tied], axis=1, kind="stable")[:, :probes]] = True
     return read
 
 

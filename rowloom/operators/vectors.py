@@ -56,6 +56,8 @@ PIECE_ENTRIES = 8_000_000
 # Pieces in a region of leaves, about, as far as PIECE_ENTRIES allows; fewest queries of a block that meets it, for which smaller blocks are not cut.
 REGION_PIECES = 6
 BLOCK_ROWS = 1_024
+# Blocks that meet regions, for each core, where queries are enough; so that cores end together.
+TASKS_A_CORE = 3
 # Similarities held at a time when two pieces meet.
 TILE_ENTRIES = 4_000_000
 # Slack on distances; above the rounding step of a similarity near any bound.
@@ -119,6 +121,20 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
         return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
 
 
+def _slack(dim: int) -> float:
+    """How far the inner product of two vectors of length one may be off when worked out in single precision."""
+    return (dim + 8) * 2.0**-24
+
+
+def _places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns where a matrix is true, row by row; reads eight entries at a time, as few are."""
+    flat = mask.ravel()
+    whole = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    at = np.concatenate(((words[:, None] * 8 + np.arange(8)).ravel(), np.arange(whole, len(flat))))
+    return np.divmod(at[flat[at]], max(1, mask.shape[1]))
+
+
 class _Best:
     """The k best ids per query so far."""
 
@@ -153,27 +169,38 @@ class _Best:
     ) -> None:
         """Compare all queries with all items, a tile at a time.
 
-        Only similarities that may still count are rounded: those within a rounding step of
-        the k-th best so far or, at the start, of the k-th best of the tile. ``bound`` is a
-        similarity per query below which nothing counts, where one is known. ``at`` has the queries' places
-        where these are not all.
+        Products in single precision tell which similarities may still count: those within a rounding step, and what such
+        products may be off, of the k-th best so far or, at the start, of the k-th best of the tile. Only these are worked out in
+        double precision and rounded. ``bound`` is a similarity per query below which nothing counts, where one is known.
+        ``at`` has the queries' places where these are not all.
         """
         own = slice(None) if at is None else at
         step = max(self.k + 1, TILE_ENTRIES // max(1, len(queries)))
+        slack = 10.0**-DIGITS + 2 * _slack(queries.shape[1])
+        queries_32 = queries.astype(np.float32)
         for start in range(0, len(items), step):
-            ids = item_ids[start : start + step]
-            sims = queries @ items[start : start + step].T
+            ids, some = item_ids[start : start + step], items[start : start + step]
+            sims = queries_32 @ some.astype(np.float32).T
             worst = self.sims[own, -1:]
             floor = worst if bound is None else np.maximum(worst, bound[:, None])
             need = self.k + int(skip_self)
             if sims.shape[1] > need and np.isneginf(floor).any():
                 floor = np.maximum(floor, np.partition(sims, -need, axis=1)[:, -need, None])
-            rows, columns = np.nonzero(sims >= floor - 10.0**-DIGITS)
+            rows, columns = _places(sims >= (floor - slack).astype(np.float32))
             if skip_self:
                 other = query_ids[rows] != ids[columns]
                 rows, columns = rows[other], columns[other]
             if len(rows):
-                self.offer(rows if at is None else at[rows], _rounded(sims[rows, columns]), ids[columns])
+                exact = self._exact(queries, some, rows, columns)
+                self.offer(rows if at is None else at[rows], _rounded(exact), ids[columns])
+
+    @staticmethod
+    def _exact(queries: np.ndarray, items: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Similarities of pairs; of all where the pairs are a good share of them."""
+        if len(rows) * 32 > len(queries) * len(items):
+            return (queries @ items.T)[rows, columns]
+        step = max(1, TILE_ENTRIES // (8 * queries.shape[1]))
+        return np.concatenate([(queries[rows[at : at + step]] * items[columns[at : at + step]]).sum(axis=1) for at in range(0, len(rows), step)])
 
     def frame(self, query_ids: np.ndarray) -> pd.DataFrame:
         found = np.isfinite(self.sims)
@@ -592,8 +619,8 @@ def _search_regions(asked: DataFrame, tree: Tree, dim: int, k: int, skip_self: b
             filled, unit = filled + count // pieces, unit + 1
     regions = region + 1
     queries = asked.count()
-    wanted = -(-2 * spark.sparkContext.defaultParallelism // regions)
-    blocks = max(-(-queries // most), min(wanted, -(-queries // BLOCK_ROWS)), 1)
+    wanted = -(-TASKS_A_CORE * spark.sparkContext.defaultParallelism // regions)
+    blocks = max(-(-2 * queries // most), min(wanted, -(-queries // BLOCK_ROWS)), 1)
     # Sizes of regions, and their units by leaf.
     width = [0] * regions
     for _, _, _, region, unit in units:

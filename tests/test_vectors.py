@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -227,3 +229,29 @@ def test_search_rejects_ragged_vectors(spark):
     queries = spark.createDataFrame([(7, [1.0, 0.0])], "id long, embedding array<double>")
     with pytest.raises(Exception, match="different widths"):
         vectors.top_k(queries, index, 1).collect()
+
+
+@pytest.mark.parametrize("dim", [3, 64])
+def test_similarities_that_single_precision_cannot_tell_apart(dim):
+    """Products in single precision only choose; what is ranked and returned comes from double precision."""
+    rng = np.random.default_rng(11)
+    items = np.concatenate((rng.normal(size=dim) + rng.normal(size=(3000, dim)) * 10.0 ** rng.uniform(-9, -2, 3000)[:, None], rng.normal(size=(500, dim))))
+    items = vectors._unit(items[rng.permutation(len(items))])
+    ids = rng.permutation(len(items)).astype(np.int64)
+    sims = vectors._rounded(items @ items.T)
+    best = vectors._Best(len(items), 6)
+    best.scan(items, ids, items, ids, True)
+    for q in range(0, len(items), 7):
+        order = np.lexsort((ids, -sims[q]))
+        assert best.ids[q].tolist() == ids[order[order != q][:6]].tolist()
+
+
+def test_a_scan_holds_similarities_in_single_precision():
+    rng = np.random.default_rng(12)
+    queries, items = (vectors._unit(rng.normal(size=(n, 16))) for n in (1000, 4000))
+    best = vectors._Best(1000, 5)
+    tracemalloc.start()
+    best.scan(queries, np.arange(1000), items, np.arange(4000), False, np.full(1000, 0.7))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 28_000_000  # 1,000 x 4,000 of four bytes, and which of them count
