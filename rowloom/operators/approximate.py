@@ -467,8 +467,7 @@ def _found_by_regions(queries: DataFrame, index: DataFrame, coded: Coded, k: int
     right = coded.rows.join(of_list, "list").withColumn("piece", piece).join(of_unit.drop("pieces"), ["list", "piece"])
     right = right.select("region", "list", "id", "codes").join(vectors._usable(index), "id")
     right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    names = ["region", "block"]
-    return right.groupBy(*names).cogroup(left.groupBy(*names)).applyInArrow(run, vectors._MATCH)
+    return vectors._meetings(right, left, regions * blocks).applyInArrow(run, vectors._MATCH)
 
 
 def _lists_read(quantizer: Quantizer, matrix: np.ndarray, probes: int) -> np.ndarray:

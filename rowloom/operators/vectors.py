@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 from pyspark.sql.window import Window
 
 from rowloom.functions.text import let
@@ -56,8 +57,9 @@ PIECE_ENTRIES = 8_000_000
 # Pieces in a region of leaves, about, as far as PIECE_ENTRIES allows; fewest queries of a block that meets it, for which smaller blocks are not cut.
 REGION_PIECES = 6
 BLOCK_ROWS = 1_024
-# Blocks that meet regions, for each core, where queries are enough; so that cores end together.
+# Meetings of a block and a region for each core, where queries are enough, and shuffle partitions for each of them, so that few share one: cores end together.
 TASKS_A_CORE = 3
+PARTITIONS_A_MEETING = 8
 # Similarities held at a time when two pieces meet.
 TILE_ENTRIES = 4_000_000
 # Slack on distances; above the rounding step of a similarity near any bound.
@@ -670,8 +672,14 @@ def _search_regions(asked: DataFrame, tree: Tree, dim: int, k: int, skip_self: b
                     best.scan(matrix[some], ids[some], vectors[start:stop], item_ids[start:stop], skip_self, bound[some], some)
         return pa.Table.from_pandas(best.frame(ids), preserve_index=False)
 
+    return _meetings(left, right, regions * blocks).applyInArrow(meet, _MATCH)
+
+
+def _meetings(left: DataFrame, right: DataFrame, number: int) -> PandasCogroupedOps:
+    """Rows of both by ``region`` and ``block``; ``number`` such pairs in all."""
     names = ["region", "block"]
-    return left.groupBy(*names).cogroup(right.groupBy(*names)).applyInArrow(meet, _MATCH)
+    left, right = (df.repartition(PARTITIONS_A_MEETING * number, *names) for df in (left, right))
+    return left.groupBy(*names).cogroup(right.groupBy(*names))
 
 
 class Search(NamedTuple):

@@ -1,7 +1,9 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from rowloom.operators import vectors
@@ -255,3 +257,15 @@ def test_a_scan_holds_similarities_in_single_precision():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 28_000_000  # 1,000 x 4,000 of four bytes, and which of them count
+
+
+def test_meetings_of_regions_and_blocks_share_few_tasks(spark):
+    """However few shuffle partitions the session has, here 8."""
+    rows = spark.range(24).selectExpr("id", "int(id % 4) AS region", "int(id div 4) AS block")
+
+    def run(left, right):
+        return pa.table({"id": left["id"], "task": pa.array([TaskContext.get().partitionId()], pa.int32()), "beside": right["id"]})
+
+    got = vectors._meetings(rows, rows, 24).applyInArrow(run, "id bigint, task int, beside bigint").collect()
+    assert sorted((r["id"], r["beside"]) for r in got) == [(i, i) for i in range(24)]
+    assert len({r["task"] for r in got}) >= 20
